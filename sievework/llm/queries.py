@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import held_out, table
 
 
 def _tokenizer(name: str) -> str:
@@ -14,6 +14,14 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score, train
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = train(docs.where(~held_out()), labels.where(~held_out()))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
@@ -26,7 +34,21 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op7_sentencepiece)}
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    parser = train(docs.where(~held_out()).select("doc_id", "text", "lang"))
+    return identify(docs, parser).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import apply_rules
+
+    return apply_rules(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_token_counts, op7_sentencepiece, op8_language, op10_quality)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested against brute force in tests/llm.
 ORACLE_SQL: dict[str, str] = {}
