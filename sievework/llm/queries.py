@@ -22,12 +22,24 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .templates import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import compare_with_next
+
+    return compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pieces import encode
 
@@ -48,7 +60,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_token_counts, op7_sentencepiece, op8_language, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_token_counts, op4_fingerprints, op7_sentencepiece, op8_language, op10_quality)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested against brute force in tests/llm.
 ORACLE_SQL: dict[str, str] = {}
