@@ -22,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8, written
+from .common import groups, utf8, written
 
 #: Labelled rows that training takes, the first by a hash of their key; rows that it needs of each class.
 TRAIN_ROWS, LEAST_OF_CLASS = 10_000, 5
@@ -57,7 +57,7 @@ class _Kind(dict):
             kind += 16 + 8 * (plain in self.words or re.sub(r"[\W_]", "", plain) in self.words)
         kind += 32 * (len(word) > 1 and word.isupper())
         if len(word) <= 40:
-            if len(self) > 500_000:
+            if len(self) > 200_000:
                 self.clear()
             self[word] = kind
         return kind
@@ -89,14 +89,16 @@ def featured(docs: DataFrame, words: frozenset[str], stems: frozenset[str], text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = _Kind(words, stems)
-        for b in batches:
-            data, off = utf8(b.column("t"))
-            count = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])[off])  # noqa: B023, E731
-            size = np.maximum(1, np.diff(off))
-            own = np.array([features(t.as_py() or "", kinds) for t in b.column("t")], np.float64).reshape(-1, 10)
-            rates = [100 * count(x) / size for x in (_UPPER[data], data == 33, _MARKS[data])]
-            cols = [*own[:, :7].T, rates[0], own[:, 7], rates[1], rates[2], own[:, 8], own[:, 9]]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *[pa.array(np.ascontiguousarray(c)) for c in cols]], names=[*b.schema.names[:-1], *FEATURES])
+        for whole in batches:
+            data, off = utf8(whole.column("t"))
+            for i, j in groups(off):
+                b, own_off, part = whole.slice(i, j - i), off[i : j + 1] - off[i], data[off[i] : off[j]]
+                size = np.maximum(1, np.diff(own_off))
+                count = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])[own_off])  # noqa: B023, E731
+                own = np.array([features(t.as_py() or "", kinds) for t in b.column("t")], np.float64).reshape(-1, 10)
+                rates = [100 * count(x) / size for x in (_UPPER[part], part == 33, _MARKS[part])]
+                cols = [*own[:, :7].T, rates[0], own[:, 7], rates[1], rates[2], own[:, 8], own[:, 9]]
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], *[pa.array(np.ascontiguousarray(c)) for c in cols]], names=[*b.schema.names[:-1], *FEATURES])
 
     kinds = "".join(f"k{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep))
     return rows.mapInArrow(run, kinds + ", ".join(f"{f} double" for f in FEATURES)).toDF(*keep, *FEATURES)
