@@ -40,6 +40,12 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pieces import encode
 
@@ -60,7 +66,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_token_counts, op4_fingerprints, op7_sentencepiece, op8_language, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_token_counts, op4_fingerprints, op5_repeats, op7_sentencepiece, op8_language, op10_quality)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested against brute force in tests/llm.
 ORACLE_SQL: dict[str, str] = {}
