@@ -60,13 +60,19 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, parser).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .similarity import similar_texts
+
+    return similar_texts(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import apply_rules
 
     return apply_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_token_counts, op4_fingerprints, op5_repeats, op7_sentencepiece, op8_language, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_token_counts, op4_fingerprints, op5_repeats, op7_sentencepiece, op8_language, op9_jaccard_join, op10_quality)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested against brute force in tests/llm.
 ORACLE_SQL: dict[str, str] = {}
