@@ -1,10 +1,64 @@
-"""Corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input."""
+"""Corpus pipeline: five stages over documents, each written as Parquet and read again as the next one's input.
+
+1. toxicity: documents that the fitted classifier rejects go.
+2. n-gram Jaccard join: one document of each group of copies and near copies stays.
+3. suffix-array dedup: passages that an earlier document has are cut out of the later ones.
+4. mixing: documents stand in the order of the target weights; sources that end early are read again.
+5. sentencepiece: every text as identifiers, verified.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sievework.llm import mixing, pieces, repeats, similarity, toxicity
+from sievework.llm.common import held_out, table, written
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.train(docs.where(~held_out()), table(spark, sf_dir, "labels").where(~held_out()))
+    return toxicity.score(docs, model, keep=COLUMNS).where(F.col("predicted") == 0).select(*COLUMNS)
+
+
+def stage_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return similarity.one_of_each(docs.select(*COLUMNS))
+
+
+def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(docs, keep=("text", "lang", "source"), with_text=True)
+    # a null text stays null
+    text = F.when(F.col("text").isNotNull(), F.col("kept_text"))
+    return out.select("doc_id", text.alias("text"), "lang", "source").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs.select(*COLUMNS))
+
+
+def stage_sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=("doc_id", "lang", "source"))
+
+
+STAGES = [
+    ("toxicity", stage_toxicity),
+    ("n-gram Jaccard join", stage_near_copies),
+    ("suffix-array dedup", stage_repeats),
+    ("mixing sources to target weights", stage_mixing),
+    ("SentencePiece encoding and decoding", stage_sentencepiece),
+]
+
+#: A fitted classifier, suffix arrays and a tokenizer are beyond SQL; tests/llm holds run() against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over a table's documents; each but the last is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import held_out, table
 
@@ -46,6 +45,13 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import place, plan
+
+    docs = table(spark, sf_dir, "documents")
+    return place(docs, plan(docs))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pieces import encode
 
@@ -72,7 +78,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_token_counts, op4_fingerprints, op5_repeats, op7_sentencepiece, op8_language, op9_jaccard_join, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_main_text, op3_token_counts, op4_fingerprints, op5_repeats, op6_mixing, op7_sentencepiece, op8_language, op9_jaccard_join, op10_quality)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested against brute force in tests/llm.
 ORACLE_SQL: dict[str, str] = {}
