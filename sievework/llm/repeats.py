@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KERNEL_BYTES, groups, mixed, rolling, signed, utf8
+from .common import KERNEL_BYTES, groups, rolling, signed, utf8, written
 
 WINDOW, GRAM = 50, 16
 #: Neighbourhoods of one anchor beyond which its windows are dealt out one by one instead.
@@ -147,16 +147,20 @@ def shared_anchors(docs: DataFrame, window: int, slices: int) -> DataFrame:
             at = np.flatnonzero(first)
             n = np.diff(np.concatenate([at, [len(h)]]))
             many = np.repeat(n > 1, n)
-            # one row to meet those of other batches; and, for each key of a batch where several have it, one that needs no meeting
-            route = np.concatenate([h[at], signed(mixed(k[many].astype(np.uint64)))])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (route, np.concatenate([h[at], h[many]]), np.concatenate([k[at], k[many]]), np.concatenate([n, np.zeros(int(many.sum()), np.int64)]))], names=["route", "h", "k", "n"])
-
-    sent = docs.select("k", "t").mapInArrow(run, "route long, h long, k long, n long").repartition(slices, "route")
-    w = Window.partitionBy("route", "h")
-    met = sent.select("h", "k", "n", F.min("k").over(w).alias("low"), F.max("k").over(w).alias("high"), F.sum("n").over(w).alias("all"))
-    met = met.where((F.col("n") == 0) | (F.col("low") < F.col("high")) | (F.col("n") > 1))
-    # a heavy anchor has a row for each of some 10,000 documents: few, and Spark measures them before it broadcasts
-    heavy = met.where((F.col("n") > 0) & (F.col("all") > HEAVY)).select(F.col("h").alias("_h")).distinct()
+            # one row (anchor, least key, keys here) to meet those of other batches; and, for each key of a batch where several have the anchor, one (key, anchor, 0) that needs no meeting
+            cols = (np.concatenate([h[at], k[many]]), np.concatenate([k[at], h[many]]), np.concatenate([n, np.zeros(int(many.sum()), np.int64)]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["a", "b", "n"])
+
+    sent = docs.select("k", "t").mapInArrow(run, "a long, b long, n int").repartition(slices, "a")
+    w, meets = Window.partitionBy("a"), F.col("n") > 0
+    of = lambda f: f(F.when(meets, F.col("b"))).over(w)
+    met = sent.select("a", "b", "n", of(F.min).alias("low"), of(F.max).alias("high"), F.sum("n").over(w).alias("all"))
+    met = met.where(~meets | (F.col("low") < F.col("high")) | (F.col("n") > 1))
+    met = written(met.select(F.when(meets, F.col("a")).otherwise(F.col("b")).alias("h"), F.when(meets, F.col("b")).otherwise(F.col("a")).alias("k"), (meets & (F.col("all") > HEAVY)).alias("many")), "repeats-anchors")
+    heavy = met.where("many").select(F.col("h").alias("_h")).distinct()
+    if not heavy.limit(1).count():
+        return met.groupBy("k").agg(F.collect_set("h").alias("anchors"), F.array().cast("array<bigint>").alias("heavy"))
+    # a heavy anchor stands in over 10,000 neighbourhoods: there are few, and Spark broadcasts them only if they are measured to be
     marked = met.select("h", "k").join(heavy, F.col("h") == F.col("_h"), "left")
     return marked.groupBy("k").agg(F.collect_set(F.when(F.col("_h").isNull(), F.col("h"))).alias("anchors"), F.collect_set("_h").alias("heavy"))
 
