@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,42 +156,54 @@ def edited(text: str, following: str) -> str:
 
 
 def with_next(docs: DataFrame, key: str, text: str, slices: int) -> DataFrame:
-    """bucket, tail, k, t: rows in slices of the key's order; each slice ends with the first row of the next one (tail), the last with the first of all.
+    """bucket, tail, k, z: rows in slices of the key's order, their texts packed; each slice ends with the first row of the next one (tail), the last with the first of all.
 
-    The driver sees one quantile and one least key for each slice. Rows move once, with their texts.
+    The driver sees one quantile and one least key for each slice.
     """
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
     cuts = rows.agg(F.percentile_approx("k", [i / slices for i in range(1, slices)], 10_000).alias("q")).first().q if slices > 1 else None
     cuts = np.unique(np.array(cuts or [], np.int64))
 
-    @F.pandas_udf("int")
-    def slice_of(k):
-        return k.map(lambda x: 0 if x != x else int(np.searchsorted(cuts, x, side="right"))) if k.isna().any() else k.map(int) * 0 + np.searchsorted(cuts, k.to_numpy(), side="right")
+    def slice_of(keys: pa.Array) -> np.ndarray:
+        """Nulls stand before all others."""
+        out = np.searchsorted(cuts, pc.fill_null(keys, 0).to_numpy(zero_copy_only=False), side="right").astype(np.int32)
+        out[keys.is_null().to_numpy(zero_copy_only=False)] = 0
+        return out
 
-    placed = rows.withColumn("bucket", slice_of("k"))
-    firsts = {r.bucket: r.k for r in placed.groupBy("bucket").agg(F.min(F.struct(F.col("k").isNotNull(), "k"))["k"].alias("k")).collect()}
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(slice_of(b.column("k"))), b.column("k")], names=["bucket", "k"])
+
+    least = rows.select("k").mapInArrow(sliced, "bucket int, k long").groupBy("bucket").agg(F.min(F.struct(F.col("k").isNotNull(), "k"))["k"].alias("k"))
+    firsts = {r.bucket: r.k for r in least.collect()}  # a row a slice
     order = sorted(firsts)
     before = {b: order[i - 1] for i, b in enumerate(order)}
-    spark = docs.sparkSession
-    extra = spark.createDataFrame([(b, firsts[b], before[b]) for b in order], "bucket int, first long, before int")
-    # one row a slice: as small as the number of slices, whatever the data's size
-    placed = placed.join(F.broadcast(extra), "bucket")
-    own = F.struct("bucket", F.lit(False).alias("tail"))
-    tail = F.struct(F.col("before").alias("bucket"), F.lit(True).alias("tail"))
-    return placed.select(F.explode(F.when(F.col("k").eqNullSafe(F.col("first")), F.array(own, tail)).otherwise(F.array(own))).alias("p"), "k", "t").select("p.bucket", "p.tail", "k", "t")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for b in batches:
+            at, keys = slice_of(b.column("k")).tolist(), b.column("k").to_pylist()
+            texts = [pack(t.as_buffer() if t.is_valid else b"") for t in b.column("t")]
+            own = [(i, False, k, z) for i, k, z in zip(at, keys, texts, strict=True)]
+            own += [(before[i], True, k, z) for i, _, k, z in own if k == firsts[i]]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(zip(*own), (pa.int32(), pa.bool_(), pa.int64(), pa.binary()), strict=True)] if own else [pa.array([], x) for x in (pa.int32(), pa.bool_(), pa.int64(), pa.binary())], names=["bucket", "tail", "k", "z"])
+
+    return rows.mapInArrow(packed, "bucket int, tail boolean, k long, z binary")
 
 
 def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", slices: int | None = None) -> DataFrame:
     """Every row's key with n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next.
 
-    The next row follows in the order of key and text, nulls first; the last row's next is the first. Rows
-    with one key follow each other by their texts. A null text counts as empty; extra columns are not read;
-    an empty table gives an empty result. Texts move once, into slices of the key's order.
+    The next row follows in the order of the key, nulls first; the last row's next is the first. Rows with one
+    key follow each other in an order that their texts fix. A null text counts as empty; extra columns are not
+    read; an empty table gives an empty result. Texts move once, packed, into slices of the key's order.
     """
     slices = slices or max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     kind = docs.schema[key].dataType.simpleString()
-    rows = with_next(docs.withColumn(key, F.col(key).cast("long")), key, text, slices).withColumn("t", F.coalesce("t", F.lit("")))
-    rows = rows.repartition(slices, "bucket").sortWithinPartitions("bucket", "tail", "k", "t")
+    rows = with_next(docs.withColumn(key, F.col(key).cast("long")), key, text, slices)
+    rows = rows.repartition(slices, "bucket").sortWithinPartitions("bucket", "tail", "k", "z")
     names = ["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,11 +215,14 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text",
             cols += [pa.array([likeness(a, b) for a, b in zip(own[:-1], right, strict=True)], pa.float64()) for right in (other, own[1:])]
             return pa.RecordBatch.from_arrays(cols, names=names)
 
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
         keys, texts, size, here = [], [], 0, None  # rows of one slice whose next row is still to come
 
         for b in batches:
-            for bucket, tail, k, t in zip(b.column("bucket").to_pylist(), b.column("tail").to_pylist(), b.column("k").to_pylist(), b.column("t"), strict=True):
-                t = t.as_py()
+            for bucket, tail, k, z in zip(b.column("bucket").to_pylist(), b.column("tail").to_pylist(), b.column("k").to_pylist(), b.column("z"), strict=True):
+                t = unpack(z.as_py()).decode()
                 if bucket != here:
                     here = bucket
                     keys, texts, size = [], [], 0
