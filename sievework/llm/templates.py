@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mixed
+from .common import mixed, written
 
 #: Pages of a host on which a class must occur at the least: so many, and this share of all.
 LEAST_PAGES, LEAST_SHARE = 4, 0.5
@@ -151,7 +151,7 @@ def host_of(url: str):
 
 
 def occurrence_vectors(pages: DataFrame, html: str, host: str) -> DataFrame:
-    """host, token, pages, vector: pages on which a token occurs and a hash of its counts by page; token null: all pages of the host.
+    """host, token, pages, vector: pages on which a token occurs and a hash of its counts by page.
 
     Counts are gathered within each Arrow batch before they are shuffled, so a host with a third of all pages
     sends a row for each token and batch only.
@@ -160,9 +160,8 @@ def occurrence_vectors(pages: DataFrame, html: str, host: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         for b in batches:
-            found: dict[tuple[str, int | None], list[int]] = defaultdict(lambda: [0, 0])
+            found: dict[tuple[str, int], list[int]] = defaultdict(lambda: [0, 0])
             for name, t, salt in zip(b.column("host").to_pylist(), b.column("html"), b.column("salt").to_pylist(), strict=True):
-                found[name, None][0] += 1
                 if len(known) > 200_000:
                     known.clear()
                 tokens = page_tokens(Page(t.as_py()))
@@ -179,14 +178,13 @@ def occurrence_vectors(pages: DataFrame, html: str, host: str) -> DataFrame:
     return counts.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"))
 
 
-def templates(vectors: DataFrame) -> DataFrame:
-    """host, template: hashes of the tokens in the host's valid classes.
+def templates(vectors: DataFrame, sizes: DataFrame) -> DataFrame:
+    """host, template: hashes of the tokens in the host's valid classes. sizes: host, all (its pages).
 
     A template token stands on at least ``LEAST_SHARE`` of the host's pages, so a host has no more of them than
     1 / ``LEAST_SHARE`` times the tokens of its average page, whatever the number of its pages.
     """
-    total = vectors.where("token is null").select("host", F.col("pages").alias("all"))
-    frequent = vectors.where("token is not null").join(total, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("all")))
+    frequent = vectors.where(F.col("pages") >= LEAST_PAGES).join(sizes, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("all")))
     # frequent tokens only: few for each host
     size = F.count("*").over(Window.partitionBy("host", "vector", "pages"))
     return frequent.withColumn("size", size).where(F.col("size") >= CLASS_SIZE).groupBy("host").agg(F.collect_list("token").alias("template"))
@@ -200,8 +198,9 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     gives an empty result. Equal pages of one host count as often as they occur.
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html")).withColumn("host", host_of("url"))
-    found = templates(occurrence_vectors(rows, "html", "host")).withColumnRenamed("host", "_host")
-    # Spark broadcasts the templates only if they are measured to be small, and splits a hot host's pages otherwise
+    sizes = rows.where("html is not null").groupBy("host").agg(F.count("*").alias("all"))
+    # written first, so that Spark knows their size before it plans the join: it broadcasts them only if they are small, and splits a hot host's pages otherwise
+    found = written(templates(occurrence_vectors(rows, "html", "host"), sizes), "page-templates").withColumnRenamed("host", "_host")
     joined = rows.join(found, F.col("host") == F.col("_host"), "left").select("key", "url", "html", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
