@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sievework.functions.text import as_col, body_key, contains_any, found_terms, nfkc, title_matches_body
+from sievework.functions.text import as_col, body_key, contains_any, found_terms, title_matches_body
 from sievework.ruleset import DEFAULT, RuleSet
 
 _NUMBER = "(\\d+(?:\\.\\d+)?)"
@@ -114,9 +114,9 @@ def risk_flags(company, title, body, location, post, updated, today: Column, sal
     return F.array_compact(F.array(*marks))
 
 
-def evidence_level(title, body, skills, rules: RuleSet = DEFAULT, unicode: bool = True) -> Column:
-    """strong: title or skills speak of the field; jd_only: the body does, mentions in passing aside; else empty."""
-    norm = lambda c: F.lower(nfkc(c) if unicode else c)
+def evidence_level(title, body, skills, rules: RuleSet = DEFAULT) -> Column:
+    """strong: title or skills speak of the field; jd_only: the body does, mentions in passing aside; else empty. Texts come in their compatibility form."""
+    norm = F.lower
     t, b = norm(F.coalesce(as_col(title), F.lit(""))), norm(F.coalesce(as_col(body), F.lit("")))
     s = norm(F.array_join(F.coalesce(as_col(skills), F.array().cast("array<string>")), " "))
     says = lambda x: contains_any(x, rules.evidence_terms) | x.rlike(rules.bare_term)
@@ -124,28 +124,31 @@ def evidence_level(title, body, skills, rules: RuleSet = DEFAULT, unicode: bool
     return F.when(says(t) | says(s), "strong").when(contains_any(b, rules.evidence_terms) | masked.rlike(rules.bare_term), "jd_only").otherwise("")
 
 
-def junk_reason(title, body, skills, company, industry, rules: RuleSet = DEFAULT, unicode: bool = True) -> Column:
+def junk_reason(title, body, skills, company, industry, rules: RuleSet = DEFAULT, title_norm=None, body_norm=None) -> Column:
     """Why a posting is dropped: sales, tech, noise or mismatch; null if it stays. The first rule that holds decides.
 
-    Sales and technical terms match the plain lower-case title, evidence the compatibility form.
+    Sales and technical terms match the plain lower-case title, evidence the columns ``title_norm`` and
+    ``body_norm`` in compatibility form (the plain ones, where they are known to be in it).
     """
     raw = F.coalesce(as_col(title), F.lit(""))
     low, body_ = F.lower(raw), F.coalesce(as_col(body), F.lit(""))
+    even = raw if title_norm is None else F.coalesce(as_col(title_norm), F.lit(""))
+    even_body = body_ if body_norm is None else F.coalesce(as_col(body_norm), F.lit(""))
     core = F.trim(F.regexp_extract(raw, "^([^（(]*)", 1))
     product_core = F.lit(False)
     for suffix in rules.product_suffixes:
         product_core = product_core | core.endswith(suffix)
     none = F.lit("")
-    titled = evidence_level(raw, none, F.array().cast("array<string>"), rules, unicode)
-    listed, full = evidence_level(raw, none, skills, rules, unicode), evidence_level(raw, body_, skills, rules, unicode)
+    titled = evidence_level(even, none, F.array().cast("array<string>"), rules)
+    full = evidence_level(even, even_body, skills, rules)
     tech = contains_any(low, rules.tech_title_terms) & ~product_core & ~(low.contains("解决方案") & (titled != ""))
     name = F.coalesce(as_col(company), F.lit(""))
     signal = contains_any(F.coalesce(as_col(industry), F.lit("")), rules.company_industries) | name.rlike(f"(?i)({rules.company_names})")
     role = contains_any(low, rules.role_words)
-    key = body_key(body_, unicode)
+    key = body_key(even_body, unicode=False)
     hits = found_terms(key, rules.sales_body_terms)
     pay_only = F.size(F.array_except(hits, F.array(*map(F.lit, rules.pay_terms)))) == 0
-    normal = F.lower(nfkc(raw) if unicode else raw)
+    normal = F.lower(even)
     solution = contains_any(normal, rules.solution_titles) & ~contains_any(normal, rules.solution_excludes)
     keep = F.lit(None).cast("string")
     return (
@@ -159,7 +162,7 @@ def junk_reason(title, body, skills, company, industry, rules: RuleSet = DEFAULT
         .when(F.trim(body_) == "", keep)
         .when((F.size(hits) > 0) & ~((full != "") & pay_only), "sales")
         .when(full != "", keep)
-        .when(~title_matches_body(raw, body_, unicode), "mismatch")
+        .when(~title_matches_body(even, even_body), "mismatch")
         .when(solution, keep)
         .otherwise("noise")
     )

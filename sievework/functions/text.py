@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The punctuation that title keys leave out, and the marks that cut titles into chunks.
 TITLE_PUNCTUATION = "[·・\\-—_、,，。;；:：!！?？()（）\\[\\]【】\"'`]+"
@@ -19,7 +20,7 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode compatibility composition, which Spark has no function for."""
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
@@ -83,7 +84,7 @@ def body_hash(body: Column | str, unicode: bool = True) -> Column:
 
 def split_tags(c: Column | str) -> Column:
     """Tags between bars, half or full width, trimmed, blanks dropped."""
-    return F.filter(F.transform(F.split(F.translate(F.coalesce(as_col(c), F.lit("")), "｜", "|"), "\\|"), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(F.translate(F.coalesce(as_col(c), F.lit("")), "｜", "|"), "\\|"), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def join_tags(c: Column | str, by: str = " | ") -> Column:
@@ -105,13 +106,17 @@ def contains_any(text: Column, terms: tuple[str, ...]) -> Column:
 
 def found_terms(text: Column, terms: tuple[str, ...]) -> Column:
     """The terms, in their own order, whose lower-case form stands in the text's."""
-    return F.filter(F.array(*map(F.lit, terms)), lambda t: F.contains(F.lower(text), F.lower(t)))
+    low = F.lower(text)
+    return F.array_compact(F.array(*[F.when(low.contains(t.lower()), F.lit(t)) for t in terms]))
 
 
-def title_matches_body(title: Column | str, body: Column | str, unicode: bool = True) -> Column:
-    """Whether a chunk of the title, or two neighbouring characters of a longer Chinese one, stands in the body; true if either is missing."""
-    text = F.lower(nfkc(as_col(body)) if unicode else as_col(body))
-    chunks = F.filter(F.split(F.lower(F.trim(nfkc(as_col(title)) if unicode else as_col(title))), TITLE_CUTS), lambda c: F.length(c) >= 2)
+def title_matches_body(title: Column | str, body: Column | str) -> Column:
+    """Whether a chunk of the title, or two neighbouring characters of a longer Chinese one, stands in the body; true if either is missing.
+
+    Both are columns in their compatibility form already, as Spark allows no Python function within a lambda.
+    """
+    text = F.lower(as_col(body))
+    chunks = F.filter(F.split(F.lower(F.trim(as_col(title))), TITLE_CUTS), lambda c: F.length(c) >= 2)
     pairs = lambda c: F.exists(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.contains(text, F.substring(c, i, 2)))
     hit = F.exists(chunks, lambda c: F.contains(text, c) | (c.rlike("[\\x{4e00}-\\x{9fff}]") & (F.length(c) > 3) & pairs(c)))
     missing = (F.coalesce(as_col(title), F.lit("")) == "") | (F.coalesce(as_col(body), F.lit("")) == "")

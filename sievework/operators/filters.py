@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.postings import junk_reason
-from sievework.functions.text import contains_any
+from sievework.functions.text import contains_any, nfkc
 from sievework.ruleset import DEFAULT, RuleSet
 
 
@@ -34,8 +34,10 @@ def reason_counts(df: DataFrame, reason: Column) -> DataFrame:
 
 def drop_junk(postings: DataFrame, rules: RuleSet = DEFAULT, with_body: bool = True) -> tuple[DataFrame, DataFrame]:
     """The junk cascade over postings; before details are there, without bodies."""
+    rows = postings.withColumns({"_title": nfkc("title"), "_body": nfkc("jd") if with_body else F.lit("")})
     body = F.col("jd") if with_body else F.lit("")
-    return split_by(postings, junk_reason(F.col("title"), body, F.col("skills"), F.col("company_name"), F.col("company_industry"), rules))
+    kept, dropped = split_by(rows, junk_reason(F.col("title"), body, F.col("skills"), F.col("company_name"), F.col("company_industry"), rules, "_title", "_body"))
+    return kept.drop("_title", "_body"), dropped.drop("_title", "_body")
 
 
 def without_inactive(df: DataFrame, statuses: DataFrame, key: str, status: str) -> DataFrame:

@@ -25,7 +25,7 @@ def markets(df: DataFrame, low: Column, high: Column, cuts: dict[str, Column]) -
 def top_values(df: DataFrame, dimensions: dict[str, Column], top: int) -> DataFrame:
     """dimension, value, n, rank: the most frequent values of several dimensions; ties by value. Array columns count each element."""
     kinds = dict(df.select(*[c.alias(n) for n, c in dimensions.items()]).dtypes)
-    parts = [df.select(F.lit(n).alias("dimension"), (F.explode(c) if kinds[n].startswith("array") else c).cast("string").alias("value")) for n, c in dimensions.items()]
+    parts = [df.select(F.lit(n).alias("dimension"), (F.explode(c.cast("array<string>")) if kinds[n].startswith("array") else c.cast("string")).alias("value")) for n, c in dimensions.items()]
     counts = reduce(DataFrame.union, parts).where("value is not null and value <> ''").groupBy("dimension", "value").agg(F.count("*").alias("n"))
     return counts.withColumn("rank", F.row_number().over(Window.partitionBy("dimension").orderBy(F.col("n").desc(), "value"))).where(F.col("rank") <= top)
 
