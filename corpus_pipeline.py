@@ -28,10 +28,8 @@ def stage_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def stage_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = repeats.remove_repeats(docs, keep=("text", "lang", "source"), with_text=True)
-    # a null text stays null
-    text = F.when(F.col("text").isNotNull(), F.col("kept_text"))
-    return out.select("doc_id", text.alias("text"), "lang", "source").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    out = repeats.remove_repeats(docs, keep=("lang", "source"), with_text=True)
+    return out.select("doc_id", F.col("kept_text").alias("text"), "lang", "source").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Removal of repeated passages by longest-previous-factor arrays.
 
 A byte goes if a string of WINDOW bytes covers it that also starts in a document with a smaller key. Suffixes
-are dealt out by content: every window has an anchor, the GRAM bytes in it with the least hash, so equal
-windows meet under equal anchors, however the data are split. Anchors that one document alone has are dropped;
+are dealt out by content: every window has an anchor, GRAM of its bytes chosen by a hash of its parts, so
+equal windows meet under equal anchors, however the data are split. Anchors that one document alone has are dropped;
 the neighbourhoods of the others meet in tasks that sort their suffixes and find, by the previous and next
 smaller document in suffix order, how long each suffix's match in an earlier document is.
 """
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import KERNEL_BYTES, groups, rolling, signed, utf8, written
 
-WINDOW, GRAM = 50, 16
+WINDOW, GRAM = 50, 28
+#: Bytes of the parts that choose an anchor at the least.
+LEAST_PART = 5
 #: Neighbourhoods of one anchor beyond which its windows are dealt out one by one instead.
 HEAVY = 10_000
 #: Windows whose suffixes a task sorts at once.
@@ -91,20 +93,33 @@ def super_windows(data: np.ndarray, off: np.ndarray, window: int) -> Iterator[tu
                     yield i + k, int(off[i + k]), int(off[i + k + 1]), part
 
 
+def sampling(window: int) -> tuple[int, int]:
+    """(strings of GRAM bytes in a window, bytes of the parts whose least hash chooses among them)."""
+    w = window - GRAM + 1
+    return w, GRAM % w if GRAM % w >= LEAST_PART else GRAM
+
+
 def _runs(data: np.ndarray, off: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, (first window, last window, anchor's hash)) of each run of windows with one anchor."""
-    n, w = len(data), window - GRAM + 1
+    """(text, (first window, last window, anchor's hash)) of each run of windows with one anchor.
+
+    Of a window's parts the one with the least hash, at x, makes the string at x modulo w the anchor: a choice
+    by the window's bytes alone, with fewer anchors than if the least string were taken.
+    """
+    n = len(data)
     if n < window:
         return np.zeros(0, np.int64), np.zeros((0, 3), np.int64)
-    grams = rolling(data, GRAM)
+    w, part = sampling(window)
+    places = window - part + 1
+    parts = rolling(data, part)
     # the place in the low bits: the least value is the leftmost of the least hashes
-    low = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
+    low = (parts & ~_PLACE) | np.arange(len(parts), dtype=np.uint64)
     have = 1
-    while have * 2 <= w:
+    while have * 2 <= places:
         low = np.minimum(low[:-have], low[have:])
         have *= 2
-    low = np.minimum(low[: n - window + 1], low[w - have : w - have + n - window + 1])
-    anchor = (low & _PLACE).astype(np.int64)
+    low = np.minimum(low[: n - window + 1], low[places - have : places - have + n - window + 1])
+    at = np.arange(n - window + 1)
+    anchor = at + ((low & _PLACE).astype(np.int64) - at) % w
     owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
     whole = owner[: n - window + 1] == owner[window - 1 :]
     new = whole.copy()
@@ -112,7 +127,7 @@ def _runs(data: np.ndarray, off: np.ndarray, window: int) -> tuple[np.ndarray, n
     last = whole.copy()
     last[:-1] &= (anchor[1:] != anchor[:-1]) | ~whole[1:]
     first = np.flatnonzero(new)
-    return owner[first], np.column_stack([first, np.flatnonzero(last), signed(grams[anchor[first]])])
+    return owner[first], np.column_stack([first, np.flatnonzero(last), signed(rolling(data, GRAM)[anchor[first]])])
 
 
 def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
@@ -177,7 +192,7 @@ def neighbourhoods(rows: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, off = utf8(b.column("t"))
+            data, off = _unpacked(b.column("z"))
             keys, text = b.column("k").to_numpy(zero_copy_only=False), b.column("x").to_numpy(zero_copy_only=False)
             raw = data.tobytes()
             lists = [[np.sort(np.array(x or (), np.int64)) for x in b.column(c).to_pylist()] for c in ("anchors", "heavy")]
@@ -282,6 +297,31 @@ def covered(met: DataFrame, window: int) -> DataFrame:
     return met.mapInArrow(run, "k long, text long, spans array<int>")
 
 
+def _packed(base: DataFrame, schema, keep: tuple[str, ...]) -> DataFrame:
+    """The rows with their texts packed (z), as they move and wait on disk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for b in batches:
+            z = pa.array([pack(t.as_buffer()) if t.is_valid else None for t in b.column("t")], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("q"), z, *b.columns[3:]], names=["k", "q", "z", *b.schema.names[3:]])
+
+    kinds = "".join(f", c{i} {schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
+    out = base.mapInArrow(run, f"k long, q long, z binary{kinds}")
+    return out.withColumn("q", F.coalesce("q", F.lit(-(2**63))))  # a column of Python's may be null, as far as Spark knows
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of packed texts; null is empty."""
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    texts = [unpack(z.as_buffer()) if z.is_valid else b"" for z in column]
+    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+
+
 def merged(spans: np.ndarray) -> np.ndarray:
     """Disjoint (from, to) rows in order from overlapping ones."""
     if not len(spans):
@@ -299,7 +339,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
 
     Texts are UTF-8 bytes; null counts as empty; matches never cross texts, and rows with one key count as one
     document. A null key takes no part: nothing is removed there. Overlaps count, and strings are judged on
-    the input. Where a removed run cuts through a character, kept_text leaves the rest of it out. Repeated
+    the input. Where a removed run cuts through a character, kept_text leaves the rest of it out; a null text
+    stays null. Repeated
     rows give repeated results; extra columns are not read; an empty table gives an empty result.
     """
     if window < GRAM:
@@ -310,17 +351,17 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     given = F.col(key).cast("long")
     base = docs.select(given.alias("k"), F.coalesce(given, F.lit(-(2**63))).alias("q"), F.col(text).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
     anchors = shared_anchors(base.where(F.col("k").isNotNull() & (F.octet_length("t") >= window)), window, slices).withColumnRenamed("k", "_k")
-    # the texts are dealt out once; both joins read the same exchange
-    dealt = base.repartition(slices, "q")
-    around = dealt.join(anchors, F.col("q") == F.col("_k")).select("k", F.xxhash64("t").alias("x"), "t", "anchors", "heavy", *[f"c{i}" for i in range(len(keep))])
+    # the texts are dealt out once, packed; both joins read the same exchange
+    dealt = _packed(base, docs.schema, keep).repartition(slices, "q")
+    around = dealt.join(anchors, F.col("q") == F.col("_k")).select("k", F.xxhash64("z").alias("x"), "z", "anchors", "heavy", *[f"c{i}" for i in range(len(keep))])
     met = neighbourhoods(around, window).repartition(slices, "route").sortWithinPartitions("route")
     spans = covered(met, window).groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("text", "spans")).alias("found"))
-    joined = dealt.join(spans, F.col("q") == F.col("_k"), "left").select("k", "t", F.xxhash64("t").alias("x"), "found", *[f"c{i}" for i in range(len(keep))])
+    joined = dealt.join(spans, F.col("q") == F.col("_k"), "left").select("k", "z", F.xxhash64("z").alias("x"), "found", *[f"c{i}" for i in range(len(keep))])
     names = ["k", *[f"c{i}" for i in range(len(keep))], "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text"] * with_text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, off = utf8(b.column("t"))
+            data, off = _unpacked(b.column("z"))
             removed, runs, digest, left = [], [], [], []
             for i, (x, found) in enumerate(zip(b.column("x").to_pylist(), b.column("found").to_pylist(), strict=True)):
                 own = data[off[i] : off[i + 1]]
@@ -334,7 +375,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
                 removed.append(len(own) - len(kept))
                 runs.append(len(gone))
                 digest.append(hashlib.sha256(kept).hexdigest())
-                left.append(kept.decode("utf-8", "ignore") if with_text else None)
+                left.append(kept.decode("utf-8", "ignore") if with_text and b.column("z")[i].is_valid else None)
             cols = [b.column("k"), *[b.column(f"c{i}") for i in range(len(keep))], pa.array(np.diff(off)), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(digest, pa.string()), *([pa.array(left, pa.string())] * with_text)]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
