@@ -84,13 +84,13 @@ def automaton(text: np.ndarray, n_symbols: int) -> np.ndarray:
     n = len(after)
     restart = [after[0].get(c, 0) for c in range(n_symbols)]
     table = np.empty((n + n_symbols + 1, n_symbols), np.int32)
-    # a letter that the sample lacks is a phrase of its own and leads to the root's copy
-    table[:n] = [n + c if restart[c] else n + n_symbols for c in range(n_symbols)]
+    # a letter that the sample lacks is a phrase of its own and leads to the last row, where any letter begins a phrase
+    table[:] = [n + c if restart[c] else n + n_symbols for c in range(n_symbols)]
     for state, steps in enumerate(after):
         for c, to in steps.items():
             table[state, c] = to
-    table[n : n + n_symbols] = table[restart]
-    table[n + n_symbols] = table[0]
+    known = [c for c in range(n_symbols) if restart[c]]
+    table[[n + c for c in known]] = table[[restart[c] for c in known]]
     return table
 
 
@@ -99,7 +99,7 @@ def phrases(table: np.ndarray, lanes: np.ndarray, active: np.ndarray) -> np.ndar
     n = len(table) - table.shape[1] - 1
     flat = (table.astype(np.int64) * table.shape[1]).astype(np.int32).ravel()
     marked = n * table.shape[1]
-    state, count = np.zeros(lanes.shape[1], np.int32), np.ones(lanes.shape[1], np.int64)
+    state, count = np.full(lanes.shape[1], marked + table.shape[1] ** 2, np.int32), np.zeros(lanes.shape[1], np.int64)
     for step, k in enumerate(active):
         to = flat[state[:k] + lanes[step, :k]]
         state[:k] = to

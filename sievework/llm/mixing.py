@@ -132,7 +132,10 @@ def place(docs: DataFrame, mix: Plan, key: str = "doc_id", source: str = "source
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: dict | None = None) -> DataFrame:
     """The documents in the order of the mix, each as often as it has a place."""
-    others = tuple(c for c in docs.columns if c not in (key, source))
-    placed = place(docs, plan(docs, source, text, weights), key, source, text, others)
+    # under names of their own, as a column may be called like one of the schedule's
+    own = {c: f"_d{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*own.values())
+    others = tuple(n for c, n in own.items() if c not in (key, source))
+    placed = place(rows, plan(rows, own[source], own[text], weights), own[key], own[source], own[text], others)
     slices = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return placed.repartitionByRange(slices, "slot", "turn").sortWithinPartitions("slot", "turn", key).select(*docs.columns)
+    return placed.repartitionByRange(slices, "slot", "turn").sortWithinPartitions("slot", "turn", own[key]).select(*[F.col(n).alias(c) for c, n in own.items()])
