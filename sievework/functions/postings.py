@@ -171,3 +171,33 @@ def junk_reason(title, body, skills, company, industry, rules: RuleSet = DEFAULT
 def failure_nature(fingerprint) -> Column:
     """structural failures last, transient ones pass."""
     return F.when(_text(fingerprint).rlike("(?i)timeout|network|rate|busy|retry|risk|captcha"), "transient").otherwise("structural")
+
+
+#: Activities from vague to precise; others count as unknown.
+ACTIVITY_ORDER = ("在线", "本月活跃", "2周内活跃", "本周活跃", "3日内活跃", "今日活跃", "刚刚活跃")
+
+
+def more_precise(listed, detailed) -> Column:
+    """The more precise of two activities; the list's if they are alike, the other one if one is blank."""
+    a, b = _text(listed), _text(detailed)
+    rank = lambda c: F.coalesce(F.array_position(F.array(*map(F.lit, ACTIVITY_ORDER)), c), F.lit(0))
+    return F.when(b == "", a).when(a == "", b).when(rank(b) > rank(a), b).otherwise(a)
+
+
+#: What response codes mean.
+RESPONSE_CODES = {0: "ok", 9: "rate_limited", 17: "invalid_params", 19: "invalid_params", 31: "env_risk", 35: "env_risk", 36: "account_risk", 38: "env_risk", 121: "security_block", 122: "security_block"}
+
+
+def response_kind(code, message) -> Column:
+    """What a response code asks for; 37 depends on its message; other codes are unknown."""
+    c, m = as_col(code).try_cast("int"), F.lower(_text(message))
+    expired = contains_any(m, ("token", "session", "expired", "会话", "登录", "过期", "令牌"))
+    out = F.when(c == 37, F.when(expired, "token_expired").otherwise("env_risk"))
+    for k, v in RESPONSE_CODES.items():
+        out = out.when(c == k, v)
+    return out.otherwise("unknown")
+
+
+def backoff(attempt, base: int = 10, most: int = 60) -> Column:
+    """Seconds to wait before a retry: doubling, bounded."""
+    return F.least(F.lit(float(most)), base * F.pow(F.lit(2.0), F.greatest(F.lit(0), as_col(attempt))))

@@ -50,3 +50,16 @@ def matrix(requirements: DataFrame, properties: DataFrame, examples: DataFrame)
     p = properties.groupBy("requirement").agg(F.count("*").alias("properties"))
     e = properties.join(examples, "property").groupBy("requirement").agg(F.count("*").alias("examples"))
     return requirements.join(p, "requirement", "left").join(e, "requirement", "left").select("requirement", F.coalesce("properties", F.lit(0)).alias("properties"), F.coalesce("examples", F.lit(0)).alias("examples"), F.col("examples").isNull().alias("gap"))
+
+
+def list_audit(df: DataFrame, direction: Column, hit: Column, wanted: str = "ai_pm", hit_least: float = 0.6, off_most: float = 0.4) -> DataFrame:
+    """total, hits, wanted, hit_rate, off_rate, warnings: whether a list is worth fetching details for, in one row."""
+    row = df.agg(F.count("*").alias("total"), F.count_if(hit).alias("hits"), F.count_if(direction == wanted).alias("wanted"))
+    row = row.withColumns({"hit_rate": F.when(F.col("total") > 0, F.round(F.col("hits") / F.col("total"), 4)), "off_rate": F.when(F.col("total") > 0, F.round(1 - F.col("wanted") / F.col("total"), 4))})
+    return row.withColumn("warnings", F.array_join(F.array_compact(F.array(F.when(F.col("hit_rate") < hit_least, F.lit("few_hits")), F.when(F.col("off_rate") > off_most, F.lit("off_direction")))), ","))
+
+
+def delivery_rates(df: DataFrame, by: str, root: Column, city: Column, declared: Column, root_least: float, city_least: float) -> DataFrame:
+    """by, rows, root_rate, city_rate, verdict: a delivery against its request; the first condition that fails names the verdict."""
+    row = df.groupBy(by).agg(F.count("*").alias("rows"), F.round(F.avg(root.cast("int")), 4).alias("root_rate"), F.round(F.avg(city.cast("int")), 4).alias("city_rate"), F.max(declared).alias("_declared"))
+    return row.withColumn("verdict", F.when(F.col("rows") != F.col("_declared"), "count").when(F.col("root_rate") < root_least, "root").when(F.col("city_rate") < city_least, "city").otherwise("ok")).drop("_declared")

@@ -576,3 +576,44 @@ def failure_ledger(spark, sf_dir):
     """An ordered fold for each key, which SQL can't express."""
     e = events(spark, sf_dir).select(F.col("user_id").alias("key"), F.unix_timestamp("ts").alias("at"), F.date_format("ts", "yyyy-MM-dd").alias("run"), F.when(F.col("value") > 50, "structural").otherwise("transient").alias("nature"), F.when(F.col("event_type") == "error", "failure").otherwise("probe").alias("kind"))
     return rollups.fold_ledger(e)
+
+
+# ---------------------------------------------------------------- activity, codes, audits
+
+_RANK = "coalesce(list_position(" + _list(P.ACTIVITY_ORDER) + ", {c}), 0)"
+_DETAIL_ACTIVITY = "split_part('今日活跃|在线||本周活跃|别的', '|', cast(o_orderkey % 5 as int) + 1)"
+
+
+@query(f"""with p as (select o_orderkey job, {_DETAIL_ACTIVITY} d, split_part('在线|刚刚活跃||2周内活跃', '|', cast(o_custkey % 4 as int) + 1) l from orders)
+select job, case when d = '' then l when l = '' then d when {_RANK.format(c='d')} > {_RANK.format(c='l')} then d else l end as activity from p""")
+def activity_merge(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").selectExpr("o_orderkey as job", f"{_DETAIL_ACTIVITY} as d", "split_part('在线|刚刚活跃||2周内活跃', '|', cast(o_custkey % 4 as int) + 1) as l")
+    return o.select("job", P.more_precise("l", "d").alias("activity"))
+
+
+@query("""with e as (select event_id, cast(event_id % 40 as varchar) as code, case when event_id % 3 = 0 then 'session expired' else '' end as m, event_id % 5 as attempt from events)
+select event_id, case when code = '37' then case when m <> '' then 'token_expired' else 'env_risk' end when code = '0' then 'ok' when code = '9' then 'rate_limited' when code in ('17', '19') then 'invalid_params' when code in ('31', '35', '38') then 'env_risk' when code = '36' then 'account_risk' else 'unknown' end as kind, cast(least(60, 10 * power(2, attempt)) as double) as wait from e""")
+def response_codes(spark, sf_dir):
+    e = table(spark, sf_dir, "events").selectExpr("event_id", "cast(event_id % 40 as string) as code", "case when event_id % 3 = 0 then 'session expired' else '' end as m", "event_id % 5 as attempt")
+    return e.select("event_id", P.response_kind("code", "m").alias("kind"), P.backoff("attempt").alias("wait"))
+
+
+@query(_direction_sql().replace("select job, case when len(ai) > 0 and len(pm) > 0 then 'ai_pm'", "select * from (select job, case when len(ai) > 0 and len(pm) > 0 then 'ai_pm'") .replace("with p as (", "with a as (with p as (", 1) + """)), t as (select count(*) total, count(*) filter (label = 'ai_pm') wanted from a), h as (select count(*) filter (o_orderkey % 12 in (0, 1, 7)) hits from orders)
+select total, hits, wanted, round(hits / total, 4) as hit_rate, round(1 - wanted / total, 4) as off_rate, array_to_string(list_filter([case when round(hits / total, 4) < 0.6 then 'few_hits' end, case when round(1 - wanted / total, 4) > 0.4 then 'off_direction' end], lambda x: x is not null), ',') as warnings from t, h""")
+def list_audit(spark, sf_dir):
+    p = postings(spark, sf_dir)
+    return quality.list_audit(p, P.direction("title", "jd", "skills")["label"], X.contains_any(F.lower("title"), ("产品经理", "产品运营")))
+
+
+@query(f"""{_P} select company_name, count(*) as "rows", round(avg(cast(contains(title, '产品') as int)), 4) as root_rate, round(avg(cast(starts_with(location, '杭州') as int)), 4) as city_rate,
+case when count(*) <> max(case when customer % 8 = 3 then 1 else 0 end) + count(*) then 'count' when round(avg(cast(contains(title, '产品') as int)), 4) < 0.3 then 'root' when round(avg(cast(starts_with(location, '杭州') as int)), 4) < 0.5 then 'city' else 'ok' end as verdict from p group by 1""")
+def delivery_rates(spark, sf_dir):
+    p = postings(spark, sf_dir)
+    n = p.groupBy(F.col("company_name").alias("_c")).agg((F.count("*") + F.max(F.expr("case when customer % 8 = 3 then 1 else 0 end"))).alias("declared"))
+    return quality.delivery_rates(p.join(n, F.col("company_name") == F.col("_c")), "company_name", F.col("title").contains("产品"), F.col("location").startswith("杭州"), F.col("declared"), 0.3, 0.5)
+
+
+@query("""select props, count(*) as n, cast(count(distinct user_id) as bigint) as users, max_by(event_type, (ts, event_id)) as last_type from (select cast(json_extract(props, '$.k') as integer) as props, user_id, event_type, ts, event_id from events) group by 1""")
+def payload_rollup(spark, sf_dir):
+    e = events(spark, sf_dir).withColumn("props", F.get_json_object("props", "$.k").try_cast("int"))
+    return e.groupBy("props").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), F.max_by("event_type", F.struct("ts", "event_id")).alias("last_type"))
