@@ -617,3 +617,19 @@ def delivery_rates(spark, sf_dir):
 def payload_rollup(spark, sf_dir):
     e = events(spark, sf_dir).withColumn("props", F.get_json_object("props", "$.k").try_cast("int"))
     return e.groupBy("props").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), F.max_by("event_type", F.struct("ts", "event_id")).alias("last_type"))
+
+
+@query("""with d as (select * from events where cast(ts as date) = date '2024-01-20'), k as (select event_type, min((ts, event_id)) t from d group by 1), p as (select user_id, count(*) n from d group by 1)
+select (select count(*) from d) as runs, (select count(*) from d where event_type = 'error') as failed, (select string_agg(event_type, ',' order by t) from k) as keywords, (select arg_min(user_id, (-n, user_id)) from p) as place, (select count(*) from p where user_id not in (select user_id from events where cast(ts as date) < date '2024-01-20')) as new_places""")
+def daily_brief(spark, sf_dir):
+    from sievework.plans.reports import brief
+
+    return brief(events(spark, sf_dir), F.to_date(F.lit("2024-01-20")), "ts", "event_type", "user_id", F.col("event_type") == "error", "event_id").withColumnRenamed("user_id", "place")
+
+
+@query("""select 'events' as name, count(*) as "rows", max(strftime(date_trunc('second', ts), '%Y-%m-%d')) as latest from events union all select 'orders', count(*), max(strftime(o_orderdate, '%Y-%m-%d')) from orders""")
+def store_status(spark, sf_dir):
+    from sievework.plans.reports import status
+
+    e, o = events(spark, sf_dir).withColumn("day", F.to_date("ts")), table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
+    return status({"events": (e, "day"), "orders": (o, "day")})
