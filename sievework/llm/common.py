@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -125,6 +125,19 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def only(batch: pa.RecordBatch, **columns) -> pa.RecordBatch:
-    """A batch of the named arrays."""
-    return pa.RecordBatch.from_arrays([pa.array(v) if not isinstance(v, (pa.Array, pa.ChunkedArray)) else v for v in columns.values()], names=list(columns))
+def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, after which the worker gives its free memory back: Spark uses workers again, one stage after the other."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+        import gc
+
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return wrapped

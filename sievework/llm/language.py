@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import task
+
 #: The classifier's bounded sample: rows a language, characters taken of a row, characters a language in all.
 TRAIN_ROWS, TRAIN_ROW_CHARS, TRAIN_CHARS = 64, 4_000, 40_000
 #: Letters with a symbol of their own; the rest share one.
@@ -194,4 +196,4 @@ def identify(docs: DataFrame, parser: CrossParser, text: str = "text", keep: tup
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(name, pa.string()), pa.array(score, pa.float64())], names=[*b.schema.names[:-1], "lang_pred", "score"])
 
     kinds = "".join(f"k{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep))
-    return rows.mapInArrow(run, f"{kinds}lang_pred string, score double").toDF(*keep, "lang_pred", "score")
+    return rows.mapInArrow(task(run), f"{kinds}lang_pred string, score double").toDF(*keep, "lang_pred", "score")

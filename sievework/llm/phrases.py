@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, powers
+from .common import mixed, powers, task
 
 #: Components of each level's sketch, lowest level first; phrases that a level needs in both texts to be compared.
 COMPONENTS, LEAST_PHRASES = (32, 32, 64), 12
@@ -146,7 +146,7 @@ def fingerprint(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("d
                     at, texts, size = i + 1, [], 0
 
     kinds = "".join(f"k{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep))
-    return rows.mapInArrow(run, kinds + "fingerprint string").toDF(*keep, "fingerprint")
+    return rows.mapInArrow(task(run), kinds + "fingerprint string").toDF(*keep, "fingerprint")
 
 
 def edited(text: str, following: str) -> str:
@@ -174,7 +174,7 @@ def with_next(docs: DataFrame, key: str, text: str, slices: int) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array(slice_of(b.column("k"))), b.column("k")], names=["bucket", "k"])
 
-    least = rows.select("k").mapInArrow(sliced, "bucket int, k long").groupBy("bucket").agg(F.min(F.struct(F.col("k").isNotNull(), "k"))["k"].alias("k"))
+    least = rows.select("k").mapInArrow(task(sliced), "bucket int, k long").groupBy("bucket").agg(F.min(F.struct(F.col("k").isNotNull(), "k"))["k"].alias("k"))
     firsts = {r.bucket: r.k for r in least.collect()}  # a row a slice
     order = sorted(firsts)
     before = {b: order[i - 1] for i, b in enumerate(order)}
@@ -190,7 +190,7 @@ def with_next(docs: DataFrame, key: str, text: str, slices: int) -> DataFrame:
             own += [(before[i], True, k, z) for i, _, k, z in own if k == firsts[i]]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(zip(*own), (pa.int32(), pa.bool_(), pa.int64(), pa.binary()), strict=True)] if own else [pa.array([], x) for x in (pa.int32(), pa.bool_(), pa.int64(), pa.binary())], names=["bucket", "tail", "k", "z"])
 
-    return rows.mapInArrow(packed, "bucket int, tail boolean, k long, z binary")
+    return rows.mapInArrow(task(packed), "bucket int, tail boolean, k long, z binary")
 
 
 def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", slices: int | None = None) -> DataFrame:
@@ -236,5 +236,5 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     texts.append(t)
                     size += len(t)
 
-    out = rows.mapInArrow(run, "key long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    out = rows.mapInArrow(task(run), "key long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     return out.withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import groups, mixed, prefix_hash, rolling, span_hash, utf8, written
+from .common import groups, mixed, prefix_hash, rolling, span_hash, task, utf8, written
 
 #: Base rule: a text needs so many words, and at most so many per cent of them in repeated windows of so many.
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
@@ -112,7 +112,7 @@ def measure(docs: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*whole.slice(i, j - i).columns[:-1], *[pa.array(counts[c].astype(np.int64)) for c in COUNTS]], names=[*whole.schema.names[:-1], *COUNTS])
 
     kinds = "".join(f"k{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep))
-    return rows.mapInArrow(run, kinds + ", ".join(f"{c} long" for c in COUNTS)).toDF(*keep, *COUNTS)
+    return rows.mapInArrow(task(run), kinds + ", ".join(f"{c} long" for c in COUNTS)).toDF(*keep, *COUNTS)
 
 
 _GAMMA = (1 + ERROR) / (1 - ERROR)

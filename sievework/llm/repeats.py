@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KERNEL_BYTES, groups, rolling, signed, utf8, written
+from .common import KERNEL_BYTES, groups, rolling, signed, task, utf8, written
 
 WINDOW, GRAM = 50, 28
 #: Bytes of the parts that choose an anchor at the least.
@@ -166,7 +166,7 @@ def shared_anchors(docs: DataFrame, window: int, slices: int) -> DataFrame:
             cols = (np.concatenate([h[at], k[many]]), np.concatenate([k[at], h[many]]), np.concatenate([n, np.zeros(int(many.sum()), np.int64)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["a", "b", "n"])
 
-    sent = docs.select("k", "t").mapInArrow(run, "a long, b long, n int").repartition(slices, "a")
+    sent = docs.select("k", "t").mapInArrow(task(run), "a long, b long, n int").repartition(slices, "a")
     w, meets = Window.partitionBy("a"), F.col("n") > 0
     of = lambda f: f(F.when(meets, F.col("b"))).over(w)
     met = sent.select("a", "b", "n", of(F.min).alias("low"), of(F.max).alias("high"), F.sum("n").over(w).alias("all"))
@@ -236,7 +236,7 @@ def neighbourhoods(rows: DataFrame, window: int) -> DataFrame:
             out += [{"route": int(keys[i]), "k": int(keys[i]), "text": int(text[i]), "spans": x} for i, x in spans.items()]
             yield _batch(out, _MEET)
 
-    return rows.mapInArrow(run, "route long, s binary, k long, text long, at array<int>, spans array<int>")
+    return rows.mapInArrow(task(run), "route long, s binary, k long, text long, at array<int>, spans array<int>")
 
 
 def matched(strings: list[bytes], keys: np.ndarray, window: int) -> list[np.ndarray]:
@@ -294,7 +294,7 @@ def covered(met: DataFrame, window: int) -> DataFrame:
         if rows:
             yield settle(rows)
 
-    return met.mapInArrow(run, "k long, text long, spans array<int>")
+    return met.mapInArrow(task(run), "k long, text long, spans array<int>")
 
 
 def _packed(base: DataFrame, schema, keep: tuple[str, ...]) -> DataFrame:
@@ -309,7 +309,7 @@ def _packed(base: DataFrame, schema, keep: tuple[str, ...]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("k"), b.column("q"), z, *b.columns[3:]], names=["k", "q", "z", *b.schema.names[3:]])
 
     kinds = "".join(f", c{i} {schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = base.mapInArrow(run, f"k long, q long, z binary{kinds}")
+    out = base.mapInArrow(task(run), f"k long, q long, z binary{kinds}")
     return out.withColumn("q", F.coalesce("q", F.lit(-(2**63))))  # a column of Python's may be null, as far as Spark knows
 
 
@@ -380,5 +380,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     made = "".join(f"c{i} {kinds[c].dataType.simpleString()}, " for i, c in enumerate(keep))
-    out = joined.mapInArrow(run, f"k long, {made}n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text)
+    out = joined.mapInArrow(task(run), f"k long, {made}n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text)
     return out.withColumn("k", F.col("k").cast(kinds[key].dataType)).toDF(key, *keep, *names[1 + len(keep) :])

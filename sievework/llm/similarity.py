@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups, mixed, rolling, signed, prefix_hash, span_hash, utf8, written
+from .common import groups, mixed, prefix_hash, rolling, signed, span_hash, task, utf8, written
 
 #: Words of an n-gram; least similarity, as a fraction; share of the pairs at that similarity which must meet; rows of a band.
 WORDS, SIMILAR, RECALL, ROWS = 5, (4, 5), 0.99999, 5
@@ -88,7 +88,7 @@ def signatures(docs: DataFrame, words: int, n_bands: int, rows: int) -> DataFram
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(h.ravel())))
                 yield pa.RecordBatch.from_arrays([b.column("k")[i:j], b.column("x")[i:j], pa.array(size.astype(np.int64)), lists], names=["k", "text_hash", "grams", "bands"])
 
-    return docs.select("k", "x", "t").mapInArrow(run, "k long, text_hash string, grams long, bands array<long>")
+    return docs.select("k", "x", "t").mapInArrow(task(run), "k long, text_hash string, grams long, bands array<long>")
 
 
 def components(edges: DataFrame, what: str) -> DataFrame:
@@ -180,7 +180,7 @@ def verified(members: DataFrame, words: int, similar: tuple[int, int]) -> DataFr
                 part = b.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([part.column("u"), part.column("comp"), part.column("n"), pa.array([raw[8 * p : 8 * q] for p, q in zip(off, off[1:])], pa.binary())], names=["u", "comp", "n", "grams"])
 
-    rows = members.select("u", "comp", "n", "t").mapInArrow(sets, "u long, comp long, n int, grams binary")
+    rows = members.select("u", "comp", "n", "t").mapInArrow(task(sets), "u long, comp long, n int, grams binary")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("u"), F.col("n")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     rows = rows.select("u", "comp", "grams", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), F.col("n"))
 
@@ -206,7 +206,7 @@ def verified(members: DataFrame, words: int, similar: tuple[int, int]) -> DataFr
 
     slices = max(1, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = rows.repartition(slices, "comp", "i", "j").sortWithinPartitions("comp", "i", "j")
-    return dealt.mapInArrow(run, "u long, links long, label long, parted boolean")
+    return dealt.mapInArrow(task(run), "u long, links long, label long, parted boolean")
 
 
 def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, similar: tuple[int, int] = SIMILAR, recall: float = RECALL, rows: int = ROWS) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mixed, written
+from .common import mixed, task, written
 
 #: Pages of a host on which a class must occur at the least: so many, and this share of all.
 LEAST_PAGES, LEAST_SHARE = 4, 0.5
@@ -174,7 +174,7 @@ def occurrence_vectors(pages: DataFrame, html: str, host: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.int64()), *[pa.array([v[i] for v in found.values()], pa.int64()) for i in (0, 1)]], names=["host", "token", "pages", "vector"])
 
     rows = pages.where(F.col(html).isNotNull()).select(F.col(host).alias("host"), F.col(html).alias("html"), F.xxhash64(html, host).alias("salt"))
-    counts = rows.mapInArrow(run, "host string, token long, pages long, vector long")
+    counts = rows.mapInArrow(task(run), "host string, token long, pages long, vector long")
     return counts.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"))
 
 
@@ -210,4 +210,4 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["key", "url", "text", "n_chars"])
 
     kind = pages.schema[key].dataType.simpleString()
-    return joined.mapInArrow(run, f"key {kind}, url string, text string, n_chars long").toDF(key, url, "text", "n_chars")
+    return joined.mapInArrow(task(run), f"key {kind}, url string, text string, n_chars long").toDF(key, url, "text", "n_chars")

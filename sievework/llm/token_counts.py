@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import task
+
 #: Pieces whose counts a worker keeps, and their greatest length; longer pieces are counted anew each time.
 CACHED_PIECES, CACHED_LENGTH = 500_000, 64
 
@@ -139,5 +141,5 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024, text: str
             )
 
     kinds = ", ".join(f"k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = rows.mapInArrow(run, f"{kinds}, n_bytes long, n_tokens long, over_limit boolean")
+    out = rows.mapInArrow(task(run), f"{kinds}, n_bytes long, n_tokens long, over_limit boolean")
     return out.toDF(*keep, "n_bytes", "n_tokens", "over_limit")

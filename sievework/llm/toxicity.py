@@ -22,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups, utf8, written
+from .common import groups, task, utf8, written
 
 #: Labelled rows that training takes, the first by a hash of their key; rows that it needs of each class.
 TRAIN_ROWS, LEAST_OF_CLASS = 10_000, 5
@@ -101,7 +101,7 @@ def featured(docs: DataFrame, words: frozenset[str], stems: frozenset[str], text
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], *[pa.array(np.ascontiguousarray(c)) for c in cols]], names=[*b.schema.names[:-1], *FEATURES])
 
     kinds = "".join(f"k{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep))
-    return rows.mapInArrow(run, kinds + ", ".join(f"{f} double" for f in FEATURES)).toDF(*keep, *FEATURES)
+    return rows.mapInArrow(task(run), kinds + ", ".join(f"{f} double" for f in FEATURES)).toDF(*keep, *FEATURES)
 
 
 @dataclass
@@ -128,7 +128,7 @@ def _units(rows: DataFrame) -> DataFrame:
             units = list({*seen[0], *seen[1]})
             yield pa.RecordBatch.from_arrays([pa.array(units, pa.string()), *[pa.array([seen[y][u] for u in units], pa.int64()) for y in (1, 0)]], names=["unit", "pos", "neg"])
 
-    return rows.select("t", "y").mapInArrow(run, "unit string, pos long, neg long").groupBy("unit").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return rows.select("t", "y").mapInArrow(task(run), "unit string, pos long, neg long").groupBy("unit").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
 def learn_lexicon(rows: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
