@@ -297,6 +297,13 @@ def covered(met: DataFrame, window: int) -> DataFrame:
     return met.mapInArrow(task(run), "k long, text long, spans array<int>")
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """k, x, size: keys of one text each that a smaller key has as well. All of such a text goes, and what it could cover the smaller key's covers."""
+    own = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("x").alias("x"), F.max(F.octet_length("t")).alias("size")).where("n = 1")
+    least = rows.groupBy(F.col("x").alias("_x")).agg(F.min("k").alias("low"), F.count("*").alias("rows")).where("rows > 1")
+    return written(own.join(least, F.col("x") == F.col("_x")).where("k > low").select("k", "x", "size"), "repeats-copies")
+
+
 def _packed(base: DataFrame, schema, keep: tuple[str, ...]) -> DataFrame:
     """The rows with their texts packed (z), as they move and wait on disk."""
 
@@ -306,10 +313,10 @@ def _packed(base: DataFrame, schema, keep: tuple[str, ...]) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             z = pa.array([pack(t.as_buffer()) if t.is_valid else None for t in b.column("t")], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("q"), z, *b.columns[3:]], names=["k", "q", "z", *b.schema.names[3:]])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], z, *b.columns[4:]], names=["k", "q", "x", "z", *b.schema.names[4:]])
 
     kinds = "".join(f", c{i} {schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = base.mapInArrow(task(run), f"k long, q long, z binary{kinds}")
+    out = base.mapInArrow(task(run), f"k long, q long, x long, z binary{kinds}")
     return out.withColumn("q", F.coalesce("q", F.lit(-(2**63))))  # a column of Python's may be null, as far as Spark knows
 
 
@@ -349,14 +356,17 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     kinds = docs.schema
     # q stands in for k and is never null, so that both joins below find the very same rows dealt out
     given = F.col(key).cast("long")
-    base = docs.select(given.alias("k"), F.coalesce(given, F.lit(-(2**63))).alias("q"), F.col(text).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
-    anchors = shared_anchors(base.where(F.col("k").isNotNull() & (F.octet_length("t") >= window)), window, slices).withColumnRenamed("k", "_k")
+    base = docs.select(given.alias("k"), F.coalesce(given, F.lit(-(2**63))).alias("q"), F.xxhash64(F.col(text)).alias("x"), F.col(text).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
+    long = base.where(F.col("k").isNotNull() & (F.octet_length("t") >= window))
+    copied = _copies(long)
+    anchors = shared_anchors(long, window, slices).withColumnRenamed("k", "_k").join(copied.select(F.col("k").alias("_k")), "_k", "left_anti")
     # the texts are dealt out once, packed; both joins read the same exchange
     dealt = _packed(base, docs.schema, keep).repartition(slices, "q")
-    around = dealt.join(anchors, F.col("q") == F.col("_k")).select("k", F.xxhash64("z").alias("x"), "z", "anchors", "heavy", *[f"c{i}" for i in range(len(keep))])
+    around = dealt.join(anchors, F.col("q") == F.col("_k")).select("k", "x", "z", "anchors", "heavy", *[f"c{i}" for i in range(len(keep))])
     met = neighbourhoods(around, window).repartition(slices, "route").sortWithinPartitions("route")
-    spans = covered(met, window).groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("text", "spans")).alias("found"))
-    joined = dealt.join(spans, F.col("q") == F.col("_k"), "left").select("k", "z", F.xxhash64("z").alias("x"), "found", *[f"c{i}" for i in range(len(keep))])
+    whole = copied.select("k", F.col("x").alias("text"), F.array(F.lit(0), F.col("size").cast("int")).alias("spans"))
+    spans = covered(met, window).union(whole).groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("text", "spans")).alias("found"))
+    joined = dealt.join(spans, F.col("q") == F.col("_k"), "left").select("k", "z", "x", "found", *[f"c{i}" for i in range(len(keep))])
     names = ["k", *[f"c{i}" for i in range(len(keep))], "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text"] * with_text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
