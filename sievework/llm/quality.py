@@ -2,8 +2,8 @@
 
 Each text's measures go into relative-error sketches: a count per logarithmic bucket, which merges by adding,
 gives the same result in any order, and needs no more rows than buckets. Thresholds are fences around each
-group's own quartiles; a group too small for quartiles takes its language's merged sketch, or that of all
-rows. The thresholds are joined back and filter the rows.
+group's own quartiles, moved out while the group's tail goes on without a gap; a group too small for them
+takes its language's merged sketch, or that of all rows. The thresholds are joined back and filter the rows.
 """
 
 from __future__ import annotations
@@ -25,15 +25,17 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 ERROR, LEAST = 0.01, 1e-6
 #: Rows a group's own sketch must hold; else its language's is taken, else that of all rows.
 MIN_ROWS = 200
-#: A fence lies so many times the distance from median to quartile beyond the median, and at least the measure's slack.
+#: A fence lies so many times the distance from median to quartile beyond the median; that distance is a bucket's width at the least.
 FENCE = 8.0
+#: A high fence's distance doubles while that takes in at least one of so many rows beyond it, so many times at most.
+GAP, STEPS = 8, 8
 
-#: measure -> (expression, slack, whether low values fail too)
+#: measure -> (expression, least distance of the high fence, whether low values fail too). A group whose quartiles are all zero has no spread: one event in MIN_WORDS words.
 MEASURES: dict[str, tuple[str, float, bool]] = {
-    "word_length": ("word_chars / n_words", 3.0, True),
-    "symbols_per_word": ("n_symbols / n_words", 1.0, False),
-    "dup_lines_per_word": ("n_dup_lines / n_words", 0.1, False),
-    "repeat_share": ("n_repeat_words / n_words", 0.25, False),
+    "word_length": ("word_chars / n_words", 0.0, True),
+    "symbols_per_word": ("n_symbols / n_words", 1 / MIN_WORDS, False),
+    "dup_lines_per_word": ("n_dup_lines / n_words", 1 / MIN_WORDS, False),
+    "repeat_share": ("n_repeat_words / n_words", 1 / MIN_WORDS, False),
 }
 
 # White space between words, and the symbols that count.
@@ -139,22 +141,37 @@ def merge(sketches: DataFrame, by: list[str]) -> DataFrame:
     return sketches.groupBy(*by, "measure", "b").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketches: DataFrame, by: list[str]) -> DataFrame:
-    """by, measure, rows, q1, q2, q3. A group has as many rows here as its sketch has buckets, whatever the data's size."""
+def _with_quartiles(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """The sketches' rows with their group's rows, q1, q2 and q3. A group has as many rows here as its sketch has buckets, whatever the data's size."""
     w = Window.partitionBy(*by, "measure")
     ranked = sketches.withColumn("rows", F.sum("n").over(w)).withColumn("upto", F.sum("n").over(w.orderBy(F.col("b").asc_nulls_first())))
     # the first bucket that reaches the rank holds the quantile
-    q = lambda p: F.min(F.when(F.col("upto") >= F.ceil(F.col("rows") * p), bucket_value(F.col("b"))))
-    return ranked.groupBy(*by, "measure").agg(F.max("rows").alias("rows"), *[q(p).alias(name) for name, p in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))])
+    q = lambda p: F.min(F.when(F.col("upto") >= F.ceil(F.col("rows") * p), bucket_value(F.col("b")))).over(w)
+    return ranked.withColumns({name: q(p) for name, p in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))})
+
+
+def quartiles(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """by, measure, rows, q1, q2, q3."""
+    return _with_quartiles(sketches, by).groupBy(*by, "measure").agg(*[F.max(c).alias(c) for c in ("rows", "q1", "q2", "q3")])
+
+
+def fences(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """by, measure, rows, low, high. A tail that thins out step by step belongs to the group; rows beyond a gap do not."""
+    least = reduce(lambda w, m: w.when(F.col("measure") == m, F.lit(MEASURES[m][1])), MEASURES, F)
+    width = 2 * ERROR * F.col("q2")
+    rows = _with_quartiles(sketches, by).withColumns({"down": FENCE * F.greatest(width, F.col("q2") - F.col("q1")), "up": F.greatest(least, FENCE * F.greatest(width, F.col("q3") - F.col("q2")))})
+    beyond = [F.sum(F.when(bucket_value(F.col("b")) > F.col("q2") + F.col("up") * 2**k, F.col("n")).otherwise(0)).alias(f"_{k}") for k in range(STEPS + 1)]
+    found = rows.groupBy(*by, "measure").agg(*[F.max(c).alias(c) for c in ("rows", "q2", "down", "up")], *beyond)
+    step = F.coalesce(*[F.when(GAP * (F.col(f"_{k}") - F.col(f"_{k + 1}")) < F.col(f"_{k}"), F.lit(2.0**k)) for k in range(STEPS)], F.lit(2.0**STEPS))
+    return found.select(*by, "measure", "rows", F.greatest(F.lit(0.0), F.col("q2") - F.col("down")).alias("low"), (F.col("q2") + F.col("up") * step).alias("high"))
 
 
 def thresholds(rows: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source and, for each measure, its low and high fence."""
     fine = sketch(rows, [lang, source])
     by_lang, over_all = merge(fine, [lang]), merge(fine, [])
-    slack = reduce(lambda w, m: w.when(F.col("measure") == m, F.lit(MEASURES[m][1])), MEASURES, F)
-    fences = lambda q, name: q.select(*[c for c in (lang, source) if c in q.columns], "measure", F.struct("rows", F.greatest(F.lit(0.0), F.col("q2") - F.greatest(slack, FENCE * (F.col("q2") - F.col("q1")))).alias("low"), (F.col("q2") + F.greatest(slack, FENCE * (F.col("q3") - F.col("q2")))).alias("high")).alias(name))
-    a, b, c = fences(quartiles(fine, [lang, source]), "own"), fences(quartiles(by_lang, [lang]), "mid"), fences(quartiles(over_all, []), "top")
+    packed = lambda sketches, by, name: fences(sketches, by).select(*by, "measure", F.struct("rows", "low", "high").alias(name))
+    a, b, c = packed(fine, [lang, source], "own"), packed(by_lang, [lang], "mid"), packed(over_all, [], "top")
     b, c = b.withColumnRenamed(lang, "_l").withColumnRenamed("measure", "_m"), c.withColumnRenamed("measure", "_n")
     both = a.join(b, F.col(lang).eqNullSafe(F.col("_l")) & (F.col("measure") == F.col("_m")), "left").join(c, F.col("measure") == F.col("_n"), "left")
     chosen = F.when(F.col("own.rows") >= MIN_ROWS, F.col("own")).when(F.col("mid.rows") >= MIN_ROWS, F.col("mid")).otherwise(F.col("top"))

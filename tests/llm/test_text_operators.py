@@ -78,6 +78,24 @@ def test_quality_counts_and_verdicts(spark):
     assert quality.apply_rules(frame(spark, texts).limit(0)).count() == 0
 
 
+def test_quality_fences_follow_each_group(spark):
+    def row(i, source, length, symbols, repeated=0):
+        return (i, "en", source, 1000, round(1000 * length), symbols, 0, repeated)
+
+    rows = [row(i, "a", 5 + i % 21 / 50, 0, i % 40 * (i % 40 > 30)) for i in range(400)] + [row(1000 + i, "b", 8 + i % 21 / 50, i % 500) for i in range(400)]
+    junk = [row(2000 + i, "a", 5.2, 300 + 20 * i) for i in range(30)] + [row(3000 + i, "a", 8.2, 0) for i in range(9)]
+    names = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+    fence = {r.source: r for r in quality.thresholds(spark.createDataFrame(rows + junk, names)).collect()}
+    bad = [i for i, _, s, n, c, y, _, p in rows + junk if not fence[s].word_length_low <= c / n <= fence[s].word_length_high or y / n > fence[s].symbols_per_word_high or p / n > fence[s].repeat_share_high]
+    assert bad == [r[0] for r in junk]
+
+
+def test_quality_keeps_good_and_drops_bad_texts(spark):
+    sf = "/root/testdata/sf0.01"
+    got = quality.apply_rules(spark.read.parquet(f"{sf}/documents.parquet")).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed").toPandas()
+    assert got.kept[got.quality == 1].mean() > 0.98 and got.kept[got.quality == 0].mean() < 0.1
+
+
 def test_sketch_quantiles_are_within_the_error(spark):
     rows = spark.range(1, 2001).select(F.lit("x").alias("g"), F.col("id").alias("word_chars"), *[F.lit(1).alias(c) for c in ("n_words", "n_symbols", "n_dup_lines", "n_repeat_words")])
     q = quality.quartiles(quality.sketch(rows, ["g"]), ["g"]).where("measure = 'word_length'").first()
