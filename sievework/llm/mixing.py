@@ -1,25 +1,35 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 Each source's documents, in a random but fixed order, are cut into blocks of so many bytes. The j-th block of
-a source with a share a of D slots is released at floor(j D / a) and due at ceil((j + 1) D / a); earliest
-deadline first gives every block a slot in its window, so that at any time each source is less than one block
-away from its target. The schedule repeats every D slots, so the driver makes one period, whatever the data's
-size, and a block's slot follows from its number by arithmetic and a join with that period.
+a source with an exact share w is released at floor(j / w) and due at ceil((j + 1) / w); earliest deadline
+first gives every block a slot in its window, so that at any time each source is less than one block away
+from its target, however long the mix is. One task makes the slots of the whole mix in constant memory, a row
+a block, as a table that documents are joined with.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
+from itertools import islice
+from math import lcm
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import mixed, task, written
+
 #: Bytes of a block; exponent that tempers the sources' measured shares where no weights are given.
 BLOCK_BYTES, TEMPER = 1 << 16, 0.9
-#: Slots of a period at the least, and slots for each source; sources that a mix may have.
-PERIOD, PERIOD_PER_SOURCE, MOST_SOURCES = 1_000, 16, 100_000
+#: Sources that a mix may have; rows of the schedule that are sent at once.
+MOST_SOURCES, SCHEDULE_ROWS = 100_000, 10_000
+#: A deadline later than this is stated as this.
+MOST_SLOTS = (1 << 63) - 1
 #: Bytes of a part of a source within which documents are put in order, and parts of a source at most.
 PART_BYTES, MOST_PARTS = 8 << 20, 4_096
 
@@ -41,39 +51,52 @@ def shares(weights: list[float], period: int) -> list[int]:
     return out
 
 
-def schedule(parts: list[int]) -> list[list[int]]:
-    """Slots of each source in one period of sum(parts) slots, by earliest deadline first over the released blocks."""
-    period = sum(parts)
-    out: list[list[int]] = [[] for _ in parts]
+def exact(weights: list[float]) -> list[int]:
+    """The weights as whole numbers in the same proportion."""
+    whole = [Fraction(w) for w in weights]
+    over = lcm(*[w.denominator for w in whole])
+    return [int(w * over) for w in whole]
+
+
+def slots(parts: list[int], horizon: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """(source, block, release, deadline, slot) for each slot up to the horizon, by earliest deadline first over the released blocks. A source's share is its part of sum(parts)."""
+    total = sum(parts)
+    served = [0] * len(parts)
     waiting, ready = [(0, i) for i in range(len(parts))], []
     heapq.heapify(waiting)
-    for slot in range(period):
+    for slot in range(horizon):
         while waiting and waiting[0][0] <= slot:
-            _, i = heapq.heappop(waiting)
-            j = len(out[i])
-            heapq.heappush(ready, (-(-(j + 1) * period // parts[i]), i))
-        due, i = heapq.heappop(ready)
+            release, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(served[i] + 1) * total // parts[i]), i, release))
+        due, i, release = heapq.heappop(ready)
         if slot >= due:
             raise AssertionError("a block missed its deadline")
+        yield i, served[i], release, due, slot
+        served[i] += 1
+        heapq.heappush(waiting, (served[i] * total // parts[i], i))
+
+
+def schedule(parts: list[int]) -> list[list[int]]:
+    """Slots of each source in one period of sum(parts) slots."""
+    out: list[list[int]] = [[] for _ in parts]
+    for i, _, _, _, slot in slots(parts, sum(parts)):
         out[i].append(slot)
-        if len(out[i]) < parts[i]:
-            heapq.heappush(waiting, (len(out[i]) * period // parts[i], i))
     return out
 
 
 @dataclass
 class Plan:
-    """A mix: for each source its number, slots of a period, blocks of an epoch and parts; and the slots in all."""
+    """A mix: for each source its number, exact weight, blocks of an epoch and parts; and the slots in all."""
 
     sources: list
-    slots: list[int]
+    weights: list[int]
     blocks: list[int]
     parts: list[int]
     horizon: int
 
 
 def plan(docs: DataFrame, source: str = "source", text: str = "text", weights: dict | None = None, block_bytes: int = BLOCK_BYTES) -> Plan:
-    """The mix of a table's sources. Without weights, a source's target is its share of bytes to the power ``TEMPER``. The mix ends when the last source has been read once."""
+    """The mix of a table's sources. Without weights, a source's target is its share of bytes to the power ``TEMPER``. The mix ends when each source's target has reached its bytes."""
     rows = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size_of(text)).alias("bytes")).limit(MOST_SOURCES + 1).collect()
     if len(rows) > MOST_SOURCES:
         raise ValueError(f"a mix has {MOST_SOURCES} sources at most")
@@ -83,11 +106,39 @@ def plan(docs: DataFrame, source: str = "source", text: str = "text", weights: d
         return Plan([], [], [], [], 0)
     if weights is not None and (missing := [n for n in names if not weights.get(n, 0) > 0]):
         raise ValueError(f"no positive weight for {missing[:5]}")
-    period = max(PERIOD, PERIOD_PER_SOURCE * len(names))
-    slots = shares([weights[n] for n in names] if weights is not None else [b**TEMPER for b in sizes], period)
+    whole = exact([weights[n] for n in names] if weights is not None else [b**TEMPER for b in sizes])
     blocks = [-(-b // block_bytes) for b in sizes]
     parts = [max(1, min(MOST_PARTS, -(-b // PART_BYTES))) for b in sizes]
-    return Plan(names, slots, blocks, parts, max(-(-n * period // a) for n, a in zip(blocks, slots, strict=True)))
+    total = sum(whole)
+    return Plan(names, whole, blocks, parts, max(-(-b * total // (a * block_bytes)) for b, a in zip(sizes, whole, strict=True)))
+
+
+def scheduled(spark: SparkSession, mix: Plan) -> DataFrame:
+    """_i, _number, _release, _deadline, _slot: a row for each block of each source in the mix.
+
+    A source whose last block of the first epoch is a short one may be due after the mix's end; that block
+    stands beside another one's in a slot of its window.
+    """
+    weights, blocks, horizon = mix.weights, mix.blocks, mix.horizon
+    names = ["_i", "_number", "_release", "_deadline", "_slot"]
+
+    def rows() -> Iterator[tuple[int, int, int, int, int]]:
+        served, total = [0] * len(weights), sum(weights)
+        for row in slots(weights, horizon):
+            served[row[0]] += 1
+            yield row
+        for i, j in enumerate(served):
+            if j < blocks[i]:
+                release = j * total // weights[i]
+                yield i, j, release, -(-(j + 1) * total // weights[i]), release + int(mixed(np.array([i], np.uint64))[0]) % (horizon - release)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            left = rows()
+            while some := list(islice(left, SCHEDULE_ROWS)):
+                yield pa.RecordBatch.from_arrays([pa.array([min(x, MOST_SLOTS) for x in c], pa.int64()) for c in zip(*some, strict=True)], names=names)
+
+    return written(spark.range(0, 1, 1, 1).mapInArrow(task(run), ", ".join(f"{n} long" for n in names)), "mixing-schedule")
 
 
 def size_of(text: str):
@@ -104,11 +155,11 @@ def place(docs: DataFrame, mix: Plan, key: str = "doc_id", source: str = "source
     each; other columns are not read; an empty table gives an empty result. A hot source is dealt out in
     parts; no window holds a whole source.
     """
-    spark, period = docs.sparkSession, sum(mix.slots)
+    spark = docs.sparkSession
     own = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), size_of(text).alias("_bytes"), F.xxhash64(key, text).alias("_turn"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)])
-    # one row a source and one a slot of the period: MOST_SOURCES * PERIOD_PER_SOURCE at most
-    sources = spark.createDataFrame([(n, i, a, b, p) for i, (n, a, b, p) in enumerate(zip(mix.sources, mix.slots, mix.blocks, mix.parts, strict=True))], f"_name {docs.schema[source].dataType.simpleString()}, _i int, _a long, _n long, _parts int")
-    times = spark.createDataFrame([(i, j, s) for i, slots in enumerate(schedule(mix.slots) if mix.slots else []) for j, s in enumerate(slots)], "_i int, _j long, _slot long")
+    times = scheduled(spark, mix)
+    # one row a source: MOST_SOURCES at most
+    sources = spark.createDataFrame([(n, i, b, p) for i, (n, b, p) in enumerate(zip(mix.sources, mix.blocks, mix.parts, strict=True))], f"_name {docs.schema[source].dataType.simpleString()}, _i long, _n long, _parts int")
     rows = own.join(F.broadcast(sources), F.col("_source").eqNullSafe(F.col("_name"))).withColumn("_part", F.pmod(F.hash("_turn"), F.col("_parts")))
     before = Window.partitionBy("_i").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # MOST_PARTS rows a source at most
@@ -117,16 +168,14 @@ def place(docs: DataFrame, mix: Plan, key: str = "doc_id", source: str = "source
     # the parts' starts, a few numbers each, are looked up after the window, by the same keys
     rows = rows.withColumn("_offset", F.coalesce(F.sum("_bytes").over(inside), F.lit(0))).join(F.broadcast(starts) if sum(mix.parts) <= 200_000 else starts, ["_i", "_part"])
     rows = rows.withColumn("_block", F.floor((F.col("_start") + F.col("_offset")) / block_bytes).cast("long"))
-    # blocks that a source has in the mix: those of its slots before the horizon
-    full, rest = divmod(mix.horizon, period) if period else (0, 0)
-    within = times.where(F.col("_slot") < rest).groupBy("_i").agg(F.count("*").alias("_more"))
-    rows = rows.join(F.broadcast(within), "_i", "left").withColumn("_all", F.lit(full) * F.col("_a") + F.coalesce("_more", F.lit(0)))
+    # blocks that a source has in the mix, those of the first epoch at the least
+    rows = rows.join(F.broadcast(times.groupBy("_i").agg(F.count("*").alias("_all"))), "_i")
     rows = rows.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.expr("cast((_all - 1 - _block) div _n as int)"))))
-    rows = rows.withColumn("_number", F.col("_block") + F.col("_epoch") * F.col("_n")).withColumn("_j", F.expr("_number % _a"))
-    rows = rows.join(F.broadcast(times), ["_i", "_j"])
+    # Spark knows the written schedule's size and broadcasts it only if it is small
+    rows = rows.withColumn("_number", F.col("_block") + F.col("_epoch") * F.col("_n")).join(times, ["_i", "_number"])
     return rows.select(
         F.col("_key").alias(key), F.col("_source").alias(source), *[F.col(f"_c{i}").alias(c) for i, c in enumerate(keep)], F.col("_bytes").alias("n_bytes"), F.col("_epoch").alias("epoch"), F.col("_number").alias("block"),
-        F.expr(f"_number * {period} div _a").alias("release"), F.expr(f"((_number + 1) * {period} + _a - 1) div _a").alias("deadline"), F.expr(f"_number div _a * {period} + _slot").alias("slot"), F.col("_turn").alias("turn"),
+        F.col("_release").alias("release"), F.col("_deadline").alias("deadline"), F.col("_slot").alias("slot"), F.col("_turn").alias("turn"),
     )
 
 

@@ -1,9 +1,11 @@
 """Operators that look at one text at a time, against plain versions of them."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,3 +192,27 @@ def test_mix_places_every_document(spark):
     assert all(r.release <= r.slot < r.deadline and r.slot < mix.horizon for r in got)
     assert mixing.mixed_documents(df).columns == df.columns
     assert mixing.place(df.limit(0), mixing.plan(df.limit(0))).count() == 0
+
+
+def test_mix_keeps_the_exact_weights_over_its_whole_length(spark):
+    weights = {"a": 1 / 3, "b": 0.61803, "c": 0.04866, "d": 1e-5}
+    rows = [(i, "w" * 100, s) for s, n in (("a", 2000), ("b", 300), ("c", 40), ("d", 1)) for i in range(n)] + [(9999, "w" * 7, "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixing.plan(df, weights={**weights, "d": 2e-4}, block_bytes=100)
+    exact = {**weights, "d": 2e-4}
+    total = sum(map(Fraction, exact.values()))
+    got = mixing.place(df, mix, block_bytes=100).collect()
+    assert mix.horizon > 5000 and Counter((r.doc_id, r.source) for r in got if r.epoch == 0) == Counter((r[0], r[2]) for r in rows)
+    for r in got:
+        w = Fraction(exact[r.source]) / total
+        assert math.floor(r.block / w) <= r.slot < math.ceil((r.block + 1) / w)
+    for s, w in exact.items():
+        blocks = len({r.block for r in got if r.source == s})
+        assert abs(blocks - Fraction(w) / total * mix.horizon) < 1 + (s == "d")
+
+
+def test_mix_of_a_tiny_source_is_no_longer_than_the_others_need(spark):
+    df = spark.createDataFrame([(i, "w" * 100, "a") for i in range(3000)] + [(9999, "w", "b")], "doc_id long, text string, source string")
+    mix = mixing.plan(df, weights={"a": 1.0, "b": 1e-5}, block_bytes=100)
+    got = mixing.place(df, mix, block_bytes=100).collect()
+    assert mix.horizon <= 3002 and Counter(r.doc_id for r in got)[9999] == 1 and all(r.release <= r.slot < min(r.deadline, mix.horizon) for r in got)
