@@ -186,9 +186,10 @@ def verified(members: DataFrame, words: int, similar: tuple[int, int]) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle() -> pa.RecordBatch:
-            links, label = block_pair(np.array(ids, np.int64), np.array(second, bool), grams, similar)
-            if here[1] != here[2] and not any(second):
+            if here[1] != here[2] and (all(second) or not any(second)):
                 links, label = np.zeros(len(ids), np.int64), np.array(ids, np.int64)  # the other block is empty
+            else:
+                links, label = block_pair(np.array(ids, np.int64), np.array(second, bool), grams, similar)
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(links), pa.array(label), pa.array([here[3] > 1] * len(ids))], names=["u", "links", "label", "parted"])
 
         here, ids, second, grams = None, [], [], []

@@ -111,6 +111,17 @@ def test_similarity_matches_brute_force(spark, block, monkeypatch):
     assert similarity.similar_texts(df.limit(0)).count() == 0
 
 
+def test_few_long_near_copies_have_more_blocks_than_texts(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_GRAMS", 100)
+    rows = []
+    for g in range(3):
+        base = [f"w{g}x{i}" for i in range(300)]
+        rows += [(10 * g, " ".join(base)), (10 * g + 1, " ".join([*base[:-1], "other"]))]
+    got = similarity.similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text_id, r.group_id, r.n_copies, r.n_links) for r in got) == brute_links(rows)
+    assert all(r.n_links == 1 for r in got)
+
+
 def page(i, body, extra=""):
     return f"<!DOCTYPE html><html><head><title>T{i}</title><script>var t='</p>';</script></head><body><nav><ul><li><a href=/x>Home</a></ul></nav><div class='side-bar promo'>Buy now</div>{body}<div id=comments><p>first!</p></div><div>Please read our policy</div>{extra}<footer>&copy; site</footer>"
 
