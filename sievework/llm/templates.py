@@ -150,8 +150,12 @@ def host_of(url: str):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
+def salt(html: str, host: str):
+    return F.xxhash64(html, host).alias("salt")
+
+
 def occurrence_vectors(pages: DataFrame, html: str, host: str) -> DataFrame:
-    """host, token, pages, vector: pages on which a token occurs and a hash of its counts by page.
+    """host, token, pages, vector: distinct pages on which a token occurs and a hash of its counts by page.
 
     Counts are gathered within each Arrow batch before they are shuffled, so a host with a third of all pages
     sends a row for each token and batch only.
@@ -173,13 +177,14 @@ def occurrence_vectors(pages: DataFrame, html: str, host: str) -> DataFrame:
                     hit[1] ^= mark
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.int64()), *[pa.array([v[i] for v in found.values()], pa.int64()) for i in (0, 1)]], names=["host", "token", "pages", "vector"])
 
-    rows = pages.where(F.col(html).isNotNull()).select(F.col(host).alias("host"), F.col(html).alias("html"), F.xxhash64(html, host).alias("salt"))
+    # copies would cancel out in the vectors and make their article look like a template: each distinct page counts once
+    rows = pages.where(F.col(html).isNotNull()).select(F.col(host).alias("host"), F.col(html).alias("html"), salt(html, host)).dropDuplicates(["host", "salt"])
     counts = rows.mapInArrow(task(run), "host string, token long, pages long, vector long")
     return counts.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"))
 
 
 def templates(vectors: DataFrame, sizes: DataFrame) -> DataFrame:
-    """host, template: hashes of the tokens in the host's valid classes. sizes: host, all (its pages).
+    """host, template: hashes of the tokens in the host's valid classes. sizes: host, all (its distinct pages).
 
     A template token stands on at least ``LEAST_SHARE`` of the host's pages, so a host has no more of them than
     1 / ``LEAST_SHARE`` times the tokens of its average page, whatever the number of its pages.
@@ -195,10 +200,10 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
 
     A null or empty html gives an empty text; a null url, or one without a host, belongs to a host of its own
     kind; null keys and repeated rows are kept; ties cannot arise; extra columns are not read; an empty table
-    gives an empty result. Equal pages of one host count as often as they occur.
+    gives an empty result. Equal pages of one host count once for its template.
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html")).withColumn("host", host_of("url"))
-    sizes = rows.where("html is not null").groupBy("host").agg(F.count("*").alias("all"))
+    sizes = rows.where("html is not null").select("host", salt("html", "host")).distinct().groupBy("host").agg(F.count("*").alias("all"))
     # written first, so that Spark knows their size before it plans the join: it broadcasts them only if they are small, and splits a hot host's pages otherwise
     found = written(templates(occurrence_vectors(rows, "html", "host"), sizes), "page-templates").withColumnRenamed("host", "_host")
     joined = rows.join(found, F.col("host") == F.col("_host"), "left").select("key", "url", "html", "template")

@@ -141,6 +141,13 @@ def test_pages_keep_their_article_only(spark):
     assert templates.main_text(empty).count() == 0
 
 
+def test_copies_of_a_page_keep_their_article(spark):
+    html = [page(i, f"<article><h1>Title {i}</h1><p>Story number {i} is told</p></article>") for i in range(6)]
+    rows = [(i, f"http://h.example/{i}", html[min(i, 5)]) for i in range(25)]
+    got = {r.page_id: r.text for r in templates.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {i: f"Title {min(i, 5)}\nStory number {min(i, 5)} is told" for i in range(25)}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 
