@@ -37,6 +37,8 @@ ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form
 # Words of class names and ids that mark what is no article; the second set only outside of an article element.
 ASIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments discussion disqus reply replies related recommended share sharing social popup modal overlay widget toolbar pagination pager login signup copyright masthead skip".split())
 HEADER_WORDS = frozenset(["header", "topbar"])
+# Words that may stand beside those in a name; a name with any other word ("with-sidebar", "related-work") marks nothing.
+BESIDE_WORDS = frozenset("area bar block bottom box buttons container content form global group icons inner item items left links list main outer page post posts primary right row section site secondary slot stories top unit wrap wrapper".split())
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -46,12 +48,12 @@ _SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dd", ("dl",)), "dd": ("
 
 
 class Page:
-    """tags: places of the page's tags in order; blocks: (place, text, aside, inside) in order."""
+    """tags: places of the page's tags in order; blocks: (place, text, aside, inside) in order. aside: 1 by a class name or id, 2 by an element or role."""
 
     def __init__(self, html: str):
         self.tags: list[str] = []
-        self.blocks: list[tuple[str, str, bool, bool]] = []
-        self._open: list[tuple[str, str, bool, bool]] = []  # element, its place, aside, inside an article
+        self.blocks: list[tuple[str, str, int, bool]] = []
+        self._open: list[tuple[str, str, int, bool]] = []  # element, its place, aside, inside an article
         self._text: list[str] = []
         at = 0
         for m in _TOKEN.finditer(html):
@@ -70,7 +72,7 @@ class Page:
         text = " ".join(entities.unescape("".join(self._text)).split())
         self._text = []
         if text:
-            _, place, aside, inside = self._open[-1] if self._open else ("", "", False, False)
+            _, place, aside, inside = self._open[-1] if self._open else ("", "", 0, False)
             self.blocks.append((place, text, aside, inside))
 
     def _begin(self, name: str, attributes: str) -> None:
@@ -89,18 +91,23 @@ class Page:
                 if self._open[i][0] in (name, kin):
                     del self._open[i:]
                     break
-        _, above, aside, inside = self._open[-1] if self._open else ("", "", False, False)
-        label, words = name, set()
+        _, above, aside, inside = self._open[-1] if self._open else ("", "", 0, False)
+        label, names = name, []
         for a in _ATTRIBUTE.finditer(attributes) if attributes else ():
             value = (a[2] or a[3] or a[4] or "").lower()
             if a[1].lower() == "role":
-                aside = aside or value in ASIDE_ROLES
+                aside = 2 if value in ASIDE_ROLES else aside
             else:
-                words.update(_WORDS.findall(value))
+                names += [set(_WORDS.findall(n)) for n in value.split()]
                 label += f".{value}" if a[1].lower() == "class" else ""
         place = f"{above}/{label}"
-        inside = inside or name in ("article", "main")
-        aside = aside or name in ASIDE or (name == "header" and not inside) or (name not in ("body", "html", "article", "main") and bool(words & ASIDE_WORDS or (not inside and words & HEADER_WORDS)))
+        if name in ("article", "main"):
+            inside, aside = True, aside if aside == 2 else 0
+        marks = ASIDE_WORDS if inside else ASIDE_WORDS | HEADER_WORDS
+        if name in ASIDE or (name == "header" and not inside):
+            aside = 2
+        elif not aside and name not in ("body", "html", "article", "main") and any(n & marks and n <= marks | BESIDE_WORDS for n in names):
+            aside = 1
         self.tags.append(place)
         if name not in VOID:
             self._open.append((name, place, aside, inside))
@@ -141,7 +148,9 @@ def extract(page: Page, template: set[int]) -> str:
         whole, *words = map(token_hash, block_tokens(place, text))
         return whole in template or bool(words) and all(w in template for w in words)
 
-    slots = [b for b in page.blocks if not b[2] and not (template and fixed(b[0], b[1]))]
+    varying = [b for b in page.blocks if b[2] < 2 and not (template and fixed(b[0], b[1]))]
+    # names that would leave nothing belong to a wrapper of the page
+    slots = [b for b in varying if not b[2]] or varying
     article = [b for b in slots if b[3]]
     return "\n".join(text for _, text, _, _ in article or slots)
 

@@ -141,6 +141,17 @@ def test_pages_keep_their_article_only(spark):
     assert templates.main_text(empty).count() == 0
 
 
+@pytest.mark.parametrize("wrap", ["<div class='layout with-sidebar'><article>{}</article></div>", "<div class=sidebar><main>{}</main></div>", "<div id=page class=has-menu>{}</div>", "<div class='content share-enabled'>{}</div>", "<div class='post cookie-ok'>{}</div>", "<article><section id=related-work>{}</section></article>", "<div class=widget>{}</div>"])
+def test_wrappers_with_an_aside_word_keep_the_article(wrap):
+    html = "<nav>Home</nav>" + wrap.format("<p>Body</p>") + "<footer>end</footer>"
+    assert templates.extract(templates.Page(html), set()) == "Body"
+
+
+def test_asides_by_name_still_go():
+    html = "<div class=content><p>Body</p></div><div class='cookie-banner'>x</div><div id=comment-list-2>y</div><div class='site-footer'>z</div>"
+    assert templates.extract(templates.Page(html), set()) == "Body"
+
+
 def test_copies_of_a_page_keep_their_article(spark):
     html = [page(i, f"<article><h1>Title {i}</h1><p>Story number {i} is told</p></article>") for i in range(6)]
     rows = [(i, f"http://h.example/{i}", html[min(i, 5)]) for i in range(25)]
