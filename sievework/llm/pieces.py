@@ -9,11 +9,9 @@ piece has the best score merges first); unigram models get the scores themselves
 from __future__ import annotations
 
 import os
-import re
 import struct
-import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +26,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 MARK = "▁"
 
-#: Threads a worker's library may use; units that a worker keeps; texts encoded at once; one text in so many is compared as a whole.
-THREADS, CACHED_UNITS, TEXTS_AT_ONCE, WHOLE_TEXTS = 2, 300_000, 256, 64
+#: Threads a worker's library may use; texts encoded at once.
+THREADS, TEXTS_AT_ONCE = 2, 64
 
 
 def _varint(data: bytes, i: int) -> tuple[int, int]:
@@ -85,25 +83,17 @@ def _merges(vocab: dict[str, int], scores: dict[str, float]) -> list[tuple[str,
     return [(a, b) for _, _, _, a, b in sorted(found)]
 
 
-def _letter(c: str) -> bool:
-    return c.isalpha()
-
-
-def cuts_are_safe(pieces: list[str]) -> bool:
-    """No piece has a marker behind another character, nor a letter beside a character that is neither letter nor marker."""
-    return not any(b == MARK != a or MARK not in (a, b) and _letter(a) != _letter(b) for p in pieces for a, b in zip(p, p[1:]))
-
-
 def build(data: bytes, bare: bool = False):
-    """The tokenizer that a model's bytes describe; ``bare``: for units of normalised text, without normaliser and leading space."""
-    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+    """The tokenizer that a model's bytes describe; ``bare``: for texts that are normalised and marked already."""
+    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers
 
     m = parse_model(data)
     if not m["escape"]:
         raise ValueError("a model that keeps white space unescaped is not handled")
     vocab = {p: i for i, (p, _, _) in enumerate(m["pieces"])}
     if m["kind"] == UNIGRAM:
-        model = models.Unigram([(p, s) for p, s, _ in m["pieces"]], unk_id=m["unk_id"], byte_fallback=m["byte_fallback"])
+        # only what texts may hold can be met: marked texts have no space, so no text holds the other names
+        model = models.Unigram([(p if kind in (NORMAL, USER_DEFINED) else f" {p}", s) for p, s, kind in m["pieces"]], unk_id=m["unk_id"])
     elif m["kind"] == BPE:
         scores = {p: s for p, s, kind in m["pieces"] if kind in (NORMAL, UNUSED)}
         model = models.BPE(vocab, _merges(vocab, scores), unk_token=m["pieces"][m["unk_id"]][0], fuse_unk=True, byte_fallback=m["byte_fallback"])
@@ -112,88 +102,67 @@ def build(data: bytes, bare: bool = False):
     out = Tokenizer(model)
     steps = [normalizers.Precompiled(m["charsmap"])] if m["charsmap"] else []
     if m["squeeze"]:
-        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+        steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     steps += [normalizers.Prepend(MARK)] * m["dummy_prefix"] + [normalizers.Replace(" ", MARK)]
     if not bare:
         out.normalizer = normalizers.Sequence(steps)
-        if in_units(m):
-            out.pre_tokenizer = pre_tokenizers.Split(Regex(rf"{MARK}*\p{{L}}+|{MARK}*[^{MARK}\p{{L}}]+|{MARK}+"), "isolated")
     out.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *([decoders.Strip(" ", 1, 0)] * (m["dummy_prefix"] and not bare))])
     out.add_tokens([AddedToken(p, normalized=False) for p, _, kind in m["pieces"] if kind == USER_DEFINED])
     out.encode_special_tokens = True
     return out
 
 
-def in_units(m: dict) -> bool:
-    """Whether a text may be encoded unit by unit: a BPE model whose pieces never cross the units' borders."""
-    kinds = {kind for _, _, kind in m["pieces"]}
-    return m["kind"] == BPE and USER_DEFINED not in kinds and cuts_are_safe([p for p, _, kind in m["pieces"] if kind in (NORMAL, UNUSED)])
-
-
 class Codec:
-    """Encodes and decodes texts, unit by unit where the model allows, with a bounded cache of units met before."""
+    """Encodes and decodes whole texts, and compares them with the sentencepiece library."""
 
     def __init__(self, data: bytes):
         import sentencepiece
 
         self.model = parse_model(data)
         self.whole, self.theirs = build(data), sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.units = in_units(self.model)
-        if self.units:
-            odd = "".join(sorted({c for p, _, _ in self.model["pieces"] for c in p if re.match(r"[^\W\d_]", c) and not _letter(c)}))
-            letter = rf"[^\W\d_{re.escape(odd)}]"
-            # the second part takes whatever is neither marker nor letter
-            self.pattern = re.compile(rf"{MARK}*{letter}+|{MARK}*(?:[\W\d_{re.escape(odd)}](?<!{MARK}))+|{MARK}+")
-            self.bare = build(data, bare=True)
-            # a later field overrides an earlier one: the same model without the leading space
-            self.theirs_bare = sentencepiece.SentencePieceProcessor(model_proto=data + b"\x1a\x02\x18\x00")
-        #: identifiers of units met before, as 32-bit values; the units that did not come back, or that sentencepiece splits otherwise
-        self.known: dict[str, bytes] = {}
-        self.lost: set[str] = set()
-        self.other: set[str] = set()
-
-    def normalised(self, text: str) -> str:
-        if self.model["charsmap"] or self.model["squeeze"]:
-            return self.whole.normalizer.normalize_str(text)
-        return (MARK if text and self.model["dummy_prefix"] else "") + text.replace(" ", MARK)
-
-    def _learn(self, units: list[str]) -> None:
-        ids = [e.ids for e in self.bare.encode_batch_fast(units, add_special_tokens=False)]
-        plain = [u.replace(MARK, " ") for u in units]
-        self.other.update(u for u, a, b in zip(units, ids, self.theirs_bare.encode(plain, num_threads=1), strict=True) if a != b)
-        self.lost.update(u for u, a, b in zip(units, plain, self.bare.decode_batch(ids, skip_special_tokens=False), strict=True) if a != b)
-        self.known.update(zip(units, [array("i", i).tobytes() for i in ids], strict=True))
-
-    def encode(self, texts: list[str]) -> tuple[list, list[bool], list[bool]]:
-        """Identifiers of each text, whether decoding gave the text again, and whether sentencepiece gives the same identifiers."""
-        if not self.units:
-            ids = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
-            back = self.whole.decode_batch(ids, skip_special_tokens=False)
-            return ids, [a == b for a, b in zip(texts, back, strict=True)], [a == b for a, b in zip(ids, self.theirs.encode(texts, num_threads=1), strict=True)]
-        if len(self.known) > CACHED_UNITS:
-            self.known.clear()
-            self.lost.clear()
-            self.other.clear()
-        split = [self.pattern.findall(self.normalised(t)) for t in texts]
-        if new := list(set().union(*split).difference(self.known)):
-            self._learn(new)
-        ids = [np.frombuffer(b"".join(map(self.known.__getitem__, units)), np.int32) for units in split]
-        # a text with marker characters of its own comes back with spaces for them, as sentencepiece gives it
-        back = [MARK not in t and not (self.lost and self.lost.intersection(units)) for t, units in zip(texts, split, strict=True)]
-        same = [not (self.other and self.other.intersection(units)) for units in split]
-        for i in [i for i, t in enumerate(texts) if zlib.crc32(t.encode()) % WHOLE_TEXTS == 0]:
-            same[i] = same[i] and self.theirs.encode(texts[i]) == ids[i].tolist() and (self.whole.decode(ids[i].tolist(), skip_special_tokens=False) == texts[i]) == back[i]
-        return ids, back, same
+        # where the normaliser only marks spaces, a text is marked before the library sees it, which then tracks no changes
+        self.plain = not (self.model["charsmap"] or self.model["squeeze"] or any(kind == USER_DEFINED for _, _, kind in self.model["pieces"]))
+        self.bare = build(data, bare=True)
+        self.lead = MARK if self.model["dummy_prefix"] else ""
+        #: identifiers of the bytes, where they stand for what a unigram model lacks
+        self.of_byte = [i for i, (_, _, kind) in enumerate(self.model["pieces"]) if kind == BYTE] if self.model["byte_fallback"] and self.model["kind"] == UNIGRAM else []
+        #: what each identifier stands for in a text
+        self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in self.model["pieces"]]
+
+    def marked(self, text: str) -> str:
+        """The text as the model's normaliser gives it."""
+        if self.plain:
+            return self.lead + text.replace(" ", MARK) if text else ""
+        return self.whole.normalizer.normalize_str(text)
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Identifiers of each text by the rebuilt tokenizer."""
+        texts = [self.marked(t) for t in texts]
+        out = [e.ids for e in self.bare.encode_batch_fast(texts, add_special_tokens=False)]
+        if self.of_byte:
+            unknown = self.model["unk_id"]
+            odd = [i for i, ids in enumerate(out) if unknown in ids]
+            for i, e in zip(odd, self.bare.encode_batch([texts[i] for i in odd], add_special_tokens=False), strict=True):
+                out[i] = list(chain.from_iterable([k] if k != unknown else (self.of_byte[b] for b in texts[i][p:q].encode()) for k, (p, q) in zip(e.ids, e.offsets, strict=True)))
+        return out
+
+    def decode(self, ids: list[list[int]]) -> list[str]:
+        """Texts of identifiers; bytes that make no character become replacement characters."""
+        out = [b"".join(map(self.bytes.__getitem__, i)).decode("utf-8", "replace") for i in ids]
+        return [t[1:] if t[:1] == " " else t for t in out] if self.lead else out
+
+    def verified(self, texts: list[str], ids: list[list[int]]) -> tuple[list[bool], list[bool]]:
+        """For each text, whether decoding its identifiers gives it again, and whether sentencepiece has the same identifiers for it."""
+        return [a == b for a, b in zip(texts, self.decode(ids), strict=True)], [a == b for a, b in zip(ids, self.theirs.encode(texts, num_threads=1), strict=True)]
 
 
 def encode(docs: DataFrame, model: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: bool = True) -> DataFrame:
     """``keep`` columns of every row with ids (array, if asked for), n_tokens, n_bytes, n_fallback, round_trip, parity.
 
-    Every whole text is encoded by the rebuilt tokenizer. round_trip: decoding its identifiers gave the text
-    again. parity: the sentencepiece library gives the same identifiers; where pieces can't cross the borders
-    of units (runs of letters or of other characters with the spaces before them) each distinct unit is
-    compared, and one text in ``WHOLE_TEXTS`` as a whole besides. n_fallback counts byte tokens. The driver
-    reads the model once and sends its bytes. A null or empty text gives no tokens and holds both checks; null
+    Every whole text is encoded by the rebuilt tokenizer, decoded again and encoded by the sentencepiece library
+    as well. round_trip: decoding its identifiers gave the text again (a text with marker characters of its own
+    comes back with spaces for them). parity: sentencepiece gives the same identifiers. n_fallback counts byte
+    tokens. The driver reads the model once and sends its bytes. A null or empty text gives no tokens and holds both checks; null
     keys, repeated rows, ties and extra columns are left as they are. Map-only: no shuffle.
     """
     spark = docs.sparkSession
@@ -213,9 +182,11 @@ def encode(docs: DataFrame, model: str, text: str = "text", keep: tuple[str, ...
                     codec = Codec(sent.value)
                     is_byte = np.array([kind == BYTE for _, _, kind in codec.model["pieces"]])
                 column = pc.fill_null(b.column("t"), "")
-                got, back, same = codec.encode(column.to_pylist())
+                texts = column.to_pylist()
+                got = codec.encode(texts)
+                back, same = codec.verified(texts, got)
                 size = np.array([0, *map(len, got)], np.int64)
-                flat = np.concatenate([np.zeros(0, np.int32), *got]).astype(np.int32, copy=False)
+                flat = np.fromiter(chain.from_iterable(got), np.int32, int(size.sum()))
                 bytes_before = np.concatenate([[0], np.cumsum(is_byte[flat])])
                 ends = np.cumsum(size)
                 cols = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))] * ids
@@ -234,11 +205,11 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids", keep: tuple[str, ..
     rows = encoded.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(ids).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ours = None
+        codec = None
         for b in batches:
-            ours = ours or build(sent.value)
+            codec = codec or Codec(sent.value)
             lists = b.column("t").to_pylist()
-            text = ours.decode_batch([x or [] for x in lists], skip_special_tokens=False)
+            text = codec.decode([x or [] for x in lists])
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([None if x is None else t for x, t in zip(lists, text, strict=True)], pa.string())], names=[*b.schema.names[:-1], "text"])
 
     kinds = ", ".join(f"k{i} {encoded.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))

@@ -55,6 +55,55 @@ def test_pieces_match_sentencepiece_and_come_back(spark):
     assert pieces.encode(frame(spark, texts).limit(0), model).count() == 0
 
 
+def tiny_model(kind, pieces_, squeeze=False, prefix=True, fallback=True):
+    """A sentencepiece model's bytes. pieces_: (piece, score, kind)."""
+    import struct
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    def field(number, value):
+        return varint(number << 3 | 2) + varint(len(value)) + value if isinstance(value, bytes) else varint(number << 3) + varint(value)
+
+    body = b"".join(field(1, field(1, p.encode()) + b"\x15" + struct.pack("<f", score) + field(3, k)) for p, score, k in pieces_)
+    trainer = field(3, kind) + field(4, len(pieces_)) + field(35, int(fallback)) + field(40, 0) + field(41, 1) + field(42, 2) + field(43, 2**64 - 1)
+    return body + field(2, trainer) + field(3, field(1, b"identity") + field(3, int(prefix)) + field(4, int(squeeze)) + field(5, 1))
+
+
+@pytest.mark.parametrize("kind, squeeze, prefix, fallback", [(1, False, True, True), (1, True, True, True), (1, False, False, True), (1, False, True, False), (2, False, True, True), (2, True, True, True), (2, False, False, True)])
+def test_models_of_either_kind_agree_with_sentencepiece(spark, tmp_path, kind, squeeze, prefix, fallback):
+    import sentencepiece
+
+    rnd = random.Random(kind)
+    words = sorted({"".join(rnd.choice("abcé") for _ in range(rnd.randint(2, 5))) for _ in range(40)})
+    parts = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{i:02X}>", 0.0, 6) for i in range(256) if fallback]
+    parts += [(p, -float(i) - (kind == 2) * 0.5, 1) for i, p in enumerate([*("▁" + w[:2] for w in words[:9:2]), *words, *"▁abcé"]) if p not in dict.fromkeys(q[0] for q in parts)]
+    data = tiny_model(kind, list({p[0]: p for p in parts}.values()), squeeze, prefix, fallback)
+    (tmp_path / "tiny.model").write_bytes(data)
+    lib = sentencepiece.SentencePieceProcessor(model_proto=data)
+    texts = [None, "", " ", "a", "abc  cab", " a ", "日本 abc", "\t", "<s>", "aé\nb"] + [" ".join("".join(rnd.choice("abcéx") for _ in range(rnd.randint(1, 9))) for _ in range(rnd.randint(1, 30))) for _ in range(60)]
+    got = pieces.encode(frame(spark, texts), str(tmp_path / "tiny.model")).collect()
+    assert [r.ids for r in got[:-1]] == [lib.encode(t or "") for t in texts] and all(r.parity for r in got)
+    back = pieces.decode(pieces.encode(frame(spark, texts), str(tmp_path / "tiny.model")), str(tmp_path / "tiny.model")).collect()
+    assert [r.round_trip for r in got[:-1]] == [b.text == (t or "") for b, t in zip(back, texts)]
+    if fallback and not squeeze:
+        assert all(r.round_trip for r in got)
+
+
+def test_fast_decoding_equals_the_library():
+    from tokenizers import Tokenizer  # noqa: F401
+
+    data = open(P.path("piece_bpe_32k.model"), "rb").read()
+    codec, rnd = pieces.Codec(data), random.Random(3)
+    ids = [[rnd.randrange(len(codec.bytes)) for _ in range(rnd.randint(0, 30))] for _ in range(50)] + codec.encode([t or "" for t in some_texts()])
+    at = [i for i in ids if not any(codec.model["pieces"][k][2] == pieces.BYTE for k in i)]  # loose bytes make no character
+    assert codec.plain and codec.decode(at) == codec.whole.decode_batch(at, skip_special_tokens=False)
+    assert codec.encode([t or "" for t in some_texts()]) == [e.ids for e in codec.whole.encode_batch([t or "" for t in some_texts()], add_special_tokens=False)]
+
+
 def base_counts(t):
     t = t or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
@@ -115,15 +164,57 @@ def fewest_phrases(sample, text):
     return n
 
 
-def test_automaton_counts_greedy_phrases():
+def plain_symbols(text):
+    return "".join(c if c.isalpha() else " " for c in text.lower()).split()
+
+
+@pytest.mark.parametrize("part", [3, 16, 512])
+def test_automaton_counts_greedy_phrases(part):
     rnd = random.Random(4)
-    p = language.CrossParser({"a": ["".join(rnd.choice("abc ") for _ in range(300))], "b": ["".join(rnd.choice("xyz ") for _ in range(300))]})
-    sample = {n: language.symbols([s], p.codes)[0] for n, s in (("a", "".join(rnd.choice("abc ") for _ in range(200))),)}["a"]
-    table = language.automaton(sample, 2 + len(p.letters))
-    for _ in range(30):
-        text = language.symbols(["".join(rnd.choice("abcxq ") for _ in range(rnd.randint(1, 80))).strip() or "a"], p.codes)[0]
-        got = language.phrases(table, text.astype("int32")[:, None], [1] * len(text))[0]
-        assert got == fewest_phrases("".join(map(chr, sample)), "".join(map(chr, text)))
+    for letters in ("abc ", "ab", "aé日я ", "".join(chr(0x4E00 + i) for i in range(300))):
+        sample = " ".join(plain_symbols("".join(rnd.choice(letters) for _ in range(300))))
+        alphabet = language.Alphabet(sorted({ord(c) for c in sample if c.isalpha()}))
+        automaton = language.Automaton(alphabet.symbols([sample])[0], len(alphabet.letters) + 2)
+        texts = ["", "a", "ab" * 400, sample, sample[7:90] * 3, "a" * 500] + ["".join(rnd.choice(letters + "xΩ!") for _ in range(rnd.randint(1, 700))) for _ in range(40)]
+        sym, off = alphabet.symbols(texts)
+        plain = [" ".join(plain_symbols(t)) for t in texts]
+        assert (off[1:] - off[:-1]).tolist() == [len(t) for t in plain]
+        assert automaton.phrases(sym, off, part).tolist() == [fewest_phrases(sample, t) for t in plain]
+
+
+def test_language_query_matches_plain_cross_parsing(spark):
+    """Sample, phrases, bits and score of the whole query against string search."""
+    rnd = random.Random(12)
+    scripts = {"aa": "abcde  ", "bb": "abcxyz  ", "cc": "日本語中文字 ", "dd": "привет  "}
+    rows = [(i, "".join(rnd.choice(scripts[s]) for _ in range(rnd.randint(20, 1500))), s) for i, s in enumerate(rnd.choices(list(scripts), k=120))]
+    rows += [(500, None, "aa"), (501, "", "aa"), (502, "1 2 !", None), (503, "日本", None), (504, "abc", None)] + rows[:2]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("l", F.lit(1))
+    parser = language.train(df.where(~held_out()))
+    hashes = {r.doc_id: r.h for r in df.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    taught = {r.doc_id for r in df.where(~held_out()).collect()}
+    samples = {}
+    for s in scripts:
+        left, took = language.TRAIN_CHARS, []
+        for k, t, _ in sorted((r for r in rows if r[2] == s and r[0] in taught and r[1] is not None), key=lambda r: (hashes[r[0]], r[1]))[: language.TRAIN_ROWS]:
+            if len(t) <= left:
+                took.append(t)
+                left -= len(t)
+        samples[s] = " ".join(plain_symbols(" ".join(took)))
+    got = language.identify(df, parser).collect()
+    for r, (k, t, _) in zip(sorted(got, key=lambda r: r.doc_id), sorted(rows, key=lambda r: r[0])):
+        text = " ".join(plain_symbols(t or ""))
+        if not text:
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        bits = sorted((fewest_phrases(sample, text) * math.log2(len(sample) + 1) / len(text), s) for s, sample in samples.items())
+        assert r.lang_pred == bits[0][1] and abs(r.score - bits[1][0] / (bits[0][0] + bits[1][0])) < 1e-9
+
+
+def test_training_rows_are_whole_and_the_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language, "TRAIN_CHARS", 100)
+    df = spark.createDataFrame([(i, "ab" * 20, "x") for i in range(9)] + [(20, "c" * 500, "y"), (21, "d" * 400, "y")] + [(30, "e" * 90, "z"), (31, "f" * 300, "z")], "doc_id long, text string, lang string")
+    parser = language.train(df)
+    assert parser.languages == ["x", "y", "z"] and [round(2**b) - 1 for b in parser.bits] == [81, 400, 90]
 
 
 def test_languages_are_told_apart(spark):
@@ -134,6 +225,7 @@ def test_languages_are_told_apart(spark):
     odd = language.identify(frame(spark, [None, "", "12 !", "the and thing"]), parser).collect()
     assert [r.lang_pred for r in odd[:3]] == ["und"] * 3 and odd[3].lang_pred == "en"
     assert {r.lang_pred for r in language.identify(frame(spark, ["abc"]), language.CrossParser({})).collect()} == {"und"}
+    assert language.identify(docs.limit(0), parser).count() == 0 and language.train(docs.limit(0)).languages == []
 
 
 def test_toxic_texts_score_high(spark):
@@ -167,10 +259,79 @@ def test_fingerprints_are_local_and_edits_exact(spark):
     assert phrases.compare_with_next(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("slices", [1, 2, 7, 30])
+def test_rows_of_one_key_fill_several_slices(spark, slices):
+    """Null, repeated and single keys: each row is compared with the next one in the order of key and text's hash."""
+    rnd = random.Random(14)
+    rows = [(rnd.choice([None, 7, 7, 7, i]), "".join(rnd.choice("abc ") for _ in range(rnd.randint(0, 60)))) for i in range(300)] + [(7, "same"), (7, "same"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    ordered = [(r.doc_id, r.text or "") for r in df.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()]
+    want = Counter()
+    for (k, t), (_, n) in zip(ordered, ordered[1:] + ordered[:1]):
+        want[k, hashlib.sha256(phrases.edited(t, n).encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in phrases.compare_with_next(df, slices=slices).collect()) == want
+
+
+def plain_parse(names):
+    """One level for one text, symbol by symbol: runs become one, labels by four rounds of coin tossing, phrases begin at peaks."""
+    M = (1 << 64) - 1
+
+    def mix(h):
+        h ^= h >> 30
+        h = h * 0xBF58476D1CE4E5B9 & M
+        h ^= h >> 27
+        h = h * 0x94D049BB133111EB & M
+        return h ^ h >> 31
+
+    def name(part):
+        h = sum(mix(x) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, x in enumerate(part))
+        return mix((h + len(part) * 0xD6E8FEB86659FD93) & M)
+
+    runs = []
+    for x in names:
+        if runs and runs[-1][0] == x:
+            runs[-1].append(x)
+        else:
+            runs.append([x])
+    names = [name(r) for r in runs]
+    label = list(names)
+    for _ in range(4):
+        new = []
+        for i, x in enumerate(label):
+            if i == 0:
+                new.append(x & 1)
+            elif x == label[i - 1]:
+                new.append(x & 1)
+            else:
+                k = ((x ^ label[i - 1]) & -(x ^ label[i - 1])).bit_length() - 1
+                new.append(2 * k + (x >> k & 1))
+        label = new
+    n = len(names)
+    begins = [i for i in range(n) if i == 0 or (1 < i < n - 1 and label[i] > label[i - 1] and label[i] >= label[i + 1])]
+    return [name(names[a:b]) for a, b in zip(begins, [*begins[1:], n])]
+
+
+def test_parse_matches_a_plain_version():
+    import numpy as np
+
+    rnd = random.Random(15)
+    for text in [t or "" for t in some_texts(30)] + ["".join(rnd.choice("abcdef gh") for _ in range(500)), "ab" * 300, "a" * 100]:
+        names = [ord(c) for c in text]
+        points, off = np.array(names, np.uint64), np.array([0, len(text)])
+        for _ in range(3):
+            points, off = phrases.parse(points, off)
+            names = plain_parse(names)
+            assert points.tolist() == names and off.tolist() == [0, len(names)]
+        sketch = phrases.sketch(points, off, phrases._FACTORS[2])[0]
+        for value, f in zip(sketch.tolist(), phrases._FACTORS[2].tolist()):
+            h = min((x * f & (1 << 64) - 1 for x in names), default=None)
+            assert value == (0 if h is None else int(phrases.mixed(np.array([h], np.uint64))[0]) & 0xFFFF)
+
+
 def test_schedule_stays_within_a_block_of_the_targets():
     rnd = random.Random(6)
     for _ in range(40):
-        parts = mixing.shares([rnd.random() ** 2 + 1e-3 for _ in range(rnd.randint(1, 12))], 240)
+        parts = [rnd.randint(1, 60) for _ in range(rnd.randint(1, 12))]
         slots, period = mixing.schedule(parts), sum(parts)
         assert sorted(s for x in slots for s in x) == list(range(period))
         for a, own in zip(parts, slots):
@@ -186,7 +347,7 @@ def test_mix_places_every_document(spark):
     rows = [(i, "w" * rnd.randint(0, 400), rnd.choice(["a", "a", "a", "b", None]), 1) for i in range(400)] + [(None, None, "c", 1), (5, "w", "b", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, slot int")
     mix = mixing.plan(df, block_bytes=2_000)
-    got = mixing.place(df, mix, block_bytes=2_000).collect()
+    got = mixing.place(df, mix).collect()
     first = [r for r in got if r.epoch == 0]
     assert Counter((r.doc_id, r.source) for r in first) == Counter((r[0], r[2]) for r in rows)
     assert all(r.release <= r.slot < r.deadline and r.slot < mix.horizon for r in got)
@@ -201,7 +362,7 @@ def test_mix_keeps_the_exact_weights_over_its_whole_length(spark):
     mix = mixing.plan(df, weights={**weights, "d": 2e-4}, block_bytes=100)
     exact = {**weights, "d": 2e-4}
     total = sum(map(Fraction, exact.values()))
-    got = mixing.place(df, mix, block_bytes=100).collect()
+    got = mixing.place(df, mix).collect()
     assert mix.horizon > 5000 and Counter((r.doc_id, r.source) for r in got if r.epoch == 0) == Counter((r[0], r[2]) for r in rows)
     for r in got:
         w = Fraction(exact[r.source]) / total
@@ -211,8 +372,38 @@ def test_mix_keeps_the_exact_weights_over_its_whole_length(spark):
         assert abs(blocks - Fraction(w) / total * mix.horizon) < 1 + (s == "d")
 
 
+def test_two_weights_far_apart_stay_within_a_block():
+    weights = [0.9995, 0.0005]
+    total, served = sum(map(Fraction, weights)), [0, 0]
+    for n, (i, *_) in enumerate(mixing.slots(mixing.exact(weights), 50_000), 1):
+        served[i] += 1
+        assert all(abs(k - Fraction(w) / total * n) < 1 for k, w in zip(served, weights))
+    assert served[1] in (25, 26)
+
+
+def test_blocks_grow_where_a_mix_has_too_many(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 10)
+    df = spark.createDataFrame([(i, "w" * 3_000, "ab"[i % 2]) for i in range(600)], "doc_id long, text string, source string")
+    mix = mixing.plan(df)
+    assert mix.block_bytes == 180_000 and mix.horizon == 10
+    assert Counter(r.doc_id for r in mixing.place(df, mix).collect()) == Counter(range(600))
+
+
+def test_a_written_mix_keeps_its_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_BYTES", 500)
+    rnd = random.Random(4)
+    rows = [(i, "w" * rnd.randint(0, 300), rnd.choice("aab")) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    placed = sorted(mixing.place(df, mixing.plan(df)).collect(), key=lambda r: (r.slot, r.turn, r.doc_id))
+    mixed = mixing.mixed_documents(df)
+    mixed.write.parquet(f"{tmp_path}/mix")
+    for docs in (spark.read.parquet(f"{tmp_path}/mix"), mixed.cache()):
+        got = sorted(mixing.with_position(docs).collect(), key=lambda r: (r.part, r.row))
+        assert [r.doc_id for r in got] == [r.doc_id for r in placed]
+
+
 def test_mix_of_a_tiny_source_is_no_longer_than_the_others_need(spark):
     df = spark.createDataFrame([(i, "w" * 100, "a") for i in range(3000)] + [(9999, "w", "b")], "doc_id long, text string, source string")
     mix = mixing.plan(df, weights={"a": 1.0, "b": 1e-5}, block_bytes=100)
-    got = mixing.place(df, mix, block_bytes=100).collect()
+    got = mixing.place(df, mix).collect()
     assert mix.horizon <= 3002 and Counter(r.doc_id for r in got)[9999] == 1 and all(r.release <= r.slot < min(r.deadline, mix.horizon) for r in got)
