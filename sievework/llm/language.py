@@ -2,13 +2,14 @@
 
 A suffix automaton of labelled text per language reads a text and cuts it into phrases, each the longest
 that occurs in that language's sample. Phrases times log2 of the sample's length, over the characters read,
-estimates the cross entropy; the language that needs least wins.
+estimates the cross entropy; the language that needs least wins. Symbols are code points: every letter of
+every script counts as itself.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,144 +18,205 @@ from pyspark.sql import functions as F
 
 from .common import task
 
-#: The classifier's bounded sample: rows a language, characters taken of a row, characters a language in all.
-TRAIN_ROWS, TRAIN_ROW_CHARS, TRAIN_CHARS = 64, 4_000, 40_000
-#: Letters with a symbol of their own; the rest share one.
-ALPHABET = 60
-#: Characters after which a text's reading starts a new phrase, so that all parts of all texts are read side by side.
+#: The classifier's bounded sample: whole rows a language, and their characters in all. A row that does not fit is passed over; if none does, the shortest is taken.
+TRAIN_ROWS, TRAIN_CHARS = 64, 40_000
+#: Characters of a part; parts are read side by side and then joined, which does not change the phrases.
 PART = 512
+#: Characters that are read at once, or one text.
+CHARS = 1 << 20
 UNKNOWN = "und"
 
-_SPACE, _OTHER = 0, 1
-
-
-def symbol_table(letters: str) -> np.ndarray:
-    """Symbol of each code point of the basic plane: space for what isn't a letter."""
-    out = np.fromiter((_OTHER if chr(i).isalpha() else _SPACE for i in range(1 << 16)), np.uint8, 1 << 16)
-    for i, c in enumerate(letters):
-        out[ord(c)] = 2 + i
-    return out
-
-
-def symbols(texts: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols of all texts, offsets): lower case, runs of non-letters as one space, none at a text's ends."""
-    texts = [t.lower() for t in texts]
-    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    sym = codes[np.minimum(points, 0xFFFF)]
-    if len(far := np.flatnonzero(points > 0xFFFF)):
-        sym[far] = [_OTHER if chr(p).isalpha() else _SPACE for p in points[far]]
-    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    keep = sym != _SPACE
-    keep[:-1] |= sym[1:] != _SPACE  # the last space of a run stays
-    owner = np.repeat(np.arange(len(texts)), np.diff(off))
-    first = np.zeros(len(sym), bool)
-    first[off[:-1][np.diff(off) > 0]] = True
-    lead = (sym == _SPACE) & (np.concatenate([[True], np.cumsum(sym != _SPACE)])[:-1] == np.concatenate([[0], np.cumsum(sym != _SPACE)])[off[owner]] if len(sym) else np.zeros(0, bool))
-    last = np.zeros(len(sym), bool)
-    last[off[1:][np.diff(off) > 0] - 1] = True
-    keep &= ~lead & ~(last & (sym == _SPACE))
-    return sym[keep], np.concatenate([[0], np.cumsum(keep)])[off]
-
-
-def automaton(text: np.ndarray, n_symbols: int) -> np.ndarray:
-    """Dense suffix automaton with a row a state. A missing step leads to the copy of the root's successor that marks a new phrase; the copies are the last n_symbols + 1 rows."""
-    after: list[dict[int, int]] = [{}]
-    link, length, last = [-1], [0], 0
-    for c in text.tolist():
-        cur = len(after)
-        after.append({})
-        length.append(length[last] + 1)
-        link.append(0)
-        p = last
-        while p >= 0 and c not in after[p]:
-            after[p][c] = cur
-            p = link[p]
-        if p >= 0:
-            q = after[p][c]
-            if length[p] + 1 == length[q]:
-                link[cur] = q
+_SPACE = 0
+
+
+@lru_cache(1)
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+
+
+class Alphabet:
+    """Numbers of letters: space 0, the letters from 1 on, all other letters the last number."""
+
+    def __init__(self, letters: list[int]):
+        self.letters = letters
+        self.codes = np.where(_letters(), len(letters) + 1, _SPACE).astype(np.int32)
+        self.codes[letters] = np.arange(1, len(letters) + 1)
+
+    def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(symbols of all texts, offsets): lower case, runs of non-letters as one space, none at a text's ends."""
+        texts = [t.lower() for t in texts]
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        sym = self.codes[points]
+        off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        letter = sym != _SPACE
+        # a space stays where a letter of its text stands before the run, and another behind it: at the run's last place
+        before = np.concatenate([[0], np.cumsum(letter)])
+        size = np.diff(off)
+        owner_first, owner_all = np.repeat(before[off[:-1]], size), np.repeat(before[off[1:]], size)
+        follows = np.append(letter[1:], False)
+        keep = letter | (follows & (before[:-1] > owner_first) & (before[:-1] < owner_all))
+        return sym[keep], np.concatenate([[0], np.cumsum(keep)])[off]
+
+
+class Automaton:
+    """Suffix automaton of a sample. Steps lie in one array, each state's at its own shift, so its size is that of the sample whatever the alphabet.
+
+    The last state is the one after a symbol that the sample lacks, where any symbol begins a phrase.
+    """
+
+    def __init__(self, text: np.ndarray, n_symbols: int):
+        after: list[dict[int, int]] = [{}]
+        link, length, last = [-1], [0], 0
+        for c in text.tolist():
+            cur = len(after)
+            after.append({})
+            length.append(length[last] + 1)
+            link.append(0)
+            p = last
+            while p >= 0 and c not in after[p]:
+                after[p][c] = cur
+                p = link[p]
+            if p >= 0:
+                q = after[p][c]
+                if length[p] + 1 == length[q]:
+                    link[cur] = q
+                else:
+                    clone = len(after)
+                    after.append(dict(after[q]))
+                    length.append(length[p] + 1)
+                    link.append(link[q])
+                    while p >= 0 and after[p].get(c) == q:
+                        after[p][c] = clone
+                        p = link[p]
+                    link[q] = link[cur] = clone
+            last = cur
+        self._lay_out(after, n_symbols)
+
+    def _lay_out(self, after: list[dict[int, int]], n_symbols: int) -> None:
+        n = len(after)
+        owner, to = {}, {}  # by place
+        shift = np.full(n + 1, 0, np.int32)
+        free, end = n_symbols, n_symbols
+        for state in sorted(range(n), key=lambda s: (-len(after[s]), s)):
+            steps = after[state]
+            if not steps:
+                continue
+            while free in owner:
+                free += 1
+            least = min(steps)
+            if len(steps) == 1:
+                at = free - least
             else:
-                clone = len(after)
-                after.append(dict(after[q]))
-                length.append(length[p] + 1)
-                link.append(link[q])
-                while p >= 0 and after[p].get(c) == q:
-                    after[p][c] = clone
-                    p = link[p]
-                link[q] = link[cur] = clone
-        last = cur
-    n = len(after)
-    restart = [after[0].get(c, 0) for c in range(n_symbols)]
-    table = np.empty((n + n_symbols + 1, n_symbols), np.int32)
-    # a letter that the sample lacks is a phrase of its own and leads to the last row, where any letter begins a phrase
-    table[:] = [n + c if restart[c] else n + n_symbols for c in range(n_symbols)]
-    for state, steps in enumerate(after):
-        for c, to in steps.items():
-            table[state, c] = to
-    known = [c for c in range(n_symbols) if restart[c]]
-    table[[n + c for c in known]] = table[[restart[c] for c in known]]
-    return table
-
-
-def phrases(table: np.ndarray, lanes: np.ndarray, active: np.ndarray) -> np.ndarray:
-    """Phrases of each lane. lanes: symbols by (step, lane), longest lane first; active: lanes that still read at each step."""
-    n = len(table) - table.shape[1] - 1
-    flat = (table.astype(np.int64) * table.shape[1]).astype(np.int32).ravel()
-    marked = n * table.shape[1]
-    state, count = np.full(lanes.shape[1], marked + table.shape[1] ** 2, np.int32), np.zeros(lanes.shape[1], np.int64)
-    for step, k in enumerate(active):
-        to = flat[state[:k] + lanes[step, :k]]
-        state[:k] = to
-        count[:k] += to >= marked
-    return count
+                # the first of some shifts from the first free place on that fits, else one behind all others
+                at = next((b for b in range(free - least, free - least + 32) if not any(b + c in owner for c in steps)), end - least)
+            shift[state] = at
+            for c, s in steps.items():
+                owner[at + c], to[at + c] = state, s
+            end = max(end, at + max(steps) + 1)
+        # any state with any symbol stays within the arrays
+        size = end + n_symbols + 1
+        self.shift, self.owner, self.to = shift, np.full(size, -1, np.int32), np.zeros(size, np.int32)
+        places = np.fromiter(owner, np.int64, len(owner))
+        self.owner[places], self.to[places] = np.fromiter(owner.values(), np.int32, len(owner)), np.fromiter(to.values(), np.int32, len(to))
+        self.begin = np.array([after[0].get(c, n) for c in range(n_symbols)], np.int32)
+        self.start = n
+
+    def step(self, state: np.ndarray, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(states, whether a phrase begins) after a symbol."""
+        at = self.shift[state] + sym
+        goes_on = self.owner[at] == state
+        return np.where(goes_on, self.to[at], self.begin[sym]), ~goes_on
+
+    def phrases(self, sym: np.ndarray, off: np.ndarray, part: int = PART) -> np.ndarray:
+        """Phrases of each text.
+
+        All parts of all texts are read side by side as if a phrase began with each. Then each part is read again
+        from the state in which the part before it really ends, until its states are those of the first reading;
+        where they stay different to its end, the next part is read once more.
+        """
+        size = np.diff(off)
+        parts = -(-size // part)
+        owner = np.repeat(np.arange(len(size)), parts)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+        start = off[:-1][owner] + nth * part
+        length = np.minimum(off[1:][owner] - start, part)
+        order = np.argsort(-length, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))  # of each part, in order of length
+        start, length = start[order], length[order]
+        count = np.zeros(len(order), np.int64)
+        if not len(order):
+            return np.zeros(len(size), np.int64)
+        steps = int(length[0])
+        active = np.searchsorted(-length, -np.arange(steps), side="left")
+        states, begins = np.zeros((steps, len(order)), np.int32), np.zeros((steps, len(order)), bool)
+        state = np.full(len(order), self.start, np.int32)
+        for t, k in enumerate(active.tolist()):
+            state[:k], begins[t, :k] = self.step(state[:k], sym[start[:k] + t])
+            states[t, :k] = state[:k]
+        count += begins.sum(0)
+        todo = np.flatnonzero(nth > 0)
+        while len(todo):
+            mine, before = place[todo], place[todo - 1]
+            now = states[length[before] - 1, before]
+            t = 0
+            while True:
+                on = np.flatnonzero(length[mine] > t)
+                if not len(on):
+                    break
+                lanes, cur = mine[on], now[on]
+                new, begun = self.step(cur, sym[start[lanes] + t])
+                count[lanes] += begun.astype(np.int64) - begins[t, lanes]
+                differ = new != states[t, lanes]
+                states[t, lanes], begins[t, lanes] = new, begun
+                # those that agree are done; those at their end go on in the next part
+                now[on] = new
+                left = np.ones(len(mine), bool)
+                left[on] = differ
+                mine, now, todo = mine[left], now[left], todo[left]
+                t += 1
+            # what is left differed to its part's end
+            todo = todo[np.append(nth, 0)[todo + 1] > 0] + 1
+        return np.bincount(owner, count[place], len(size)).astype(np.int64)
 
 
 class CrossParser:
     """Languages' automata over one alphabet."""
 
     def __init__(self, samples: dict[str, list[str]]):
-        seen = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha() and ord(c) < 1 << 16)
-        self.letters = "".join(sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET]))
-        self.codes = symbol_table(self.letters)
-        self.languages, self.tables, self.bits = [], [], []
+        self.alphabet = Alphabet(sorted({ord(c) for texts in samples.values() for t in texts for c in t.lower() if c.isalpha()}))
+        self.languages, self.automata, self.bits = [], [], []
         for language in sorted(samples):
-            sym, _ = symbols([" ".join(samples[language])], self.codes)
+            sym, _ = self.alphabet.symbols([" ".join(samples[language])])
             if len(sym):
                 self.languages.append(language)
-                self.tables.append(automaton(sym[:TRAIN_CHARS], 2 + len(self.letters)))
-                self.bits.append(float(np.log2(len(sym[:TRAIN_CHARS]) + 1)))
+                self.automata.append(Automaton(sym, len(self.alphabet.letters) + 2))
+                self.bits.append(float(np.log2(len(sym) + 1)))
 
     def entropy(self, texts: list[str]) -> np.ndarray:
         """Estimated bits a character by (text, language); infinite for a text without a letter."""
-        sym, off = symbols(texts, self.codes)
+        sym, off = self.alphabet.symbols(texts)
         size = np.diff(off)
-        parts = -(-size // PART)
-        owner = np.repeat(np.arange(len(texts)), parts)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
-        start = off[:-1][owner] + nth * PART
-        length = np.minimum(off[1:][owner] - start, PART)
-        order = np.argsort(-length, kind="stable")
-        start, length, owner = start[order], length[order], owner[order]
         out = np.full((len(texts), len(self.languages)), np.inf)
-        if not len(order):
-            return out
-        steps = np.arange(length[0])
-        lanes = sym[np.minimum(start[None, :] + steps[:, None], len(sym) - 1)].astype(np.int32)
-        active = np.searchsorted(-length, -steps, side="left")
         read = size > 0
-        for i, (table, bits) in enumerate(zip(self.tables, self.bits, strict=True)):
-            total = np.bincount(owner, phrases(table, lanes, active), len(texts))
-            out[read, i] = total[read] * bits / size[read]
+        for i, (automaton, bits) in enumerate(zip(self.automata, self.bits, strict=True)):
+            out[read, i] = automaton.phrases(sym, off)[read] * bits / size[read]
         return out
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> CrossParser:
-    """Automata from a bounded sample of the labelled rows: the first ``TRAIN_ROWS`` a language by a hash of the key."""
-    rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("l"), F.substring(text, 1, TRAIN_ROW_CHARS).alias("t"), F.xxhash64(key).alias("h"))
-    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))).where(F.col("n") <= TRAIN_ROWS)
+    """Automata from a bounded sample of the labelled rows: per language, whole rows in the order of a hash of the key, ``TRAIN_ROWS`` and ``TRAIN_CHARS`` at most."""
+    rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("l"), F.col(text).alias("t"), F.xxhash64(key).alias("h"), F.length(text).alias("n"))
+    # rows that fit come first, by the hash, then the shortest of the others
+    order = Window.partitionBy("l").orderBy(F.greatest("n", F.lit(TRAIN_CHARS)), "h", "t")
+    rows = rows.withColumn("r", F.row_number().over(order)).where((F.col("r") <= TRAIN_ROWS) & ((F.col("n") <= TRAIN_CHARS) | (F.col("r") == 1)))
     samples: dict[str, list[str]] = {}
-    for r in sorted(rows.collect()):  # TRAIN_ROWS rows a language at most
-        samples.setdefault(r.l, []).append(r.t)
+    left: dict[str, int] = {}
+    for r in sorted(rows.drop("h").collect(), key=lambda r: (r.l, r.r)):  # TRAIN_ROWS rows a language at most, none over TRAIN_CHARS but where all are
+        if r.l not in samples or r.n <= left[r.l]:
+            samples.setdefault(r.l, []).append(r.t)
+            left[r.l] = left.get(r.l, TRAIN_CHARS) - r.n
     return CrossParser(samples)
 
 
@@ -166,13 +228,13 @@ def identify(docs: DataFrame, parser: CrossParser, text: str = "text", keep: tup
     that has learned no language. Of equal languages the first by name wins. Map-only: no shuffle; the
     automata (a size fixed by the sample's bound) are broadcast. Extra columns are not read.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((parser.letters, parser.languages, parser.tables, parser.bits))
+    sent = docs.sparkSession.sparkContext.broadcast((parser.alphabet.letters, parser.languages, parser.automata, parser.bits))
     rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = CrossParser({})
-        p.letters, p.languages, p.tables, p.bits = sent.value
-        p.codes = symbol_table(p.letters)
+        letters, p.languages, p.automata, p.bits = sent.value
+        p.alphabet = Alphabet(letters)
         for whole in batches:
             at = 0
             while at < whole.num_rows:
@@ -180,7 +242,7 @@ def identify(docs: DataFrame, parser: CrossParser, text: str = "text", keep: tup
                 for t in whole.column("t")[at:]:
                     texts.append(t.as_py() or "")
                     size += len(texts[-1])
-                    if size > 1 << 19:
+                    if size > CHARS:
                         break
                 b, at = whole.slice(at, len(texts)), at + len(texts)
                 bits = p.entropy(texts)

@@ -239,6 +239,57 @@ def test_toxic_texts_score_high(spark):
     assert toxicity.score(docs.limit(2), none).first().score == 0
 
 
+def plain_features(text, words, stems):
+    """The features by loops over words and characters."""
+    found = toxicity._WORD.findall(text)
+    n, size = max(1, len(found)), max(1, len(text.encode()))
+    bad, stem, you, veiled, mixed_, shouted = [], [], [], 0, 0, 0
+    for i, w in enumerate(found):
+        low = w.lower()
+        hit = low in words
+        if re.search(r"[^\W\d_][\d@$!|*][^\W\d_]", w):
+            mixed_ += 1
+            plain = low.translate(toxicity.VEILS)
+            if plain in words or "".join(c for c in plain if c.isalnum()) in words:
+                veiled += 1
+                hit = True
+        if hit:
+            bad.append(i)
+        if any(low[:k] in stems for k in toxicity.STEMS if len(low) > k):
+            stem.append(i)
+        if low in toxicity.SECOND_PERSON:
+            you.append(i)
+        shouted += len(w) > 1 and w.isupper()
+    near = sum(any(abs(i - j) <= toxicity.NEAR for j in you) for i in {*bad, *stem})
+    marks = sum(33 <= ord(c) < 127 and not c.isalnum() for c in text)
+    row = {"hit_rate": 100 * len(bad) / n, "hits": math.log1p(len(bad)), "stem_rate": 100 * len(stem) / n, "stem_hits": math.log1p(len(stem)), "near_rate": 100 * near / n, "near_hits": math.log1p(near), "veiled_hits": math.log1p(veiled)}
+    return row | {"capitals": 100 * sum("A" <= c <= "Z" for c in text) / size, "shouted": 100 * shouted / n, "exclamations": 100 * text.count("!") / size, "punctuation": 100 * marks / size, "obfuscated": 100 * mixed_ / n, "words": math.log1p(len(found))}
+
+
+def test_toxicity_features_match_a_plain_version(spark):
+    rnd = random.Random(16)
+    words, stems = frozenset({"grum", "idiot", "blöd"}), frozenset({"idio", "grumm"})
+    bits = ["grum", "GRUM!", "id1ot", "i-d-i-o-t", "idiotic", "you", "Du", "blöd", "fine", "WORD", "gr*m", "a", "!!", "$5", "grummel", "é"]
+    texts = some_texts(40) + [" ".join(rnd.choice(bits) for _ in range(rnd.randint(1, 60))) for _ in range(60)]
+    got = toxicity.featured(frame(spark, texts), words, stems, "text", ("doc_id",)).collect()
+    for r, t in zip(got, texts):
+        want = plain_features(t or "", words, stems)
+        assert all(abs(r[f] - want[f]) < 1e-9 for f in toxicity.FEATURES), (t, r, want)
+
+
+def test_toxicity_learns_from_few_rows_and_odd_labels(spark):
+    rows = [(i, ("you grum blarg " if i % 3 == 0 else "a fine calm day ") * 9 + str(i)) for i in range(60)] + [(None, "x"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("y", F.lit("clash"))
+    labels = [(i, 5 if i % 3 == 0 else -1) for i in range(60)] + [(0, None), (None, 1), (3, 0)] + [(1000 + i, 1) for i in range(200)]
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert model.trees is not None and abs(model.rate - 1 / 3) < 1e-9
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert all(got[i].predicted == (i % 3 == 0) for i in range(60) if i != 7) and len(got) == 61
+    assert toxicity.score(docs.limit(0), model).count() == 0
+    two = spark.createDataFrame(labels[:5], "doc_id long, toxic int")  # too few of a class: their share
+    assert {r.score for r in toxicity.score(docs, toxicity.train(docs, two)).collect()} == {0.4}
+
+
 def test_fingerprints_are_local_and_edits_exact(spark):
     rnd = random.Random(9)
     texts = some_texts(80) + ["".join(rnd.choice("abcdefgh ") for _ in range(900)) for _ in range(6)]
