@@ -3,8 +3,9 @@
 Each source's documents, in a random but fixed order, are cut into blocks of so many bytes. The j-th block of
 a source with an exact share w is released at floor(j / w) and due at ceil((j + 1) / w); earliest deadline
 first gives every block a slot in its window, so that at any time each source is less than one block away
-from its target, however long the mix is. One task makes the slots of the whole mix in constant memory, a row
-a block, as a table that documents are joined with.
+from its target, however long the mix is. A block is so large that a mix has a bounded number of them, so one
+task makes the slots of the whole mix in constant memory, a row a block, as a table that documents are joined
+with.
 """
 
 from __future__ import annotations
@@ -18,37 +19,23 @@ from math import lcm
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import mixed, task, written
 
-#: Bytes of a block; exponent that tempers the sources' measured shares where no weights are given.
-BLOCK_BYTES, TEMPER = 1 << 16, 0.9
-#: Sources that a mix may have; rows of the schedule that are sent at once.
-MOST_SOURCES, SCHEDULE_ROWS = 100_000, 10_000
+#: Bytes of a block at the least; blocks of all sources together at about the most, beyond which a block grows; exponent that tempers the sources' measured shares where no weights are given.
+BLOCK_BYTES, MOST_BLOCKS, TEMPER = 1 << 16, 1 << 20, 0.9
+#: Rows of the schedule that are sent at once.
+SCHEDULE_ROWS = 10_000
 #: A deadline later than this is stated as this.
 MOST_SLOTS = (1 << 63) - 1
 #: Bytes of a part of a source within which documents are put in order, and parts of a source at most.
 PART_BYTES, MOST_PARTS = 8 << 20, 4_096
-
-
-def shares(weights: list[float], period: int) -> list[int]:
-    """Whole slots of a period for each weight, at least one each, by largest remainders."""
-    total = sum(weights)
-    exact = [w / total * period for w in weights]
-    out = [max(1, int(x)) for x in exact]
-    rest = sorted(range(len(out)), key=lambda i: (out[i] - exact[i], i))
-    i = 0
-    while (left := period - sum(out)) > 0:
-        out[rest[i % len(out)]] += 1
-        i += 1
-    while left < 0:  # the least weights were raised to one slot
-        most = max(range(len(out)), key=lambda k: (out[k] - exact[k] if out[k] > 1 else -1.0, -k))
-        out[most] -= 1
-        left += 1
-    return out
+#: Bytes of a written slice of the mix at about the most.
+SLICE_BYTES = 128 << 20
 
 
 def exact(weights: list[float]) -> list[int]:
@@ -86,31 +73,36 @@ def schedule(parts: list[int]) -> list[list[int]]:
 
 @dataclass
 class Plan:
-    """A mix: for each source its number, exact weight, blocks of an epoch and parts; and the slots in all."""
+    """A mix: for each source its number, exact weight, blocks of an epoch and parts; the slots in all; and a block's bytes."""
 
     sources: list
     weights: list[int]
     blocks: list[int]
     parts: list[int]
     horizon: int
+    block_bytes: int
 
 
-def plan(docs: DataFrame, source: str = "source", text: str = "text", weights: dict | None = None, block_bytes: int = BLOCK_BYTES) -> Plan:
-    """The mix of a table's sources. Without weights, a source's target is its share of bytes to the power ``TEMPER``. The mix ends when each source's target has reached its bytes."""
-    rows = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size_of(text)).alias("bytes")).limit(MOST_SOURCES + 1).collect()
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"a mix has {MOST_SOURCES} sources at most")
+def plan(docs: DataFrame, source: str = "source", text: str = "text", weights: dict | None = None, block_bytes: int | None = None) -> Plan:
+    """The mix of a table's sources. Without weights, a source's target is its share of bytes to the power ``TEMPER``.
+
+    The mix ends when each source's target has reached its bytes, so a source whose weight is far below its
+    share of the bytes makes the mix longer, and the others are read again until then: the result has total
+    weight / weight times its bytes. The driver holds a few numbers for each source.
+    """
+    rows = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size_of(text)).alias("bytes")).collect()
     rows = sorted(rows, key=lambda r: (r.source is not None, str(r.source)))
     names, sizes = [r.source for r in rows], [r.bytes for r in rows]
     if not rows:
-        return Plan([], [], [], [], 0)
+        return Plan([], [], [], [], 0, block_bytes or BLOCK_BYTES)
+    block_bytes = block_bytes or max(BLOCK_BYTES, -(-sum(sizes) // MOST_BLOCKS))
     if weights is not None and (missing := [n for n in names if not weights.get(n, 0) > 0]):
         raise ValueError(f"no positive weight for {missing[:5]}")
     whole = exact([weights[n] for n in names] if weights is not None else [b**TEMPER for b in sizes])
     blocks = [-(-b // block_bytes) for b in sizes]
     parts = [max(1, min(MOST_PARTS, -(-b // PART_BYTES))) for b in sizes]
     total = sum(whole)
-    return Plan(names, whole, blocks, parts, max(-(-b * total // (a * block_bytes)) for b, a in zip(sizes, whole, strict=True)))
+    return Plan(names, whole, blocks, parts, max(-(-b * total // (a * block_bytes)) for b, a in zip(sizes, whole, strict=True)), block_bytes)
 
 
 def scheduled(spark: SparkSession, mix: Plan) -> DataFrame:
@@ -146,19 +138,19 @@ def size_of(text: str):
     return F.greatest(F.lit(1), F.coalesce(F.octet_length(text), F.lit(0))).cast("long")
 
 
-def place(docs: DataFrame, mix: Plan, key: str = "doc_id", source: str = "source", text: str = "text", keep: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def place(docs: DataFrame, mix: Plan, key: str = "doc_id", source: str = "source", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """A row for each time that a document has a place: key, source, ``keep`` columns, n_bytes, epoch, block, release, deadline, slot, turn.
 
     Every document has a place in epoch 0; a source that ends before the mix does starts again, in later
     epochs. slot and turn order the whole mix. A null source is a source of its own; a null or empty text
     counts one byte; null keys and ties are ordered by a hash of key and text; repeated rows have a place
     each; other columns are not read; an empty table gives an empty result. A hot source is dealt out in
-    parts; no window holds a whole source.
+    parts; no window holds a whole source. The schedule is written to the shared folder when this is called.
     """
     spark = docs.sparkSession
     own = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), size_of(text).alias("_bytes"), F.xxhash64(key, text).alias("_turn"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)])
     times = scheduled(spark, mix)
-    # one row a source: MOST_SOURCES at most
+    # one row a source
     sources = spark.createDataFrame([(n, i, b, p) for i, (n, b, p) in enumerate(zip(mix.sources, mix.blocks, mix.parts, strict=True))], f"_name {docs.schema[source].dataType.simpleString()}, _i long, _n long, _parts int")
     rows = own.join(F.broadcast(sources), F.col("_source").eqNullSafe(F.col("_name"))).withColumn("_part", F.pmod(F.hash("_turn"), F.col("_parts")))
     before = Window.partitionBy("_i").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -167,7 +159,7 @@ def place(docs: DataFrame, mix: Plan, key: str = "doc_id", source: str = "source
     inside = Window.partitionBy("_i", "_part").orderBy("_turn", "_key").rowsBetween(Window.unboundedPreceding, -1)
     # the parts' starts, a few numbers each, are looked up after the window, by the same keys
     rows = rows.withColumn("_offset", F.coalesce(F.sum("_bytes").over(inside), F.lit(0))).join(F.broadcast(starts) if sum(mix.parts) <= 200_000 else starts, ["_i", "_part"])
-    rows = rows.withColumn("_block", F.floor((F.col("_start") + F.col("_offset")) / block_bytes).cast("long"))
+    rows = rows.withColumn("_block", F.floor((F.col("_start") + F.col("_offset")) / mix.block_bytes).cast("long"))
     # blocks that a source has in the mix, those of the first epoch at the least
     rows = rows.join(F.broadcast(times.groupBy("_i").agg(F.count("*").alias("_all"))), "_i")
     rows = rows.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.expr("cast((_all - 1 - _block) div _n as int)"))))
@@ -180,11 +172,25 @@ def place(docs: DataFrame, mix: Plan, key: str = "doc_id", source: str = "source
 
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: dict | None = None) -> DataFrame:
-    """The documents in the order of the mix, each as often as it has a place."""
+    """The documents in the order of the mix, each as often as it has a place; ``with_position`` reads the order back from a written table."""
     # under names of their own, as a column may be called like one of the schedule's
     own = {c: f"_d{i}" for i, c in enumerate(docs.columns)}
     rows = docs.toDF(*own.values())
     others = tuple(n for c, n in own.items() if c not in (key, source))
-    placed = place(rows, plan(rows, own[source], own[text], weights), own[key], own[source], own[text], others)
-    slices = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    mix = plan(rows, own[source], own[text], weights)
+    placed = place(rows, mix, own[key], own[source], own[text], others)
+    slices = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-mix.horizon * mix.block_bytes // SLICE_BYTES))
     return placed.repartitionByRange(slices, "slot", "turn").sortWithinPartitions("slot", "turn", own[key]).select(*[F.col(n).alias(c) for c, n in own.items()])
+
+
+def with_position(docs: DataFrame, part: str = "part", row: str = "row") -> DataFrame:
+    """``docs`` with two columns that give its order: where it was read from Parquet, the number in the file's name and the row in the file, else the partition and the row in it.
+
+    A written mix keeps its order by them: Spark numbers the files as the partitions, each of which is sorted.
+    """
+    try:
+        files = docs.select("*", F.col("_metadata.file_name").alias(part), F.col("_metadata.row_index").alias(row))
+    except AnalysisException:  # no Parquet scan
+        at = F.monotonically_increasing_id()
+        return docs.select("*", F.shiftright(at, 33).alias(part), at.bitwiseAND(F.lit((1 << 33) - 1)).alias(row))
+    return files.withColumn(part, F.expr(f"try_cast(regexp_extract({part}, 'part-([0-9]+)', 1) as long)"))
