@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from .common import groups, task, utf8, written
 
 #: Labelled rows that training takes, the first by a hash of their key; rows that it needs of each class.
-TRAIN_ROWS, LEAST_OF_CLASS = 10_000, 5
+TRAIN_ROWS, LEAST_OF_CLASS = 10_000, 3
+#: What each class's rows are for, in turn.
+PARTS = ("lexicon", "trees", "calibration", "lexicon", "trees", "lexicon", "lexicon", "trees", "lexicon", "calibration")
 #: Words and stems in the lexicon, rows that an entry must stand in, and its least log-odds.
 LEXICON, ENTRY_ROWS, ENTRY_ODDS = 600, 5, 2.5
 #: Characters of a stem: the beginnings of words that share a root.
@@ -142,27 +144,33 @@ def learn_lexicon(rows: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """A model from at most ``TRAIN_ROWS`` labelled rows of ``docs``. A key labelled twice takes the higher label; null labels teach nothing."""
+    """A model from at most ``TRAIN_ROWS`` labelled rows of ``docs``, the first by a hash of the key.
+
+    A label above zero is class 1, any other class 0. A key labelled twice takes the higher label; null labels,
+    null keys and null texts teach nothing. The rows of either class are dealt out to lexicon, trees and
+    calibration in turn, so each part has both classes if there are ``LEAST_OF_CLASS`` rows of either.
+    """
     spark = docs.sparkSession
-    marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
-    # a bounded table, whatever the labels' number, and so fit for a broadcast; a doc_id repeated in labels may halve it
-    marks = marks.orderBy(F.xxhash64("k"), "k", "y").limit(TRAIN_ROWS).groupBy("k").agg(F.max("y").alias("y"))
-    marks = spark.createDataFrame(marks.collect(), marks.schema)
-    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(marks), "k")
-    rows = written(rows.withColumn("part", F.pmod(F.xxhash64("k", F.lit("part")), F.lit(100))), "toxicity-sample")
-    n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    if min(n.get(0, 0), n.get(1, 0)) < LEAST_OF_CLASS:
-        return Model(rate=n.get(1, 0) / max(1, sum(n.values())))
-    words, stems = learn_lexicon(rows.where("part < 50"))
-    data = written(featured(rows, words, stems, "t", ("y", "part")), "toxicity-features")
+    marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max((F.col(label).cast("double") > 0).cast("int")).alias("y"))
+    # labels of documents that are not here take no room in the sample
+    here = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"))
+    marks = marks.join(here, "k", "left_semi").orderBy(F.xxhash64("k"), "k").limit(TRAIN_ROWS)
+    dealt, turn = [], [0, 0]
+    for k, y in marks.collect():  # TRAIN_ROWS rows at most, and so fit for a broadcast
+        dealt.append((k, y, PARTS[turn[y] % len(PARTS)]))
+        turn[y] += 1
+    if min(turn) < LEAST_OF_CLASS:
+        return Model(rate=turn[1] / max(1, sum(turn)))
+    dealt = spark.createDataFrame(dealt, f"k {marks.schema['k'].dataType.simpleString()}, y int, part string")
+    rows = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"))
+    rows = written(rows.join(F.broadcast(dealt), "k"), "toxicity-sample")
+    words, stems = learn_lexicon(rows.where("part = 'lexicon'"))
+    data = written(featured(rows.where("part <> 'lexicon'"), words, stems, "t", ("y", "part")), "toxicity-features")
     data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(data).withColumn("y", F.col("y").cast("double"))
-    fit, rest = data.where("part >= 50 and part < 80"), data.where("part >= 80")
-    if min(fit.select("y").distinct().count(), rest.select("y").distinct().count()) < 2:
-        fit = rest = data  # a sample too small to be parted
-    trees = GBTClassifier(labelCol="y", maxIter=20, maxDepth=3, stepSize=0.3, seed=1, maxBins=32).fit(fit.repartition(1))
-    scored = trees.transform(rest).select("y", vector_to_array("probability")[1].alias("p"))
+    trees = GBTClassifier(labelCol="y", maxIter=20, maxDepth=3, stepSize=0.3, seed=1, maxBins=32).fit(data.where("part = 'trees'").repartition(1))
+    scored = trees.transform(data.where("part = 'calibration'")).select("y", vector_to_array("probability")[1].alias("p"))
     calibration = IsotonicRegression(featuresCol="p", labelCol="y", predictionCol="score").fit(scored)
-    return Model(n.get(1, 0) / sum(n.values()), words, stems, trees, calibration)
+    return Model(turn[1] / sum(turn), words, stems, trees, calibration)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
