@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that the numpy kernels take at once, so that their arrays stay in the processor's cache.
 KERNEL_BYTES = 1 << 19
+#: Bytes of text in a slice that one task takes, at about the most.
+SLICE_BYTES = 64 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -111,13 +113,21 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def shared_path(spark: SparkSession, what: str) -> str:
-    """A new path in the folder that driver and executors share; a local one only where none is set, as in tests."""
+    """A new path in the folder that driver and executors share. Only where all run on one machine, as in tests, may none be set: then it lies in the warehouse's folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._conf.get("spark.checkpoint.dir")
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir')}/sievework-shared"
     return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def slices_of(rows: DataFrame, text: str) -> int:
+    """Slices to deal texts out to, so that a slice holds about ``SLICE_BYTES`` of them, however many there are."""
+    size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLICE_BYTES))
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` as a table in the shared folder, read again: later jobs neither redo its work nor lose it with an executor."""
     spark, path = df.sparkSession, shared_path(df.sparkSession, what)

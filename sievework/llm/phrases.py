@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, powers, task
+from .common import mixed, powers, slices_of, task
 
 #: Components of each level's sketch, lowest level first; phrases that a level needs in both texts to be compared.
 COMPONENTS, LEAST_PHRASES = (32, 32, 64), 12
@@ -155,27 +155,43 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
+class Cuts:
+    """Borders of slices of rows in the order of (key, hash of the text): a key that several quantiles hit is cut by the hash."""
+
+    def __init__(self, quantiles: list[int]):
+        keys, times = np.unique(np.array(quantiles, np.int64), return_counts=True)
+        self.keys = np.repeat(keys, times)
+        self.hashes = np.array([-(1 << 63) + j * ((1 << 64) // n) for n in times.tolist() for j in range(n)], np.int64)
+
+    def slice_of(self, keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        lo, hi = np.searchsorted(self.keys, keys, side="left"), np.searchsorted(self.keys, keys, side="right")
+        out = hi.copy()
+        for i in np.flatnonzero(hi - lo > 1):
+            out[i] = lo[i] + np.searchsorted(self.hashes[lo[i] : hi[i]], hashes[i], side="right")
+        return out.astype(np.int32)
+
+
 def with_next(docs: DataFrame, key: str, text: str, slices: int) -> DataFrame:
-    """bucket, tail, k, z: rows in slices of the key's order, their texts packed; each slice ends with the first row of the next one (tail), the last with the first of all.
+    """bucket, tail, k, h, z: rows in slices of the order of key and text's hash, their texts packed; each slice ends with the first row of the next one (tail), the last with the first of all.
 
     The driver sees one quantile and one least key for each slice.
     """
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    cuts = rows.agg(F.percentile_approx("k", [i / slices for i in range(1, slices)], 10_000).alias("q")).first().q if slices > 1 else None
-    cuts = np.unique(np.array(cuts or [], np.int64))
+    rows = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
+    least = -(1 << 63)
+    ordered = F.coalesce("k", F.lit(least))
+    found = rows.agg(F.percentile_approx(ordered, [i / slices for i in range(1, slices)], max(10_000, 10 * slices)).alias("q")).first().q if slices > 1 else None
+    cuts = Cuts(found or [])
 
-    def slice_of(keys: pa.Array) -> np.ndarray:
-        """Nulls stand before all others."""
-        out = np.searchsorted(cuts, pc.fill_null(keys, 0).to_numpy(zero_copy_only=False), side="right").astype(np.int32)
-        out[keys.is_null().to_numpy(zero_copy_only=False)] = 0
-        return out
+    def placed(b: pa.RecordBatch) -> np.ndarray:
+        keys = pc.fill_null(b.column("k"), least).to_numpy(zero_copy_only=False)
+        return cuts.slice_of(keys, b.column("h").to_numpy(zero_copy_only=False))
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(slice_of(b.column("k"))), b.column("k")], names=["bucket", "k"])
+            yield pa.RecordBatch.from_arrays([pa.array(placed(b)), pc.fill_null(b.column("k"), least), b.column("h")], names=["bucket", "k", "h"])
 
-    least = rows.select("k").mapInArrow(task(sliced), "bucket int, k long").groupBy("bucket").agg(F.min(F.struct(F.col("k").isNotNull(), "k"))["k"].alias("k"))
-    firsts = {r.bucket: r.k for r in least.collect()}  # a row a slice
+    lowest = rows.select("k", "h").mapInArrow(task(sliced), "bucket int, k long, h long").groupBy("bucket").agg(F.min(F.struct("k", "h")).alias("low"))
+    firsts = {r.bucket: (r.low.k, r.low.h) for r in lowest.collect()}  # a row a slice
     order = sorted(firsts)
     before = {b: order[i - 1] for i, b in enumerate(order)}
 
@@ -183,27 +199,29 @@ def with_next(docs: DataFrame, key: str, text: str, slices: int) -> DataFrame:
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=1).compress
+        kinds = (pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary())
         for b in batches:
-            at, keys = slice_of(b.column("k")).tolist(), b.column("k").to_pylist()
+            at, keys, hashes = placed(b).tolist(), b.column("k").to_pylist(), b.column("h").to_pylist()
             texts = [pack(t.as_buffer() if t.is_valid else b"") for t in b.column("t")]
-            own = [(i, False, k, z) for i, k, z in zip(at, keys, texts, strict=True)]
-            own += [(before[i], True, k, z) for i, _, k, z in own if k == firsts[i]]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, kind in zip(zip(*own), (pa.int32(), pa.bool_(), pa.int64(), pa.binary()), strict=True)] if own else [pa.array([], x) for x in (pa.int32(), pa.bool_(), pa.int64(), pa.binary())], names=["bucket", "tail", "k", "z"])
+            own = list(zip(at, [False] * len(at), keys, hashes, texts, strict=True))
+            own += [(before[i], True, k, h, z) for i, _, k, h, z in own if (least if k is None else k, h) == firsts[i]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*own, strict=True) if own else [[]] * 5, kinds, strict=True)], names=["bucket", "tail", "k", "h", "z"])
 
-    return rows.mapInArrow(task(packed), "bucket int, tail boolean, k long, z binary")
+    return rows.mapInArrow(task(packed), "bucket int, tail boolean, k long, h long, z binary")
 
 
 def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", slices: int | None = None) -> DataFrame:
     """Every row's key with n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next.
 
-    The next row follows in the order of the key, nulls first; the last row's next is the first. Rows with one
-    key follow each other in an order that their texts fix. A null text counts as empty; extra columns are not
-    read; an empty table gives an empty result. Texts move once, packed, into slices of the key's order.
+    The next row follows in the order of the key, nulls first (as the least long); the last row's next is the
+    first. Rows with one key follow each other in an order that a hash of their texts fixes, so that they may fill
+    several slices. A null text counts as empty; extra columns are not read; an empty table gives an empty result.
+    Texts move once, packed, into slices of the key's order. Jobs that find the slices run when this is called.
     """
-    slices = slices or max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    slices = slices or slices_of(docs, text)
     kind = docs.schema[key].dataType.simpleString()
     rows = with_next(docs.withColumn(key, F.col(key).cast("long")), key, text, slices)
-    rows = rows.repartition(slices, "bucket").sortWithinPartitions("bucket", "tail", "k", "z")
+    rows = rows.repartition(slices, "bucket").sortWithinPartitions("bucket", "tail", "k", "h", "z")
     names = ["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

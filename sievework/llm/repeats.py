@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KERNEL_BYTES, groups, rolling, signed, task, utf8, written
+from .common import KERNEL_BYTES, groups, rolling, signed, slices_of, task, utf8, written
 
 WINDOW, GRAM = 50, 28
 #: Bytes of the parts that choose an anchor at the least.
@@ -298,10 +298,16 @@ def covered(met: DataFrame, window: int) -> DataFrame:
 
 
 def _copies(rows: DataFrame) -> DataFrame:
-    """k, x, size: keys of one text each that a smaller key has as well. All of such a text goes, and what it could cover the smaller key's covers."""
-    own = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("x").alias("x"), F.max(F.octet_length("t")).alias("size")).where("n = 1")
-    least = rows.groupBy(F.col("x").alias("_x")).agg(F.min("k").alias("low"), F.count("*").alias("rows")).where("rows > 1")
-    return written(own.join(least, F.col("x") == F.col("_x")).where("k > low").select("k", "x", "size"), "repeats-copies")
+    """k, x, size: keys of one text each that a smaller key has as well. All of such a text goes, and what it could cover the smaller key's covers.
+
+    Texts are equal if their SHA-256 is. What texts have in common is a table of its own before rows meet it, so
+    that Spark sees how large each part of either side is and splits a text that a third of all rows have.
+    """
+    marked = rows.select("k", "x", F.octet_length("t").alias("size"), F.sha2("t", 256).alias("s"))
+    least = written(marked.groupBy(F.col("s").alias("_s")).agg(F.min("k").alias("low"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "repeats-equal")
+    several = written(rows.groupBy(F.col("k").alias("_k")).count().where("count > 1").select("_k"), "repeats-keys")
+    met = marked.join(least, F.col("s") == F.col("_s")).where("k > low")
+    return written(met.join(several, F.col("k") == F.col("_k"), "left_anti").select("k", "x", "size"), "repeats-copies")
 
 
 def _packed(base: DataFrame, schema, keep: tuple[str, ...]) -> DataFrame:
@@ -347,12 +353,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     Texts are UTF-8 bytes; null counts as empty; matches never cross texts, and rows with one key count as one
     document. A null key takes no part: nothing is removed there. Overlaps count, and strings are judged on
     the input. Where a removed run cuts through a character, kept_text leaves the rest of it out; a null text
-    stays null. Repeated
-    rows give repeated results; extra columns are not read; an empty table gives an empty result.
+    stays null. Repeated rows give repeated results; extra columns are not read; an empty table gives an empty
+    result. Jobs run when this is called: copies and shared anchors are written to the shared folder.
     """
     if window < GRAM:
         raise ValueError(f"a window holds {GRAM} bytes at least")
-    slices = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    slices = slices_of(docs, text)
     kinds = docs.schema
     # q stands in for k and is never null, so that both joins below find the very same rows dealt out
     given = F.col(key).cast("long")

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups, mixed, prefix_hash, rolling, signed, span_hash, task, utf8, written
+from .common import groups, mixed, prefix_hash, rolling, signed, slices_of, span_hash, task, utf8, written
 
 #: Words of an n-gram; least similarity, as a fraction; share of the pairs at that similarity which must meet; rows of a band.
 WORDS, SIMILAR, RECALL, ROWS = 5, (4, 5), 0.99999, 5
@@ -170,19 +170,43 @@ def block_pair(ids: np.ndarray, second: np.ndarray, sets: list[np.ndarray], simi
     return links, label
 
 
-def verified(members: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
-    """u, links, label by text and pair of blocks. members: u, t, comp, n (blocks of the component)."""
+def in_blocks(members: DataFrame, signed_: DataFrame) -> DataFrame:
+    """u, comp, own (its block), others (the blocks that its block is compared with), parted. members: u, comp, n (blocks of the component on average).
+
+    Texts that share their first band stand in one block, or in several where they are many. Two blocks are
+    compared if a band stands in both, so a long chain of chance collisions costs its links, not its square.
+    """
+    single = members.where("n = 1").select("u", "comp", F.lit(0).cast("long").alias("own"), F.array(F.lit(0).cast("long")).alias("others"), F.lit(False).alias("parted"))
+    if not members.where("n > 1").limit(1).count():
+        return single
+    bands_ = signed_.where("k is not null and bands is not null").groupBy(F.col("k").alias("_k")).agg(F.first("bands").alias("bands"))
+    large = written(members.where("n > 1").join(bands_, F.col("u") == F.col("_k")).select("u", "comp", "n", "bands"), "similarity-large")
+    first = F.col("bands")[0]
+    many = written(large.groupBy("comp", first.alias("first")).count().where(F.col("count") > BLOCK_TEXTS // 2), "similarity-firsts").withColumnRenamed("comp", "_comp")
+    placed = large.join(many, (F.col("comp") == F.col("_comp")) & (first == F.col("first")), "left")
+    own = F.when(F.col("count").isNull(), F.pmod(F.xxhash64(first), F.col("n").cast("long"))).otherwise(F.xxhash64(first, F.pmod(F.xxhash64("u"), F.ceil(F.col("count") / BLOCK_TEXTS))))
+    placed = written(placed.select("u", "comp", own.alias("own"), "bands"), "similarity-placed")
+    held = written(placed.select("comp", "own", F.explode("bands").alias("band")).distinct(), "similarity-held")
+    met = held.join(held.withColumnRenamed("own", "other"), ["comp", "band"]).select(F.col("comp").alias("_comp"), F.col("own").alias("_own"), "other").distinct()
+    # a row a block
+    met = written(met.groupBy("_comp", "_own").agg(F.collect_list("other").alias("others")), "similarity-met")
+    split = placed.join(met, (F.col("comp") == F.col("_comp")) & (F.col("own") == F.col("_own"))).select("u", "comp", "own", "others", F.lit(True).alias("parted"))
+    return single.union(split)
+
+
+def verified(members: DataFrame, words: int, similar: tuple[int, int], slices: int) -> DataFrame:
+    """u, links, label by text and pair of blocks. members: u, t, comp, own, others, parted."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, g, off in gram_sets(b.column("t"), words):
                 raw = g.tobytes()
-                part = b.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([part.column("u"), part.column("comp"), part.column("n"), pa.array([raw[8 * p : 8 * q] for p, q in zip(off, off[1:])], pa.binary())], names=["u", "comp", "n", "grams"])
+                part = b.slice(i, j - i).drop_columns(["t"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([raw[8 * p : 8 * q] for p, q in zip(off, off[1:])], pa.binary())], names=[*part.schema.names, "grams"])
 
-    rows = members.select("u", "comp", "n", "t").mapInArrow(task(sets), "u long, comp long, n int, grams binary")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("u"), F.col("n")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    rows = rows.select("u", "comp", "grams", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), F.col("n"))
+    rows = members.select("u", "comp", "own", "others", "parted", "t").mapInArrow(task(sets), "u long, comp long, own long, others array<long>, parted boolean, grams binary")
+    rows = rows.withColumn("other", F.explode("others"))
+    rows = rows.select("u", "comp", "grams", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), "parted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle() -> pa.RecordBatch:
@@ -190,11 +214,11 @@ def verified(members: DataFrame, words: int, similar: tuple[int, int]) -> DataFr
                 links, label = np.zeros(len(ids), np.int64), np.array(ids, np.int64)  # the other block is empty
             else:
                 links, label = block_pair(np.array(ids, np.int64), np.array(second, bool), grams, similar)
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(links), pa.array(label), pa.array([here[3] > 1] * len(ids))], names=["u", "links", "label", "parted"])
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(links), pa.array(label), pa.array([here[3]] * len(ids))], names=["u", "links", "label", "parted"])
 
         here, ids, second, grams = None, [], [], []
         for b in batches:
-            for u, comp, i, j, n, s, g in zip(*[b.column(c).to_pylist() for c in ("u", "comp", "i", "j", "n", "second")], b.column("grams"), strict=True):
+            for u, comp, i, j, n, s, g in zip(*[b.column(c).to_pylist() for c in ("u", "comp", "i", "j", "parted", "second")], b.column("grams"), strict=True):
                 if here is None or (comp, i, j) != here[:3]:
                     if ids:
                         yield settle()
@@ -205,7 +229,6 @@ def verified(members: DataFrame, words: int, similar: tuple[int, int]) -> DataFr
         if ids:
             yield settle()
 
-    slices = max(1, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = rows.repartition(slices, "comp", "i", "j").sortWithinPartitions("comp", "i", "j")
     return dealt.mapInArrow(task(run), "u long, links long, label long, parted boolean")
 
@@ -218,34 +241,37 @@ def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", word
     similarity of at least ``similar`` (a fraction) with this one's. A null text counts as empty; texts
     without words have no links, but are copies of each other if equal. A row with a null key belongs to its
     text; a text that only such rows have takes no part: its ids are null and its links 0. Repeated rows count
-    as copies; extra columns are not read; an empty table gives an empty result.
+    as copies; extra columns are not read; an empty table gives an empty result. Jobs run when this is called,
+    and their tables are written to the shared folder.
     """
     n_bands = bands(similar[0] / similar[1], recall, rows)
+    slices = slices_of(docs, text)
     base = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("x", F.md5("t"))
     signed_ = written(signatures(base, words, n_bands, rows), "similarity-signatures")
-    per_text = signed_.groupBy("text_hash").agg(F.min("k").alias("text_id"), F.count("*").alias("rows"))
+    # what a join meets is a table of its own, so that Spark sees how large each part of either side is, and splits a hot one
+    per_text = written(signed_.groupBy(F.col("text_hash").alias("_x")).agg(F.min("k").alias("text_id"), F.count("*").alias("rows")), "similarity-texts")
     # equal texts have equal bands: those of the row with the least key stand for all
-    reps = signed_.where("k is not null and bands is not null").join(per_text.withColumnRenamed("text_hash", "_x"), (F.col("text_hash") == F.col("_x")) & (F.col("k") == F.col("text_id")))
-    met = reps.select(F.col("k").alias("u"), F.explode("bands").alias("band")).distinct()
-    lead = met.groupBy("band").agg(F.min("u").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n")
+    reps = signed_.where("k is not null and bands is not null").join(per_text, (F.col("text_hash") == F.col("_x")) & (F.col("k") == F.col("text_id")))
+    met = written(reps.select(F.col("k").alias("u"), F.explode("bands").alias("band")), "similarity-bands")
+    lead = written(met.groupBy("band").agg(F.min("u").alias("v"), F.max("u").alias("w")).where("v < w").drop("w"), "similarity-lead")
     coarse = written(components(met.join(lead, "band").select("u", "v"), "similarity-meeting"), "similarity-comps")
     sized = coarse.join(signed_.select(F.col("k").alias("u"), "grams").groupBy("u").agg(F.max("grams").alias("grams")), "u")
-    blocks = sized.groupBy(F.col("label").alias("comp")).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("n"))
-    members = coarse.withColumnRenamed("label", "comp").join(blocks, "comp")
+    blocks = written(sized.groupBy(F.col("label").alias("comp")).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("n")), "similarity-blocks")
+    members = written(in_blocks(coarse.withColumnRenamed("label", "comp").join(blocks, "comp"), signed_), "similarity-members")
     # a key that stands on different texts is one document of several: its first text by hash is compared
-    texts = base.where("k is not null").join(members, F.col("k") == F.col("u")).select("u", "comp", "n", "t", "x")
-    rep_hash = per_text.where("text_id is not null").select(F.col("text_id").alias("_u"), F.col("text_hash").alias("_h")).groupBy("_u").agg(F.min("_h").alias("_h"))
+    texts = base.where("k is not null").join(members, F.col("k") == F.col("u")).select("u", "comp", "own", "others", "parted", "t", "x")
+    rep_hash = per_text.where("text_id is not null").select(F.col("text_id").alias("_u"), F.col("_x").alias("_h")).groupBy("_u").agg(F.min("_h").alias("_h"))
     texts = texts.join(rep_hash, (F.col("u") == F.col("_u")) & (F.col("x") == F.col("_h"))).drop("_u", "_h", "x").dropDuplicates(["u"]) if _repeats(signed_) else texts
-    found = written(verified(texts, words, similar), "similarity-links")
+    found = written(verified(texts, words, similar, slices), "similarity-links")
     n_links = found.groupBy("u").agg(F.sum("links").alias("n_links"))
     stars = found.where("label <> u").select("u", F.col("label").alias("v"), "parted").distinct()
     if stars.where("parted").limit(1).count():
         final = components(stars.select("u", "v"), "similarity-groups")
     else:
         final = stars.select("u", F.col("v").alias("label"))
-    final = final.withColumnRenamed("u", "_g").join(n_links.withColumnRenamed("u", "_g"), "_g", "full")
-    classes = per_text.join(final, F.col("text_id") == F.col("_g"), "left").select(F.col("text_hash").alias("_x"), "text_id", F.coalesce("label", "text_id").alias("group_id"), (F.col("rows") - 1).alias("n_copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return signed_.select("k", "text_hash").join(classes, F.col("text_hash") == F.col("_x")).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "text_hash", "text_id", "group_id", "n_copies", "n_links")
+    final = written(final.withColumnRenamed("u", "_g").join(n_links.withColumnRenamed("u", "_g"), "_g", "full"), "similarity-found")
+    classes = per_text.join(final, F.col("text_id") == F.col("_g"), "left").select("_x", "text_id", F.coalesce("label", "text_id").alias("group_id"), (F.col("rows") - 1).alias("n_copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return signed_.select("k", "text_hash").join(written(classes, "similarity-classes"), F.col("text_hash") == F.col("_x")).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "text_hash", "text_id", "group_id", "n_copies", "n_links")
 
 
 def _repeats(rows: DataFrame) -> bool:
