@@ -145,6 +145,15 @@ def clean_url(c: Column | str, dropped: tuple[str, ...] = DROPPED_PARAMETERS) ->
     return F.concat(parts.getItem(0), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(F.lit("")))
 
 
+def iso_instant(c: Column | str) -> Column:
+    """struct(at, zoned) of an ISO date or time, without a zone as UTC; at is null where it is none."""
+    s = F.trim(as_col(c))
+    iso = s.rlike("^\\d{4}-\\d{2}-\\d{2}([T ]\\d{2}:\\d{2}(:\\d{2}([.]\\d{1,6})?)?(Z|[+-]\\d{2}:\\d{2})?)?$")
+    zoned = s.rlike("(Z|[+-]\\d{2}:\\d{2})$") & (F.length(s) > 10)
+    whole = F.when(zoned, s).when(F.length(s) > 10, F.concat(s, F.lit("Z"))).otherwise(F.concat(s, F.lit("T00:00:00Z")))
+    return F.struct(F.when(iso, F.try_to_timestamp(whole)).alias("at"), zoned.alias("zoned"))
+
+
 def tidy_lines(c: Column | str) -> Column:
     """Lines trimmed at the right, runs of blanks and of empty lines shortened."""
     text = F.regexp_replace(as_col(c), "\\r\\n?", "\n")

@@ -2,49 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions import postings as P
 from sievework.functions import text as X
 from sievework.operators import dedupe, filters, merge, quality, rollups, store, summary
+from sievework.plans.registry import NOW, ORACLE_SQL, QUERIES, events, query
+from sievework.plans.registry import sql_any as _any
+from sievework.plans.registry import sql_list as _list
 from sievework.plans.tables import posting_sql, postings, table
 from sievework.ruleset import DEFAULT as R
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
 _P = f"with p as ({posting_sql()})"
-NOW = "2024-02-01 00:00:00"
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its name, with its SQL if there is any."""
-
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-
-
-def _any(column: str, terms: tuple[str, ...]) -> str:
-    """DuckDB: whether any term stands in the column."""
-    return "(" + " or ".join(f"contains({column}, '{t}')" for t in terms) + ")"
-
-
-def _list(terms: tuple[str, ...]) -> str:
-    return "[" + ", ".join(f"'{t}'" for t in terms) + "]"
 
 
 # ---------------------------------------------------------------- duplicates and keyed merges
@@ -633,3 +602,8 @@ def store_status(spark, sf_dir):
 
     e, o = events(spark, sf_dir).withColumn("day", F.to_date("ts")), table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
     return status({"events": (e, "day"), "orders": (o, "day")})
+
+
+from sievework.plans import acceptance_queries, record_queries, scope_queries, summary_queries  # noqa: E402, F401
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

@@ -34,6 +34,16 @@ POSTING_COLUMNS = {
     "skill_text": _pick("Python,SQL|大模型,Axure|沟通|", "o_custkey", 4),
     "activity": _pick("刚刚活跃|在线|2周前活跃|3月前活跃|本周活跃|半年前活跃|", "o_orderkey", 7),
     "updated": "cast(cast(o_orderdate as date) as {text})",
+    "education": _pick("本科|硕士|大专|学历不限|博士|", "o_custkey", 6),
+    "company_scale": _pick("0-20人|20-99人|100-499人|", "o_custkey", 4),
+    "company_stage": _pick("天使轮|A轮|已上市|", "o_orderkey", 4),
+    "tags": f"concat({_pick('应届生|1-3年|经验不限|沟通', 'o_orderkey', 4)}, ' | ', {_pick('本科|大专|学历不限|', 'o_custkey', 4)}, ' | ', {_pick('大模型|SQL|', 'o_orderkey', 3)})",
+    "job_labels": f"concat({_pick('五险一金|3-5年|', 'o_custkey', 3)}, '｜', {_pick('双休||Python', 'o_orderkey', 3)})",
+    "welfare": f"replace({_pick('五险一金、年终奖|年终奖、补充医疗保险|五险一金|', 'o_orderkey', 4)}, '、', ' | ')",
+    "icon_word": _pick("急聘||校友|", "o_orderkey", 4),
+    "icon_flags": f"replace({_pick('新|热、新|', 'o_custkey', 3)}, '、', '|')",
+    "boss_name": _pick("王女士|李先生|", "o_custkey", 3),
+    "keyword": _pick("AI产品经理|数据产品|运营|", "o_orderkey", 4),
 }
 
 
