@@ -111,6 +111,20 @@ def safe_url(url: str) -> str:
     return urlunsplit((parts.scheme, parts.netloc, parts.path, urlencode(kept), ""))
 
 
+def hidden_parameters(url: str) -> set[str]:
+    """Hidden parameters of a URL and of URLs that its parameters hold; none in another text."""
+    if not re.match(r"\s*(https?:)?//", url):
+        return set()
+    try:
+        parts = urlsplit(url.strip())
+    except ValueError:
+        return set()
+    found = {k for k, _ in parse_qsl(parts.fragment, keep_blank_values=True) if hidden_key(k)}
+    for k, v in parse_qsl(parts.query, keep_blank_values=True):
+        found |= ({k} if hidden_key(k) else set()) | hidden_parameters(v)
+    return found
+
+
 def safe(value, keep: frozenset[str] = frozenset()):
     """A parsed payload without hidden keys at any depth, its URLs cleaned and secrets in its texts masked."""
     if isinstance(value, dict):

@@ -150,6 +150,7 @@ def iso_instant(c: Column | str) -> Column:
     s = F.trim(as_col(c))
     iso = s.rlike("^\\d{4}-\\d{2}-\\d{2}([T ]\\d{2}:\\d{2}(:\\d{2}([.]\\d{1,6})?)?(Z|[+-]\\d{2}:\\d{2})?)?$")
     zoned = s.rlike("(Z|[+-]\\d{2}:\\d{2})$") & (F.length(s) > 10)
+    s = F.regexp_replace(s, "^(.{10}[T ]\\d{2}:\\d{2})(Z|[+-]|$)", "$1:00$2")
     whole = F.when(zoned, s).when(F.length(s) > 10, F.concat(s, F.lit("Z"))).otherwise(F.concat(s, F.lit("T00:00:00Z")))
     return F.struct(F.when(iso, F.try_to_timestamp(whole)).alias("at"), zoned.alias("zoned"))
 

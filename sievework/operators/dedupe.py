@@ -23,14 +23,22 @@ def mark_groups(df: DataFrame, group: str, order: list[str | Column]) -> DataFra
     }).drop("_group", "_first")
 
 
-def keep_best(df: DataFrame, keys: list[str], best: list[Column], id_col: str) -> DataFrame:
-    """The best row for each key by ``best``, with kept (rows of the key) and others (their other ids, sorted). Rows with a null or blank key are dropped."""
+def keep_best(df: DataFrame, keys: list[str], best: list[Column], id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(the best row for each key, the least by ``best``, with kept (rows of the key); the others as rows: keys, best, other). Rows with a null or blank key are dropped.
+
+    The best row comes from an aggregate, and the others are rows, so that no task holds a key's rows.
+    """
     whole = F.lit(True)
     for k in keys:
         whole = whole & F.col(k).isNotNull() & (F.col(k).cast("string") != "")
-    rows = df.where(whole).withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*best)))
-    ids = df.where(whole).groupBy(*keys).agg(F.count("*").alias("kept"), F.array_sort(F.collect_list(id_col)).alias("_ids"))
-    return rows.where("_n = 1").drop("_n").join(ids, keys).withColumn("others", F.filter("_ids", lambda x: x != F.col(id_col))).drop("_ids")
+    rows = df.where(whole)
+    values = [c for c in df.columns if c not in keys]
+    found = rows.groupBy(*keys).agg(F.min_by(F.struct(*values), F.struct(*[b.alias(f"b{i}") for i, b in enumerate(best)])).alias("_r"), F.count("*").alias("kept"))
+    first = found.select(*[F.col(k) for k in keys], *[F.col(f"_r.{c}").alias(c) for c in values], "kept")
+    own = first.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(id_col).alias("best"))
+    same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    others = rows.select(*keys, F.col(id_col).alias("other")).join(own, same).where(F.col("other") != F.col("best")).select(*keys, "best", "other")
+    return first.select(*df.columns, "kept"), others
 
 
 def merge_keyed(old: DataFrame, new: DataFrame, key: str, order: str, old_wins: bool = True, keep_unkeyed: bool = True) -> DataFrame:

@@ -40,10 +40,15 @@ def drop_junk(postings: DataFrame, rules: RuleSet = DEFAULT, with_body: bool = T
     return kept.drop("_title", "_body"), dropped.drop("_title", "_body")
 
 
-def without_inactive(df: DataFrame, statuses: DataFrame, key: str, status: str) -> DataFrame:
-    """Rows but those whose newest known status says they are long inactive; a detail's status goes before the list's."""
-    s = statuses.where(F.trim(status) != "").groupBy(key).agg(F.max(status).alias("_status"))
-    both = df.join(s, key, "left")
+def on_day(at: Column, day: Column, zone: str) -> Column:
+    """Whether an instant falls on a day of a time zone; the session runs in UTC."""
+    return F.coalesce(F.to_date(F.from_utc_timestamp(at, zone)) == day, F.lit(False))
+
+
+def without_inactive(df: DataFrame, statuses: DataFrame, key: str, status: str, order: str) -> DataFrame:
+    """Rows but those whose newest known status says they are long inactive. A detail's status, the last by ``order``, goes before the list's, a blank one as well."""
+    s = statuses.groupBy(F.col(key).alias("_k")).agg(F.max_by(F.coalesce(F.col(status), F.lit("")), order).alias("_status"))
+    both = df.join(s, F.col(key) == F.col("_k"), "left").drop("_k")
     said = F.coalesce(F.col("_status"), F.col(status))
     return both.where(~F.coalesce(said.rlike("(?:\\d+\\s*)?(?:个?月|周|年)\\s*前活跃"), F.lit(False))).drop("_status")
 

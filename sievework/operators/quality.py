@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ranges of values in which exact medians are sought.
+RANGES = 1_024
+
 
 def findings(df: DataFrame, checks: dict[str, tuple[str, Column]]) -> DataFrame:
     """id, level, count for each check (level, condition of a bad row), all in one pass."""
@@ -63,3 +66,28 @@ def delivery_rates(df: DataFrame, by: str, root: Column, city: Column, declared:
     """by, rows, root_rate, city_rate, verdict: a delivery against its request; the first condition that fails names the verdict."""
     row = df.groupBy(by).agg(F.count("*").alias("rows"), F.round(F.avg(root.cast("int")), 4).alias("root_rate"), F.round(F.avg(city.cast("int")), 4).alias("city_rate"), F.max(declared).alias("_declared"))
     return row.withColumn("verdict", F.when(F.col("rows") != F.col("_declared"), "count").when(F.col("root_rate") < root_least, "root").when(F.col("city_rate") < city_least, "city").otherwise("ok")).drop("_declared")
+
+
+def outliers(df: DataFrame, peers: str, value: str, low: float, high: float) -> DataFrame:
+    """Rows with outlier: the value is over ``high`` times, or under ``low`` times, the median of its peers.
+
+    The exact median comes from counts of different values: their running sums within ranges of the values, and
+    the ranges' sums before them, so that no task holds all peers' values even where there are few peers.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(peers).alias("_p"), F.col(value).alias("_v")).agg(F.count("*").alias("n"))
+    # ranges of about the same width between the peers' least and greatest value
+    edge = counts.groupBy("_p").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("n").alias("_all")).withColumnRenamed("_p", "_q")
+    part = F.least(F.lit(RANGES - 1), F.when(F.col("_hi") > F.col("_lo"), F.floor((F.col("_v") - F.col("_lo")) * RANGES / (F.col("_hi") - F.col("_lo")))).otherwise(0)).cast("int")
+    ranged = counts.join(edge, F.col("_p") == F.col("_q")).withColumn("_part", part)
+    sums = ranged.groupBy("_p", "_part").agg(F.sum("n").alias("_sum")).withColumn("_before", F.sum("_sum").over(Window.partitionBy("_p").orderBy("_part")) - F.col("_sum"))
+    sums = sums.select(F.col("_p").alias("_a"), F.col("_part").alias("_b"), "_sum", "_before")  # RANGES rows for each kind of peers
+    # the two middle places, counted from 0, are alike where the number is odd
+    left, right = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
+    holds = lambda at: (F.col("_before") <= at) & (at < F.col("_before") + F.col("_sum"))
+    near = ranged.join(sums, (F.col("_p") == F.col("_a")) & (F.col("_part") == F.col("_b"))).where(holds(left) | holds(right))
+    upto = F.col("_before") + F.sum("n").over(Window.partitionBy("_p", "_part").orderBy("_v"))
+    near = near.withColumn("_upto", upto)
+    at = lambda place: F.min(F.when(F.col("_upto") > place, F.col("_v")))
+    middle = near.groupBy("_p").agg(((at(left) + at(right)) / 2).alias("_mid"))
+    both = df.join(middle, F.col(peers) == F.col("_p"), "left")
+    return both.withColumn("outlier", (F.col(value) > F.col("_mid") * high) | (F.col(value) < F.col("_mid") * low)).drop("_p", "_mid")

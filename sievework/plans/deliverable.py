@@ -45,7 +45,8 @@ def build(listed: DataFrame, details: DataFrame, recruit_types: tuple[str, ...]
     bodyless = kept.where(bare)
     if not keep_without_body:
         kept = kept.where(~bare)
-    best = dedupe.keep_best(kept.withColumns({"_title": X.title_key("title"), "_company": F.regexp_replace("company_name", "[()（）【】\\[\\]·\\s]", ""), "_city": F.substring_index("location", "·", 1)}), ["_title", "_company", "_city"], [F.desc_nulls_last("page_update_date"), F.desc(F.length("jd")), F.asc("job_id")], "job_id")
+    newest = F.coalesce(-F.unix_date(F.to_date(F.try_to_timestamp(F.substring("page_update_date", 1, 10), F.lit("yyyy-MM-dd")))), F.lit(1))
+    best, _ = dedupe.keep_best(kept.withColumns({"_title": X.title_key("title"), "_company": F.regexp_replace("company_name", "[()（）【】\\[\\]·\\s]", ""), "_city": F.substring_index("location", "·", 1)}), ["_title", "_company", "_city"], [newest, -F.length(F.coalesce("jd", F.lit(""))), F.col("job_id")], "job_id")
     marked = dedupe.mark_groups(best.drop("_title", "_company", "_city"), "fingerprint", ["ordinal", "job_id"])
     return Deliverable(marked, dropped.select("job_id", "title", "company_name", "reason"), bodyless.select("job_id", "title"))
 

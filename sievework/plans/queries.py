@@ -43,8 +43,14 @@ r as (select *, row_number() over (partition by lang, source order by quality de
 select lang, source, doc_id, kept, kept - 1 as n_others from r where n = 1""")
 def dedupe_best(spark, sf_dir):
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").withColumn("quality", F.coalesce("quality", F.lit(-1)))
-    best = dedupe.keep_best(d.select("doc_id", "lang", "source", "quality", "n_chars"), ["lang", "source"], [F.desc("quality"), F.desc("n_chars"), F.asc("doc_id")], "doc_id")
-    return best.select("lang", "source", "doc_id", "kept", F.size("others").cast("long").alias("n_others"))
+    best, _ = dedupe.keep_best(d.select("doc_id", "lang", "source", "quality", "n_chars"), ["lang", "source"], [-F.col("quality"), -F.col("n_chars"), F.col("doc_id")], "doc_id")
+    return best.select("lang", "source", "doc_id", "kept", (F.col("kept") - 1).alias("n_others"))
+
+
+@query("""with r as (select doc_id, lang, source, first_value(doc_id) over (partition by lang, source order by n_chars desc, doc_id) best from documents) select lang, source, best, doc_id as other from r where doc_id <> best""")
+def dedupe_others(spark, sf_dir):
+    _, others = dedupe.keep_best(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars"), ["lang", "source"], [-F.col("n_chars"), F.col("doc_id")], "doc_id")
+    return others.select("lang", "source", "best", "other")
 
 
 @query("""with e as (select event_id, user_id, event_type, ts < timestamp '2024-01-16' as old from events),
@@ -132,20 +138,17 @@ def coverage(spark, sf_dir):
     return merge.coverage(table(spark, sf_dir, "orders"), have, "o_orderkey", "o_orderpriority")
 
 
-_JOBS = "select o_orderkey job, case when o_orderkey % 3 <> 0 then o_custkey % 50 end id, case when o_orderkey % 4 <> 0 then concat('l', o_custkey % 70) end link, concat('t', o_custkey % 90) title_key from orders where o_orderkey % 40 = 1"
-_DETAILS = "select c_custkey detail, case when c_custkey % 2 = 0 then c_custkey % 50 end id, case when c_custkey % 5 <> 0 then concat('l', c_custkey % 70) end link, concat('t', c_custkey % 90) title_key from customer"
-_FOUND = f"""j as ({_JOBS}), d as ({_DETAILS}), a as (select min(job) job from j where id is null having count(*) = 1),
+_JOB_COLUMNS = {"job": "o_orderkey", "id": "case when o_orderkey % 3 <> 0 then o_custkey % 400 end", "link": "case when o_orderkey % 4 <> 0 then concat('l', o_orderkey % 9000) end", "title_key": "concat('t', o_orderkey % 7000)"}
+_DETAIL_COLUMNS = {"detail": "c_custkey", "id": "case when c_custkey % 2 = 0 then c_custkey % 500 end", "link": "case when c_custkey % 5 <> 0 then concat('l', c_custkey * 7 % 11000) end", "title_key": "concat('t', c_custkey * 3 % 8000)"}
+_of = lambda columns: ", ".join(f"{e} as {n}" for n, e in columns.items())
+_FOUND = f"""j as (select {_of(_JOB_COLUMNS)} from orders), d as (select {_of(_DETAIL_COLUMNS)} from customer), a as (select min(job) job from j where id is null having count(*) = 1),
 f as (select detail, job, 1 p from d join j using (id) union select detail, job, 2 from d join j using (link) where d.id is null union select detail, job, 3 from d join j using (title_key) where d.id is null union select detail, job, 4 from d, a where d.id is null),
 b as (select detail, min(p) p from f group by 1), x as (select distinct detail, job, p as priority from f join b using (detail, p))"""
 
 
 def _associated(spark, sf_dir):
-    expr = lambda s: s[len("select ") : s.index(" from ")]
-    cols = lambda s: [c.strip().replace(" end ", " end as ") for c in expr(s).split(", ")]  # noqa: E731, F841
-    o, c = table(spark, sf_dir, "orders").where("o_orderkey % 40 = 1"), table(spark, sf_dir, "customer")
-    jobs = o.selectExpr("o_orderkey as job", "case when o_orderkey % 3 <> 0 then o_custkey % 50 end as id", "case when o_orderkey % 4 <> 0 then concat('l', o_custkey % 70) end as link", "concat('t', o_custkey % 90) as title_key")
-    details = c.selectExpr("c_custkey as detail", "case when c_custkey % 2 = 0 then c_custkey % 50 end as id", "case when c_custkey % 5 <> 0 then concat('l', c_custkey % 70) end as link", "concat('t', c_custkey % 90) as title_key")
-    return merge.associate(jobs, details, "detail")
+    made = lambda name, columns: table(spark, sf_dir, name).selectExpr(*[f"{e} as {n}" for n, e in columns.items()])
+    return merge.associate(made("orders", _JOB_COLUMNS), made("customer", _DETAIL_COLUMNS), "detail")
 
 
 @query(f"with {_FOUND} select detail, job, priority from x")
@@ -162,16 +165,25 @@ def keep_associated(spark, sf_dir):
 # ---------------------------------------------------------------- keyed tables
 
 
-@query(f"""with t as (select c_custkey k, c_mktsegment city, c_name payload, c_acctbal from customer where c_custkey % 3 <> 0), s as (select c_custkey k, case when c_custkey % 2 = 0 then c_name end city, concat(c_name, '!') payload from customer where c_custkey % 4 = 0)
-select coalesce(t.k, s.k) as k, coalesce(t.city, s.city) as city, case when s.k is not null then s.payload else t.payload end as payload,
-case when t.k is not null then timestamp '2024-01-01' else timestamp '{NOW}' end as first_seen, case when s.k is not null then timestamp '{NOW}' else timestamp '2024-01-02' end as last_seen,
-case when s.k is not null and t.k is not null then 'active' when s.k is not null then 'new' else 'closed' end as state, case when s.k is not null and t.k is not null then 'updated' when s.k is not null then 'inserted' else 'kept' end as change from t full join s on t.k = s.k""")
+_UPSERT_TARGET = "select c_custkey k, c_mktsegment city, c_name payload, case when c_custkey % 2 = 0 then 'closed' else 'active' end state from customer where c_nationkey < 17"
+_UPSERT_SOURCE = "select o_custkey k, o_orderkey turn, case when o_orderkey % 3 > 0 then o_orderpriority end city, concat(o_orderkey, '!') payload from orders where o_orderstatus <> 'F'"
+
+
+@query(f"""with t as ({_UPSERT_TARGET}), i as ({_UPSERT_SOURCE}), s as (select k, arg_max(payload, turn) payload, arg_max(city, turn) filter (city is not null) city from i group by 1)
+select coalesce(t.k, s.k) as k, coalesce(s.city, t.city) as city, coalesce(s.payload, t.payload) as payload, case when t.k is not null then timestamp '2024-01-01' else timestamp '{NOW}' end as first_seen, case when s.k is not null then timestamp '{NOW}' else timestamp '2024-01-02' end as last_seen,
+case when s.k is not null and t.k is not null then 'active' when s.k is not null then 'new' else t.state end as state, case when s.k is not null and t.k is not null then 'updated' when s.k is not null then 'inserted' else 'kept' end as change from t full join s on t.k = s.k""")
 def upsert(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
     at = lambda x: F.to_timestamp(F.lit(x))
-    target = c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("city"), F.col("c_name").alias("payload"), at("2024-01-01 00:00:00").alias("first_seen"), at("2024-01-02 00:00:00").alias("last_seen"), F.lit("closed").alias("state"))
-    source = c.where("c_custkey % 4 = 0").select(F.col("c_custkey").alias("k"), F.expr("case when c_custkey % 2 = 0 then c_name end").alias("city"), F.concat("c_name", F.lit("!")).alias("payload"))
-    return store.upsert(target, source, "k", at(NOW), ["city"], ["payload"])
+    c = table(spark, sf_dir, "customer").where("c_nationkey < 17")
+    target = c.selectExpr("c_custkey as k", "c_mktsegment as city", "c_name as payload", "case when c_custkey % 2 = 0 then 'closed' else 'active' end as state").withColumns({"first_seen": at("2024-01-01 00:00:00"), "last_seen": at("2024-01-02 00:00:00")})
+    source = table(spark, sf_dir, "orders").where("o_orderstatus <> 'F'").selectExpr("o_custkey as k", "o_orderkey as turn", "case when o_orderkey % 3 > 0 then o_orderpriority end as city", "concat(o_orderkey, '!') as payload")
+    return store.upsert(target, source, "k", "turn", at(NOW), ["city"], ["payload"])
+
+
+@query(f"""with t as ({_UPSERT_TARGET}), i as ({_UPSERT_SOURCE}) select count(*) filter (k not in (select k from t)) as inserted, count(*) filter (k in (select k from t)) as updated from i""")
+def upsert_counts(spark, sf_dir):
+    target = table(spark, sf_dir, "customer").where("c_nationkey < 17").select(F.col("c_custkey").alias("k"))
+    return store.upsert_counts(target, table(spark, sf_dir, "orders").where("o_orderstatus <> 'F'").select(F.col("o_custkey").alias("k")), "k")
 
 
 @query("""with t as (select c_custkey k, case when c_custkey % 3 = 0 then '' else c_mktsegment end a, case when c_custkey % 5 = 0 then null else c_name end b from customer), s as (select c_custkey k, 'A' a, concat('n', c_custkey) b from customer where c_custkey % 2 = 0)
@@ -302,9 +314,7 @@ def risk_marks(spark, sf_dir):
 select o_orderkey, o_totalprice > mid * 3.0 or o_totalprice < mid * 0.25 as outlier from orders join m using (o_orderpriority)""")
 def peer_outliers(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    # a median for each peer group, joined back: no window holds a group
-    both = o.join(o.groupBy("o_orderpriority").agg(F.median("o_totalprice").alias("mid")), "o_orderpriority")
-    return both.select("o_orderkey", ((F.col("o_totalprice") > F.col("mid") * R.outlier_high) | (F.col("o_totalprice") < F.col("mid") * R.outlier_low)).alias("outlier"))
+    return quality.outliers(o, "o_orderpriority", "o_totalprice", R.outlier_low, R.outlier_high).select("o_orderkey", "outlier")
 
 
 @query("""select doc_id, regexp_replace(text, '(?i)\\b(token|access_token|secret|password|api_key|sid|session|ticket)\\s*=\\s*"?[^&\\s"''<>]+"?', '\\1=***', 'g') as text from documents""")
@@ -361,10 +371,11 @@ def junk_cascade(spark, sf_dir):
     return postings(spark, sf_dir).select("job", F.coalesce(reason, F.lit("keep")).alias("verdict"))
 
 
-@query(f"{_P} select job from p where not regexp_matches(activity, '(?:\\d+\\s*)?(?:个?月|周|年)\\s*前活跃')")
+@query(f"""{_P}, s as (select o_custkey c, arg_max(case when o_orderkey % 9 = 0 then '' when o_orderkey % 4 = 0 then '3月前活跃' else '今日活跃' end, o_orderkey) d from orders where o_custkey % 3 > 0 group by 1)
+select job from p left join s on customer = c where not regexp_matches(coalesce(d, activity), '(?:\\d+\\s*)?(?:个?月|周|年)\\s*前活跃')""")
 def without_inactive(spark, sf_dir):
-    p = postings(spark, sf_dir)
-    return filters.without_inactive(p.select("job", "activity"), p.select("job", "activity"), "job", "activity").select("job")
+    details = table(spark, sf_dir, "orders").where("o_custkey % 3 > 0").selectExpr("o_custkey as customer", "o_orderkey as turn", "case when o_orderkey % 9 = 0 then '' when o_orderkey % 4 = 0 then '3月前活跃' else '今日活跃' end as activity")
+    return filters.without_inactive(postings(spark, sf_dir).select("job", "customer", "activity"), details, "customer", "activity", "turn").select("job")
 
 
 @query(f"{_P} select job, array_to_string(list_filter([case when trim(title) = '' then 'title' end, case when trim(salary) = '' then 'salary' end, case when trim(jd) = '' then 'jd' end, case when trim(boss_title) = '' then 'boss_title' end], lambda x: x is not null), ',') as missing from p")
