@@ -91,3 +91,19 @@ def outliers(df: DataFrame, peers: str, value: str, low: float, high: float) ->
     middle = near.groupBy("_p").agg(((at(left) + at(right)) / 2).alias("_mid"))
     both = df.join(middle, F.col(peers) == F.col("_p"), "left")
     return both.withColumn("outlier", (F.col(value) > F.col("_mid") * high) | (F.col(value) < F.col("_mid") * low)).drop("_p", "_mid")
+
+
+def samples(df: DataFrame, condition: Column, order: str, n: int) -> DataFrame:
+    """The first rows that meet a condition, for people to look at."""
+    return df.where(condition).orderBy(order).limit(n)
+
+
+def usable(df: DataFrame, condition: Column) -> DataFrame:
+    """One row: rows_all, usable: whether any row meets the condition."""
+    return df.agg(F.count("*").alias("rows_all"), F.coalesce(F.bool_or(condition), F.lit(False)).alias("usable"))
+
+
+def orphans(requirements: DataFrame, properties: DataFrame, examples: DataFrame) -> DataFrame:
+    """kind, orphans: properties whose requirement, and examples whose property, does not exist."""
+    p = properties.join(requirements, "requirement", "left_anti").agg(F.lit("property").alias("kind"), F.count_distinct("property").alias("orphans"))
+    return p.union(examples.join(properties, "property", "left_anti").agg(F.lit("example"), F.count("*")))

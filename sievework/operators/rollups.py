@@ -17,6 +17,34 @@ def keep_newest(df: DataFrame, kind: str, newest: list[Column], n: int) -> DataF
     return df.withColumn("turn", F.row_number().over(Window.partitionBy(kind).orderBy(*newest))).where(F.col("turn") <= n)
 
 
+def recent(df: DataFrame, at: str, key: str, n: int) -> DataFrame:
+    """The last rows by time; ties by key."""
+    return df.orderBy(F.col(at).desc(), key).limit(n)
+
+
+def last_lines(df: DataFrame, line: str, n: int) -> DataFrame:
+    """The last lines of a log, the last one first."""
+    return df.orderBy(F.col(line).desc()).limit(n)
+
+
+def replay_order(files: DataFrame, created: str, path: str) -> DataFrame:
+    """Files with their turn when a history is replayed. One row a file: the list is small."""
+    return files.withColumn("turn", F.row_number().over(Window.orderBy(created, path)))
+
+
+def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """key, change: added or removed."""
+    o, n = old.select(key).distinct().withColumn("o", F.lit(1)), new.select(key).distinct().withColumn("n", F.lit(1))
+    return o.join(n, key, "full").where("o is null or n is null").select(key, F.when(F.col("o").isNull(), "added").otherwise("removed").alias("change"))
+
+
+def truncated(df: DataFrame, by: str, order: str, n: int) -> DataFrame:
+    """The first rows of each kind, with its total and whether rows were left out."""
+    first = df.withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy(order))).where(F.col("_n") <= n).drop("_n")
+    total = df.groupBy(F.col(by).alias("_by")).agg(F.count("*").alias("total"))
+    return first.join(total, F.col(by) == F.col("_by")).drop("_by").withColumn("truncated", F.col("total") > n)
+
+
 def diff_with_reasons(old: DataFrame, new: DataFrame, key: str, dropped_before: DataFrame, dropped_now: DataFrame, bodyless_now: DataFrame) -> DataFrame:
     """key, change, reason: what two versions differ in and why. Changes of content are no difference."""
     o, n = old.select(key).distinct().withColumn("o", F.lit(1)), new.select(key).distinct().withColumn("n", F.lit(1))

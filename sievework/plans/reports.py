@@ -28,6 +28,25 @@ def status(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return out
 
 
+def run_report(listed: DataFrame, details: DataFrame, failures: DataFrame, used: DataFrame, limit: int) -> DataFrame:
+    """One row of a run: list_rows, detail_rows, with_body, failures, used and what is left of the budget. used: one row."""
+    filled = F.coalesce(F.trim("jd"), F.lit("")) != ""
+    parts = [listed.agg(F.count("*").alias("list_rows")), details.agg(F.count("*").alias("detail_rows"), F.count_if(filled).alias("with_body")), failures.agg(F.count("*").alias("failures")), used.select("used")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(F.broadcast(p))  # one row each
+    return out.withColumn("budget_left", F.greatest(F.lit(0), F.lit(limit) - F.col("used")))
+
+
+def new_on(seen: DataFrame, key: str, day: str, on: Column, kind: str, product: DataFrame) -> DataFrame:
+    """One row: keys first seen on a day, those of them in the product, and how many there are of each kind on that day (kind:count, the most first)."""
+    fresh = seen.groupBy(F.col(key).alias("_k")).agg(F.min(day).alias("_first")).where(F.col("_first") == on).select("_k")
+    here = fresh.join(product.select(F.col(key).alias("_p")).distinct(), F.col("_k") == F.col("_p"), "left_semi").agg(F.count("*").alias("new_in_product"))
+    kinds = seen.where(F.col(day) == on).select(key, kind).distinct().join(fresh, F.col(key) == F.col("_k")).groupBy(kind).agg(F.count("*").alias("n"))
+    text = kinds.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), F.col(kind).alias("t")))), lambda x: F.concat_ws(":", x.t, -x.m)), ",").alias("by_type"))
+    return fresh.agg(F.count("*").alias("new_jobs")).join(F.broadcast(here)).join(F.broadcast(text))  # one row each
+
+
 def text_table(df: DataFrame, most: int = 20) -> str:
     """The first rows of a small result as aligned text, with a line if there are more. At most ``most`` + 1 rows reach the driver."""
     rows = df.limit(most + 1).collect()
