@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.text import as_col, body_key, contains_any, found_terms, title_matches_body
@@ -124,48 +124,49 @@ def evidence_level(title, body, skills, rules: RuleSet = DEFAULT) -> Column:
     return F.when(says(t) | says(s), "strong").when(contains_any(b, rules.evidence_terms) | masked.rlike(rules.bare_term), "jd_only").otherwise("")
 
 
-def junk_reason(title, body, skills, company, industry, rules: RuleSet = DEFAULT, title_norm=None, body_norm=None) -> Column:
-    """Why a posting is dropped: sales, tech, noise or mismatch; null if it stays. The first rule that holds decides.
+def with_junk_reason(df: DataFrame, title="title", body="jd", skills="skills", company="company_name", industry="company_industry", rules: RuleSet = DEFAULT, title_norm=None, body_norm=None, name: str = "reason") -> DataFrame:
+    """Rows with why each is dropped: sales, tech, noise or mismatch; null if it stays. The first rule that holds decides.
 
     Sales and technical terms match the plain lower-case title, evidence the columns ``title_norm`` and
-    ``body_norm`` in compatibility form (the plain ones, where they are known to be in it).
+    ``body_norm`` in compatibility form (the plain ones, where they are known to be in it). What several rules
+    ask for is projected once.
     """
-    raw = F.coalesce(as_col(title), F.lit(""))
-    low, body_ = F.lower(raw), F.coalesce(as_col(body), F.lit(""))
+    raw, body_ = F.coalesce(as_col(title), F.lit("")), F.coalesce(as_col(body), F.lit(""))
     even = raw if title_norm is None else F.coalesce(as_col(title_norm), F.lit(""))
     even_body = body_ if body_norm is None else F.coalesce(as_col(body_norm), F.lit(""))
-    core = F.trim(F.regexp_extract(raw, "^([^（(]*)", 1))
+    rows = df.withColumns({"_j_raw": raw, "_j_low": F.lower(raw), "_j_even": even, "_j_body": even_body, "_j_key": body_key(even_body, unicode=False), "_j_bare": F.trim(body_) == "", "_j_name": F.coalesce(as_col(company), F.lit(""))})
+    low, even, even_body = F.col("_j_low"), F.col("_j_even"), F.col("_j_body")
+    titled = evidence_level(even, F.lit(""), F.array().cast("array<string>"), rules) != ""
+    rows = rows.withColumns({"_j_titled": titled, "_j_role": contains_any(low, rules.role_words)})
+    # a title that is evidence needs no look at the rest
+    rows = rows.withColumn("_j_full", F.col("_j_titled") | (evidence_level(F.lit(""), even_body, skills, rules) != ""))
+    core = F.trim(F.regexp_extract(F.col("_j_raw"), "^([^（(]*)", 1))
     product_core = F.lit(False)
     for suffix in rules.product_suffixes:
         product_core = product_core | core.endswith(suffix)
-    none = F.lit("")
-    titled = evidence_level(even, none, F.array().cast("array<string>"), rules)
-    full = evidence_level(even, even_body, skills, rules)
-    tech = contains_any(low, rules.tech_title_terms) & ~product_core & ~(low.contains("解决方案") & (titled != ""))
-    name = F.coalesce(as_col(company), F.lit(""))
-    signal = contains_any(F.coalesce(as_col(industry), F.lit("")), rules.company_industries) | name.rlike(f"(?i)({rules.company_names})")
-    role = contains_any(low, rules.role_words)
-    key = body_key(even_body, unicode=False)
-    hits = found_terms(key, rules.sales_body_terms)
-    pay_only = F.size(F.array_except(hits, F.array(*map(F.lit, rules.pay_terms)))) == 0
+    tech = contains_any(low, rules.tech_title_terms) & ~product_core & ~(low.contains("解决方案") & F.col("_j_titled"))
+    signal = contains_any(F.coalesce(as_col(industry), F.lit("")), rules.company_industries) | F.col("_j_name").rlike(f"(?i)({rules.company_names})")
+    sells = contains_any(F.col("_j_key"), rules.sales_body_terms)
+    harder = contains_any(F.col("_j_key"), tuple(t for t in rules.sales_body_terms if t not in rules.pay_terms))
     normal = F.lower(even)
     solution = contains_any(normal, rules.solution_titles) & ~contains_any(normal, rules.solution_excludes)
-    keep = F.lit(None).cast("string")
-    return (
+    keep, full = F.lit(None).cast("string"), F.col("_j_full")
+    reason = (
         F.when(low.contains(rules.protected_term), keep)
         .when(contains_any(low, rules.sales_title_terms), "sales")
         .when(tech, "tech")
         .when(low.contains(rules.media_term), "noise")
-        .when(signal & role & ~contains_any(low, rules.company_title_excludes), keep)
-        .when(contains_any(low, rules.operations_terms) & ~low.contains("产品") & (full == ""), "noise")
-        .when(~role & ~low.contains("aigc"), "noise")
-        .when(F.trim(body_) == "", keep)
-        .when((F.size(hits) > 0) & ~((full != "") & pay_only), "sales")
-        .when(full != "", keep)
+        .when(F.col("_j_role") & signal & ~contains_any(low, rules.company_title_excludes), keep)
+        .when(contains_any(low, rules.operations_terms) & ~low.contains("产品") & ~full, "noise")
+        .when(~F.col("_j_role") & ~low.contains("aigc"), "noise")
+        .when(F.col("_j_bare"), keep)
+        .when(sells & ~(full & ~harder), "sales")
+        .when(full, keep)
         .when(~title_matches_body(even, even_body), "mismatch")
         .when(solution, keep)
         .otherwise("noise")
     )
+    return rows.withColumn(name, reason).drop(*[c for c in rows.columns if c.startswith("_j_")])
 
 
 def failure_nature(fingerprint) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.functions.postings import junk_reason
+from sievework.functions.postings import with_junk_reason
 from sievework.functions.text import contains_any, nfkc
 from sievework.ruleset import DEFAULT, RuleSet
 
@@ -24,7 +24,11 @@ def relevance_reason(recruit: Column, industry: Column, title: Column, types: tu
 
 def split_by(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
     """(kept rows, dropped rows with their reason)."""
-    marked = df.withColumn("reason", reason)
+    return split_marked(df.withColumn("reason", reason))
+
+
+def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(kept rows, dropped rows) of rows with a reason, null for those that stay."""
     return marked.where("reason is null").drop("reason"), marked.where("reason is not null")
 
 
@@ -35,9 +39,8 @@ def reason_counts(df: DataFrame, reason: Column) -> DataFrame:
 def drop_junk(postings: DataFrame, rules: RuleSet = DEFAULT, with_body: bool = True) -> tuple[DataFrame, DataFrame]:
     """The junk cascade over postings; before details are there, without bodies."""
     rows = postings.withColumns({"_title": nfkc("title"), "_body": nfkc("jd") if with_body else F.lit("")})
-    body = F.col("jd") if with_body else F.lit("")
-    kept, dropped = split_by(rows, junk_reason(F.col("title"), body, F.col("skills"), F.col("company_name"), F.col("company_industry"), rules, "_title", "_body"))
-    return kept.drop("_title", "_body"), dropped.drop("_title", "_body")
+    marked = with_junk_reason(rows, body=F.col("jd") if with_body else F.lit(""), rules=rules, title_norm="_title", body_norm="_body")
+    return split_marked(marked.drop("_title", "_body"))
 
 
 def on_day(at: Column, day: Column, zone: str) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,47 +80,47 @@ def burst(events: DataFrame, key: str, at: str, seconds: int, limit: int) -> Dat
 
 
 def daily_budget(events: DataFrame, key: str, at: str, order: str, limit: int) -> DataFrame:
-    """outcome by event: ok for the first uses of different keys on a day up to the limit, duplicate for a key's later ones, exhausted beyond. Refused uses aren't recorded."""
+    """outcome by event: ok for the first uses of different keys on a day up to the limit, duplicate for a key's later ones, exhausted beyond. Refused uses aren't recorded; a limit of 0 is none."""
     day = F.to_date(at)
     firsts = events.groupBy(day.alias("_day"), F.col(key).alias("_key")).agg(F.min(F.struct(at, order)).alias("_first"))
-    ranked = firsts.withColumn("_nth", F.row_number().over(Window.partitionBy("_day").orderBy("_first")))
-    both = events.withColumn("_d", day).join(ranked, (F.col("_d") == F.col("_day")) & (F.col(key) == F.col("_key")))
-    ok = F.lit(limit <= 0) | (F.col("_nth") <= limit)
-    return both.withColumn("outcome", F.when(~ok, "exhausted").when(F.struct(at, order) == F.col("_first"), "ok").otherwise("duplicate")).drop("_d", "_day", "_key", "_first", "_nth")
+    if limit > 0:
+        # only the first ones are ranked: each task passes on its own first ones of a day
+        firsts = firsts.withColumn("_nth", F.row_number().over(Window.partitionBy("_day").orderBy("_first"))).where(F.col("_nth") <= limit).drop("_nth")
+    both = events.withColumn("_d", day).join(firsts, (F.col("_d") == F.col("_day")) & (F.col(key) == F.col("_key")), "left")
+    return both.withColumn("outcome", F.when(F.col("_first").isNull(), "exhausted").when(F.struct(at, order) == F.col("_first"), "ok").otherwise("duplicate")).drop("_d", "_day", "_key", "_first")
 
 
-#: Skips that a structural failure may have, and seconds that an entry lives, by nature.
-SKIP_BUDGET, STRUCTURAL_TTL, TRANSIENT_TTL = 5, 30 * 86_400, 30 * 60
+#: Runs that a structural failure may be skipped in, and seconds that an entry lives, by nature.
+SKIP_RUNS, STRUCTURAL_TTL, TRANSIENT_TTL = 5, 30 * 86_400, 30 * 60
 
 
 def fold_ledger(events: DataFrame) -> DataFrame:
     """State of a ledger of known failures after all its events (key, at as seconds, run, nature; kind failure or probe).
 
-    A failure opens or renews an entry; another nature resets its counts. A probe within an entry's life is
-    skipped: a structural one at most once a run, SKIP_BUDGET runs in all; a transient one in its own run only. An
-    expired or used-up entry goes at the probe. Keys are folded one by one, each in the order of its events.
+    A failure opens an entry or renews it; another nature resets what was skipped, not the hits. A probe is
+    skipped while the entry is in force: a structural one in SKIP_RUNS runs at the most, each counted once; a
+    transient one in the run that recorded it. An expired entry, and a structural one that is used up, goes at
+    the probe. A key's events, which are taken to be few, are folded in order within its row.
     """
-
-    def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        entry, skipped, fetched = None, 0, 0
-        for r in rows.sort_values(["at", "kind"], kind="stable").itertuples(index=False):
-            if r.kind == "failure":
-                if entry is None or entry["nature"] != r.nature:
-                    entry = {"nature": r.nature, "hits": 0, "skips": 0, "last_skip": None}
-                entry["hits"] += 1
-                entry["run"], entry["until"] = r.run, r.at + (STRUCTURAL_TTL if r.nature == "structural" else TRANSIENT_TTL)
-                continue
-            alive = entry is not None and r.at < entry["until"] and (entry["skips"] < SKIP_BUDGET if entry["nature"] == "structural" else entry["run"] == r.run)
-            if alive:
-                skipped += 1
-                if entry["last_skip"] != r.run:
-                    entry["skips"], entry["last_skip"] = entry["skips"] + 1, r.run
-            else:
-                fetched += 1
-                entry = None
-        return pd.DataFrame([{"key": key[0], "open": entry is not None, "nature": entry["nature"] if entry else "", "hits": entry["hits"] if entry else 0, "skips": entry["skips"] if entry else 0, "skipped": skipped, "fetched": fetched}])
-
-    return events.groupBy("key").applyInPandas(fold, "key long, open boolean, nature string, hits long, skips long, skipped long, fetched long")
+    ordered = events.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(F.col("at").cast("long").alias("at"), "kind", "run", "nature"))).alias("_e"))
+    fields = ("open", "nature", "hits", "skip_runs", "last_skip", "run", "until", "skipped", "fetched")
+    state = lambda *values: F.struct(*[v.alias(n) for n, v in zip(fields, values, strict=True)])
+    none, zero = F.lit(None).cast("string"), F.lit(0).cast("long")
+
+    def step(s: Column, e: Column) -> Column:
+        alive = s.open & (e.at < s.until)
+        same = alive & (s.nature == e.nature)
+        life = F.when(e.nature == "structural", F.lit(STRUCTURAL_TTL)).otherwise(F.lit(TRANSIENT_TTL))
+        failed = state(F.lit(True), e.nature, F.when(alive, s.hits + 1).otherwise(F.lit(1).cast("long")), F.when(same, s.skip_runs).otherwise(zero), F.when(same, s.last_skip), e.run, e.at + life, s.skipped, s.fetched)
+        structural = s.nature == "structural"
+        skip = alive & F.when(structural, s.skip_runs < SKIP_RUNS).otherwise(s.run == e.run)
+        first = ~F.coalesce(s.last_skip == e.run, F.lit(False))
+        goes = s.open & ~skip & (~alive | structural)
+        probed = state(s.open & ~goes, F.when(goes, F.lit("")).otherwise(s.nature), F.when(goes, zero).otherwise(s.hits), F.when(goes, zero).when(skip & first, s.skip_runs + 1).otherwise(s.skip_runs), F.when(skip, e.run).when(~goes, s.last_skip), s.run, s.until, s.skipped + skip.cast("long"), s.fetched + (~skip).cast("long"))
+        return F.when(e.kind == "failure", failed).otherwise(probed)
+
+    start = state(F.lit(False), F.lit(""), zero, zero, none, F.lit(""), zero, zero, zero)
+    return ordered.select("key", F.aggregate("_e", start, step).alias("_s")).select("key", *[F.col(f"_s.{c}").alias(c) for c in ("open", "nature", "hits", "skip_runs", "skipped", "fetched")])
 
 
 def resume_queue(previous: DataFrame, current: DataFrame, known: DataFrame, key: str, order: str) -> DataFrame:

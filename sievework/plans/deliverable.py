@@ -1,15 +1,15 @@
-"""The deliverable: postings derived, filtered, merged, deduplicated and marked, with the ledger of what was dropped; and the questions asked of it."""
+"""The deliverable: postings derived, filtered, merged, deduplicated and marked, with the ledger of what was dropped; its lineage and its market."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions import postings as P
 from sievework.functions import text as X
-from sievework.operators import dedupe, filters, merge, rollups, summary
+from sievework.operators import dedupe, filters, merge, summary
 from sievework.ruleset import DEFAULT, RuleSet
 
 
@@ -22,59 +22,65 @@ class Deliverable:
     bodyless: DataFrame
 
 
-def derive(df: DataFrame, rules: RuleSet = DEFAULT) -> DataFrame:
-    """Records with the derived columns: types, activity, direction, pay, title key, fingerprint."""
+def derive(df: DataFrame, rules: RuleSet = DEFAULT, today: Column | None = None) -> DataFrame:
+    """Records with the derived columns: types, activity, direction, pay, title key, fingerprint, marks of copies as of a single record and, given the day, risk flags."""
     d, s = P.direction("title", "jd", "skills", rules), P.salary_parts("salary")
-    return df.withColumns({
+    out = df.withColumns({
         "post_type": P.post_type("proxy_job", "proxy_type", "boss_title", "company_name", rules), "recruit_type": P.recruit_type("job_type", "title"), "active_state": P.active_state("boss_active_status"),
         "title_key": X.title_key("title"), "direction": d["label"], "direction_evidence": d["evidence"], "is_ai_pm": d["label"] == "ai_pm",
         "salary_min": s["low"], "salary_max": s["high"], "salary_unit": s["unit"], "salary_months": s["months"], "fingerprint": X.fingerprint("jd", "location", rules.fingerprint_body, rules.fingerprint_place),
+        "dup_group": F.lit(""), "dup_size": F.lit(1).cast("long"), "is_primary": F.lit(True),
     })
+    return out if today is None else out.withColumn("risk_flags", P.risk_flags("company_name", "title", "jd", "location", "post_type", "page_update_date", today, rules=rules))
 
 
-def build(listed: DataFrame, details: DataFrame, recruit_types: tuple[str, ...] = (), block: tuple[str, ...] = (), allow: tuple[str, ...] = (), keep_junk: bool = False, keep_without_body: bool = False, rules: RuleSet = DEFAULT) -> Deliverable:
+def build(listed: DataFrame, details: DataFrame, recruit_types: tuple[str, ...] = (), block: tuple[str, ...] = (), allow: tuple[str, ...] = (), keep_junk: bool = False, keep_without_body: bool = False, rules: RuleSet = DEFAULT, today: Column | None = None) -> Deliverable:
     """Lists (with ordinal) and details (with ordinal) to a deliverable. Reasons are codes; nothing is dropped without one."""
-    merged = derive(merge.merge_details(listed, details.drop("path"), "job_id", "jd", "ordinal"), rules)
+    merged = derive(merge.merge_details(listed, details.drop("path"), "job_id", "jd", "ordinal"), rules, today)
     merged = merged.withColumns({"_title": X.nfkc("title"), "_body": X.nfkc("jd")})
     reason = filters.relevance_reason(F.col("recruit_type"), F.col("company_industry"), F.col("title"), recruit_types, block, allow)
+    marked = merged.withColumn("reason", reason)
     if not keep_junk:
-        reason = F.coalesce(reason, P.junk_reason("title", "jd", "skills", "company_name", "company_industry", rules, "_title", "_body"))
-    kept, dropped = filters.split_by(merged, reason)
-    kept = kept.drop("_title", "_body")
+        marked = P.with_junk_reason(marked, rules=rules, title_norm="_title", body_norm="_body", name="_junk").withColumn("reason", F.coalesce("reason", "_junk")).drop("_junk")
+    kept, dropped = filters.split_marked(marked.drop("_title", "_body"))
     bare = F.coalesce(F.trim("jd"), F.lit("")) == ""
     bodyless = kept.where(bare)
     if not keep_without_body:
         kept = kept.where(~bare)
     newest = F.coalesce(-F.unix_date(F.to_date(F.try_to_timestamp(F.substring("page_update_date", 1, 10), F.lit("yyyy-MM-dd")))), F.lit(1))
     best, _ = dedupe.keep_best(kept.withColumns({"_title": X.title_key("title"), "_company": F.regexp_replace("company_name", "[()（）【】\\[\\]·\\s]", ""), "_city": F.substring_index("location", "·", 1)}), ["_title", "_company", "_city"], [newest, -F.length(F.coalesce("jd", F.lit(""))), F.col("job_id")], "job_id")
-    marked = dedupe.mark_groups(best.drop("_title", "_company", "_city"), "fingerprint", ["ordinal", "job_id"])
+    marked = dedupe.mark_groups(best.drop("_title", "_company", "_city", "dup_group", "dup_size", "is_primary"), "fingerprint", ["ordinal", "job_id"])
     return Deliverable(marked, dropped.select("job_id", "title", "company_name", "reason"), bodyless.select("job_id", "title"))
 
 
-def ask_why(now: Deliverable, before: Deliverable, store: DataFrame) -> DataFrame:
-    """job_id, answer: what became of each posting; the newest deliverable decides first."""
-    return rollups.first_evidence([("kept", now.kept), ("dropped", now.dropped), ("no_body", now.bodyless), ("kept_before", before.kept), ("dropped_before", before.dropped), ("store_only", store)], "job_id")
+def registered(built: list[tuple[str, str, str, Deliverable]]) -> tuple[DataFrame, DataFrame]:
+    """(items, deliverables) that the questions read, from a few deliverables: path, scope_key, created_at as ISO text, and what was built."""
+    items = deliverables = None
+    for path, scope, at, d in built:
+        rows = d.kept.select("job_id", F.lit("kept").alias("kind"), F.lit("").alias("reason"))
+        rows = rows.union(d.dropped.select("job_id", F.lit("dropped"), "reason")).union(d.bodyless.select("job_id", F.lit("no_body"), F.lit(""))).withColumn("path", F.lit(path))
+        head = d.kept.sparkSession.range(1).select(F.lit(path).alias("path"), F.lit(scope).alias("scope_key"), F.lit(at).alias("created_at"))
+        items, deliverables = (rows, head) if items is None else (items.unionByName(rows), deliverables.unionByName(head))
+    return items, deliverables
 
 
-def ask_diff(now: Deliverable, before: Deliverable) -> DataFrame:
-    return rollups.diff_with_reasons(before.kept, now.kept, "job_id", before.dropped, now.dropped, now.bodyless)
+def lineage(d: Deliverable, source: dict[str, str], rules: RuleSet = DEFAULT) -> DataFrame:
+    """One row for a deliverable's meta data: where it comes from (texts such as city, keyword, scope_key), the rules' version, and what was kept, dropped and without body."""
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    row = count(d.kept, "kept").join(F.broadcast(count(d.dropped, "dropped"))).join(F.broadcast(count(d.bodyless, "no_body")))  # one row each
+    return row.select(*[F.lit(v).alias(k) for k, v in sorted(source.items())], F.lit(rules.version).alias("ruleset_version"), "kept", "dropped", "no_body")
 
 
 def market_summary(d: Deliverable, top: int = 10) -> dict[str, DataFrame]:
     m = P.monthly_range("salary")
     bucketed = d.kept.withColumn("bucket", P.experience_bucket("experience"))
     direct = F.col("post_type") == "direct"
+    tables = summary.posting_dimensions("skills", [], None)
     return {
         "pay": summary.markets(d.kept, m["low"], m["high"], {"all": F.lit(True), "direct": direct, "agency": ~direct, "social_direct": direct & (F.col("recruit_type") == "social")}),
         "pay_by_experience": summary.pay_stats(bucketed, m["low"], m["high"], ["bucket"]),
-        "top": summary.top_values(d.kept, {"experience": F.col("experience"), "education": F.col("education"), "location": F.col("location"), "company": F.col("company_name"), "industry": F.col("company_industry"), "skill": F.col("skills")}, top),
+        "top": summary.top_values(d.kept, {n: c for n, c in tables.items() if n not in ("term", "icon")}, top, "ordinal"),
+        "top_pay": summary.top_pay(d.kept, "ordinal", ["title", "salary", "company_name", "location"], top),
+        "input": summary.reconciled(d.kept, d.dropped),
         "directions": d.kept.groupBy("direction").count(),
     }
-
-
-def ask(question: str, **inputs) -> DataFrame:
-    """One of the questions by name: why, diff."""
-    known = {"why": ask_why, "diff": ask_diff}
-    if question not in known:
-        raise ValueError(f"unknown question {question!r}; known: {', '.join(sorted(known))}")
-    return known[question](**inputs)

@@ -367,8 +367,7 @@ when {_any('low', R.solution_titles)} and not {_any('low', R.solution_excludes)}
 
 @query(_cascade_sql())
 def junk_cascade(spark, sf_dir):
-    reason = P.junk_reason("title", "jd", "skills", "company_name", "company_industry")
-    return postings(spark, sf_dir).select("job", F.coalesce(reason, F.lit("keep")).alias("verdict"))
+    return P.with_junk_reason(postings(spark, sf_dir)).select("job", F.coalesce("reason", F.lit("keep")).alias("verdict"))
 
 
 @query(f"""{_P}, s as (select o_custkey c, arg_max(case when o_orderkey % 9 = 0 then '' when o_orderkey % 4 = 0 then '3月前活跃' else '今日活跃' end, o_orderkey) d from orders where o_custkey % 3 > 0 group by 1)
@@ -615,6 +614,6 @@ def store_status(spark, sf_dir):
     return status({"events": (e, "day"), "orders": (o, "day")})
 
 
-from sievework.plans import acceptance_queries, record_queries, scope_queries, summary_queries  # noqa: E402, F401
+from sievework.plans import acceptance_queries, ask_queries, record_queries, scope_queries, summary_queries  # noqa: E402, F401
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

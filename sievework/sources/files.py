@@ -29,6 +29,22 @@ def read_exports(spark: SparkSession, path: str) -> DataFrame:
     return docs.select("path", F.posexplode(jobs).alias("ordinal", "r")).select("path", "ordinal", "r.*")
 
 
+def split_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(records, bad files): export files' records, and the files that have none with the reason: empty (white space), not_json, no_records. Spark reads no file of zero bytes; ``inventory`` finds those."""
+    array = T.ArrayType(RECORD).simpleString()
+    docs = _documents(spark, path)
+    jobs = F.coalesce(F.try_variant_get("doc", "$.jobs", array), F.try_variant_get("doc", "$", array))
+    reason = F.when(F.trim(F.coalesce("value", F.lit(""))) == "", "empty").when(F.col("doc").isNull(), "not_json").when(jobs.isNull(), "no_records")
+    read = docs.select("path", "modified", jobs.alias("jobs"), reason.alias("reason"))
+    rows = read.where("reason is null").select("path", F.posexplode("jobs").alias("ordinal", "r")).select("path", "ordinal", "r.*")
+    return rows, read.where("reason is not null").select("path", "modified", "reason")
+
+
+def append_log(df: DataFrame, path: str, reserved: dict[str, Column]) -> None:
+    """Rows added to a JSON-lines log; reserved fields are set last, so that no free field replaces them."""
+    df.withColumns(reserved).write.mode("append").json(path)
+
+
 def read_details(spark: SparkSession, path: str) -> DataFrame:
     """Records of detail files, each a bare array; another shape is an error."""
     array = T.ArrayType(RECORD).simpleString()

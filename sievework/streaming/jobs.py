@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -28,35 +28,71 @@ def new_versions(observed: DataFrame, key: str, content: str, at: str, late: str
     return observed.withWatermark(at, late).dropDuplicatesWithinWatermark([key, content])
 
 
+#: Milliseconds without uses after which a day, or a key, is forgotten.
+FORGET_MS = 3 * 86_400_000
+
+
 def budget(events: DataFrame, key: str, day: str, limit: int) -> DataFrame:
-    """day, key, outcome: a counter a day that different keys use up; a key's later uses are free, refused ones aren't recorded."""
+    """day, key, outcome: a counter a day that different keys use up; a key's later uses are free, refused ones aren't recorded.
+
+    A day's state holds the keys that used its budget, so ``limit`` at the most. Without a limit nothing is
+    counted and each key of a day has a state of its own.
+    """
+    by = (day,) if limit > 0 else (day, key)
 
     def use(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen = set(state.get[0].split("\n")) - {""} if state.exists else set()
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen = list(state.get[0]) if state.exists else []
+        have = set(seen)
         for rows in batches:
             outcome = []
             for k in rows[key].astype(str):
-                if k in seen:
+                if k in have:
                     outcome.append("duplicate")
                 elif limit > 0 and len(seen) >= limit:
                     outcome.append("exhausted")
                 else:
-                    seen.add(k)
+                    have.add(k)
+                    seen.append(k)
                     outcome.append("ok")
             yield pd.DataFrame({"day": group[0], "key": rows[key].astype(str), "outcome": outcome})
-        state.update(("\n".join(sorted(seen)),))
+        state.update((seen,))
+        state.setTimeoutDuration(FORGET_MS)
 
-    return events.groupBy(day).applyInPandasWithState(use, "day string, key string, outcome string", "seen string", "append", GroupStateTimeout.NoTimeout)
+    return events.groupBy(*by).applyInPandasWithState(use, "day string, key string, outcome string", "seen array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def progressive_upsert(batches: DataFrame, path: str, key: str, order: str, checkpoint: str) -> StreamingQuery:
-    """A keyed table that grows batch by batch; the first row of a key stays. Each batch writes a new state of the table, so a batch that runs again changes nothing."""
+def flushed(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The table that ``progressive_upsert`` has written so far, or before a batch."""
+    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+    return rows if before is None else rows.where(F.col("batch") < before)
 
-    def merge(batch: DataFrame, number: int) -> None:
-        from sievework.operators.dedupe import merge_keyed
 
+def progressive_upsert(batches: DataFrame, path: str, key: str, order: str, required: list[str], checkpoint: str) -> StreamingQuery:
+    """A keyed table that grows batch by batch; the first row of a key stays, so a batch adds its new keys only and rewrites nothing.
+
+    ``path``/table has the rows, ``path``/quarantine rows with their reason (invalid_key, missing:fields),
+    ``path``/counters new, duplicate and quarantine of each batch. A batch that runs again writes the same.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = spark.read.parquet(f"{path}/state={number - 1}") if number else spark.createDataFrame([], batch.schema)
-        merge_keyed(old, batch, key, order).write.mode("overwrite").parquet(f"{path}/state={number}")
+        blank = F.coalesce(F.trim(F.col(key).cast("string")), F.lit("")) == ""
+        lacks = F.array_compact(F.array(*[F.when(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "", F.lit(c)) for c in required]))
+        reason = F.when(blank, "invalid_key").when(F.size(lacks) > 0, F.concat(F.lit("missing:"), F.array_join(lacks, ",")))
+        marked = batch.withColumn("reason", reason)
+        marked.where("reason is not null").write.mode("overwrite").parquet(f"{path}/quarantine/batch={number}")
+        good = marked.where("reason is null").drop("reason")
+        values = [c for c in batch.columns if c != key]
+        first = good.groupBy(key).agg(F.min_by(F.struct(*values), F.struct(*[order])).alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in values])
+        if number:
+            known = flushed(spark, f"{path}/table", number).select(F.col(key).alias("_k"))
+            first = first.join(known, F.col(key) == F.col("_k"), "left_anti")
+        first.select(*batch.columns).write.mode("overwrite").parquet(f"{path}/table/batch={number}")
+        new = spark.read.parquet(f"{path}/table/batch={number}").agg(F.count("*").alias("new"))
+        row = marked.agg(F.count_if(F.col("reason").isNull()).alias("_good"), F.count_if(F.col("reason").isNotNull()).alias("quarantine")).join(F.broadcast(new))  # one row each
+        row.select("new", (F.col("_good") - F.col("new")).alias("duplicate"), "quarantine").write.mode("overwrite").parquet(f"{path}/counters/batch={number}")
 
     return batches.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,6 +1,12 @@
 import json
+import random
 
-from sievework.plans import deliverable
+import pytest
+from pyspark.sql import functions as F
+
+from sievework.functions import records
+from sievework.operators import rollups, store
+from sievework.plans import ask, deliverable
 from sievework.sources import files
 from sievework.streaming import jobs
 
@@ -54,11 +60,18 @@ def test_deliverable_and_questions(spark, tmp_path):
     assert kept["j1"].dup_group == kept["j4"].dup_group != "" and kept["j1"].is_primary and not kept["j4"].is_primary
     assert (kept["j1"].salary_min, kept["j1"].salary_max, kept["j1"].salary_months) == (20000.0, 40000.0, 15)
     before = deliverable.build(listed.where("job_id <> 'j1'"), details)
-    diff = {r.job_id: (r.change, r.reason) for r in deliverable.ask("diff", now=d, before=before).collect()}
+    items, deliverables = deliverable.registered([("/out/old", "杭州|AI", "2024-01-01", before), ("/out/new", "杭州|AI", "2024-01-02", d)])
+    diff = {r.job_id: (r.change, r.reason) for r in ask.ask("diff", items=items, deliverables=deliverables, scope="ai").collect()}
     assert diff == {"j1": ("added", "new")}
-    why = {r.job_id: r.answer for r in deliverable.ask("why", now=d, before=before, store=listed).collect()}
-    assert why["j2"] == "dropped" and why["j1"] == "kept"
-    assert deliverable.market_summary(d)["pay"].where("market = 'all'").first().parsed == 3
+    asked = listed.select("job_id").union(spark.createDataFrame([("j9",), ("j8",)], "job_id string"))
+    why = {r.job_id: (r.answer, r.reason) for r in ask.ask("why", asked=asked, items=items, deliverables=deliverables, excluded=listed.where("job_id = 'j2'"), store=spark.createDataFrame([("j8",)], "job_id string")).collect()}
+    assert why["j2"] == ("dropped", "sales") and why["j1"] == ("kept", "") and why["j8"][0] == "store_only" and why["j9"][0] == "unknown"
+    with pytest.raises(ValueError):
+        ask.ask("weather")
+    stamp = deliverable.lineage(d, {"scope_key": "杭州|AI", "city": "杭州"}).first()
+    assert (stamp.city, stamp.kept, stamp.dropped, stamp.no_body) == ("杭州", 3, 2, 0)
+    market = deliverable.market_summary(d)
+    assert market["top_pay"].first().high == 40.0 and market["input"].first().share == 0.6 and market["top"].where("dimension = 'skill'").first().value == "SQL"
 
 
 def test_streams(spark, tmp_path):
@@ -66,7 +79,7 @@ def test_streams(spark, tmp_path):
     src.mkdir()
     (src / "a.json").write_text("\n".join(json.dumps({"ts": f"2024-01-01T00:{m:02d}:00", "user_id": m % 3, "event_type": "error" if m % 2 else "ok"}) for m in range(6)))
     schema = "ts timestamp, user_id long, event_type string"
-    stream = lambda: spark.readStream.schema(schema).json(str(src))
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(src))
 
     def result(df, name, mode):
         df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / f"cp-{name}")).trigger(availableNow=True).start().awaitTermination(120)
@@ -74,9 +87,86 @@ def test_streams(spark, tmp_path):
 
     rates = result(jobs.failure_rates(stream(), window="2 minutes"), "rates", "complete")
     assert len(rates) == 3 and all(r.rate == 0.5 for r in rates)
-    from pyspark.sql import functions as F
-
-    used = result(jobs.budget(stream().withColumn("day", F.date_format("ts", "yyyy-MM-dd")), "user_id", "day", 2), "used", "append")
+    days = lambda: stream().withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    used = result(jobs.budget(days(), "user_id", "day", 2), "used", "append")
     assert sorted(r.outcome for r in used) == ["duplicate", "duplicate", "exhausted", "exhausted", "ok", "ok"]
-    jobs.progressive_upsert(stream(), str(tmp_path / "table"), "user_id", "ts", str(tmp_path / "cp-up")).awaitTermination(120)
-    assert spark.read.parquet(str(tmp_path / "table/state=0")).count() == 3
+    free = result(jobs.budget(days(), "user_id", "day", 0), "free", "append")
+    assert sorted(r.outcome for r in free) == ["duplicate"] * 3 + ["ok"] * 3
+
+    up = lambda: jobs.progressive_upsert(stream(), str(tmp_path / "t"), "user_id", "ts", ["event_type"], str(tmp_path / "cp-up")).awaitTermination(120)
+    up()
+    (src / "b.json").write_text("\n".join(json.dumps(r) for r in ({"ts": "2024-01-02T00:00:00", "user_id": 1, "event_type": "late"}, {"ts": "2024-01-02T00:00:00", "user_id": 7, "event_type": "ok"}, {"ts": "2024-01-02T00:00:00", "event_type": "ok"}, {"ts": "2024-01-02T00:00:00", "user_id": 8, "event_type": " "})))
+    up()
+    table = {r.user_id: r.event_type for r in jobs.flushed(spark, str(tmp_path / "t/table")).collect()}
+    assert table == {0: "ok", 1: "error", 2: "ok", 7: "ok"}
+    counts = spark.read.parquet(str(tmp_path / "t/counters")).orderBy("batch").collect()
+    assert [(r.new, r.duplicate, r.quarantine) for r in counts] == [(3, 3, 0), (1, 1, 2)]
+    assert {r.reason for r in spark.read.parquet(str(tmp_path / "t/quarantine")).collect()} == {"invalid_key", "missing:event_type"}
+
+
+def test_ledger_of_failures_matches_a_plain_fold(spark):
+    """Entries open, renew, change their nature, expire and are used up as a loop over each key's events has it."""
+    rnd = random.Random(7)
+    events = []
+    for key in range(60):
+        at = 0
+        for _ in range(rnd.randint(1, 40)):
+            at += rnd.choice([1, 60, 1_000, 3_000, 86_400, 20 * 86_400, 31 * 86_400])
+            events.append((key, at, f"r{rnd.randint(0, 9)}", rnd.choice(["structural", "structural", "transient"]), rnd.choice(["failure", "probe", "probe", "probe"])))
+
+    def plain(rows):
+        entry, skipped, fetched = None, 0, 0
+        for at, kind, run, nature in sorted((r[1], r[4], r[2], r[3]) for r in rows):
+            if kind == "failure":
+                if entry and at >= entry["until"]:
+                    entry = None
+                entry = entry or {"nature": nature, "hits": 0, "runs": 0, "last": None}
+                if entry["nature"] != nature:
+                    entry |= {"nature": nature, "runs": 0, "last": None}
+                entry["hits"] += 1
+                entry |= {"run": run, "until": at + (rollups.STRUCTURAL_TTL if nature == "structural" else rollups.TRANSIENT_TTL)}
+                continue
+            fresh = entry is not None and at < entry["until"]
+            if fresh and (entry["runs"] < rollups.SKIP_RUNS if entry["nature"] == "structural" else entry["run"] == run):
+                skipped += 1
+                entry["runs"] += entry["last"] != run
+                entry["last"] = run
+            else:
+                fetched += 1
+                if entry and (not fresh or entry["nature"] == "structural"):
+                    entry = None
+        return (entry is not None, entry["nature"] if entry else "", entry["hits"] if entry else 0, entry["runs"] if entry else 0, skipped, fetched)
+
+    df = spark.createDataFrame(events, "key long, at long, run string, nature string, kind string").repartition(5)
+    got = {r.key: tuple(r)[1:] for r in rollups.fold_ledger(df).collect()}
+    assert got == {k: plain([e for e in events if e[0] == k]) for k in range(60)}
+    assert any(v[0] for v in got.values()) and any(v[4] for v in got.values())
+
+
+def test_bad_files_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"jobs": [record(1)]}, ensure_ascii=False))
+    (tmp_path / "b.json").write_text("{broken")
+    (tmp_path / "c.json").write_text(" \n")
+    (tmp_path / "d.json").write_text('{"other": 1}')
+    good, bad = files.split_files(spark, str(tmp_path))
+    assert [r.job_id for r in good.collect()] == ["j1"]
+    assert {r.path.rsplit("/", 1)[-1]: r.reason for r in bad.collect()} == {"b.json": "not_json", "c.json": "empty", "d.json": "no_records"}
+
+
+def test_stores_newer_than_the_code_are_refused(spark):
+    meta = spark.createDataFrame([("schema_version", "3"), ("other", "x")], "key string, value string")
+    assert store.schema_of_version(meta, 3).first().version == 3 and store.schema_of_version(meta.limit(0), 3).first().version == 0
+    with pytest.raises(Exception, match="newer"):
+        store.schema_of_version(meta, 2).collect()
+
+
+def test_upserts_take_incoming_values_and_keep_where_nothing_came(spark):
+    old = spark.createDataFrame([("a", "杭州", "p0", "closed"), ("b", "北京", "p0", "active")], "k string, city string, payload string, state string").withColumns({"first_seen": F.lit("t0"), "last_seen": F.lit("t0")})
+    new = spark.createDataFrame([("a", 1, "上海", "p1"), ("a", 2, None, "p2"), ("c", 1, None, "p3"), (None, 1, "x", "y")], "k string, turn int, city string, payload string")
+    got = {r.k: (r.city, r.payload, r.state, r.first_seen, r.last_seen, r.change) for r in store.upsert(old, new, "k", "turn", F.lit("t1"), ["city"], ["payload"]).collect()}
+    assert got == {"a": ("上海", "p2", "active", "t0", "t1", "updated"), "b": ("北京", "p0", "active", "t0", "t0", "kept"), "c": (None, "p3", "new", "t1", "t1", "inserted")}
+
+
+def test_csv_header_of_an_older_table(spark):
+    df = spark.createDataFrame([("1", "x")], "id string, fresh string")
+    assert records.with_header_of(df, ["title", "id"]).columns == ["title", "id", "fresh"]
