@@ -94,7 +94,8 @@ def signatures(docs: DataFrame, words: int, n_bands: int, rows: int) -> DataFram
 def components(edges: DataFrame, what: str) -> DataFrame:
     """u, label: the least node of each node's component, for nodes with an edge (u, v), by large-star and small-star rounds.
 
-    Each round is a table in the shared folder; the driver sees counts only.
+    Each round is a table in the shared folder; the driver sees counts only. A node's least neighbour is a table
+    before its edges meet it, so that Spark can split the edges of a node with very many.
     """
     edges = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), what)
     seen = None
@@ -105,11 +106,11 @@ def components(edges: DataFrame, what: str) -> DataFrame:
         seen = mark
         # large star: a node's larger neighbours move to its least one
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), what).hint("merge")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = written(large, what)
         # small star: a node and its smaller neighbours move to the least of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), what).hint("merge")
         moved = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = written(moved.where("u <> v").distinct(), what)
 
@@ -182,14 +183,14 @@ def in_blocks(members: DataFrame, signed_: DataFrame) -> DataFrame:
     bands_ = signed_.where("k is not null and bands is not null").groupBy(F.col("k").alias("_k")).agg(F.first("bands").alias("bands"))
     large = written(members.where("n > 1").join(bands_, F.col("u") == F.col("_k")).select("u", "comp", "n", "bands"), "similarity-large")
     first = F.col("bands")[0]
-    many = written(large.groupBy("comp", first.alias("first")).count().where(F.col("count") > BLOCK_TEXTS // 2), "similarity-firsts").withColumnRenamed("comp", "_comp")
+    many = written(large.groupBy("comp", first.alias("first")).count().where(F.col("count") > BLOCK_TEXTS // 2), "similarity-firsts").withColumnRenamed("comp", "_comp").hint("merge")
     placed = large.join(many, (F.col("comp") == F.col("_comp")) & (first == F.col("first")), "left")
     own = F.when(F.col("count").isNull(), F.pmod(F.xxhash64(first), F.col("n").cast("long"))).otherwise(F.xxhash64(first, F.pmod(F.xxhash64("u"), F.ceil(F.col("count") / BLOCK_TEXTS))))
     placed = written(placed.select("u", "comp", own.alias("own"), "bands"), "similarity-placed")
-    held = written(placed.select("comp", "own", F.explode("bands").alias("band")).distinct(), "similarity-held")
+    held = written(placed.select("comp", "own", F.explode("bands").alias("band")).distinct(), "similarity-held").hint("merge")
     met = held.join(held.withColumnRenamed("own", "other"), ["comp", "band"]).select(F.col("comp").alias("_comp"), F.col("own").alias("_own"), "other").distinct()
     # a row a block
-    met = written(met.groupBy("_comp", "_own").agg(F.collect_list("other").alias("others")), "similarity-met")
+    met = written(met.groupBy("_comp", "_own").agg(F.collect_list("other").alias("others")), "similarity-met").hint("merge")
     split = placed.join(met, (F.col("comp") == F.col("_comp")) & (F.col("own") == F.col("_own"))).select("u", "comp", "own", "others", F.lit(True).alias("parted"))
     return single.union(split)
 
@@ -248,16 +249,17 @@ def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", word
     slices = slices_of(docs, text)
     base = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("x", F.md5("t"))
     signed_ = written(signatures(base, words, n_bands, rows), "similarity-signatures")
-    # what a join meets is a table of its own, so that Spark sees how large each part of either side is, and splits a hot one
-    per_text = written(signed_.groupBy(F.col("text_hash").alias("_x")).agg(F.min("k").alias("text_id"), F.count("*").alias("rows")), "similarity-texts")
+    # what a join meets is a table of its own, so that Spark sees how large each part of either side is, and splits a hot one;
+    # none of these has a proven bound, so none is broadcast, however small it is
+    per_text = written(signed_.groupBy(F.col("text_hash").alias("_x")).agg(F.min("k").alias("text_id"), F.count("*").alias("rows")), "similarity-texts").hint("merge")
     # equal texts have equal bands: those of the row with the least key stand for all
     reps = signed_.where("k is not null and bands is not null").join(per_text, (F.col("text_hash") == F.col("_x")) & (F.col("k") == F.col("text_id")))
     met = written(reps.select(F.col("k").alias("u"), F.explode("bands").alias("band")), "similarity-bands")
-    lead = written(met.groupBy("band").agg(F.min("u").alias("v"), F.max("u").alias("w")).where("v < w").drop("w"), "similarity-lead")
+    lead = written(met.groupBy("band").agg(F.min("u").alias("v"), F.max("u").alias("w")).where("v < w").drop("w"), "similarity-lead").hint("merge")
     coarse = written(components(met.join(lead, "band").select("u", "v"), "similarity-meeting"), "similarity-comps")
-    sized = coarse.join(signed_.select(F.col("k").alias("u"), "grams").groupBy("u").agg(F.max("grams").alias("grams")), "u")
-    blocks = written(sized.groupBy(F.col("label").alias("comp")).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("n")), "similarity-blocks")
-    members = written(in_blocks(coarse.withColumnRenamed("label", "comp").join(blocks, "comp"), signed_), "similarity-members")
+    sized = coarse.hint("merge").join(signed_.select(F.col("k").alias("u"), "grams").groupBy("u").agg(F.max("grams").alias("grams")), "u")
+    blocks = written(sized.groupBy(F.col("label").alias("comp")).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("n")), "similarity-blocks").hint("merge")
+    members = written(in_blocks(coarse.withColumnRenamed("label", "comp").join(blocks, "comp"), signed_), "similarity-members").hint("merge")
     # a key that stands on different texts is one document of several: its first text by hash is compared
     texts = base.where("k is not null").join(members, F.col("k") == F.col("u")).select("u", "comp", "own", "others", "parted", "t", "x")
     rep_hash = per_text.where("text_id is not null").select(F.col("text_id").alias("_u"), F.col("_x").alias("_h")).groupBy("_u").agg(F.min("_h").alias("_h"))
@@ -269,9 +271,9 @@ def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", word
         final = components(stars.select("u", "v"), "similarity-groups")
     else:
         final = stars.select("u", F.col("v").alias("label"))
-    final = written(final.withColumnRenamed("u", "_g").join(n_links.withColumnRenamed("u", "_g"), "_g", "full"), "similarity-found")
+    final = written(final.withColumnRenamed("u", "_g").join(n_links.withColumnRenamed("u", "_g"), "_g", "full"), "similarity-found").hint("merge")
     classes = per_text.join(final, F.col("text_id") == F.col("_g"), "left").select("_x", "text_id", F.coalesce("label", "text_id").alias("group_id"), (F.col("rows") - 1).alias("n_copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return signed_.select("k", "text_hash").join(written(classes, "similarity-classes"), F.col("text_hash") == F.col("_x")).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "text_hash", "text_id", "group_id", "n_copies", "n_links")
+    return signed_.select("k", "text_hash").join(written(classes, "similarity-classes").hint("merge"), F.col("text_hash") == F.col("_x")).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "text_hash", "text_id", "group_id", "n_copies", "n_links")
 
 
 def _repeats(rows: DataFrame) -> bool:
@@ -284,6 +286,6 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     found = similar_texts(docs, key, text)
     stay = found.where(F.col("group_id").isNull() | F.col(key).eqNullSafe(F.col("group_id"))).select(F.col(key).alias("_k"), F.col("text_hash").alias("_x")).distinct()
     rows = docs.withColumn("_hash", F.md5(F.coalesce(F.col(text), F.lit(""))))
-    kept = rows.join(stay, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_x")), "left_semi")
+    kept = rows.join(stay.hint("merge"), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_x")), "left_semi")
     repeated = found.where(F.col(key).isNotNull()).groupBy(key, "text_hash").count().where("count > 1").limit(1).count()
     return (kept.dropDuplicates([key, "_hash"]) if repeated else kept).drop("_hash")
