@@ -29,23 +29,23 @@ SECRET_VALUE = re.compile(r"(cookie|token|password|secret|security_?id)=([^&\s\"
 LEAST_BODY = 50
 
 
+#: Kinds of lines, a letter each, the first that fits: nothing, a lone dot, a person, a presence, a position, a short line without punctuation, any other.
+KINDS = (("_", re.compile(r"^$")), (".", re.compile(r"^·$")), ("N", NAME), ("A", re.compile(rf"^(?:{'|'.join(PRESENCE)}|.*活跃)$")), ("P", POSITION), ("C", re.compile(r"^[^。！？；，、:：!?,;]{2,30}$")))
+#: Recruiters' cards at a text's end, as kinds of lines: person, presence or not, company, dot and position on lines of their own; person, presence, company; person and position; a person after an empty line.
+CARDS = tuple(map(re.compile, (r"[^_](?P<a>A)?[^_]\.[^_]_*$", r"N_*(?P<a>A)_*[NPC]_*$", r"N_*P_*$", r"(?<=_)N_*$")))
+
+
 def _active(line: str) -> bool:
-    return line in PRESENCE or line.endswith("活跃")
+    return bool(KINDS[3][1].match(line))
 
 
 def _card(lines: list[str]) -> tuple[int, str]:
     """(first line of a recruiter's card at the end, its activity); the number of lines if there is none."""
-    filled = [i for i, line in enumerate(lines) if line]
-    last = [lines[i] for i in filled[-5:]]
-    if len(last) >= 4 and last[-2] == "·":  # name, activity?, company, ·, position
-        tall = len(last) == 5 and _active(last[-4])
-        return filled[-5 if tall else -4], last[-4] if tall else ""
-    if len(last) >= 3 and NAME.match(last[-3]) and _active(last[-2]) and len(last[-1]) <= 30 and not re.search("[。！？；，、:：!?,;]", last[-1]):
-        return filled[-3], last[-2]
-    if len(last) >= 2 and NAME.match(last[-2]) and POSITION.match(last[-1]):
-        return filled[-2], ""
-    if last and NAME.match(last[-1]) and filled[-1] and not lines[filled[-1] - 1]:
-        return filled[-1], ""
+    kinds = "".join(next((letter for letter, form in KINDS if form.match(line)), "x") for line in lines)
+    for card in CARDS:
+        if m := card.search(kinds):
+            at = m.groupdict().get("a") and m.start("a")
+            return m.start(), lines[at] if at else ""
     return len(lines), ""
 
 

@@ -34,7 +34,7 @@ def split_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     array = T.ArrayType(RECORD).simpleString()
     docs = _documents(spark, path)
     jobs = F.coalesce(F.try_variant_get("doc", "$.jobs", array), F.try_variant_get("doc", "$", array))
-    reason = F.when(F.trim(F.coalesce("value", F.lit(""))) == "", "empty").when(F.col("doc").isNull(), "not_json").when(jobs.isNull(), "no_records")
+    reason = F.when(~F.coalesce("value", F.lit("")).rlike("\\S"), "empty").when(F.col("doc").isNull(), "not_json").when(jobs.isNull(), "no_records")
     read = docs.select("path", "modified", jobs.alias("jobs"), reason.alias("reason"))
     rows = read.where("reason is null").select("path", F.posexplode("jobs").alias("ordinal", "r")).select("path", "ordinal", "r.*")
     return rows, read.where("reason is not null").select("path", "modified", "reason")

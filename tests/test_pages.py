@@ -21,6 +21,21 @@ def test_page_bodies(spark):
     assert got[5].jd == BODY and got[5].boss_active_status == "3日内活跃"
 
 
+def test_cards_at_the_end_of_a_text():
+    """Each form of card, also before a marker and with empty lines, and texts that only look like one."""
+    text = BODY.split("，")
+    for card, status in [
+        (["张三", "今日活跃", "星海科技", "·", "招聘经理"], "今日活跃"), (["张三", "星海科技", "·", "招聘经理"], ""), (["张女士", "在线", "星海科技"], "在线"), (["张女士", "", "离职中", "星海科技·人事", ""], "离职中"),
+        (["李先生（已认证）", "星海科技·招聘"], ""), (["", "王先生"], ""),
+    ]:
+        start, active = pages._card([*text, *card])
+        assert (start, active) == (len(text) + (card[0] == ""), status), card
+    for tail in (["王先生"], ["张女士", "负责一切。", "在线"], ["在线", "星海科技"], []):
+        assert pages._card([*text, *tail]) == (len(text) + len(tail), "")
+    body, active, _, error = pages.page_body("\n".join([*text, "张三", "本周活跃", "星海科技", "·", "招聘经理", "竞争力分析", "其他"]), "", None, None)
+    assert (error, active, body) == ("", "本周活跃", "\n".join(text))
+
+
 def test_payloads(spark):
     payload = {"title": "a", "authorName": "b", "accessToken": "c", "encryptJobId": "d", "deep": [{"cookie": 1, "note": "token=xyz ok"}], "link": "https://h/p?lid=1&q=2&next=https%3A%2F%2Fx%2F%3Ftoken%3D9%26z%3D1#top"}
     df = spark.createDataFrame([(json.dumps(payload),), ("{bad",), (None,)], "p string")
