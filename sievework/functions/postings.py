@@ -99,7 +99,7 @@ def risk_flags(company, title, body, location, post, updated, today: Column, sal
     name, place = _text(company), F.filter(F.split(_text(location), "·"), lambda p: p != "")
     city = F.get(place, F.lit(0))
     elsewhere = F.exists(F.array(*map(F.lit, rules.other_cities)), lambda c: F.contains(name, c) & (c != city))
-    age = F.datediff(today, F.to_date(F.try_to_timestamp(F.substring(_text(updated), 1, 10), F.lit("yyyy-MM-dd"))))
+    age = days_since(updated, today)
     blob = F.lower(F.concat(_text(title), F.lit(" "), F.substring(_text(body), 1, 400)))
     marks = [
         F.when((name != "") & (as_col(post) == "anonymous"), "agency_placeholder"),
@@ -169,9 +169,35 @@ def with_junk_reason(df: DataFrame, title="title", body="jd", skills="skills", c
     return rows.withColumn(name, reason).drop(*[c for c in rows.columns if c.startswith("_j_")])
 
 
-def failure_nature(fingerprint) -> Column:
-    """structural failures last, transient ones pass."""
-    return F.when(_text(fingerprint).rlike("(?i)timeout|network|rate|busy|retry|risk|captcha"), "transient").otherwise("structural")
+#: Fingerprints of failed pages and what marks them, in order; the fingerprints that mean a page itself is bad.
+FAILURES = (("login_wall", ("登录查看", "登录后可见", "请先登录", "扫码登录")), ("risk_page", ("访问受限", "暂时被限制访问", "账户存在异常行为", "验证码")), ("shell_only", ("正在加载", "javascript is required")))
+STRUCTURAL = ("no_section",)
+
+
+def failure_fingerprint(message, page) -> Column:
+    """What kind of failure a message and the page's text tell of: too_short, login_wall, risk_page, shell_only, no_section or unknown."""
+    said, text = F.coalesce(as_col(message), F.lit("")), F.coalesce(as_col(page), F.lit(""))
+    both = F.concat(said, F.lit("\n"), text)
+    out = F.when(both.contains("too short"), "too_short")
+    for name, marks in FAILURES:
+        out = out.when(contains_any(both, marks), name)
+    return out.when(both.contains("职位描述") | (text != ""), "no_section").otherwise("unknown")
+
+
+def failure_nature(fingerprint, reason=None) -> Column:
+    """structural where the page itself is bad; transient for all else, so that it is tried again."""
+    print_, said = F.lower(_text(fingerprint)), F.lower(_text(reason)) if reason is not None else F.lit("")
+    return F.when(print_.isin(*STRUCTURAL) | print_.contains("no_section") | said.contains("no_section"), "structural").otherwise("transient")
+
+
+def listed_activity(active, online) -> Column:
+    """A list's word on a recruiter's activity: its own text, else online, else nothing."""
+    return F.when(_text(active) != "", _text(active)).when(F.coalesce(as_col(online), F.lit(False)), "在线").otherwise("")
+
+
+def days_since(day, today: Column) -> Column:
+    """Days from an ISO date to today; null where it is none."""
+    return F.datediff(today, F.to_date(F.try_to_timestamp(F.substring(_text(day), 1, 10), F.lit("yyyy-MM-dd"))))
 
 
 #: Activities from vague to precise; others count as unknown.

@@ -36,8 +36,12 @@ def first_filled(*columns: Column | str) -> Column:
     return F.coalesce(*[F.trim(blank_to_null(c)) for c in columns])
 
 
+#: Fixed value: the characters that Unicode counts as white space, and the separators of ASCII.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def no_space(c: Column | str) -> Column:
-    return F.regexp_replace(as_col(c), "(?U)\\s+", "")
+    return F.translate(as_col(c), WHITE_SPACE, "")
 
 
 def title_key(c: Column | str, unicode: bool = True) -> Column:

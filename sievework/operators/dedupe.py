@@ -9,18 +9,19 @@ from pyspark.sql import functions as F
 def mark_groups(df: DataFrame, group: str, order: list[str | Column]) -> DataFrame:
     """dup_group, dup_size, is_primary for each row: groups of two and more rows with one non-blank ``group`` value; the first by ``order`` is primary.
 
-    Sizes come from an aggregate that combines before it shuffles and is joined back, and the primary from the
-    group's least order key, so no window holds a large group.
+    Groups are told by a hash of their value, which is what moves. Sizes come from an aggregate that combines
+    before it shuffles and is joined back, and the primary from the group's least order key, so no window holds
+    a large group.
     """
-    keyed = F.col(group).isNotNull() & (F.col(group) != "")
-    sizes = df.where(keyed).groupBy(group).agg(F.count("*").alias("dup_size"), F.min(F.struct(*order)).alias("_first")).where("dup_size > 1")
-    out = df.join(sizes.withColumnRenamed(group, "_group"), F.col(group) == F.col("_group"), "left")
+    keyed = df.withColumn("_key", F.when(F.col(group) != "", F.sha2(F.col(group), 256)))
+    sizes = keyed.where("_key is not null").groupBy(F.col("_key").alias("_group")).agg(F.count("*").alias("dup_size"), F.min(F.struct(*order)).alias("_first")).where("dup_size > 1")
+    out = keyed.join(sizes, F.col("_key") == F.col("_group"), "left")
     grouped = F.col("_group").isNotNull()
     return out.withColumns({
-        "dup_group": F.when(grouped, F.concat(F.lit("dup-"), F.substring(F.sha2(F.col(group), 256), 1, 8))).otherwise(F.lit("")),
+        "dup_group": F.when(grouped, F.concat(F.lit("dup-"), F.substring("_group", 1, 8))).otherwise(F.lit("")),
         "dup_size": F.coalesce(F.col("dup_size"), F.lit(1)),
         "is_primary": ~grouped | (F.struct(*order) == F.col("_first")),
-    }).drop("_group", "_first")
+    }).drop("_key", "_group", "_first")
 
 
 def keep_best(df: DataFrame, keys: list[str], best: list[Column], id_col: str) -> tuple[DataFrame, DataFrame]:

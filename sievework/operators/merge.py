@@ -76,8 +76,8 @@ def coverage(listed: DataFrame, details: DataFrame, key: str, by: str) -> DataFr
     return rows.groupBy(by).agg(F.count("*").alias("listed"), F.count("_k").alias("covered")).withColumns({"missing": F.col("listed") - F.col("covered"), "rate": F.round(F.col("covered") / F.col("listed"), 4)})
 
 
-def asset_view(jobs: DataFrame, versions: DataFrame, key: str, order: str, fields: list[str]) -> DataFrame:
-    """Jobs with their versions as an array of structs in order; an empty array without any."""
-    nested = versions.groupBy(F.col(key).alias("_k")).agg(F.array_sort(F.collect_list(F.struct(order, *fields))).alias("versions"))
-    empty = F.array().cast(nested.schema["versions"].dataType)
-    return jobs.join(nested, F.col(key) == F.col("_k"), "left").withColumn("versions", F.coalesce("versions", empty)).drop("_k")
+def asset_view(jobs: DataFrame, versions: DataFrame, key: str, order: str, fields: list[str], name: str = "versions") -> DataFrame:
+    """Jobs with their versions (or flags, by another name) as an array of structs in order; an empty array without any."""
+    nested = versions.groupBy(F.col(key).alias("_k")).agg(F.array_sort(F.collect_list(F.struct(order, *fields))).alias(name))
+    empty = F.array().cast(nested.schema[name].dataType)
+    return jobs.join(nested, F.col(key) == F.col("_k"), "left").withColumn(name, F.coalesce(name, empty)).drop("_k")

@@ -107,3 +107,12 @@ def orphans(requirements: DataFrame, properties: DataFrame, examples: DataFrame)
     """kind, orphans: properties whose requirement, and examples whose property, does not exist."""
     p = properties.join(requirements, "requirement", "left_anti").agg(F.lit("property").alias("kind"), F.count_distinct("property").alias("orphans"))
     return p.union(examples.join(properties, "property", "left_anti").agg(F.lit("example"), F.count("*")))
+
+
+def raw_pairs(raw: DataFrame, records: DataFrame, link: str, name: str, order: str, fields: dict[str, str]) -> DataFrame:
+    """r_ and c_ columns of each field, for ``field_fidelity``: records with the raw item whose computed id is theirs, the last one where several are. fields: field to raw column."""
+    own = F.coalesce(F.when(F.col(link) != "", F.col(link)), F.col(name), F.lit(""))
+    keyed = raw.select(F.substring(F.md5(own), 1, 16).alias("_id"), F.col(order).alias("_o"), *[F.col(r).cast("string").alias(f"r_{f}") for f, r in fields.items()])
+    last = keyed.groupBy("_id").agg(F.max_by(F.struct(*[f"r_{f}" for f in fields]), "_o").alias("_r"))
+    both = records.join(last, F.col("job_id") == F.col("_id"), "left")
+    return both.select("job_id", *[F.col(f"_r.r_{f}").alias(f"r_{f}") for f in fields], *[F.col(f).cast("string").alias(f"c_{f}") for f in fields])

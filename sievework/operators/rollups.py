@@ -16,6 +16,27 @@ def keep_newest(df: DataFrame, kind: str, newest: list[Column], n: int) -> DataF
     return df.withColumn("turn", F.row_number().over(Window.partitionBy(kind).orderBy(*newest))).where(F.col("turn") <= n)
 
 
+def newest_by(df: DataFrame, kind: str, newest: list[str], value: str) -> DataFrame:
+    """kind and the value of its newest row."""
+    return df.groupBy(kind).agg(F.max_by(value, F.struct(*newest)).alias(value))
+
+
+def version_changes(items: DataFrame, scope: str, version: str, key: str) -> DataFrame:
+    """scope, current, previous, added, removed, kept: each scope's last two versions, compared by key; scopes with one version are left out."""
+    turns = supersede(items.select(scope, version).distinct(), scope, [F.col(version).desc()]).where("turn <= 2").select(F.col(scope).alias("_s"), F.col(version).alias("_v"), "turn")
+    rows = items.join(turns, (F.col(scope) == F.col("_s")) & (F.col(version) == F.col("_v")))
+    each = rows.groupBy(scope, key).agg(F.bool_or(F.col("turn") == 1).alias("now"), F.bool_or(F.col("turn") == 2).alias("then"), F.max(F.when(F.col("turn") == 1, F.col("_v"))).alias("c"), F.max(F.when(F.col("turn") == 2, F.col("_v"))).alias("p"))
+    out = each.groupBy(scope).agg(F.max("c").alias("current"), F.max("p").alias("previous"), F.count_if(F.col("now") & ~F.col("then")).alias("added"), F.count_if(~F.col("now") & F.col("then")).alias("removed"), F.count_if(F.col("now") & F.col("then")).alias("kept"))
+    return out.where("previous is not null")
+
+
+def saved_state(previous: DataFrame, current: DataFrame, key: str, order: str) -> DataFrame:
+    """A queue or state table after a run: each key's row from the run, else the one that was saved; order tells the newest of a run."""
+    both = previous.withColumn("_side", F.lit(0)).unionByName(current.withColumn("_side", F.lit(1)))
+    values = [c for c in previous.columns if c != key]
+    return both.groupBy(key).agg(F.max_by(F.struct(*values), F.struct("_side", order)).alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in values])
+
+
 def recent(df: DataFrame, at: str, key: str, n: int) -> DataFrame:
     """The last rows by time; ties by key."""
     return df.orderBy(F.col(at).desc(), key).limit(n)

@@ -13,15 +13,25 @@ from sievework.functions.text import district, first_filled, has_word
 
 
 def pay_stats(df: DataFrame, low: Column, high: Column, by: list[str] = ()) -> DataFrame:
-    """parsed, unparsed, median, mean, p10 of lows, p90 of highs; exact, linear quantiles."""
-    mid = (low + high) / 2
-    return df.groupBy(*by).agg(F.count(mid).alias("parsed"), F.count_if(mid.isNull()).alias("unparsed"), F.median(mid).alias("median"), F.round(F.avg(mid), 1).alias("mean"), F.round(F.percentile(low, 0.1), 1).alias("p10"), F.round(F.percentile(high, 0.9), 1).alias("p90"))
+    """parsed, unparsed, median, mean, p10 of lows, p90 of highs; exact, linear quantiles.
+
+    Rows of one pay are counted first, and the quantiles are those of the counts: what moves are different pays.
+    """
+    pays = df.groupBy(*by, low.alias("_low"), high.alias("_high")).agg(F.count("*").alias("_n"))
+    return _of_counts(pays, by)
+
+
+def _of_counts(pays: DataFrame, by: list[str]) -> DataFrame:
+    n, mid = F.col("_n"), (F.col("_low") + F.col("_high")) / 2
+    total = lambda c: F.coalesce(F.sum(F.when(c, n)), F.lit(0))
+    return pays.groupBy(*by).agg(total(mid.isNotNull()).alias("parsed"), total(mid.isNull()).alias("unparsed"), F.percentile(mid, 0.5, n).alias("median"), F.round(F.sum(mid * n) / F.sum(F.when(mid.isNotNull(), n)), 1).alias("mean"), F.round(F.percentile("_low", 0.1, n), 1).alias("p10"), F.round(F.percentile("_high", 0.9, n), 1).alias("p90"))
 
 
 def markets(df: DataFrame, low: Column, high: Column, cuts: dict[str, Column]) -> DataFrame:
-    """pay_stats of several overlapping subsets, a row each, in one pass: each row is counted for the subsets it belongs to."""
+    """pay_stats of several overlapping subsets, a row each, in one pass: rows are counted by pay and the subsets they belong to, and only the counts are dealt out to them."""
     names = F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in cuts.items()]), lambda x: x.isNotNull())
-    return pay_stats(df.withColumns({"_low": low, "_high": high}).withColumn("market", F.explode(names)), F.col("_low"), F.col("_high"), ["market"])
+    pays = df.groupBy(names.alias("_markets"), low.alias("_low"), high.alias("_high")).agg(F.count("*").alias("_n"))
+    return _of_counts(pays.select(F.explode("_markets").alias("market"), "_low", "_high", "_n"), ["market"])
 
 
 def top_values(df: DataFrame, dimensions: dict[str, Column], top: int, order: str | None = None) -> DataFrame:

@@ -265,3 +265,81 @@ def replayed_versions(spark, sf_dir):
     """Replaying a part of the history changes nothing, whatever the order in which it comes."""
     e = events(spark, sf_dir)
     return store.number_versions(e.unionByName(e.where("event_type <> 'view'").orderBy(F.desc("ts"))), "user_id", "event_type", "ts")
+
+
+# ---------------------------------------------------------------- raw items, versions, states
+
+
+@query("""with raw as (select substr(md5(case when o_orderkey % 3 > 0 then concat('/j/', o_custkey) else concat('n', o_custkey) end), 1, 16) id, o_orderkey turn, o_orderpriority p, o_orderstatus s from orders), l as (select id, arg_max(p, turn) p, arg_max(s, turn) s from raw group by 1), r as (select substr(md5(concat('/j/', c_custkey)), 1, 16) id, case when c_custkey % 3 = 0 then '1-urgent' else '2-HIGH' end p, 'O' s from customer),
+x as (select r.id, l.p rp, r.p cp, l.s rs, r.s cs from r left join l using (id)), v as (select 'priority' field, rp r, cp c from x union all select 'status', rs, cs from x), w as (select field, case when coalesce(r, '') = '' then 'no_check' when r = c then 'exact' when lower(r) = lower(c) then 'normalised' else 'mismatch' end v from v)
+select field, count(*) filter (v = 'exact') as exact, count(*) filter (v = 'normalised') as normalised, count(*) filter (v = 'mismatch') as mismatch, count(*) filter (v = 'no_check') as no_check, round(count(*) filter (v in ('exact', 'normalised')) / nullif(count(*) filter (v <> 'no_check'), 0), 4) as rate from w group by 1""")
+def raw_by_computed_id(spark, sf_dir):
+    from sievework.operators import quality
+
+    raw = table(spark, sf_dir, "orders").selectExpr("case when o_orderkey % 3 > 0 then concat('/j/', o_custkey) else '' end as link", "concat('n', o_custkey) as name", "o_orderkey as turn", "o_orderpriority as p", "o_orderstatus as s")
+    records = table(spark, sf_dir, "customer").selectExpr("substr(md5(concat('/j/', c_custkey)), 1, 16) as job_id", "case when c_custkey % 3 = 0 then '1-urgent' else '2-HIGH' end as priority", "'O' as status")
+    return quality.field_fidelity(quality.raw_pairs(raw, records, "link", "name", "turn", {"priority": "p", "status": "s"}), ["priority", "status"])
+
+
+@query("select event_type, arg_max(event_id, (ts, event_id)) as event_id from events group by 1")
+def newest_by_kind(spark, sf_dir):
+    from sievework.operators import rollups
+
+    return rollups.newest_by(events(spark, sf_dir), "event_type", ["ts", "event_id"], "event_id")
+
+
+@query("""with i as (select distinct event_type, cast(cast(ts as date) as varchar) v, user_id from events), t as (select event_type, v, dense_rank() over (partition by event_type order by v desc) turn from (select distinct event_type, v from i)), e as (select event_type, user_id, bool_or(turn = 1) n, bool_or(turn = 2) o from i join t using (event_type, v) where turn <= 2 group by 1, 2)
+select event_type, (select v from t where t.event_type = e.event_type and turn = 1) as current, (select v from t where t.event_type = e.event_type and turn = 2) as previous, count(*) filter (n and not o) as added, count(*) filter (o and not n) as removed, count(*) filter (n and o) as kept from e group by 1""")
+def version_changes(spark, sf_dir):
+    from sievework.operators import rollups
+
+    items = events(spark, sf_dir).selectExpr("event_type", "cast(to_date(ts) as string) as v", "user_id")
+    return rollups.version_changes(items, "event_type", "v", "user_id")
+
+
+@query("with p as (select user_id, max(event_id) turn from events where ts < timestamp '2024-01-16' group by 1), c as (select user_id, max(event_id) turn from events where ts >= timestamp '2024-01-16' and event_type = 'click' group by 1) select user_id, coalesce(c.turn, p.turn) as turn from p full join c using (user_id)")
+def saved_queue(spark, sf_dir):
+    from sievework.operators import rollups
+
+    e = events(spark, sf_dir).selectExpr("user_id", "event_id as turn", "ts", "event_type")
+    return rollups.saved_state(e.where("ts < '2024-01-16'").drop("ts", "event_type"), e.where("ts >= '2024-01-16' and event_type = 'click'").drop("ts", "event_type"), "user_id", "turn")
+
+
+_FAILED = "case event_id % 7 when 0 then 'text too short' when 1 then '登录查看完整内容' when 2 then '请输入验证码' when 3 then '正在加载 首页' when 4 then '职位描述' when 5 then 'x' else '' end"
+
+
+@query("select event_id, case event_id % 7 when 0 then 'too_short' when 1 then 'login_wall' when 2 then 'risk_page' when 3 then 'shell_only' when 6 then 'unknown' else 'no_section' end as fingerprint, case when event_id % 7 in (4, 5) then 'structural' else 'transient' end as nature from events")
+def failure_fingerprints(spark, sf_dir):
+    from sievework.functions import postings as P
+
+    e = table(spark, sf_dir, "events").selectExpr("event_id", f"{_FAILED} as page").select("event_id", P.failure_fingerprint(F.lit(None).cast("string"), "page").alias("fingerprint"))
+    return e.withColumn("nature", P.failure_nature("fingerprint"))
+
+
+@query("select event_id, case when event_id % 3 = 0 then '今日活跃' when event_id % 2 = 0 then '在线' else '' end as activity, case when event_id % 4 > 0 then date_diff('day', cast(ts as date), date '2024-02-01') end as days from events")
+def activity_and_age(spark, sf_dir):
+    from sievework.functions import postings as P
+
+    e = events(spark, sf_dir).selectExpr("event_id", "case when event_id % 3 = 0 then ' 今日活跃 ' else '' end as a", "event_id % 2 = 0 as o", "case when event_id % 4 > 0 then cast(to_date(ts) as string) else 'soon' end as d")
+    return e.select("event_id", P.listed_activity("a", "o").alias("activity"), P.days_since("d", F.to_date(F.lit("2024-02-01"))).cast("long").alias("days"))
+
+
+@query("""with f as (select c_custkey k, string_agg(c_mktsegment || '=1', ',' order by c_mktsegment) flags from (select * from customer union all select * from customer where false) group by 1), v as (select o_custkey k, string_agg(o_orderkey, ',' order by o_orderkey) versions from orders group by 1) select c_custkey as k, coalesce(versions, '') as versions, coalesce(flags, '') as flags from customer left join f on f.k = c_custkey left join v on v.k = c_custkey""")
+def assets_with_flags(spark, sf_dir):
+    from sievework.operators import merge
+
+    c = table(spark, sf_dir, "customer")
+    jobs = c.select(F.col("c_custkey").alias("k"))
+    flags = c.selectExpr("c_custkey as k", "c_mktsegment as flag", "'1' as value")
+    out = merge.asset_view(jobs, table(spark, sf_dir, "orders").selectExpr("o_custkey as k", "o_orderkey as version"), "k", "version", [])
+    out = merge.asset_view(out, flags, "k", "flag", ["value"], "flags")
+    return out.select("k", F.array_join(F.transform("versions", lambda v: v.version.cast("string")), ",").alias("versions"), F.array_join(F.transform("flags", lambda v: F.concat_ws("=", v.flag, v.value)), ",").alias("flags"))
+
+
+@query("select regexp_replace(concat('/d/', event_type, '-', event_id % 50, '.', case event_id % 3 when 0 then 'json' when 1 then 'csv' else 'log' end), '\\.[A-Za-z]+$', '') as stem, count(*) as files, cast(sum(event_id) as bigint) as bytes from events group by 1")
+def sidecar_groups(spark, sf_dir):
+    from sievework.sources import files
+
+    f = table(spark, sf_dir, "events").selectExpr("concat('/d/', event_type, '-', event_id % 50, '.', case event_id % 3 when 0 then 'json' when 1 then 'csv' else 'log' end) as name", "cast(event_id as bigint) as bytes").withColumn("stem", F.regexp_replace("name", "\\.[A-Za-z]+$", ""))
+    # each event is a file here, so files of one name count each
+    return files.sidecars(f.withColumn("name", F.concat_ws("#", "name", "bytes"))).select("stem", F.size("files").cast("long").alias("files"), "bytes")
