@@ -6,13 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sievework.functions.pages import sanitize_json
+from sievework.functions.postings import listed_activity
+from sievework.functions.records import created_at
+from sievework.operators.scopes import paired_scopes
+
 _S = T.StringType()
 
 #: Columns of a posting record, with their kinds; all text but for the lists.
 RECORD = T.StructType([T.StructField(n, _S) for n in "job_id title salary salary_source location tags boss_name company_name boss_title boss_active_status experience education company_scale company_stage company_industry job_labels job_link company_link welfare jd job_type proxy_job proxy_type page_update_date".split()] + [T.StructField(n, T.ArrayType(_S)) for n in ("skills", "skill_tags")])
 
 #: Columns of a raw list item, under the names that responses use.
-RAW_ITEM = T.StructType([T.StructField(n, _S) for n in "encryptJobId jobName salaryDesc cityName areaDistrict businessDistrict brandName bossTitle jobExperience jobDegree brandScaleName brandStageName brandIndustry jobType proxyJob proxyType activeTimeDesc".split()] + [T.StructField(n, T.ArrayType(_S)) for n in ("jobLabels", "welfareList", "skills")])
+RAW_ITEM = T.StructType([T.StructField(n, _S) for n in "encryptJobId jobName salaryDesc cityName areaDistrict businessDistrict brandName bossTitle jobExperience jobDegree brandScaleName brandStageName brandIndustry jobType proxyJob proxyType activeTimeDesc".split()] + [T.StructField(n, T.ArrayType(_S)) for n in ("jobLabels", "welfareList", "skills")] + [T.StructField("bossOnline", T.BooleanType())])
 
 
 def _documents(spark: SparkSession, path: str) -> DataFrame:
@@ -64,8 +69,8 @@ def read_raw_lists(spark: SparkSession, path: str) -> DataFrame:
     return docs.select("path", F.posexplode(items).alias("ordinal", "r")).select("path", "ordinal", "r.*")
 
 
-def item_to_record(items: DataFrame) -> DataFrame:
-    """Raw items as records: renamed, blank where missing, places joined by ·, tags without "不限"."""
+def item_to_record(items: DataFrame, seen: Column | None = None) -> DataFrame:
+    """Raw items as records: renamed, blank where missing, places joined by ·, tags without "不限". seen: when the links were valid, as text."""
     text = lambda c: F.coalesce(F.trim(c), F.lit(""))
     joined = lambda by, *cs: F.array_join(F.filter(F.array(*map(text, cs)), lambda x: x != ""), by)
     tags = F.filter(F.array(text("jobExperience"), text("jobDegree")), lambda x: (x != "") & ~x.contains("不限"))
@@ -73,9 +78,10 @@ def item_to_record(items: DataFrame) -> DataFrame:
     return items.select(
         F.substring(F.md5(F.when(link != "", link).otherwise(text("jobName"))), 1, 16).alias("job_id"), text("jobName").alias("title"), text("salaryDesc").alias("salary"),
         joined("·", "cityName", "areaDistrict", "businessDistrict").alias("location"), F.array_join(tags, " | ").alias("tags"), text("brandName").alias("company_name"), text("bossTitle").alias("boss_title"),
-        text("activeTimeDesc").alias("boss_active_status"), text("jobExperience").alias("experience"), text("jobDegree").alias("education"), text("brandScaleName").alias("company_scale"), text("brandStageName").alias("company_stage"),
+        listed_activity("activeTimeDesc", "bossOnline").alias("boss_active_status"), text("jobExperience").alias("experience"), text("jobDegree").alias("education"), text("brandScaleName").alias("company_scale"), text("brandStageName").alias("company_stage"),
         text("brandIndustry").alias("company_industry"), F.array_join(F.coalesce("jobLabels", F.array().cast("array<string>")), " | ").alias("job_labels"), F.array_join(F.coalesce("welfareList", F.array().cast("array<string>")), " | ").alias("welfare"),
         F.coalesce("skills", F.array().cast("array<string>")).alias("skills"), link.alias("job_link"), text("jobType").alias("job_type"), text("proxyJob").alias("proxy_job"), text("proxyType").alias("proxy_type"),
+        (F.lit("") if seen is None else seen).alias("link_verified_at"),
     )
 
 
@@ -94,6 +100,39 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     return f.select("path", name.alias("name"), kind.alias("kind"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), F.regexp_replace("path", "\\.[A-Za-z]+$", "").alias("stem"))
 
 
+def read_index(spark: SparkSession, path: str, stale_before: Column | None = None) -> DataFrame:
+    """path, kind, city, keyword, scope_key, inferred, created_at, jobs, with_body, bytes, status, stale: what each JSON file of a folder is, from its name and its head.
+
+    A scope comes from the file's stamp, its source or its meta data; without a key, city and keyword make one.
+    created_at: the stamp, the time of the data, else the file's. Of a scope's deliverables all but the newest
+    are superseded. Detail files take the scope of the list with the same stamp in their name.
+    """
+    docs = _documents(spark, path)
+    get = lambda *paths: F.coalesce(*[F.when(F.trim(F.try_variant_get("doc", p, "string")) != "", F.trim(F.try_variant_get("doc", p, "string"))) for p in paths])
+    jobs = F.try_variant_get("doc", "$.jobs", "array<struct<jd:string>>")
+    rows = F.coalesce(jobs, F.try_variant_get("doc", "$", "array<struct<jd:string>>"))
+    name, shape = F.element_at(F.split("path", "/"), -1), F.schema_of_variant("doc")
+    stamped = get("$.artifact.kind")
+    made = F.coalesce(get("$.source", "$.clean_of", "$.sources"), F.when(get("$.scope").isNotNull() & get("$.format_version").isNull(), "x")).isNotNull()
+    kind = F.when(name.rlike("\\.(pending|failures)\\.json$"), "ledger").when(name.contains("details_") | shape.startswith("ARRAY"), "details").when(jobs.isNotNull(), F.coalesce(stamped, F.when(made, "deliverable"), F.lit("list"))).otherwise("ledger")
+    city, keyword = get("$.artifact.scope.city", "$.source.city", "$.city"), get("$.artifact.scope.keyword", "$.source.keyword", "$.keyword")
+    label = get("$.artifact.scope.label", "$.scope")
+    stated = get("$.artifact.scope_key")
+    key = F.coalesce(stated, F.concat(city, F.lit("|"), F.coalesce(keyword, F.substring(label, 1, 40))))
+    found = docs.select("path", kind.alias("kind"), city.alias("city"), keyword.alias("keyword"), key.alias("scope"), (stated.isNull() & key.isNotNull()).alias("inferred"), created_at(get("$.artifact.created_at"), get("$.scraped_at"), F.col("modified")).alias("created_at"), F.coalesce(F.size(rows), F.lit(0)).alias("jobs"), F.coalesce(F.size(F.filter(rows, lambda r: F.trim(r.jd) != "")), F.lit(0)).alias("with_body"), F.octet_length("value").alias("bytes"))
+    found = paired_scopes(found)
+    newest = found.where("kind = 'deliverable' and scope is not null").groupBy(F.col("scope").alias("_s")).agg(F.max(F.struct("created_at", "path")).alias("_n"))
+    out = found.join(newest, (F.col("kind") == "deliverable") & (F.col("scope") == F.col("_s")), "left")
+    status = F.when(F.col("_n").isNull() | (F.struct("created_at", "path") == F.col("_n")), "active").otherwise("superseded")
+    stale = F.lit(False) if stale_before is None else F.coalesce(F.col("created_at") < stale_before, F.lit(False))
+    return out.withColumns({"status": status, "stale": stale}).drop("_s", "_n").withColumnRenamed("scope", "scope_key")
+
+
+def write_safe(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """JSON lines with sorted keys and without secrets, internal keys and hidden parameters of URLs."""
+    df.select(sanitize_json(F.to_json(F.struct("*"))).alias("value")).write.mode(mode).text(path)
+
+
 def sidecars(files: DataFrame) -> DataFrame:
     """stem, files, bytes: files that differ in their suffix only."""
     return files.groupBy("stem").agg(F.array_sort(F.collect_list("name")).alias("files"), F.sum("bytes").alias("bytes"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -23,6 +23,12 @@ def sessions(events: DataFrame, key: str = "user_id", at: str = "ts", gap: str =
     return w.select(key, F.col("w.start").alias("start"), F.col("w.end").alias("stop"), "events")
 
 
+def health(log: DataFrame, at: str, failed: Column, late: str = "1 day") -> DataFrame:
+    """day, runs, failed of a log that grows; a day is final when the watermark passes it."""
+    w = log.withWatermark(at, late).groupBy(F.window(at, "1 day").alias("w")).agg(F.count("*").alias("runs"), F.count_if(failed).alias("failed"))
+    return w.select(F.to_date("w.start").alias("day"), "runs", "failed")
+
+
 def new_versions(observed: DataFrame, key: str, content: str, at: str, late: str = "1 day") -> DataFrame:
     """The first sight of each content of a key; later ones within the watermark are no new versions."""
     return observed.withWatermark(at, late).dropDuplicatesWithinWatermark([key, content])

@@ -25,11 +25,12 @@ def test_exports_in_both_shapes_and_bad_files(spark, tmp_path):
 
 
 def test_raw_lists_in_three_shapes(spark, tmp_path):
-    item = {"encryptJobId": "e1", "jobName": "产品", "cityName": "杭州", "areaDistrict": "", "businessDistrict": "仓前", "jobExperience": "经验不限", "jobDegree": "本科", "skills": ["a"]}
+    item = {"encryptJobId": "e1", "jobName": "产品", "cityName": "杭州", "areaDistrict": "", "businessDistrict": "仓前", "jobExperience": "经验不限", "jobDegree": "本科", "skills": ["a"], "bossOnline": True}
     page = {"zpData": {"jobList": [item]}}
     for name, doc in {"one": page, "pages": {"list_pages": [{"page": 1, "response": page}, {"page": 2, "response": {"zpData": {}}}]}, "bare": [item]}.items():
         (tmp_path / f"{name}.json").write_text(json.dumps(doc, ensure_ascii=False))
     got = files.item_to_record(files.read_raw_lists(spark, str(tmp_path))).collect()
+    assert {r.boss_active_status for r in got} == {"在线"} and {r.link_verified_at for r in got} == {""}
     assert len(got) == 3 and {(r.location, r.tags, r.title) for r in got} == {("杭州·仓前", "本科", "产品")}
 
 
@@ -170,3 +171,29 @@ def test_upserts_take_incoming_values_and_keep_where_nothing_came(spark):
 def test_csv_header_of_an_older_table(spark):
     df = spark.createDataFrame([("1", "x")], "id string, fresh string")
     assert records.with_header_of(df, ["title", "id"]).columns == ["title", "id", "fresh"]
+
+
+def test_index_of_a_folder(spark, tmp_path):
+    def put(name, doc):
+        (tmp_path / name).write_text(json.dumps(doc, ensure_ascii=False))
+
+    put("jobs_0101.json", {"city": "杭州", "keyword": "AI", "scraped_at": "2024-01-01T00:00:00Z", "format_version": 2, "jobs": [record(1), record(2, jd=" ")]})
+    put("details_0101.json", [record(1)])
+    put("d1.json", {"artifact": {"kind": "deliverable", "scope_key": "k", "created_at": "2024-01-02"}, "jobs": []})
+    put("d2.json", {"artifact": {"kind": "deliverable", "scope_key": "k", "created_at": "2024-01-03"}, "jobs": [record(1)]})
+    put("old.json", {"scope": "一批", "city": "杭州", "scraped_at": "2023-12-01", "jobs": []})
+    put("x.failures.json", [])
+    got = {r.path.rsplit("/", 1)[-1]: r for r in files.read_index(spark, str(tmp_path), F.to_timestamp(F.lit("2024-01-01 00:00:00"))).collect()}
+    assert {k: r.kind for k, r in got.items()} == {"jobs_0101.json": "list", "details_0101.json": "details", "d1.json": "deliverable", "d2.json": "deliverable", "old.json": "deliverable", "x.failures.json": "ledger"}
+    assert (got["jobs_0101.json"].scope_key, got["jobs_0101.json"].inferred, got["jobs_0101.json"].jobs, got["jobs_0101.json"].with_body) == ("杭州|AI", True, 2, 1)
+    assert got["details_0101.json"].scope_key == "杭州|AI" and got["old.json"].scope_key == "杭州|一批"
+    assert (got["d1.json"].status, got["d2.json"].status, got["old.json"].stale, got["d2.json"].stale) == ("superseded", "active", True, False)
+
+
+def test_safe_json_and_logs(spark, tmp_path):
+    df = spark.createDataFrame([("a", "secret", "https://h/?lid=1&q=2")], "title string, authToken string, link string")
+    files.write_safe(df, str(tmp_path / "safe"))
+    assert json.loads(spark.read.text(str(tmp_path / "safe")).first().value) == {"title": "a", "link": "https://h/?q=2"}
+    for event in ("start", "stop"):
+        files.append_log(spark.createDataFrame([(event, "mine")], "event string, ts string"), str(tmp_path / "log"), {"ts": F.lit("2024-01-01")})
+    assert sorted((r.event, r.ts) for r in spark.read.json(str(tmp_path / "log"), schema="event string, ts string").collect()) == [("start", "2024-01-01"), ("stop", "2024-01-01")]
