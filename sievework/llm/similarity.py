@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import groups, mixed, prefix_hash, rolling, signed, slices_of, span_hash, task, utf8, written
@@ -94,24 +94,21 @@ def signatures(docs: DataFrame, words: int, n_bands: int, rows: int) -> DataFram
 def components(edges: DataFrame, what: str) -> DataFrame:
     """u, label: the least node of each node's component, for nodes with an edge (u, v), by large-star and small-star rounds.
 
-    Each round is a table in the shared folder; the driver sees counts only. A node's least neighbour is a table
-    before its edges meet it, so that Spark can split the edges of a node with very many.
+    A round ends when every node either has one edge, to a smaller node, or only edges to larger ones: then all
+    point to their least. Each round is two tables in the shared folder; the driver sees counts only. What
+    nodes know is a table before edges meet it, so that Spark can split the edges of a node with very many.
     """
     edges = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), what)
-    seen = None
     while True:
-        mark = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if mark == seen:
+        ends = edges.select(F.col("u").alias("node"), F.col("v").alias("other"), F.lit(1).alias("down")).union(edges.select("v", "u", F.lit(0)))
+        nodes = written(ends.groupBy("node").agg(F.least("node", F.min("other")).alias("m"), F.sum("down").alias("down"), F.count("*").alias("all")), what).hint("merge")
+        if not nodes.where("down > 1 or (down > 0 and down < all)").count():
             return edges.select("u", F.col("v").alias("label")).union(edges.select(F.col("v").alias("u"), F.col("v").alias("label")).distinct())
-        seen = mark
         # large star: a node's larger neighbours move to its least one
-        both = edges.union(edges.select("v", "u"))
-        least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), what).hint("merge")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = written(large, what)
-        # small star: a node and its smaller neighbours move to the least of them
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), what).hint("merge")
-        moved = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        large = edges.join(nodes, F.col("v") == F.col("node")).select("u", F.col("m").alias("v")).where("u <> v")
+        # small star: a node and its smaller neighbours move to the least of them; a node has few smaller neighbours, one for each band at most to begin with
+        least = F.min("v").over(Window.partitionBy("u"))
+        moved = large.withColumn("m", least).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         edges = written(moved.where("u <> v").distinct(), what)
 
 
@@ -259,7 +256,7 @@ def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", word
     coarse = written(components(met.join(lead, "band").select("u", "v"), "similarity-meeting"), "similarity-comps")
     sized = coarse.hint("merge").join(signed_.select(F.col("k").alias("u"), "grams").groupBy("u").agg(F.max("grams").alias("grams")), "u")
     blocks = written(sized.groupBy(F.col("label").alias("comp")).agg(F.greatest(F.lit(1), F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("grams") / BLOCK_GRAMS)).cast("int").alias("n")), "similarity-blocks").hint("merge")
-    members = written(in_blocks(coarse.withColumnRenamed("label", "comp").join(blocks, "comp"), signed_), "similarity-members").hint("merge")
+    members = in_blocks(coarse.withColumnRenamed("label", "comp").join(blocks, "comp"), signed_).hint("merge")
     # a key that stands on different texts is one document of several: its first text by hash is compared
     texts = base.where("k is not null").join(members, F.col("k") == F.col("u")).select("u", "comp", "own", "others", "parted", "t", "x")
     rep_hash = per_text.where("text_id is not null").select(F.col("text_id").alias("_u"), F.col("_x").alias("_h")).groupBy("_u").agg(F.min("_h").alias("_h"))
@@ -271,9 +268,9 @@ def similar_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", word
         final = components(stars.select("u", "v"), "similarity-groups")
     else:
         final = stars.select("u", F.col("v").alias("label"))
-    final = written(final.withColumnRenamed("u", "_g").join(n_links.withColumnRenamed("u", "_g"), "_g", "full"), "similarity-found").hint("merge")
+    final = final.withColumnRenamed("u", "_g").join(n_links.withColumnRenamed("u", "_g").hint("merge"), "_g", "full").hint("merge")
     classes = per_text.join(final, F.col("text_id") == F.col("_g"), "left").select("_x", "text_id", F.coalesce("label", "text_id").alias("group_id"), (F.col("rows") - 1).alias("n_copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return signed_.select("k", "text_hash").join(written(classes, "similarity-classes").hint("merge"), F.col("text_hash") == F.col("_x")).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "text_hash", "text_id", "group_id", "n_copies", "n_links")
+    return signed_.select("k", "text_hash").join(classes.hint("merge"), F.col("text_hash") == F.col("_x")).select(F.col("k").cast(docs.schema[key].dataType).alias(key), "text_hash", "text_id", "group_id", "n_copies", "n_links")
 
 
 def _repeats(rows: DataFrame) -> bool:

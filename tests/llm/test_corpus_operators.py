@@ -48,6 +48,16 @@ def test_repeats_match_brute_force(spark, heavy, monkeypatch):
     assert repeats.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_repeats_in_long_texts_match_brute_force(spark, monkeypatch):
+    """Texts that the kernels take in pieces, equal texts of one key, and a whole text that an earlier one holds."""
+    monkeypatch.setattr(repeats, "KERNEL_BYTES", 4_096)
+    rnd = random.Random(9)
+    long = "".join(rnd.choice("abcdé \n") for _ in range(30_000))
+    rows = [(1, long), (2, long[10_000:22_000] + "new end " * 9), (3, "".join(rnd.choice("abc") for _ in range(9_000)) + long[:3_000]), (4, long), (5, long[500:900]), (5, long[500:900]), (6, long[500:900]), (7, "z" * 20_000), (8, "z" * 12_000)]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter(map(tuple, got)) == Counter(brute_repeats(rows, 50))
+
+
 def test_longest_previous_factor():
     import numpy as np
 
@@ -111,6 +121,25 @@ def test_similarity_matches_brute_force(spark, block, monkeypatch):
     assert similarity.similar_texts(df.limit(0)).count() == 0
 
 
+def test_components_of_chains_stars_and_rings(spark):
+    rnd = random.Random(13)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(7, x) for x in range(200, 260)] + [(x, x % 20 + 300) for x in range(300, 320)] + [(rnd.randint(400, 480), rnd.randint(400, 480)) for _ in range(60)] + [(500, 500)]
+    group = {x: x for e in edges for x in e if e[0] != e[1]}
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = sorted((root(a), root(b)))
+            group[b] = a
+    got = similarity.components(spark.createDataFrame(edges, "u long, v long").repartition(3), "test-edges").collect()
+    assert len(got) == len(group) and {r.u: r.label for r in got} == {x: root(x) for x in group}
+    assert similarity.components(spark.createDataFrame([], "u long, v long"), "test-edges").count() == 0
+
+
 def test_few_long_near_copies_have_more_blocks_than_texts(spark, monkeypatch):
     monkeypatch.setattr(similarity, "BLOCK_GRAMS", 100)
     rows = []

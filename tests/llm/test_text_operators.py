@@ -141,6 +141,39 @@ def test_quality_fences_follow_each_group(spark):
     assert bad == [r[0] for r in junk]
 
 
+def plain_fences(rows):
+    """(low, high) for each measure of one group's rows (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words), by sorting bucket values."""
+    gamma, out = (1 + quality.ERROR) / (1 - quality.ERROR), {}
+    for k, (m, (_, least, _)) in enumerate(quality.MEASURES.items()):
+        raw = [r[k + 1] / r[0] for r in rows]
+        values = sorted(0.0 if v < quality.LEAST else 2 * gamma ** math.ceil(math.log(v) / math.log(gamma)) / (gamma + 1) for v in raw)
+        q1, q2, q3 = (values[math.ceil(len(values) * p) - 1] for p in (0.25, 0.5, 0.75))
+        width = 2 * quality.ERROR * q2
+        down, up = quality.FENCE * max(width, q2 - q1), max(least, quality.FENCE * max(width, q3 - q2))
+        beyond = [sum(v > q2 + up * 2**i for v in values) for i in range(quality.STEPS + 1)]
+        step = next((i for i in range(quality.STEPS) if quality.GAP * (beyond[i] - beyond[i + 1]) < beyond[i]), quality.STEPS)
+        out[m] = (max(0.0, q2 - down), q2 + up * 2**step)
+    return out
+
+
+def test_quality_thresholds_match_a_plain_version(spark):
+    """Own sketches where a group has the rows, else its language's, else all; nulls are groups of their own."""
+    rnd = random.Random(17)
+    rows = []
+    for lang, source, n in (("en", "a", 400), ("en", "b", 150), (None, "a", 250), ("de", None, 90), ("fr", "c", 3)):
+        for _ in range(n):
+            w = rnd.randint(20, 300)
+            rows.append((len(rows), lang, source, w, w * rnd.randint(3, 7), rnd.choice([0, 0, rnd.randint(0, w)]), rnd.randint(0, 3) * (rnd.random() < 0.1), rnd.randint(0, w // 4) * (rnd.random() < 0.4)))
+    names = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+    got = {(r.lang, r.source): r for r in quality.thresholds(spark.createDataFrame(rows, names).repartition(5)).collect()}
+    assert set(got) == {(r[1], r[2]) for r in rows}
+    for (lang, source), r in got.items():
+        own, mid = [x[3:] for x in rows if (x[1], x[2]) == (lang, source)], [x[3:] for x in rows if x[1] == lang]
+        use = own if len(own) >= quality.MIN_ROWS else mid if len(mid) >= quality.MIN_ROWS else [x[3:] for x in rows]
+        for m, (low, high) in plain_fences(use).items():
+            assert abs(r[f"{m}_low"] - low) < 1e-9 and abs(r[f"{m}_high"] - high) < 1e-9, (lang, source, m)
+
+
 def test_quality_keeps_good_and_drops_bad_texts(spark):
     sf = "/root/testdata/sf0.01"
     got = quality.apply_rules(spark.read.parquet(f"{sf}/documents.parquet")).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed").toPandas()
