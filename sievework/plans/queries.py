@@ -104,9 +104,9 @@ def semi_details(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").join(wanted, "l_orderkey", "left_semi").groupBy("l_orderkey").agg(F.count("*").alias("n"))
 
 
-@query("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@query("select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority = '1-URGENT')")
 def anti_known(spark, sf_dir):
-    known = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    known = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return filters.excluded(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), known, "c_custkey")
 
 
