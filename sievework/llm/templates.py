@@ -342,14 +342,19 @@ def one_order(at: np.ndarray, tokens: np.ndarray, size: int) -> bool:
     return len(at) % size == 0 and bool((tokens.reshape(-1, size) == tokens[:size]).all()) and len(set(tokens[:size].tolist())) == size
 
 
-def nests(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether each occurrence of one class lies in one gap of the other, or the other way round. Places by (occurrence, token)."""
+def enclosed(at: np.ndarray, rank: np.ndarray, shapes: dict[int, np.ndarray]) -> np.ndarray:
+    """Matrix by (class, class): whether a token of the first stands within an occurrence of the second. at: rising places with their classes; shapes: places by (occurrence, token).
 
-    def within(x: np.ndarray, y: np.ndarray) -> bool:
-        gap = np.searchsorted(y.ravel(), x)
-        return bool((gap == gap[:, :1]).all())
-
-    return within(b, a) or within(a, b)
+    Two classes overlap if either has a token within the other: else each occurrence of one lies in one gap of the other.
+    """
+    index = {k: i for i, k in enumerate(shapes)}
+    number = np.array([index.get(k, -1) for k in rank.tolist()], np.int64)
+    out = np.zeros((len(shapes), len(shapes)), bool)
+    for k, shape in shapes.items():
+        for lo, hi in zip(np.searchsorted(at, shape[:, 0]).tolist(), np.searchsorted(at, shape[:, -1]).tolist(), strict=True):
+            inside = number[lo + 1 : hi]
+            out[inside[inside >= 0], index[k]] = True
+    return out
 
 
 def judge(sequence: np.ndarray, tokens: np.ndarray, of: np.ndarray, sizes: np.ndarray) -> tuple[list[int], list[int], list[bool]]:
@@ -358,25 +363,26 @@ def judge(sequence: np.ndarray, tokens: np.ndarray, of: np.ndarray, sizes: np.nd
     sequence: the page's tokens; tokens: the candidates, rising, with their classes.
     """
     hit = np.minimum(np.searchsorted(tokens, sequence), len(tokens) - 1)
-    at = np.flatnonzero(tokens[hit] == sequence)
-    rank = of[hit[at]]
-    order = np.argsort(rank, kind="stable")
-    at, rank = at[order], rank[order]
+    places = np.flatnonzero(tokens[hit] == sequence)
+    ranks = of[hit[places]]
+    order = np.argsort(ranks, kind="stable")
+    at, rank = places[order], ranks[order]
     start = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]])) if len(rank) else np.zeros(0, np.int64)
-    found, orders, bad, good = [], [], [], []
+    found, orders, shapes = [], [], {}
     for lo, hi in zip(start.tolist(), [*start[1:].tolist(), len(rank)], strict=True):
         k = int(rank[lo])
-        size, places = int(sizes[k]), at[lo:hi]
-        mine = sequence[places]
-        ok = one_order(places, mine, size)
-        shape = places.reshape(-1, size) if ok else None
-        ok = ok and all(nests(g, shape) for g in good)
-        if ok:
-            good.append(shape)
+        size, mine = int(sizes[k]), sequence[at[lo:hi]]
+        if one_order(at[lo:hi], mine, size):
+            shapes[k] = at[lo:hi].reshape(-1, size)
         found.append(k)
         orders.append(int.from_bytes(blake2b(mine[:size].tobytes(), digest_size=8).digest(), "little", signed=True))
-        bad.append(not ok)
-    return found, orders, bad
+    within = enclosed(places, ranks, shapes)
+    overlap, good = within & within.T, np.zeros(len(shapes), bool)
+    np.fill_diagonal(overlap, False)
+    for i in range(len(shapes)):
+        good[i] = not (overlap[i] & good).any()
+    fine = {k for k, ok in zip(shapes, good.tolist(), strict=True) if ok}
+    return found, orders, [k not in fine for k in found]
 
 
 def templates(sequences: DataFrame, candidates: DataFrame) -> DataFrame:
