@@ -194,7 +194,7 @@ def neighbourhoods(rows: DataFrame, window: int) -> DataFrame:
         for b in batches:
             data, off = _unpacked(b.column("z"))
             keys, text = b.column("k").to_numpy(zero_copy_only=False), b.column("x").to_numpy(zero_copy_only=False)
-            raw = data.tobytes()
+            raw = data.base if isinstance(data.base, bytes) else data.tobytes()
             lists = [[np.sort(np.array(x or (), np.int64)) for x in b.column(c).to_pylist()] for c in ("anchors", "heavy")]
             found: dict[bytes, tuple[int, list]] = {}
             spans: dict[int, list[int]] = {}
@@ -304,8 +304,8 @@ def _copies(rows: DataFrame) -> DataFrame:
     that Spark sees how large each part of either side is and splits a text that a third of all rows have.
     """
     marked = rows.select("k", "x", F.octet_length("t").alias("size"), F.sha2("t", 256).alias("s"))
-    least = written(marked.groupBy(F.col("s").alias("_s")).agg(F.min("k").alias("low"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "repeats-equal").hint("merge")
-    several = written(rows.groupBy(F.col("k").alias("_k")).count().where("count > 1").select("_k"), "repeats-keys").hint("merge")
+    least = written(marked.groupBy(F.col("s").alias("_s")).agg(F.min("k").alias("low"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "repeats-equal")
+    several = written(rows.groupBy(F.col("k").alias("_k")).count().where("count > 1").select("_k"), "repeats-keys")
     met = marked.join(least, F.col("s") == F.col("_s")).where("k > low")
     return written(met.join(several, F.col("k") == F.col("_k"), "left_anti").select("k", "x", "size"), "repeats-copies")
 
@@ -365,7 +365,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     base = docs.select(given.alias("k"), F.coalesce(given, F.lit(-(2**63))).alias("q"), F.xxhash64(F.col(text)).alias("x"), F.col(text).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
     long = base.where(F.col("k").isNotNull() & (F.octet_length("t") >= window))
     copied = _copies(long)
-    anchors = shared_anchors(long, window, slices).withColumnRenamed("k", "_k").join(copied.select(F.col("k").alias("_k")).hint("merge"), "_k", "left_anti")
+    anchors = shared_anchors(long, window, slices).withColumnRenamed("k", "_k").join(copied.select(F.col("k").alias("_k")), "_k", "left_anti")
     # the texts are dealt out once, packed; both joins read the same exchange
     dealt = _packed(base, docs.schema, keep).repartition(slices, "q")
     around = dealt.join(anchors, F.col("q") == F.col("_k")).select("k", "x", "z", "anchors", "heavy", *[f"c{i}" for i in range(len(keep))])
