@@ -34,15 +34,16 @@ def new_versions(observed: DataFrame, key: str, content: str, at: str, late: str
     return observed.withWatermark(at, late).dropDuplicatesWithinWatermark([key, content])
 
 
-#: Milliseconds without uses after which a day, or a key, is forgotten.
+#: Milliseconds of event time after the last use when a day, or a key, is forgotten.
 FORGET_MS = 3 * 86_400_000
 
 
-def budget(events: DataFrame, key: str, day: str, limit: int) -> DataFrame:
+def budget(events: DataFrame, key: str, day: str, limit: int, at: str = "ts", late: str = "1 day") -> DataFrame:
     """day, key, outcome: a counter a day that different keys use up; a key's later uses are free, refused ones aren't recorded.
 
     A day's state holds the keys that used its budget, so ``limit`` at the most. Without a limit nothing is
-    counted and each key of a day has a state of its own.
+    counted and each key of a day has a state of its own. What the watermark has left ``FORGET_MS`` behind is
+    forgotten.
     """
     by = (day,) if limit > 0 else (day, key)
 
@@ -51,8 +52,9 @@ def budget(events: DataFrame, key: str, day: str, limit: int) -> DataFrame:
             state.remove()
             return
         seen = list(state.get[0]) if state.exists else []
-        have = set(seen)
+        have, last = set(seen), state.getCurrentWatermarkMs()
         for rows in batches:
+            last = max(last, int(rows[at].max().timestamp() * 1000))
             outcome = []
             for k in rows[key].astype(str):
                 if k in have:
@@ -65,9 +67,9 @@ def budget(events: DataFrame, key: str, day: str, limit: int) -> DataFrame:
                     outcome.append("ok")
             yield pd.DataFrame({"day": group[0], "key": rows[key].astype(str), "outcome": outcome})
         state.update((seen,))
-        state.setTimeoutDuration(FORGET_MS)
+        state.setTimeoutTimestamp(last + FORGET_MS)
 
-    return events.groupBy(*by).applyInPandasWithState(use, "day string, key string, outcome string", "seen array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return events.withWatermark(at, late).groupBy(*by).applyInPandasWithState(use, "day string, key string, outcome string", "seen array<string>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def flushed(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
