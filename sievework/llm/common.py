@@ -151,3 +151,12 @@ def task(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
                 trim(0)
 
     return wrapped
+
+
+def runs(flags: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the runs of flagged bytes; no run goes over a text's border."""
+    edge = np.zeros(len(flags) + 1, bool)
+    edge[off] = True
+    starts = flags & (~np.concatenate([[False], flags[:-1]]) | edge[:-1])
+    ends = flags & (~np.concatenate([flags[1:], [False]]) | edge[1:])
+    return np.flatnonzero(starts), np.flatnonzero(ends) + 1
