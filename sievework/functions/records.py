@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.functions import pages
 from sievework.functions import postings as P
 from sievework.functions.text import as_col, canonical_id, content_hash, fingerprint, first_filled, iso_instant, split_tags, tidy_lines
 
@@ -221,26 +218,6 @@ def ledger_entries(ledger: Column | str) -> Column:
     return F.filter(F.transform(items, entry), lambda e: e.job_id != "")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def secret_keys(payload: pd.Series) -> pd.Series:
-    """Keys of a payload, at any depth and in its URLs' parameters, that name secrets or internal values; sorted. What is no JSON has none."""
-
-    def walk(value) -> set[str]:
-        if isinstance(value, dict):
-            return {k for k in value if pages.hidden_key(k)}.union(*map(walk, value.values()))
-        if isinstance(value, list):
-            return set().union(*map(walk, value))
-        return pages.hidden_parameters(value) if isinstance(value, str) else set()
-
-    def one(text: str | None) -> list[str]:
-        try:
-            return sorted(walk(json.loads(text or "null")))
-        except ValueError:
-            return []
-
-    return payload.map(one)
-
-
 # ---------------------------------------------------------------- views
 
 

@@ -8,11 +8,13 @@ columns, so that a slip in the rules that made them is found. The clock is a par
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievework.functions.payloads import secret_keys
 from sievework.functions.text import contains_any, fingerprint, iso_instant, title_key, title_matches_body
 from sievework.ruleset import DEFAULT
 
@@ -164,9 +166,16 @@ def key_checks(payloads: DataFrame, payload: str, spec: Spec = DEFAULT_SPEC) ->
     return found.union(counted(doc, [(f"type:{f}", "error", kind(f).isNotNull() & (kind(f) != "VOID") & ~fits[t](kind(f))) for f, t in spec.types.items()]))
 
 
+def sensitive_keys(payloads: DataFrame, payload: Column | None = None) -> DataFrame:
+    """id, level, count: an error for each secret or internal key and URL parameter, at any depth of the records (or of their ``payload``, JSON), with the number of records that hold it."""
+    text = F.to_json(F.struct("*")) if payload is None else payload
+    found = payloads.select(F.explode(secret_keys(text)).alias("k")).groupBy("k").agg(F.count("*").alias("count"))
+    return found.select(F.concat(F.lit("sensitive:"), "k").alias("id"), F.lit("error").alias("level"), "count")
+
+
 def check_export(df: DataFrame, now: Column, roots: tuple[str, ...] = (), city: str = "", declared: int | None = None, payload: str | None = None, spec: Spec = DEFAULT_SPEC, with_bodies: bool = True, unicode: bool = True) -> DataFrame:
     """id, level, count of everything that is wrong with a delivery; an empty one has the finding ``empty``. The records as JSON (``payload``) let keys be checked too."""
-    parts = [counted(df, row_checks(now, spec, with_bodies, unicode)), group_checks(df, unicode), request_checks(df, roots, city, declared, spec)]
+    parts = [counted(df, row_checks(now, spec, with_bodies, unicode)), group_checks(df, unicode), request_checks(df, roots, city, declared, spec), sensitive_keys(df, F.col(payload) if payload else None)]
     if payload:
         parts.append(key_checks(df, payload, spec))
     found = reduce(DataFrame.union, parts).where("count > 0")
@@ -196,11 +205,13 @@ def invariants(df: DataFrame, print_: Column, spec: Spec = DEFAULT_SPEC) -> Data
     return rows.union(copies.select(F.lit("dup_ratio"), "bad", F.col("bad") <= spec.duplicate_share * F.col("all")))
 
 
-def validate(jobs: DataFrame, meta: dict) -> DataFrame:
-    """id, level, count: the consumers' contract over an export's records and its meta data (format_version, job_count, mode, observed_jobs, exhausted)."""
+def validate(jobs: DataFrame, meta: dict, payload: str | None = None) -> DataFrame:
+    """id, level, count: the consumers' contract over an export's records (as JSON in ``payload``, or as they are) and its meta data (format_version, job_count, mode, observed_jobs, exhausted)."""
     blank = [(f"missing:{f}", "error", said(f) == "") for f in CONTRACT_FIELDS]
     ids = jobs.where(said("job_id") != "").groupBy(said("job_id").alias("k")).agg(F.count("*").alias("n"))
     found = counted(jobs, blank).union(counted(ids, [("repeated_id", "error", F.col("n") > 1)]))
+    texts = jobs.select(F.col(payload) if payload else F.to_json(F.struct("*"))).union(jobs.sparkSession.range(1).select(F.lit(json.dumps(meta, default=str))))
+    found = found.union(sensitive_keys(texts.toDF("text"), F.col("text")))
     mode, seen, done = meta.get("mode"), meta.get("observed_jobs"), meta.get("exhausted")
     said_ = [
         ("format_version", "error", type(meta.get("format_version")) is not int or meta["format_version"] not in FORMATS),

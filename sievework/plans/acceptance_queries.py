@@ -40,7 +40,9 @@ _RECORD = {
 }
 _SAME = tuple("job job_link title company_name company_industry company_scale company_stage location salary boss_title proxy_job job_type customer".split())
 #: As JSON: keys that no one registered, one that is forbidden, and values of another kind.
-_PAYLOAD = "concat('{\"job_id\":\"', job, '\",\"skills\":', case job % 4 when 0 then '[\"a\"]' when 1 then '\"a\"' when 2 then 'null' else '[]' end, case when job % 5 = 0 then ',\"lid\":\"x\"' else '' end, case when job % 7 = 0 then ',\"mood\":1,\"jd\":[\"x\"]' else ',\"jd\":\"x\"' end, '}')"
+#: Secrets planted at three depths: in an object, in an object of a list's object, and in a URL that stands in a URL.
+_PLANTED = "case when job % 19 = 0 then ',\"note\":{\"authToken\":\"x\"}' when job % 19 = 1 then ',\"more\":[{\"deep\":{\"cookie_jar\":[1]}}]' when job % 19 = 2 then ',\"company_link\":\"https://x.example/?a=1&next=https%3A%2F%2Fy.example%2F%3Fsession_id%3D1#wt2=2\"' else '' end"
+_PAYLOAD = f"concat('{{\"job_id\":\"', job, '\",\"skills\":', case job % 4 when 0 then '[\"a\"]' when 1 then '\"a\"' when 2 then 'null' else '[]' end, case when job % 5 = 0 then ',\"lid\":\"x\"' else '' end, case when job % 7 = 0 then ',\"mood\":1,\"jd\":[\"x\"]' else ',\"jd\":\"x\"' end, {_PLANTED}, '}}')"
 
 
 def record_sql() -> str:
@@ -102,6 +104,11 @@ def _sql_rows(spec: acceptance.Spec) -> list[tuple[str, str, str]]:
     return out
 
 
+def _sql_sensitive(job: str) -> list[str]:
+    planted = {"lid": f"{job} % 5 = 0", "authToken": f"{job} % 19 = 0", "cookie_jar": f"{job} % 19 = 1", "session_id": f"{job} % 19 = 2", "wt2": f"{job} % 19 = 2"}
+    return [f"select 'sensitive:{k}', 'error', count(*) filter ({c}) from r" for k, c in planted.items()]
+
+
 def _sql_found(spec: acceptance.Spec = acceptance.DEFAULT_SPEC) -> str:
     parts = [f"select '{n}' as id, '{level}' as level, cast(sum({c}) as bigint) as count from r" for n, level, c in _sql_rows(spec)]
     body = "substr(regexp_replace(lower(coalesce(jd, '')), '\\s+', '', 'g'), 1, 180)"
@@ -118,7 +125,8 @@ def _sql_found(spec: acceptance.Spec = acceptance.DEFAULT_SPEC) -> str:
         "select 'request_city', 'error', case when count(*) filter (split_part(location, '·', 1) = '杭州') < 0.95 * count(*) then count(*) filter (split_part(location, '·', 1) <> '杭州') else 0 end from r",
         "select 'request_count', 'error', abs(count(*) - 1000) from r",
         "select 'forbidden_key', 'error', count(distinct k) from (select unnest(json_keys(payload)) k from r) where k = 'lid'",
-        "select 'unregistered_key', 'warn', count(distinct k) from (select unnest(json_keys(payload)) k from r) where k in ('lid', 'mood')",
+        "select 'unregistered_key', 'warn', count(distinct k) from (select unnest(json_keys(payload)) k from r) where k in ('lid', 'mood', 'note', 'more')",
+        *_sql_sensitive("job"),
         "select 'type:jd', 'error', count(*) from r where json_type(payload, '$.jd') not in ('VARCHAR', 'NULL')",
         "select 'type:skills', 'error', count(*) from r where json_type(payload, '$.skills') not in ('ARRAY', 'NULL')",
     ]
@@ -154,9 +162,9 @@ def delivery_invariants(spark, sf_dir):
 
 
 @query(f"""with r as ({record_sql()}), f as (select 'missing:job_id' as id, 'error' as level, count(*) filter (job_id = '') as count from r union all select 'repeated_id', 'error', count(*) from (select job_id from r where job_id <> '' group by 1 having count(*) > 1)
-union all select 'job_count', 'warn', cast(count(*) <> 1000 as bigint) from r union all select 'format_version', 'error', 1 union all select 'observed_missing', 'warn', 1 union all select 'exhausted_type', 'error', 1) select * from f where count > 0""")
+union all select 'job_count', 'warn', cast(count(*) <> 1000 as bigint) from r union all select 'format_version', 'error', 1 union all select 'observed_missing', 'warn', 1 union all select 'exhausted_type', 'error', 1 union all select 'sensitive:accessToken', 'error', 1 union all {" union all ".join(_sql_sensitive("job"))}) select * from f where count > 0""")
 def contract_validator(spark, sf_dir):
-    return acceptance.validate(records(spark, sf_dir), {"format_version": 3, "job_count": 1000, "mode": "incremental", "exhausted": "no"})
+    return acceptance.validate(records(spark, sf_dir), {"format_version": 3, "job_count": 1000, "mode": "incremental", "exhausted": "no", "from": {"accessToken": 1}}, "payload")
 
 
 @query(f"""with l as ({record_sql()}), d as (select case when c_custkey % 7 = 0 then '' else substr(md5(concat('https://jobs.example/', c_custkey)), 1, 16) end job_id, case when c_custkey % 4 = 0 then 'short' else repeat(c_name, 9) end jd from customer),

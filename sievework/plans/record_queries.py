@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sievework.functions import payloads
 from sievework.functions import postings as P
 from sievework.functions import records as C
 from sievework.functions import text as X
@@ -138,12 +139,20 @@ def dropped_entries(spark, sf_dir):
     return o.select("o_orderkey", F.array_join(F.transform(C.ledger_entries("t"), lambda e: F.concat_ws(":", e.job_id, e.reason, e.title)), "|").alias("entries"))
 
 
-_SECRET = """concat('{"a":[{"authToken":1,"url":"https://x.example/?lid=1&next=//y.example/?api_secret=2"}],"n":', event_id, case when event_id % 2 = 0 then ',"encryptJobId":"e"' else '' end, '}')"""
+#: Names to hide at three depths, as values of lists, and in a URL that stands in a URL's parameter; brackets, quotes and escapes that only look like structure.
+_SECRET = r"""concat('{"a":[{"authToken":{"x":[1,{"y":2}]},"url":"https://x.example/p?lid=1&q=', event_id, '&next=https%3A%2F%2Fy.example%2F%3Fapi_secret%3D2%26z%3D3#session=4"}],"n":', event_id, case when event_id % 2 = 0 then ',"encryptJobId":"e"' else '' end, case when event_id % 3 = 0 then ',"deep":{"er":[[{"cookie_jar":"}]","plain":"a \\"{token=abc\\" b"}]]}' else '' end, case when event_id % 5 = 0 then ',"author":"[","lid":null' else '' end, '}')"""
+_HIDES = "list_sort(list_filter(['api_secret', 'authToken', 'lid', 'session', case when event_id % 2 = 0 then 'encryptJobId' end, case when event_id % 3 = 0 then 'cookie_jar' end], lambda x: x is not null))"
 
 
-@query("select event_id, case when event_id % 2 = 0 then 'api_secret,authToken,encryptJobId,lid' else 'api_secret,authToken,lid' end as keys from events")
+@query(f"select event_id, array_to_string({_HIDES}, ',') as keys from events")
 def secret_keys(spark, sf_dir):
-    return table(spark, sf_dir, "events").selectExpr("event_id", f"{_SECRET} as t").select("event_id", F.array_join(C.secret_keys("t"), ",").alias("keys"))
+    return table(spark, sf_dir, "events").selectExpr("event_id", f"{_SECRET} as t").select("event_id", F.array_join(payloads.secret_keys("t"), ",").alias("keys"))
+
+
+@query(r"""select event_id, concat('{"a":[{"url":"https://x.example/p?q=', event_id, '&next=https%3A%2F%2Fy.example%2F%3Fz%3D3"}]', case when event_id % 5 = 0 then ',"author":"["' else '' end, case when event_id % 3 = 0 then ',"deep":{"er":[[{"plain":"a \"{token=***\" b"}]]}' else '' end, case when event_id % 2 = 0 then ',"encryptJobId":"e"' else '' end, ',"n":', event_id, '}') as safe from events""")
+def safe_payloads(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").selectExpr("event_id", f"{_SECRET} as t")
+    return payloads.safe_json(rows, "t", "safe", payloads.PUBLIC_IDENTITIES).select("event_id", "safe")
 
 
 @query(f"{_P} select job, title, '' as tier from p")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.functions.pages import sanitize_json
+from sievework.functions.payloads import PUBLIC_IDENTITIES, safe_json
 from sievework.functions.postings import listed_activity
 from sievework.functions.records import created_at
 from sievework.operators.scopes import paired_scopes
@@ -128,9 +128,15 @@ def read_index(spark: SparkSession, path: str, stale_before: Column | None = Non
     return out.withColumns({"status": status, "stale": stale}).drop("_s", "_n").withColumnRenamed("scope", "scope_key")
 
 
-def write_safe(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """JSON lines with sorted keys and without secrets, internal keys and hidden parameters of URLs."""
-    df.select(sanitize_json(F.to_json(F.struct("*"))).alias("value")).write.mode(mode).text(path)
+def write_safe(df: DataFrame, path: str, mode: str = "errorifexists", keep: tuple[str, ...] = ()) -> None:
+    """JSON lines with sorted keys and without secrets, internal keys (but for ``keep``) and hidden parameters of URLs."""
+    rows = df.select(F.to_json(F.struct("*")).alias("raw"))
+    safe_json(rows, "raw", "value", keep).select("value").write.mode(mode).text(path)
+
+
+def write_raw(df: DataFrame, payload: str, path: str, mode: str = "append") -> None:
+    """Raw answers as JSON lines: secrets and personal values go, the identities that public links show stay. What is no JSON isn't kept."""
+    safe_json(df, payload, "value", PUBLIC_IDENTITIES).where(F.col("value").isNotNull()).select("value").write.mode(mode).text(path)
 
 
 def sidecars(files: DataFrame) -> DataFrame:
