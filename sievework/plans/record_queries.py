@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievework.functions import payloads
+from sievework.functions import pages, payloads
 from sievework.functions import postings as P
 from sievework.functions import records as C
 from sievework.functions import text as X
@@ -217,3 +217,30 @@ _TEXTS = "case event_id % 5 when 0 then '2024-02-03' when 1 then '2024-02-03 04:
 def iso_instants(spark, sf_dir):
     i = X.iso_instant("t")
     return table(spark, sf_dir, "events").selectExpr("event_id", f"{_TEXTS} as t").select("event_id", i["at"].alias("at"), i["zoned"].alias("zoned"))
+
+
+_BODY = "concat(repeat('负责产品规划与需求分析，推动项目落地。', 4), job)"
+#: (page, its body's text, tags, what the platform shows) and (body, activity, day, error) of each form of a page, in SQL that Spark and DuckDB share; chr(10) ends a line.
+_PAGES = [
+    ("''", "concat('职位描述：', chr(10), {b}, chr(10), '举报 · 分享', chr(10), '张女士', chr(10), '今日活跃', chr(10), '星海科技·招聘经理')", "", "", "{b}", "今日活跃", "", ""),
+    ("concat('首页', chr(10), 'AI产品经理', chr(10), '职位描述', chr(10), 'SQL Python', chr(10), chr(10), {b}, chr(10), '李先生', chr(10), chr(10), '安全提示', chr(10), '别的')", "''", "SQL,Python", "在线", "concat({b}, chr(10), '李先生')", "在线", "", ""),
+    ("'页面更新时间：2024-05-01'", "concat({b}, chr(10), '张三', chr(10), '本周活跃', chr(10), '星海科技', chr(10), '·', chr(10), '招聘经理', chr(10), '竞争力分析', chr(10), '其他')", "", "", "{b}", "本周活跃", "2024-05-01", ""),
+    ("''", "concat({b}, chr(10), '张三', chr(10), '星海科技', chr(10), '·', chr(10), '招聘经理')", "", "3日内活跃", "{b}", "3日内活跃", "", ""),
+    ("'半年前活跃 页面更新时间:2024-06-30'", "concat({b}, chr(10), '张女士', chr(10), '离职中', chr(10), chr(10), '星海科技', chr(10))", "", "", "{b}", "离职中", "2024-06-30", ""),
+    ("'半年前活跃'", "concat({b}, chr(13), chr(10), '李先生（已认证）', chr(13), chr(10), '星海科技·招聘')", "", "离线", "{b}", "半年前活跃", "", ""),
+    ("''", "concat({b}, chr(10), chr(10), '王先生')", "", "", "{b}", "", "", ""),
+    ("''", "concat({b}, chr(10), 'SQL', chr(10), '王先生负责一切。', chr(10), '在线')", "SQL", "", "concat({b}, chr(10), 'SQL', chr(10), '王先生负责一切。', chr(10), '在线')", "", "", ""),
+    ("concat({b}, '登录查看完整内容')", "{b}", "", "在线", "''", "", "", "login"),
+    ("'无障碍专区 首页 职位 公司'", "''", "", "", "''", "", "", "navigation"),
+    ("''", "'太短'", "", "今日活跃", "''", "", "", "short"),
+]
+
+
+def _page_form(i: int) -> str:
+    return f"case job % {len(_PAGES)} " + " ".join(f"when {k} then {x[i].format(b=_BODY) if i in (0, 1, 4) else repr(x[i])}" for k, x in enumerate(_PAGES)) + " end"
+
+
+@query(f"{_P} select job, {_page_form(4)} as jd, {_page_form(5)} as boss_active_status, {_page_form(6)} as page_update_date, {_page_form(7)} as error from p")
+def page_bodies(spark, sf_dir):
+    p = postings(spark, sf_dir).selectExpr("job", f"{_page_form(0)} as page", f"{_page_form(1)} as text", f"{_page_form(2)} as tags", f"{_page_form(3)} as shown")
+    return p.select("job", pages.extract_body("text", "page", F.split("tags", ","), "shown").alias("x")).select("job", "x.*")

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from sievework.functions import pages
 
 BODY = "负责产品规划与需求分析，推动项目落地。" * 4
@@ -19,16 +21,41 @@ def test_page_bodies(spark):
     assert got[5].jd == BODY and got[5].boss_active_status == "3日内活跃"
 
 
-def test_cards_at_the_end_of_a_text():
+def test_cards_at_the_end_of_a_text(spark):
     """Each form of card, also before a marker and with empty lines, and texts that only look like one."""
     text = BODY.split("，")
-    for card, status in [
+    cards = [
         (["张三", "今日活跃", "星海科技", "·", "招聘经理"], "今日活跃"), (["张三", "星海科技", "·", "招聘经理"], ""), (["张女士", "在线", "星海科技"], "在线"), (["张女士", "", "离职中", "星海科技·人事", ""], "离职中"),
-        (["李先生（已认证）", "星海科技·招聘"], ""), (["", "王先生"], ""),
-    ]:
-        start, active = pages._card([*text, *card])
-        assert (start, active) == (len(text) + (card[0] == ""), status), card
-    for tail in (["王先生"], ["张女士", "负责一切。", "在线"], ["在线", "星海科技"], []):
-        assert pages._card([*text, *tail]) == (len(text) + len(tail), "")
-    body, active, _, error = pages.page_body("\n".join([*text, "张三", "本周活跃", "星海科技", "·", "招聘经理", "竞争力分析", "其他"]), "", None, None)
-    assert (error, active, body) == ("", "本周活跃", "\n".join(text))
+        (["李先生（已认证）", "星海科技·招聘"], ""), (["", "王先生"], ""), (["王先生"], None), (["张女士", "负责一切。", "在线"], None), (["在线", "星海科技"], None), ([], None),
+    ]
+    df = spark.createDataFrame([(i, [*text, *lines]) for i, (lines, _) in enumerate(cards)], "i int, lines array<string>").select("i", pages.card(F.col("lines")).alias("c"))
+    for r in df.collect():
+        lines, status = cards[r.i]
+        kept = len(text) + (len(lines) if status is None else lines[0] == "")
+        assert (r.c.start, r.c.status) == (kept, status or ""), lines
+    page = "\n".join([*text, "张三", "本周活跃", "星海科技", "·", "招聘经理", "竞争力分析", "其他"])
+    got = body(spark, page, "", None, None)
+    assert (got.error, got.boss_active_status, got.jd) == ("", "本周活跃", "\n".join(text))
+
+
+def body(spark, *row):
+    df = spark.createDataFrame([row], "jd string, page string, tags array<string>, shown string")
+    return df.select(pages.extract_body("jd", "page", "tags", "shown").alias("x")).select("x.*").first()
+
+
+def test_marks_tags_and_noise(spark):
+    """What stands before a mark stays in a body and goes from a page; a mark at a body's head goes with its separators; tags go at the head alone."""
+    assert body(spark, f"【公司介绍】\n{BODY}\n【职位描述】\n更多", "", None, None).jd == f"【公司介绍】\n{BODY}\n【职位描述】\n更多"
+    assert body(spark, f"微信扫码分享 举报\n\n职位描述】：\r\n{BODY}", "", None, None).jd == BODY
+    assert body(spark, f"职位描述：{BODY}", "", None, None).jd == BODY
+    assert body(spark, "", f"AI产品经理\n200-300元/天\n职位描述\n{BODY}", None, None).jd == BODY
+    tagged = body(spark, f"B端产品\nSQL Python\n\n{BODY}\nSQL\n{BODY}\n夏女士\n星海科技·HR", "", ["SQL", "B端产品", None, "Python"], None)
+    assert tagged.jd == f"{BODY}\nSQL\n{BODY}"
+    assert body(spark, f"SQL\n{BODY}", "", ["", None], None).jd == f"SQL\n{BODY}"
+    assert body(spark, f"{BODY}\n\n\n\n a  b \n这不是安全提示，只是说说安全提示", "", None, None).jd == f"{BODY}\n\na b\n这不是安全提示，只是说说安全提示"
+    assert body(spark, None, None, None, None).error == "short"
+
+
+def test_no_python_in_the_plan(spark):
+    df = spark.createDataFrame([("a", "b", ["c"], "d")], "jd string, page string, tags array<string>, shown string").select(pages.extract_body("jd", "page", "tags", "shown"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
