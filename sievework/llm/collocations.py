@@ -29,6 +29,8 @@ SUBSUMED_PERCENT = 50
 ROWS, BYTES_A_CELL, CELL_BITS = 2, 24, (16, 26)
 #: Cells of a block, the unit that sketches are merged by.
 BLOCK = 1 << 16
+#: Parts of a language whose phrases are ranked apart before their first ones meet.
+RANK_PARTS = 32
 #: Bytes of text whose words are numbered at once; hashes that go into 16-bit cells between two cuts.
 CHUNK_BYTES, STEP = 4 << 20, 60_000
 
@@ -225,7 +227,10 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     read. Two jobs run when this is called.
     """
     counts = frequent(docs, text, lang, least, longest)
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    best = unsubsumed(scored(counts)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= first)
+    order = (F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
+    ranked = lambda df, *by: df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("rank") <= first)
+    # a language's first ones are among the first of its parts, so no task ranks what all others have passed on
+    parts = unsubsumed(scored(counts)).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
+    best = ranked(ranked(parts, "lang", "part"), "lang")
     n = counts.where(F.col("size") == 0).select("lang", F.col("f").alias("n"))
     return best.join(n, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
