@@ -115,13 +115,13 @@ def daily_budget(events: DataFrame, key: str, at: str, order: str, limit: int) -
 SKIP_RUNS, STRUCTURAL_TTL, TRANSIENT_TTL = 5, 30 * 86_400, 30 * 60
 
 
-def fold_ledger(events: DataFrame) -> DataFrame:
+def fold_ledger(events: DataFrame, now: int | None = None) -> DataFrame:
     """State of a ledger of known failures after all its events (key, at as seconds, run, nature; kind failure or probe).
 
     A failure opens an entry or renews it; another nature resets what was skipped, not the hits. A probe is
     skipped while the entry is in force: a structural one in SKIP_RUNS runs at the most, each counted once; a
     transient one in the run that recorded it. An expired entry, and a structural one that is used up, goes at
-    the probe. A key's events, which are taken to be few, are folded in order within its row.
+    the probe, or by the second ``now``. A key's events, which are taken to be few, are folded in order within its row.
     """
     ordered = events.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(F.col("at").cast("long").alias("at"), "kind", "run", "nature"))).alias("_e"))
     fields = ("open", "nature", "hits", "skip_runs", "last_skip", "run", "until", "skipped", "fetched")
@@ -141,7 +141,10 @@ def fold_ledger(events: DataFrame) -> DataFrame:
         return F.when(e.kind == "failure", failed).otherwise(probed)
 
     start = state(F.lit(False), F.lit(""), zero, zero, none, F.lit(""), zero, zero, zero)
-    return ordered.select("key", F.aggregate("_e", start, step).alias("_s")).select("key", *[F.col(f"_s.{c}").alias(c) for c in ("open", "nature", "hits", "skip_runs", "skipped", "fetched")])
+    gone = F.lit(False) if now is None else F.col("_s.open") & (F.col("_s.until") <= now)
+    closed = {"open": F.lit(False), "nature": F.lit(""), "hits": zero, "skip_runs": zero}
+    out = ordered.select("key", F.aggregate("_e", start, step).alias("_s"))
+    return out.select("key", *[F.when(gone, v).otherwise(F.col(f"_s.{c}")).alias(c) for c, v in closed.items()], "_s.skipped", "_s.fetched")
 
 
 def resume_queue(previous: DataFrame, current: DataFrame, known: DataFrame, key: str, order: str) -> DataFrame:

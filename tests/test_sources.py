@@ -88,12 +88,6 @@ def test_streams(spark, tmp_path):
 
     rates = result(jobs.failure_rates(stream(), window="2 minutes"), "rates", "complete")
     assert len(rates) == 3 and all(r.rate == 0.5 for r in rates)
-    days = lambda: stream().withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    used = result(jobs.budget(days(), "user_id", "day", 2), "used", "append")
-    assert sorted(r.outcome for r in used) == ["duplicate", "duplicate", "exhausted", "exhausted", "ok", "ok"]
-    free = result(jobs.budget(days(), "user_id", "day", 0), "free", "append")
-    assert sorted(r.outcome for r in free) == ["duplicate"] * 3 + ["ok"] * 3
-
     up = lambda: jobs.progressive_upsert(stream(), str(tmp_path / "t"), "user_id", "ts", ["event_type"], str(tmp_path / "cp-up")).awaitTermination(120)
     up()
     (src / "b.json").write_text("\n".join(json.dumps(r) for r in ({"ts": "2024-01-02T00:00:00", "user_id": 1, "event_type": "late"}, {"ts": "2024-01-02T00:00:00", "user_id": 7, "event_type": "ok"}, {"ts": "2024-01-02T00:00:00", "event_type": "ok"}, {"ts": "2024-01-02T00:00:00", "user_id": 8, "event_type": " "})))
