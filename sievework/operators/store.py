@@ -93,20 +93,29 @@ def number_versions(observed: DataFrame, key: str, content: str, at: str) -> Dat
     return first.withColumn("version", F.row_number().over(Window.partitionBy(key).orderBy("captured", content)))
 
 
-def full_versions(observed: DataFrame, key: str, content: str, fields: list[str], at: str) -> DataFrame:
-    """Versions of each key with ``fields`` (title, pay): a new one where the content is new, or where there is none and a field that is given differs from the one before.
+def version_facts(observed: DataFrame, key: str, content: str, fields: list[str], at: str) -> DataFrame:
+    """key, content, captured and, for each of ``fields``, struct(v, at): what ``full_versions`` needs of sightings.
 
-    A content that is known already makes no version but fills fields which its version lacks, with the first
-    value that came. Rows without a content count by their fields alone. Each key's rows that bring something
-    new are compared with the row before; repeats of a whole row are dropped first, by an aggregate.
+    A row for each content of a key, with when it was first seen and each field's first value and its time; and one for
+    each set of fields that came without a content.
     """
     given = lambda c: F.when(F.coalesce(F.trim(F.col(c)), F.lit("")) != "", F.trim(F.col(c)))
-    rows = observed.select(key, F.coalesce(F.col(content), F.lit("")).alias(content), *[given(f).alias(f) for f in fields], F.col(at).alias("captured"))
+    rows = observed.select(key, F.coalesce(F.col(content), F.lit("")).alias(content), F.col(at).alias("captured"), *[F.when(given(f).isNotNull(), F.struct(given(f).alias("v"), F.col(at).alias("at"))).alias(f) for f in fields])
+    return merged_facts(rows, key, content, fields)
+
+
+def merged_facts(facts: DataFrame, key: str, content: str, fields: list[str]) -> DataFrame:
+    """Facts of several batches as one: the same as those of all their sightings, whatever the batches' order."""
+    early = lambda f: F.min_by(f, F.when(F.col(f).isNotNull(), F.struct(f"{f}.at", f"{f}.v"))).alias(f)
     anything = reduce(lambda a, f: a | F.col(f).isNotNull(), fields, F.col(content) != "")
-    first_filled = [F.min_by(F.when(F.col(f).isNotNull(), F.col(f)), F.when(F.col(f).isNotNull(), F.col("captured"))).alias(f) for f in fields]
-    with_content = rows.where(F.col(content) != "").groupBy(key, content).agg(*first_filled, F.min("captured").alias("captured"))
-    bare = rows.where((F.col(content) == "") & anything).groupBy(key, content, *fields).agg(F.min("captured").alias("captured"))
-    both = with_content.unionByName(bare)
+    # rows without a content are told apart by their fields
+    own = [F.when(F.col(content) == "", F.col(f"{f}.v")).alias(f"_{f}") for f in fields]
+    return facts.where(anything).groupBy(key, content, *own).agg(F.min("captured").alias("captured"), *map(early, fields)).select(key, content, "captured", *fields)
+
+
+def versions_of(facts: DataFrame, key: str, content: str, fields: list[str]) -> DataFrame:
+    """The versions that facts make, numbered by when they were first seen."""
+    both = facts.select(key, content, *[F.col(f"{f}.v").alias(f) for f in fields], "captured")
     order = Window.partitionBy(key).orderBy("captured", F.desc(content), *fields)
     before = {f: F.last(f, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)) for f in fields}
     nth = F.row_number().over(order)
@@ -115,6 +124,16 @@ def full_versions(observed: DataFrame, key: str, content: str, fields: list[str]
     return kept.withColumn("version", F.row_number().over(Window.partitionBy(key).orderBy("captured", F.desc(content), *fields)))
 
 
+def full_versions(observed: DataFrame, key: str, content: str, fields: list[str], at: str) -> DataFrame:
+    """Versions of each key with ``fields`` (title, pay): a new one where the content is new, or where there is none and a field that is given differs from the one before.
+
+    A content that is known already makes no version but fills fields which its version lacks, with the first
+    value that came. Rows without a content count by their fields alone. Each key's rows that bring something
+    new are compared with the row before; repeats of a whole row are dropped first, by an aggregate.
+    """
+    return versions_of(version_facts(observed, key, content, fields, at), key, content, fields)
+
+
 def latest_version(versions: DataFrame, key: str, version: str = "version") -> DataFrame:
     """Each key's highest version, by an aggregate that combines before it shuffles."""
     others = [c for c in versions.columns if c not in (key, version)]
