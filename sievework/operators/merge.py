@@ -34,28 +34,42 @@ def merge_details(listed: DataFrame, details: DataFrame, key: str, body: str, or
     return out.withColumns(merged | {"has_detail": F.col("_key").isNotNull()}).drop("_key", *[f"_d_{c}" for c in values])
 
 
-def associate(jobs: DataFrame, details: DataFrame, detail_id: str) -> DataFrame:
-    """Candidates of each detail: by id; only without one by link, then by title, then the only job that has no id.
+def association_classes(jobs: DataFrame, details: DataFrame, detail_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Jobs and details as members of classes (priority, value), which stand for the pairs of their members.
 
-    Both sides have id, link, title_key (null where empty). Columns: ``detail_id``, job, priority.
+    A class is an id (1), a link (2), a title (3), or the only job without an id (4). Both sides have id, link, title_key
+    (null where empty). A detail is in its classes of the best priority that has a job: by id alone if it has one. Gives
+    the details' membership (``detail_id``, priority, value), the jobs' (job, priority, value) and each class's number of
+    jobs (priority, value, jobs). No row stands for a pair, so a title that thousands share costs its members alone.
     """
-    left = details.select(detail_id, "id", "link", "title_key")
-    right = jobs.select(F.col("job").alias("job"), F.col("id").alias("j_id"), F.col("link").alias("j_link"), F.col("title_key").alias("j_title"))
-    no_id = left.where("id is null")
-    by_id = left.join(right, F.col("id") == F.col("j_id")).select(detail_id, "job", F.lit(1).alias("priority"))
-    by_link = no_id.join(right, F.col("link") == F.col("j_link")).select(detail_id, "job", F.lit(2).alias("priority"))
-    by_title = no_id.join(right, F.col("title_key") == F.col("j_title")).select(detail_id, "job", F.lit(3).alias("priority"))
-    alone = right.where("j_id is null").agg(F.count("*").alias("n"), F.min("job").alias("job")).where("n = 1").select("job")
-    last = no_id.select(detail_id).join(F.broadcast(alone)).select(detail_id, "job", F.lit(4).alias("priority"))  # one row at most
-    found = by_id.union(by_link).union(by_title).union(last)
+    entry = lambda p, c: F.when(c.isNotNull(), F.struct(F.lit(p).alias("priority"), c.cast("string").alias("value")))
+    id_, link, title = F.col("id"), F.col("link"), F.col("title_key")
+    members = lambda df, name, entries: df.select(name, F.explode(F.array_compact(F.array(*entries))).alias("c")).select(name, "c.priority", "c.value").distinct()
+    job_in = members(jobs, "job", [entry(1, id_), entry(2, link), entry(3, title)])
+    # the only job without an id: one row at most, found by an aggregate
+    alone = jobs.where("id is null").agg(F.count("*").alias("n"), F.min("job").alias("job")).where("n = 1").select("job", F.lit(4).alias("priority"), F.lit("").alias("value"))
+    job_in = job_in.union(alone)
+    sizes = job_in.groupBy("priority", "value").agg(F.count("*").alias("jobs"))
+    wanted = members(details, detail_id, [entry(1, id_), F.when(id_.isNull(), entry(2, link)), F.when(id_.isNull(), entry(3, title))])
+    found = wanted.join(sizes.where("priority < 4"), ["priority", "value"], "left_semi").select(detail_id, "priority", "value")
+    last = details.where("id is null").select(detail_id).distinct().join(F.broadcast(alone.select("priority", "value")))  # one row at most
+    found = found.union(last)
     best = found.groupBy(detail_id).agg(F.min("priority").alias("priority"))
-    return found.join(best, [detail_id, "priority"]).select(detail_id, "job", "priority").distinct()
+    return found.join(best, [detail_id, "priority"], "left_semi"), job_in, sizes
+
+
+def associate(jobs: DataFrame, details: DataFrame, detail_id: str) -> DataFrame:
+    """Candidates of each detail as pairs (``detail_id``, job, priority), spelled out from ``association_classes``: as many rows as there are pairs."""
+    found, job_in, _ = association_classes(jobs, details, detail_id)
+    return found.join(job_in, ["priority", "value"]).select(detail_id, "job", "priority").distinct()
 
 
-def keep_associated(found: DataFrame, bad_jobs: DataFrame, detail_id: str) -> DataFrame:
-    """Details of which every candidate is retained."""
-    marked = found.join(bad_jobs.select("job").distinct().withColumn("_bad", F.lit(True)), "job", "left")
-    return marked.groupBy(detail_id).agg(F.bool_and(F.col("_bad").isNull()).alias("kept")).where("kept").select(detail_id)
+def keep_associated(jobs: DataFrame, details: DataFrame, bad_jobs: DataFrame, detail_id: str) -> DataFrame:
+    """Details of which every candidate is retained, by how many jobs and how many bad ones their classes have; no pair is made."""
+    found, job_in, _ = association_classes(jobs, details, detail_id)
+    marked = job_in.join(bad_jobs.select("job").distinct().withColumn("_bad", F.lit(True)), "job", "left")
+    bad = marked.groupBy("priority", "value").agg(F.bool_and(F.col("_bad").isNull()).alias("_good"))
+    return found.join(bad, ["priority", "value"]).groupBy(detail_id).agg(F.bool_and("_good").alias("kept")).where("kept").select(detail_id)
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -44,6 +44,33 @@ def top_values(df: DataFrame, dimensions: dict[str, Column], top: int, order: st
     return counts.withColumn("rank", F.row_number().over(Window.partitionBy("dimension").orderBy(F.col("n").desc(), "_f", "value"))).where(F.col("rank") <= top).drop("_f")
 
 
+#: Values that a sketch tracks. What it leaves out has no more than SKETCH_ERROR / TRACKED of the rows: the sketch's own bound is 3.5 over its size, and a value that it doesn't report lies within twice that.
+TRACKED, SKETCH_ERROR = 8192, 7.0
+
+
+def frequent_values(rows: DataFrame, by: str, value: str, top: int, order: str | None = None, tracked: int = TRACKED) -> DataFrame:
+    """by, value, n, rank: the same as counting all values, but what is shuffled is bounded by sketches and not by how many different values there are.
+
+    A mergeable sketch a group proposes candidates; a second pass counts these exactly. That is the result if the last of
+    the first ``top`` has more rows than any value that the sketch may have left out, or if the candidates have all rows.
+    Groups where neither holds are counted in full. Ties by first sight in ``order`` where given, then by value. ``by`` is
+    taken to have few values, as dimensions are.
+    """
+    rows = rows.select(F.col(by).alias("by"), F.col(value).cast("string").alias("value"), (F.col(order) if order else F.lit(0)).alias("_o")).where("value is not null and value <> ''")
+    sketch = rows.groupBy("by").agg(F.expr(f"approx_top_k(value, {tracked}, {tracked})").alias("_k"), F.count("*").alias("_all"))
+    candidates = sketch.select("by", F.explode("_k.item").alias("value"))  # ``tracked`` a group at the most
+    count = lambda df: df.groupBy("by", "value").agg(F.count("*").alias("n"), F.min("_o").alias("_f"))
+    ranked = lambda df: df.withColumn("rank", F.row_number().over(Window.partitionBy("by").orderBy(F.col("n").desc(), "_f", "value")))
+    counted = ranked(count(rows.join(F.broadcast(candidates), ["by", "value"], "left_semi")))
+    last = counted.groupBy("by").agg(F.sum("n").alias("_known"), F.max(F.when(F.col("rank") == top, F.col("n"))).alias("_last"))
+    state = sketch.select("by", "_all").join(last, "by", "left")
+    certain = (F.col("_known") == F.col("_all")) | (F.col("_last") > F.col("_all") * (SKETCH_ERROR / tracked))
+    open_ = state.where(~F.coalesce(certain, F.lit(False))).select("by")  # a row a group
+    in_full = ranked(count(rows.join(F.broadcast(open_), "by", "left_semi")))
+    both = counted.join(F.broadcast(open_), "by", "left_anti").union(in_full)
+    return both.where(F.col("rank") <= top).select(F.col("by").alias(by), F.col("value").alias(value), "n", "rank")
+
+
 def posting_dimensions(skills: str, terms: list[str], detail_tags: Column | None = None, stop: tuple[str, ...] = ()) -> dict[str, Column]:
     """The fourteen dimensions of a market summary, for ``top_values``; each body counts a term once."""
     said = lambda c: F.coalesce(F.trim(F.col(c)), F.lit(""))

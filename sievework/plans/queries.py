@@ -146,20 +146,26 @@ f as (select detail, job, 1 p from d join j using (id) union select detail, job,
 b as (select detail, min(p) p from f group by 1), x as (select distinct detail, job, p as priority from f join b using (detail, p))"""
 
 
-def _associated(spark, sf_dir):
+def _sides(spark, sf_dir):
     made = lambda name, columns: table(spark, sf_dir, name).selectExpr(*[f"{e} as {n}" for n, e in columns.items()])
-    return merge.associate(made("orders", _JOB_COLUMNS), made("customer", _DETAIL_COLUMNS), "detail")
+    return made("orders", _JOB_COLUMNS), made("customer", _DETAIL_COLUMNS)
 
 
 @query(f"with {_FOUND} select detail, job, priority from x")
 def associate_details(spark, sf_dir):
-    return _associated(spark, sf_dir)
+    return merge.associate(*_sides(spark, sf_dir), "detail")
+
+
+@query(f"with {_FOUND} select detail, priority, count(*) as candidates from x group by 1, 2")
+def candidate_counts(spark, sf_dir):
+    found, _, sizes = merge.association_classes(*_sides(spark, sf_dir), "detail")
+    return found.join(sizes, ["priority", "value"]).groupBy("detail", "priority").agg(F.sum("jobs").alias("candidates"))
 
 
 @query(f"with {_FOUND} select detail from x group by 1 having bool_and(job % 7 <> 0)")
 def keep_associated(spark, sf_dir):
-    found = _associated(spark, sf_dir)
-    return merge.keep_associated(found, found.where("job % 7 = 0").select("job"), "detail")
+    jobs, details = _sides(spark, sf_dir)
+    return merge.keep_associated(jobs, details, jobs.where("job % 7 = 0"), "detail")
 
 
 # ---------------------------------------------------------------- keyed tables

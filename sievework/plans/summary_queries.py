@@ -53,6 +53,27 @@ def mined_terms(spark, sf_dir):
     return summary.all_terms(table(spark, sf_dir, "documents").withColumn("text", F.regexp_replace("text", "[^ -~\\n]", " ")), "text", "doc_id", ["Spark"], ["the"], ["the", "and"], 40, 2)
 
 
+@query(f"""{_P}, t as (select job, unnest(string_split(jd, ' ')) t from p), w as (select job, case when regexp_matches(t, '^[A-Za-z][A-Za-z0-9._-]*$') then [t] else regexp_extract_all(t, '[\\x{{4e00}}-\\x{{9fff}}]{{2,6}}') end w from t), v as (select job, unnest(w) t from w),
+c as (select t, count(*) n, min(job) f from v where t not in ('负责', 'SQL') group by 1 order by n desc, f, t limit 12), o as (select '大模型' as term, 0 as p union all select '社区内容', 1 union all select t, 2 from c where n >= 2) select term, min(p) as kind from o group by 1""")
+def mined_posting_terms(spark, sf_dir):
+    return summary.all_terms(postings(spark, sf_dir), "jd", "job", ["大模型"], ["社区内容", "短"], ["负责", "SQL"], 12, 2)
+
+
+_WORDS = "unnest(regexp_split_to_array(text, '[ \\n]+')) as word"
+
+
+@query(f"with w as (select coalesce(lang, '') as lang, doc_id, {_WORDS} from documents), c as (select lang, word, count(*) n, min(doc_id) f from w where word <> '' group by all), r as (select lang, word, n, row_number() over (partition by lang order by n desc, f, word) as rank from c) select * from r where rank <= 25")
+def frequent_words(spark, sf_dir):
+    words = table(spark, sf_dir, "documents").select(F.coalesce("lang", F.lit("")).alias("lang"), "doc_id", F.explode(F.split("text", "[ \\n]+")).alias("word"))
+    return summary.frequent_values(words, "lang", "word", 25, "doc_id")
+
+
+@query("with w as (select event_type, user_id, event_id from events), c as (select event_type, cast(user_id as varchar) user_id, count(*) n, min(event_id) f from w where user_id is not null group by all), r as (select event_type, user_id, n, row_number() over (partition by event_type order by n desc, f, user_id) as rank from c) select * from r where rank <= 10")
+def frequent_users(spark, sf_dir):
+    # so few are tracked that the sketch alone can't decide, and groups are counted in full
+    return summary.frequent_values(events(spark, sf_dir), "event_type", "user_id", 10, "event_id", tracked=64)
+
+
 @query("with b as (select event_type, case event_id % 3 when 0 then 'api' when 1 then 'dom' else 'other' end c, value > 30 ok from events), u as (select event_type, count(distinct c) filter (ok and c in ('api', 'dom')) k, min(c) filter (ok and c in ('api', 'dom')) m, count(*) filter (ok and c = 'api') api, count(*) filter (ok and c = 'dom') dom from b group by 1) select event_type, case when k = 0 then 'unknown' when k = 1 then m else 'mixed' end as channel, api, dom from u")
 def channels(spark, sf_dir):
     b = table(spark, sf_dir, "events").selectExpr("event_type", "case event_id % 3 when 0 then 'api' when 1 then 'dom' else 'other' end as c", "value > 30 as ok")
