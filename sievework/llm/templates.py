@@ -5,7 +5,9 @@ Tokens of one host that occur equally often on the same pages share an occurrenc
 large and frequent classes are its candidates. A class is valid if its tokens stand in the same order on every
 page and if its occurrences nest: those of another class lie within one of its gaps, or the other way round.
 The valid classes, nested by their tokens' positions, are the host's template. Its tokens are fixed; what
-stands in their gaps are the slots, and those outside of menus, adverts and the like hold the article.
+stands in their gaps are the slots. The article's slots are found by their measures: from the template's outermost
+element on inwards, the one that holds most of the host's text and more than one block of it. Names of elements and
+classes decide between slots where measures don't, and what is left out within the article's.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ LEAST_PAGES, LEAST_SHARE = 3, 0.5
 CLASS_SIZE = 2
 #: Words up to which a block's words are tokens of their own.
 SHORT_BLOCK = 16
+#: Share of an element's text that one within it must hold to be what holds the article.
+MAIN_SHARE = 0.6
 #: Hashes and templates that a worker keeps.
 CACHED_HASHES, CACHED_TEMPLATES = 200_000, 256
 
@@ -49,6 +53,13 @@ BESIDE_WORDS = frozenset("area bar block body bottom box buttons container conte
 # Elements in which equal neighbours are entries of a list, not paragraphs.
 ENTRIES = frozenset("li td th dd dt option a".split())
 
+#: Kinds of elements for the choice of slots: any, the page's own, and those that say that they hold an article.
+ANY, OUTER, ARTICLE = range(3)
+KINDS = {"html": OUTER, "body": OUTER, "head": OUTER, "article": ARTICLE, "main": ARTICLE}
+HEADINGS = frozenset(("h1", "h2"))
+#: What is measured of an element: its role (its place, told apart from equal ones by its number among its siblings) and the role around it, its token, characters of text, blocks and headings in it, and its kind.
+MEASURES = ("role", "parent", "token", "chars", "blocks", "heads", "kind")
+
 #: Why a block is no article: not at all, by a name, as a reader's comment, by its element or role.
 NO, NAMED, COMMENT, ELEMENT = range(4)
 
@@ -100,13 +111,18 @@ class Block:
 class Page:
     """tokens: hashes of the page's tokens in order, odd for tags and even for texts; blocks: its blocks in order.
 
-    A place is a hash of the elements and class names that lead to an element, so deep pages stay small.
+    A place is a hash of the elements and class names that lead to an element, so deep pages stay small. A tag's token
+    also has its number among equal siblings, its role: else a page's frame and an article of plain elements would be one. Blocks in the
+    element of the role ``main``, or else in an article or main element, are inside.
     """
 
-    def __init__(self, html: str, hashes: Hashes, tokens: bool = True):
+    def __init__(self, html: str, hashes: Hashes, tokens: bool = True, main: int = 0):
         self.tokens: list[int] = []
         self.blocks: list[Block] = []
-        self._hashes, self._wanted = hashes, tokens
+        self._hashes, self._wanted, self._main = hashes, tokens, main
+        # of each element its role, the number of the one around it, its kind, and the text, blocks and headings of its own
+        self._measured: list[list[int]] = [[0, 0, OUTER, 0, 0, 0]]
+        self._siblings: Counter[tuple[int, int]] = Counter()
         # element, place, aside, aside within the article, inside an article, number
         self._open: list[tuple[str, int, int, int, bool, int]] = [("", 0, NO, NO, False, 0)]
         self._names: Counter[str] = Counter()
@@ -149,7 +165,12 @@ class Page:
         text = " ".join(entities.unescape("".join(self._text)).split()) if self._text else ""
         self._text = []
         if text:
-            element, place, aside, within, inside, _ = self._open[-1]
+            element, place, aside, within, inside, number = self._open[-1]
+            if self._wanted:
+                own = self._measured[number]
+                own[3] += len(text)
+                own[4] += 1
+                own[5] += element in HEADINGS
             self.blocks.append(Block(place, text, aside, within, inside, element, self._open[-2][5] if len(self._open) > 1 else 0))
             if self._wanted:
                 self.tokens += block_tokens(place, text, self._hashes)
@@ -183,12 +204,20 @@ class Page:
                         self._close(i)
                         break
         _, above, aside, within, inside, _ = self._open[-1]
-        kind, role, names = names_of(attributes) if attributes else ("", "", [])
+        kind, aria, names = names_of(attributes) if attributes else ("", "", [])
         place = self._hashes[f"{above:x}/{name}.{kind}"]
         own = NO
-        if name in ("article", "main"):
+        role = 0
+        if name not in VOID and (self._wanted or self._main):
+            number = self._open[-1][5]
+            self._siblings[number, place] += 1
+            role = self._hashes[f"{self._measured[number][0]:x}/{place:x}/{self._siblings[number, place]}"]
+            self._measured.append([role, number, KINDS.get(name, ANY), 0, 0, 0])
+        if role and role == self._main:
+            inside, within = True, NO
+        elif name in ("article", "main") and not self._main:
             inside, within = True, within if within >= COMMENT else NO
-        if role in ASIDE_ROLES or name in ASIDE or (name == "header" and not inside):
+        if aria in ASIDE_ROLES or name in ASIDE or (name == "header" and not inside):
             own = ELEMENT
         elif names and name not in ("body", "html", "main"):
             if marked(names, COMMENT_WORDS):
@@ -198,7 +227,7 @@ class Page:
         if self._skip:
             own = max(own, NAMED)
         if self._wanted:
-            self.tokens.append(self._hashes[f"{place:x}<"] | 1)
+            self.tokens.append(self._hashes[f"{role or place:x}<"] | 1)
         if name not in VOID:
             self._elements += 1
             self._names[name] += 1
@@ -218,10 +247,20 @@ class Page:
             while self._open[i][0] != name:
                 i -= 1
             if self._wanted:
-                self.tokens.append(self._hashes[f"{self._open[i][1]:x}>"] | 1)
+                self.tokens.append(self._hashes[f"{self._measured[self._open[i][5]][0]:x}>"] | 1)
             self._close(i)
 
 
+    def measures(self) -> np.ndarray:
+        """A row of ``MEASURES`` for each element with more than one block, which alone can hold an article; the page itself has the role 0."""
+        rows = self._measured
+        for own in reversed(rows[1:]):
+            for i in (3, 4, 5):
+                rows[own[1]][i] += own[i]
+        some = [(role, rows[around][0], self._hashes[f"{role:x}<"] | 1, chars, blocks, heads, kind) for role, around, kind, chars, blocks, heads in rows if blocks > 1]
+        return np.array(some, np.int64).reshape(-1, len(MEASURES))
+
+
 def block_tokens(place: int, text: str, hashes: Hashes) -> list[int]:
     """Tokens of a block: the whole, and its words if there are a few."""
     words = text.split(" ", SHORT_BLOCK)
@@ -232,6 +271,8 @@ def block_tokens(place: int, text: str, hashes: Hashes) -> list[int]:
 def extract(page: Page, template: frozenset[int]) -> str:
     """Text of the page's slots that belong to the article, joined by newlines."""
     hashes = page._hashes
+    if page._main and (own := [b.text for b in page.blocks if b.inside and not b.within]):
+        return "\n".join(own)
     # an article element within something that is left out by its name counts only where no other stands on the page
     if any(b.inside and not b.aside for b in page.blocks):
         return "\n".join(b.text for b in page.blocks if b.inside and not b.aside)
@@ -265,7 +306,7 @@ def host_of(url: str):
 
 
 def token_sequences(pages: DataFrame, html: str, host: str) -> DataFrame:
-    """host, salt, tokens: the tokens of each distinct page of a host in order, eight bytes each, and a hash of the page.
+    """host, salt, tokens, shape: the tokens of each distinct page of a host in order, eight bytes each, a hash of the page, and its elements' measures.
 
     Copies would count as agreement between pages, so each distinct page counts once. Copies within a batch do
     not move; what moves is the tokens, not the page.
@@ -274,17 +315,19 @@ def token_sequences(pages: DataFrame, html: str, host: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for b in batches:
-            seen, keep, tokens = set(), [], []
+            seen, keep, tokens, shapes = set(), [], [], []
             for i, of in enumerate(zip(b.column("host").to_pylist(), b.column("salt").to_pylist(), strict=True)):
                 if of not in seen:
                     seen.add(of)
                     keep.append(i)
-                    tokens.append(np.array(Page(b.column("html")[i].as_py(), hashes).tokens, np.int64).tobytes())
+                    page = Page(b.column("html")[i].as_py(), hashes)
+                    tokens.append(np.array(page.tokens, np.int64).tobytes())
+                    shapes.append(page.measures().tobytes())
             some = b.select(["host", "salt"]).take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*some.columns, pa.array(tokens, pa.binary())], names=["host", "salt", "tokens"])
+            yield pa.RecordBatch.from_arrays([*some.columns, pa.array(tokens, pa.binary()), pa.array(shapes, pa.binary())], names=["host", "salt", "tokens", "shape"])
 
     rows = pages.where(F.col(html).isNotNull()).select(F.col(host).alias("host"), F.xxhash64(html, host).alias("salt"), F.col(html).alias("html"))
-    return rows.mapInArrow(task(run), "host string, salt long, tokens binary").dropDuplicates(["host", "salt"])
+    return rows.mapInArrow(task(run), "host string, salt long, tokens binary, shape binary").dropDuplicates(["host", "salt"])
 
 
 def occurrence_vectors(sequences: DataFrame) -> DataFrame:
@@ -429,14 +472,89 @@ def templates(sequences: DataFrame, candidates: DataFrame) -> DataFrame:
     return lists.select("host", "ranks", "class_tokens", "ends").mapInArrow(task(pack), "host string, template binary")
 
 
+def role_measures(sequences: DataFrame, sizes: DataFrame) -> DataFrame:
+    """host and roles: ``MEASURES`` summed over its distinct pages, of the roles that stand on ``LEAST_SHARE`` of them. Measures add up within each batch before they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            host = b.column("host").dictionary_encode()
+            parts = [np.frombuffer(x, np.int64).reshape(-1, len(MEASURES)) for x in b.column("shape").to_pylist()]
+            if not sum(map(len, parts)):
+                continue
+            rows, of = np.concatenate(parts), np.repeat(host.indices.to_numpy(), [len(p) for p in parts])
+            order = np.lexsort((rows[:, 0], of))
+            rows, of = rows[order], of[order]
+            start = np.flatnonzero(np.concatenate([[True], (rows[1:, 0] != rows[:-1, 0]) | (of[1:] != of[:-1])]))
+            sums = [np.add.reduceat(rows[:, MEASURES.index(c)], start) for c in ("chars", "heads")]
+            columns = [*(rows[start, MEASURES.index(c)] for c in ("role", "parent", "token", "kind")), *sums, np.diff(np.append(start, len(rows)))]
+            yield pa.RecordBatch.from_arrays([host.dictionary.take(pa.array(of[start])), *map(pa.array, columns)], names=["host", "role", "parent", "token", "kind", "chars", "heads", "pages"])
+
+    made = sequences.select("host", "shape").mapInArrow(task(run), "host string, role long, parent long, token long, kind long, chars long, heads long, pages long")
+    # a role has one parent, token and kind
+    made = made.groupBy("host", "role", "parent", "token", "kind").agg(*[F.sum(c).alias(c) for c in ("chars", "heads", "pages")])
+    often = made.join(sizes, "host").where((F.col("all") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("all")))
+    return often.groupBy("host").agg(F.collect_list(F.struct("role", "parent", "token", "kind", "chars", "heads")).alias("roles"))
+
+
+def main_role(roles: list[dict], template: frozenset[int]) -> int:
+    """The role of the template's element whose slots hold the article; 0 if none stands out. roles: those with more than one block.
+
+    Inwards from the page, an element of the template follows if it has ``MAIN_SHARE`` of the text around it. Where none
+    has, one that is called an article follows. A heading just outside takes the element around both.
+    """
+    within: dict[int, list[dict]] = {}
+    for r in roles:
+        if r["role"]:
+            within.setdefault(r["parent"], []).append(r)
+    at, path = next((r for r in roles if not r["role"]), None), []
+    while at is not None:
+        fixed = [r for r in within.get(at["role"], []) if r["kind"] == OUTER or r["token"] in template]
+        named = [r for r in fixed if r["kind"] == ARTICLE]
+        best = max(fixed, key=lambda r: (r["chars"], r["role"]), default=None)
+        if best is None or best["chars"] < MAIN_SHARE * at["chars"]:
+            if len(named) != 1:
+                break
+            best = named[0]
+        path.append(at)
+        at = best
+    while path and path[-1]["kind"] != OUTER and path[-1]["heads"] > at["heads"]:
+        at = path.pop()
+    return 0 if at is None or at["kind"] == OUTER else at["role"]
+
+
+def with_main_roles(found: DataFrame, measures: DataFrame) -> DataFrame:
+    """host, template: the templates, each with its host's main role before its tokens."""
+    joined = found.join(measures.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"), "left").select("host", "template", "roles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for packed, roles in zip(b.column("template").to_pylist(), b.column("roles").to_pylist(), strict=True):
+                tokens = np.frombuffer(packed, np.int64)
+                out.append(np.concatenate([np.array([main_role(roles or [], frozenset(tokens.tolist()))], np.int64), tokens]).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(out, pa.binary())], names=["host", "template"])
+
+    return joined.mapInArrow(task(run), "host string, template binary")
+
+
+def page_text(html: str, hashes: Hashes, template: tuple[int, frozenset[int]]) -> str:
+    """The main text of a page of a host with a template (main role, tokens); on a page that lacks that role, elements, names and the template's texts decide."""
+    main, tokens = template
+    page = Page(html, hashes, tokens=False, main=main)
+    if main and not any(b.inside and not b.within for b in page.blocks):
+        page = Page(html, hashes, tokens=False)
+    return extract(page, tokens)
+
+
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Every row's key and url with text and n_chars (code points).
 
     A null or empty html gives an empty text; a null url, or one without a host, belongs to a host of its own
     kind; null keys and repeated rows are kept; ties cannot arise; extra columns are not read; an empty table
-    gives an empty result. Equal pages of one host count once for its template; a host with fewer than
-    ``LEAST_PAGES`` distinct pages has none, and its pages' elements, roles and names decide. Where an article
-    or main element stands, it bounds the text, and the template removes nothing from it.
+    gives an empty result. Equal pages of one host count once for its template; the template's element that holds
+    most of the host's text bounds the article (``main_role``). A host with fewer than ``LEAST_PAGES`` distinct
+    pages has no template, and where no element stands out there is none to bound the text: then an article or main
+    element does, or elements, roles and names decide.
 
     Jobs run when this is called: the distinct pages' tokens and the templates are written to the shared folder.
     """
@@ -445,11 +563,12 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     sizes = sequences.groupBy("host").agg(F.count("*").alias("all"))
     candidates = written(classes(occurrence_vectors(sequences), sizes), "page-classes")
     # written first, so that Spark knows their size before it plans the join: it broadcasts them only if they are small, and splits a hot host's pages otherwise
-    found = written(templates(sequences, candidates), "page-templates").withColumnRenamed("host", "_host")
+    framed = with_main_roles(templates(sequences, candidates), role_measures(sequences, sizes))
+    found = written(framed, "page-templates").withColumnRenamed("host", "_host")
     joined = rows.join(found, F.col("host") == F.col("_host"), "left").select("key", "url", "html", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, known = Hashes(), {b"": frozenset()}
+        hashes, known = Hashes(), {b"": (0, frozenset())}
         for b in batches:
             texts = []
             for page, packed in zip(b.column("html"), b.column("template"), strict=True):
@@ -457,8 +576,9 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
                 if packed not in known:
                     if len(known) > CACHED_TEMPLATES:
                         known.clear()
-                    known[packed] = frozenset(np.frombuffer(packed, np.int64).tolist())
-                texts.append(extract(Page(page.as_py(), hashes, tokens=False), known[packed]) if page.is_valid else "")
+                    main, *tokens = np.frombuffer(packed, np.int64).tolist()
+                    known[packed] = main, frozenset(tokens)
+                texts.append(page_text(page.as_py(), hashes, known[packed]) if page.is_valid else "")
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["key", "url", "text", "n_chars"])
 
     kind = pages.schema[key].dataType.simpleString()

@@ -266,6 +266,43 @@ def test_text_that_pages_share_stays_among_slots(spark):
     assert got == Counter(want + want[:2])
 
 
+RENAMED = ((r"<(/?)article\b", r"<\1div"), (r"<(/?)nav\b", r"<\1div"), (r"<(/?)footer\b", r"<\1div"), (' class="ad"', ' class="q"'))
+
+
+def test_slots_are_chosen_without_names(spark):
+    """Pages whose article, menu, footer and advert are plain elements give the same texts, wherever a host has three distinct pages."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html", templates.host_of("url").alias("host"))
+    plain = pages.collect()
+    want = {r.page_id: text_of(r.html) for r in plain}
+    assert {r.page_id: r.text for r in templates.main_text(pages).collect()} == want
+    bare = spark.createDataFrame([(r.page_id, r.url, re.sub(*RENAMED[3], re.sub(*RENAMED[2], re.sub(*RENAMED[1], re.sub(*RENAMED[0], r.html))))) for r in plain], "page_id long, url string, html string")
+    several = Counter(h for h, _ in {(r.host, r.html) for r in plain})
+    some = {r.page_id for r in plain if several[r.host] >= templates.LEAST_PAGES}
+    got = {r.page_id: r.text for r in templates.main_text(bare).collect()}
+    assert len(some) > 200 and {k: got[k] for k in some} == {k: want[k] for k in some}
+
+
+def test_main_role():
+    """Inwards by text; a name decides where text does not; a heading beside the text comes along; what is no part of the template is passed by."""
+    row = lambda role, parent, chars, heads=0, kind=templates.ANY: {"role": role, "parent": parent, "token": role * 10, "kind": kind, "chars": chars, "heads": heads}
+    body = [row(0, 0, 1000, 1, templates.OUTER), row(1, 0, 1000, 1, templates.OUTER)]
+    every = frozenset(range(0, 1000, 10))
+    assert templates.main_role([*body, row(2, 1, 100), row(3, 1, 800, 1), row(4, 3, 700)], every) == 3
+    assert templates.main_role([*body, row(2, 1, 100), row(3, 1, 800, 1), row(4, 3, 700, 1)], every) == 4
+    assert templates.main_role([*body, row(2, 1, 400), row(3, 1, 500)], every) == 0
+    assert templates.main_role([*body, row(2, 1, 400, kind=templates.ARTICLE), row(3, 1, 500)], every) == 2
+    assert templates.main_role([*body, row(3, 1, 800)], every - {30}) == 0
+    assert templates.main_role([], every) == 0
+
+
+def test_pages_without_the_main_element_fall_back_to_names(spark):
+    html = [f"<body><div class=m><a>Home {i}</a></div><div><p>First of {i}</p><p>Then a longer second of {i}</p></div><div class=f>Legal {i}</div></body>" for i in range(8)]
+    html[7] = "<body><nav>Home</nav><p>Alone</p></body>"
+    rows = [(i, "http://h.example/", h) for i, h in enumerate(html)]
+    got = {r.page_id: r.text for r in templates.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"First of {i}\nThen a longer second of {i}" for i in range(7)} | {7: "Alone"}
+
+
 def test_copies_of_a_page_keep_their_article(spark):
     html = [page(i, f"<article><h1>Title {i}</h1><p>Story number {i} is told</p></article>") for i in range(6)]
     rows = [(i, f"http://h.example/{i}", html[min(i, 5)]) for i in range(25)]
