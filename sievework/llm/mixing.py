@@ -28,6 +28,10 @@ from .common import mixed, task, written
 
 #: Bytes of a block at the least; blocks of all sources together at about the most, beyond which a block grows; exponent that tempers the sources' measured shares where no weights are given.
 BLOCK_BYTES, MOST_BLOCKS, TEMPER = 1 << 16, 1 << 20, 0.9
+#: A mix is no longer than so many times all sources' blocks; what a source with too little weight has left by then follows as a tail, by deadlines.
+MOST_EPOCHS = 64
+#: Rows of a table of sources up to which it is broadcast; such a row is a few numbers and a name.
+MOST_SOURCES = 100_000
 #: Rows of the schedule that are sent at once.
 SCHEDULE_ROWS = 10_000
 #: A deadline later than this is stated as this.
@@ -73,7 +77,7 @@ def schedule(parts: list[int]) -> list[list[int]]:
 
 @dataclass
 class Plan:
-    """A mix: for each source its number, exact weight, blocks of an epoch and parts; the slots in all; and a block's bytes."""
+    """A mix: for each source its number, exact weight, blocks of an epoch and parts; the slots in all; a block's bytes; and whether a tail follows."""
 
     sources: list
     weights: list[int]
@@ -81,14 +85,17 @@ class Plan:
     parts: list[int]
     horizon: int
     block_bytes: int
+    tail: bool = False
 
 
-def plan(docs: DataFrame, source: str = "source", text: str = "text", weights: dict | None = None, block_bytes: int | None = None) -> Plan:
+def plan(docs: DataFrame, source: str = "source", text: str = "text", weights: dict | None = None, block_bytes: int | None = None, epochs: int = MOST_EPOCHS) -> Plan:
     """The mix of a table's sources. Without weights, a source's target is its share of bytes to the power ``TEMPER``.
 
     The mix ends when each source's target has reached its bytes, so a source whose weight is far below its
     share of the bytes makes the mix longer, and the others are read again until then: the result has total
-    weight / weight times its bytes. The driver holds a few numbers for each source.
+    weight / weight times its bytes. It ends at ``epochs`` times all sources' bytes at the latest, whatever the
+    weights; within it every source keeps its target, and blocks that have had no turn follow in a tail. The driver
+    holds a few numbers for each source.
     """
     rows = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size_of(text)).alias("bytes")).collect()
     rows = sorted(rows, key=lambda r: (r.source is not None, str(r.source)))
@@ -102,14 +109,17 @@ def plan(docs: DataFrame, source: str = "source", text: str = "text", weights: d
     blocks = [-(-b // block_bytes) for b in sizes]
     parts = [max(1, min(MOST_PARTS, -(-b // PART_BYTES))) for b in sizes]
     total = sum(whole)
-    return Plan(names, whole, blocks, parts, max(-(-b * total // (a * block_bytes)) for b, a in zip(sizes, whole, strict=True)), block_bytes)
+    needed = max(-(-b * total // (a * block_bytes)) for b, a in zip(sizes, whole, strict=True))
+    most = max(1, epochs) * sum(blocks)
+    return Plan(names, whole, blocks, parts, min(needed, most), block_bytes, needed > most)
 
 
 def scheduled(spark: SparkSession, mix: Plan) -> DataFrame:
     """_i, _number, _release, _deadline, _slot: a row for each block of each source in the mix.
 
     A source whose last block of the first epoch is a short one may be due after the mix's end; that block
-    stands beside another one's in a slot of its window.
+    stands beside another one's in a slot of its window. Where the mix ends before a source's first epoch does, its
+    blocks that are left have the slots after the end, by their deadlines.
     """
     weights, blocks, horizon = mix.weights, mix.blocks, mix.horizon
     names = ["_i", "_number", "_release", "_deadline", "_slot"]
@@ -119,8 +129,11 @@ def scheduled(spark: SparkSession, mix: Plan) -> DataFrame:
         for row in slots(weights, horizon):
             served[row[0]] += 1
             yield row
+        late = ((-(-(j + 1) * total // weights[i]), i, j) for i, k in enumerate(served) for j in range(k, blocks[i])) if mix.tail else ()
+        for n, (due, i, j) in enumerate(sorted(late)):  # as many as there are blocks at the most
+            yield i, j, j * total // weights[i], due, horizon + n
         for i, j in enumerate(served):
-            if j < blocks[i]:
+            if j < blocks[i] and not mix.tail:
                 release = j * total // weights[i]
                 yield i, j, release, -(-(j + 1) * total // weights[i]), release + int(mixed(np.array([i], np.uint64))[0]) % (horizon - release)
 
@@ -152,7 +165,8 @@ def place(docs: DataFrame, mix: Plan, key: str = "doc_id", source: str = "source
     times = scheduled(spark, mix)
     # one row a source
     sources = spark.createDataFrame([(n, i, b, p) for i, (n, b, p) in enumerate(zip(mix.sources, mix.blocks, mix.parts, strict=True))], f"_name {docs.schema[source].dataType.simpleString()}, _i long, _n long, _parts int")
-    rows = own.join(F.broadcast(sources), F.col("_source").eqNullSafe(F.col("_name"))).withColumn("_part", F.pmod(F.hash("_turn"), F.col("_parts")))
+    small = F.broadcast if len(mix.sources) <= MOST_SOURCES else (lambda df: df)
+    rows = own.join(small(sources), F.col("_source").eqNullSafe(F.col("_name"))).withColumn("_part", F.pmod(F.hash("_turn"), F.col("_parts")))
     before = Window.partitionBy("_i").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # MOST_PARTS rows a source at most
     starts = rows.groupBy("_i", "_part").agg(F.sum("_bytes").alias("_b")).select("_i", "_part", F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_start"))
@@ -161,7 +175,7 @@ def place(docs: DataFrame, mix: Plan, key: str = "doc_id", source: str = "source
     rows = rows.withColumn("_offset", F.coalesce(F.sum("_bytes").over(inside), F.lit(0))).join(F.broadcast(starts) if sum(mix.parts) <= 200_000 else starts, ["_i", "_part"])
     rows = rows.withColumn("_block", F.floor((F.col("_start") + F.col("_offset")) / mix.block_bytes).cast("long"))
     # blocks that a source has in the mix, those of the first epoch at the least
-    rows = rows.join(F.broadcast(times.groupBy("_i").agg(F.count("*").alias("_all"))), "_i")
+    rows = rows.join(small(times.groupBy("_i").agg(F.count("*").alias("_all"))), "_i")
     rows = rows.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.expr("cast((_all - 1 - _block) div _n as int)"))))
     # Spark knows the written schedule's size and broadcasts it only if it is small
     rows = rows.withColumn("_number", F.col("_block") + F.col("_epoch") * F.col("_n")).join(times, ["_i", "_number"])

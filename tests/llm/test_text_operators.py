@@ -465,6 +465,23 @@ def test_two_weights_far_apart_stay_within_a_block():
     assert served[1] in (25, 26)
 
 
+def test_any_weights_end(spark):
+    """A weight of one part in a billion: the mix ends, keeps its targets to its end, and what is left follows in a tail."""
+    rows = [(i, "w" * 100, "ab"[i < 40]) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mix = mixing.plan(df, weights={"a": 1.0, "b": 1e-9}, block_bytes=100)
+    got = mixing.place(df, mix).collect()
+    assert mix.tail and mix.horizon == mixing.MOST_EPOCHS * 100
+    assert Counter(r.doc_id for r in got if r.epoch == 0) == Counter(range(100))
+    total, served = Fraction(1.0) + Fraction(1e-9), Counter()
+    by_slot = {r.slot: r.source for r in got}
+    assert sorted(by_slot) == list(range(max(by_slot) + 1))
+    for t in range(mix.horizon):
+        served[by_slot[t]] += 1
+        assert all(abs(served[s] - Fraction(w) / total * (t + 1)) < 1 for s, w in (("a", 1.0), ("b", 1e-9)))
+    assert {by_slot[t] for t in range(mix.horizon, max(by_slot) + 1)} == {"b"}
+
+
 def test_blocks_grow_where_a_mix_has_too_many(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MOST_BLOCKS", 10)
     df = spark.createDataFrame([(i, "w" * 3_000, "ab"[i % 2]) for i in range(600)], "doc_id long, text string, source string")
