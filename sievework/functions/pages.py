@@ -10,8 +10,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sievework.functions.payloads import let
-from sievework.functions.text import as_col
+from sievework.functions.text import as_col, let
 
 # Marks of the pages' own text, and words of recruiter cards.
 LOGIN_WALL, BODY_MARK = "登录查看完整内容", "职位描述"

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.functions.text import as_col
+from sievework.functions.text import as_col, let
 
 # Words that make a name a secret, whole names that are secret or internal, and their beginnings.
 SECRET_WORDS = ("cookie", "token", "password", "account", "auth", "secret", "session", "credential", "authorization", "wt2")
@@ -23,11 +21,6 @@ _URL, _VALUE = "^\\s*(?:https?:)?//", "(?i)(cookie|token|password|secret|securit
 URL_DEPTH = 4
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def plain_name(name: Column) -> Column:
     """A name in lower case, its words joined by underscores."""
     parted = F.regexp_replace(name, "(?<=[a-z0-9])(?=[A-Z])", "_")

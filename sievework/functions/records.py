@@ -151,10 +151,14 @@ def tags_json(tags: Column | str) -> Column:
 # ---------------------------------------------------------------- payloads
 
 
+#: What a detail's response says besides its body: activity of poster and company, state of the posting, the company.
+DETAIL_FIELDS = ("boss_active_status", "brand_active_time", "job_status_desc", "brand_introduce", "brand_stage_name", "brand_scale_name", "brand_industry_name")
+
+
 def detail_payload(payload: Column | str, least: int = LEAST_BODY) -> Column:
-    """struct(jd, boss_active_status, job_status_desc, brand_introduce, failure, category) of a detail's response: failures are values, not exceptions.
+    """struct of a detail's response: jd, page_update_date, ``DETAIL_FIELDS``, failure, category. Failures are values, not exceptions.
 
-    failure: not_json, request, code or short; category: what the code asks for.
+    failure: not_json, request, code or short; category: what the code asks for. A response has no day of update.
     """
     doc = F.try_parse_json(as_col(payload))
     get = lambda path: F.coalesce(F.try_variant_get(doc, path, "string"), F.lit(""))
@@ -164,7 +168,7 @@ def detail_payload(payload: Column | str, least: int = LEAST_BODY) -> Column:
     bad_code = F.coalesce(code, F.lit(0)) != 0
     failure = F.when(~is_object, "not_json").when(get("$.error") != "", "request").when(bad_code, "code").when(F.length(jd) < least, "short").otherwise("")
     ok = failure == ""
-    return F.struct(F.when(ok, jd).otherwise("").alias("jd"), *[F.when(ok, get(f"$.{n}")).otherwise("").alias(n) for n in ("boss_active_status", "job_status_desc", "brand_introduce")], failure.alias("failure"), F.when(failure == "code", P.response_kind(code.cast("string"), get("$.msg"))).otherwise("").alias("category"))
+    return F.struct(F.when(ok, jd).otherwise("").alias("jd"), F.lit("").alias("page_update_date"), *[F.when(ok, get(f"$.{n}")).otherwise("").alias(n) for n in DETAIL_FIELDS], failure.alias("failure"), F.when(failure == "code", P.response_kind(code.cast("string"), get("$.msg"))).otherwise("").alias("category"))
 
 
 def page_risk(url, title, slider, blocked, restore, login_required, cards, limited, login_wall, now) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -40,6 +41,11 @@ def first_filled(*columns: Column | str) -> Column:
 WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once. Neither may hold a Python function."""
+    return F.transform(F.array(value), use)[0]
+
+
 def no_space(c: Column | str) -> Column:
     return F.translate(as_col(c), WHITE_SPACE, "")
 
@@ -61,10 +67,21 @@ def posting_id(*keys: Column | str) -> Column:
     return F.substring(F.md5(F.coalesce(*[F.when(as_col(k) != "", as_col(k)) for k in keys], F.lit(""))), 1, 16)
 
 
+#: Characters of a body that are looked at first for its beginning without white space.
+BEGINNING = 1024
+
+
 def fingerprint(body: Column | str, place: Column | str, head: int = 180, place_head: int = 12, unicode: bool = True) -> Column:
-    """Content identity: the body's beginning and the place's; empty without a body. Pay is left out on purpose, as reposts vary it."""
-    b = F.substring(body_key(body, unicode), 1, head)
-    return F.when(b == "", F.lit("")).otherwise(F.concat(b, F.lit("|"), F.substring(title_key(place, unicode), 1, place_head)))
+    """Content identity: the body's beginning and the place's; empty without a body. Pay is left out on purpose, as reposts vary it.
+
+    Where the first ``BEGINNING`` characters have enough that aren't white space, the rest of the body is not worked on.
+    """
+    squeezed = lambda c: F.substring(body_key(c, unicode), 1, head)
+    name = lambda b: F.when(b == "", F.lit("")).otherwise(F.concat(b, F.lit("|"), F.substring(title_key(place, unicode), 1, place_head)))
+    if unicode:
+        return name(squeezed(body))
+    near = let(squeezed(F.substring(as_col(body), 1, BEGINNING)), lambda b: F.when(F.length(b) == head, b).otherwise(squeezed(body)))
+    return let(near, name)
 
 
 def group_name(key: Column | str) -> Column:

@@ -48,8 +48,13 @@ def last_lines(df: DataFrame, line: str, n: int) -> DataFrame:
 
 
 def replay_order(files: DataFrame, created: str, path: str) -> DataFrame:
-    """Files with their turn when a history is replayed. One row a file: the list is small."""
-    return files.withColumn("turn", F.row_number().over(Window.orderBy(created, path)))
+    """Files with their turn when a history is replayed: a day's files are numbered by themselves, after those of the days before it, so that no task orders all of them."""
+    day = F.substring(F.col(created).cast("string"), 1, 10)
+    days = files.groupBy(day.alias("_day")).agg(F.count("*").alias("_n"))
+    # a row a day
+    before = days.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(F.col("_day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    own = files.withColumn("_d", day).withColumn("_turn", F.row_number().over(Window.partitionBy("_d").orderBy(created, path)))
+    return own.join(before, F.col("_d").eqNullSafe(F.col("_day"))).withColumn("turn", (F.col("_before") + F.col("_turn")).cast("int")).drop("_d", "_turn", "_day", "_before")
 
 
 def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

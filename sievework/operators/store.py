@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -180,6 +181,15 @@ def schema_of_version(meta: DataFrame, supported: int) -> DataFrame:
     return meta.agg(version).select(F.when(F.col("version") <= supported, F.col("version")).otherwise(F.raise_error(F.concat(F.lit("the store is newer than this code: "), F.col("version").cast("string"))).cast("int")).alias("version"))
 
 
+def migrated(meta: DataFrame, tables: dict[str, DataFrame], steps: dict[int, Callable[[dict[str, DataFrame]], dict[str, DataFrame]]]) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """(meta, tables) with each step whose number is above the store's version applied once, in rising order; a step gives the tables that it changes. Run again, nothing is left to do; a store newer than the steps is an error."""
+    have = schema_of_version(meta, max(steps, default=0)).first()[0]  # one number
+    for number in sorted(n for n in steps if n > have):
+        tables = {**tables, **steps[number](tables)}
+    stamp = meta.sparkSession.range(1).select(F.lit("schema_version").alias("key"), F.lit(str(max([have, *steps]))).alias("value"))
+    return meta.where(F.col("key") != "schema_version").select("key", "value").union(stamp), tables
+
+
 def state_by_age(seen: Column, now: Column, days: int) -> Column:
     """active, or stale once the last sight is more than so many days old; nothing legible is active."""
     return F.when(seen.isNotNull() & (F.timestamp_diff("SECOND", seen, now) > days * 86400), "stale").otherwise("active")

@@ -34,8 +34,15 @@ def derive(df: DataFrame, rules: RuleSet = DEFAULT, today: Column | None = None)
     return out if today is None else out.withColumn("risk_flags", P.risk_flags("company_name", "title", "jd", "location", "post_type", "page_update_date", today, rules=rules))
 
 
-def build(listed: DataFrame, details: DataFrame, recruit_types: tuple[str, ...] = (), block: tuple[str, ...] = (), allow: tuple[str, ...] = (), keep_junk: bool = False, keep_without_body: bool = False, rules: RuleSet = DEFAULT, today: Column | None = None) -> Deliverable:
-    """Lists (with ordinal) and details (with ordinal) to a deliverable. Reasons are codes; nothing is dropped without one."""
+def build(listed: DataFrame, details: DataFrame, recruit_types: tuple[str, ...] = (), block: tuple[str, ...] = (), allow: tuple[str, ...] = (), keep_junk: bool = False, keep_without_body: bool = False, rules: RuleSet = DEFAULT, today: Column | None = None, exclude: DataFrame | None = None, before: Deliverable | None = None) -> Deliverable:
+    """Lists (with ordinal) and details (with ordinal) to a deliverable. Reasons are codes; nothing is dropped without one.
+
+    Keys of ``exclude`` (job_id) take no part, neither as lists nor as details. With the deliverable ``before``, what was
+    dropped and what lacks a body add up over the runs: the first entry of a key stays, until the key is kept.
+    """
+    if exclude is not None:
+        gone = exclude.select(F.trim("job_id").alias("_gone")).where("_gone <> ''").distinct()
+        listed, details = (df.join(gone, F.col("job_id") == F.col("_gone"), "left_anti") for df in (listed, details))
     merged = derive(merge.merge_details(listed, details.drop("path"), "job_id", "jd", "ordinal"), rules, today)
     merged = merged.withColumns({"_title": X.nfkc("title"), "_body": X.nfkc("jd")})
     reason = filters.relevance_reason(F.col("recruit_type"), F.col("company_industry"), F.col("title"), recruit_types, block, allow)
@@ -50,7 +57,18 @@ def build(listed: DataFrame, details: DataFrame, recruit_types: tuple[str, ...]
     newest = F.coalesce(-F.unix_date(F.to_date(F.try_to_timestamp(F.substring("page_update_date", 1, 10), F.lit("yyyy-MM-dd")))), F.lit(1))
     best, _ = dedupe.keep_best(kept.withColumns({"_title": X.title_key("title"), "_company": F.regexp_replace("company_name", "[()（）【】\\[\\]·\\s]", ""), "_city": F.substring_index("location", "·", 1)}), ["_title", "_company", "_city"], [newest, -F.length(F.coalesce("jd", F.lit(""))), F.col("job_id")], "job_id")
     marked = dedupe.mark_groups(best.drop("_title", "_company", "_city", "dup_group", "dup_size", "is_primary"), "fingerprint", ["ordinal", "job_id"])
-    return Deliverable(marked, dropped.select("job_id", "title", "company_name", "reason"), bodyless.select("job_id", "title"))
+    out = Deliverable(marked, dropped.select("job_id", "title", "company_name", "reason"), bodyless.select("job_id", "title"))
+    if before is not None:
+        out.dropped, out.bodyless = accumulated(before.dropped, out.dropped, marked), accumulated(before.bodyless, out.bodyless, marked)
+    return out
+
+
+def accumulated(before: DataFrame, now: DataFrame, kept: DataFrame, key: str = "job_id") -> DataFrame:
+    """A ledger over the runs: each key's first entry, those of before first; keys that are kept by now, and blank ones, have none."""
+    values = [c for c in before.columns if c != key]
+    both = before.withColumn("_run", F.lit(0)).unionByName(now.select(*before.columns).withColumn("_run", F.lit(1))).where(F.coalesce(F.trim(key), F.lit("")) != "")
+    first = both.groupBy(key).agg(F.min_by(F.struct(*values), F.struct("_run", *values)).alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in values])
+    return first.join(kept.select(F.col(key).alias("_k")).distinct(), F.col(key) == F.col("_k"), "left_anti")
 
 
 def registered(built: list[tuple[str, str, str, Deliverable]]) -> tuple[DataFrame, DataFrame]:

@@ -113,13 +113,13 @@ def skill_tags_json(spark, sf_dir):
     return postings(spark, sf_dir).select("job", C.tags_json("skills").alias("tags"))
 
 
-_DETAIL = """case event_id % 6 when 0 then 'no json' when 1 then '[1]' when 2 then '{"error":"timeout"}' when 3 then '{"code":37,"msg":"session expired"}' when 4 then '{"code":0,"jd":"short"}' else concat('{"jd":"', repeat('负责　AI产品 ', 9), '","boss_active_status":"今日活跃"}') end"""
+_DETAIL = """case event_id % 6 when 0 then 'no json' when 1 then '[1]' when 2 then '{"error":"timeout"}' when 3 then '{"code":37,"msg":"session expired"}' when 4 then '{"code":0,"jd":"short"}' else concat('{"jd":"', repeat('负责　AI产品 ', 9), '","boss_active_status":"今日活跃","brand_active_time":"', user_id, '天前","job_status_desc":"最新","brand_introduce":"介绍","brand_stage_name":"A轮","brand_scale_name":null,"brand_industry_name":', event_id, '}') end"""
 
 
-@query("""with e as (select event_id, event_id % 6 k from events) select event_id, case when k = 5 then trim(replace(repeat('负责　AI产品 ', 9), '　', ' ')) else '' end as jd, case when k = 5 then '今日活跃' else '' end as boss_active_status, case k when 0 then 'not_json' when 1 then 'not_json' when 2 then 'request' when 3 then 'code' when 4 then 'short' else '' end as failure, case when k = 3 then 'token_expired' else '' end as category from e""")
+@query("""with e as (select event_id, coalesce(cast(user_id as varchar), '') user_id, event_id % 6 k from events) select event_id, case when k = 5 then trim(replace(repeat('负责　AI产品 ', 9), '　', ' ')) else '' end as jd, case when k = 5 then '今日活跃' else '' end as boss_active_status, case when k = 5 then user_id || '天前' else '' end as brand_active_time, case when k = 5 then '最新' else '' end as job_status_desc, case when k = 5 then '介绍' else '' end as brand_introduce, case when k = 5 then 'A轮' else '' end as brand_stage_name, '' as brand_scale_name, case when k = 5 then cast(event_id as varchar) else '' end as brand_industry_name, '' as page_update_date, case k when 0 then 'not_json' when 1 then 'not_json' when 2 then 'request' when 3 then 'code' when 4 then 'short' else '' end as failure, case when k = 3 then 'token_expired' else '' end as category from e""")
 def detail_payloads(spark, sf_dir):
     d = C.detail_payload("payload")
-    return table(spark, sf_dir, "events").selectExpr("event_id", f"{_DETAIL} as payload").select("event_id", *[d[n].alias(n) for n in ("jd", "boss_active_status", "failure", "category")])
+    return table(spark, sf_dir, "events").selectExpr("event_id", f"{_DETAIL} as payload").select("event_id", *[d[n].alias(n) for n in ("jd", "page_update_date", *C.DETAIL_FIELDS, "failure", "category")])
 
 
 _IDS = """case event_id % 4 when 0 then concat('["', user_id, '"," b ",""]') when 1 then concat('{"job_ids":["', user_id, '","b"]}') when 2 then concat(user_id, ', b', chr(10), 'b') else '' end"""

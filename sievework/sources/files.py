@@ -145,10 +145,11 @@ def sidecars(files: DataFrame) -> DataFrame:
 
 
 def write_records(df: DataFrame, path: str, kind: str = "parquet", by: list[str] = (), mode: str = "errorifexists") -> None:
-    """Parquet, JSON or CSV; arrays become text joined by bars in CSV. Spark's committer makes the write all or nothing."""
+    """Parquet, JSON or CSV; arrays become text joined by bars in CSV, and each file begins with a byte order mark, as spreadsheets ask for. Spark's committer makes the write all or nothing."""
     if kind == "csv":
         flat: list[Column] = [F.array_join(c.name, " | ").alias(c.name) if isinstance(c.dataType, T.ArrayType) else F.col(c.name) for c in df.schema]
-        df.select(*flat).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+        first, *others = df.columns
+        df.select(*flat).toDF(f"\ufeff{first}", *others).write.mode(mode).option("header", True).option("escape", '"').csv(path)
     else:
         df.write.mode(mode).partitionBy(*by).format(kind).save(path)
 

@@ -61,6 +61,10 @@ def test_deliverable_and_questions(spark, tmp_path):
     assert kept["j1"].dup_group == kept["j4"].dup_group != "" and kept["j1"].is_primary and not kept["j4"].is_primary
     assert (kept["j1"].salary_min, kept["j1"].salary_max, kept["j1"].salary_months) == (20000.0, 40000.0, 15)
     before = deliverable.build(listed.where("job_id <> 'j1'"), details)
+    without = deliverable.build(listed, details, exclude=spark.createDataFrame([(" j2 ",), ("j3",), ("",)], "job_id string"), before=d)
+    assert {r.job_id for r in without.kept.collect()} == {"j1", "j4"}
+    assert {r.job_id: r.reason for r in without.dropped.collect()} == {"j2": "sales", "j5": "mismatch"}  # j2 is remembered
+    assert {r.job_id for r in deliverable.build(listed, details, keep_junk=True, before=d).dropped.collect()} == set()  # all are kept by now
     items, deliverables = deliverable.registered([("/out/old", "杭州|AI", "2024-01-01", before), ("/out/new", "杭州|AI", "2024-01-02", d)])
     diff = {r.job_id: (r.change, r.reason) for r in ask.ask("diff", items=items, deliverables=deliverables, scope="ai").collect()}
     assert diff == {"j1": ("added", "new")}
@@ -191,3 +195,29 @@ def test_safe_json_and_logs(spark, tmp_path):
     for event in ("start", "stop"):
         files.append_log(spark.createDataFrame([(event, "mine")], "event string, ts string"), str(tmp_path / "log"), {"ts": F.lit("2024-01-01")})
     assert sorted((r.event, r.ts) for r in spark.read.json(str(tmp_path / "log"), schema="event string, ts string").collect()) == [("start", "2024-01-01"), ("stop", "2024-01-01")]
+
+
+def test_csv_begins_with_a_byte_order_mark(spark, tmp_path):
+    files.write_records(spark.createDataFrame([("职位", ["a", "b"])], "title string, skills array<string>").coalesce(1), str(tmp_path / "csv"), "csv")
+    (part,) = (tmp_path / "csv").glob("part-*")
+    assert part.read_bytes() == "\ufefftitle,skills\n职位,a | b\n".encode()
+
+
+def test_migrations_run_once_in_order(spark):
+    ran = []
+
+    def step(n):
+        def change(tables):
+            ran.append(n)
+            return {"jobs": tables["jobs"].withColumn(f"c{n}", F.lit(n))}
+
+        return change
+
+    meta = spark.createDataFrame([("schema_version", "1"), ("owner", "me")], "key string, value string")
+    steps = {3: step(3), 1: step(1), 2: step(2)}
+    meta, tables = store.migrated(meta, {"jobs": spark.range(2)}, steps)
+    assert ran == [2, 3] and tables["jobs"].columns == ["id", "c2", "c3"]
+    assert {r.key: r.value for r in meta.collect()} == {"schema_version": "3", "owner": "me"}
+    assert store.migrated(meta, tables, steps)[1] == tables and ran == [2, 3]
+    with pytest.raises(Exception, match="newer"):
+        store.migrated(meta, tables, {1: step(1)})
