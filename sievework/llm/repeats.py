@@ -14,10 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KERNEL_BYTES, groups, rolling, signed, slices_of, task, utf8, written
+from .common import KERNEL_BYTES, groups, mixed, powers, rolling, signed, slices_of, task, utf8, written
 
 WINDOW, GRAM = 50, 28
 #: Bytes of the parts that choose an anchor at the least.
@@ -130,10 +131,6 @@ def _runs(data: np.ndarray, off: np.ndarray, window: int) -> tuple[np.ndarray, n
     return owner[first], np.column_stack([first, np.flatnonzero(last), signed(rolling(data, GRAM)[anchor[first]])])
 
 
-def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, schema=schema)
-
-
 def shared_anchors(docs: DataFrame, window: int, slices: int) -> DataFrame:
     """key, anchors, heavy: for each key the anchors that other keys have too, those with over ``HEAVY`` neighbourhoods apart.
 
@@ -184,115 +181,196 @@ _MEET = pa.schema([("route", pa.int64()), ("s", pa.binary()), ("k", pa.int64()),
 _SPANS = pa.schema([("k", pa.int64()), ("text", pa.int64()), ("spans", pa.list_(pa.int32()))])
 
 
+def _string_hash(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of strings of one piece of a text; equal strings have equal hashes wherever they stand."""
+    if len(_POWERS[0]) < len(data) + 1:
+        p = powers(len(data))
+        inverse = np.full(len(p), pow(int(p[1]), -1, 1 << 64), np.uint64)
+        inverse[0] = 1
+        _POWERS[:] = p, np.multiply.accumulate(inverse)
+    upto = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWERS[0][: len(data)], out=upto[1:])
+    return mixed((upto[at + size] - upto[at]) * _POWERS[1][at] + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+#: Powers of the hash's base and their inverses, for pieces as long as any met before.
+_POWERS: list[np.ndarray] = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+
+
+def _leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The first eight bytes of the strings at these places."""
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)[at]).view(np.int64).ravel()
+
+
+def _lists(values: np.ndarray, start: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(start, len(values)).astype(np.int32)), pa.array(values.astype(np.int32)))
+
+
+def _to_meet(data: np.ndarray, off: np.ndarray, keys: np.ndarray, text: np.ndarray, window: int, i: np.ndarray, place: np.ndarray, size: np.ndarray, of: np.ndarray, route: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each string and text, with where it stands there; rows come by string."""
+    order = np.lexsort((place, text[i], of))
+    i, place, size, of, route = (c[order] for c in (i, place, size, of, route))
+    new = np.ones(len(i), bool)
+    new[1:] = (of[1:] != of[:-1]) | (text[i][1:] != text[i][:-1])
+    first = np.flatnonzero(new)
+    for a in range(0, len(first), 20_000):
+        some = first[a : a + 20_000]
+        end = first[a + 20_000] if a + 20_000 < len(first) else len(i)
+        n = size[some]
+        ends = np.cumsum(n)
+        letters = data[np.repeat(place[some] - ends + n, n) + np.arange(ends[-1])]
+        strings = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(letters)])
+        where = _lists((place - off[i])[some[0] : end], some - some[0])
+        yield pa.RecordBatch.from_arrays([pa.array(route[some]), strings, pa.array(keys[i[some]]), pa.array(text[i[some]]), where, pa.nulls(len(some), _MEET.field("spans").type)], schema=_MEET)
+
+
+def joined(owner: np.ndarray, lo: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(owners, rising; the spans of each as a list) from spans of owners, where those that touch or overlap become one."""
+    order = np.lexsort((lo, owner))
+    owner, lo, to = owner[order], lo[order], to[order]
+    # an owner's places lie beyond all of the owners before it
+    base = owner.astype(np.int64) * (np.int64(1) << 32)
+    upto = np.maximum.accumulate(base + to) if len(owner) else base
+    new = np.ones(len(owner), bool)
+    new[1:] = base[1:] + lo[1:] > upto[:-1]
+    at = np.flatnonzero(new)
+    spans = np.column_stack([lo[at], (upto - base)[np.append(at[1:] - 1, len(owner) - 1)] if len(at) else lo[at]])
+    mine = owner[at]
+    first = np.flatnonzero(np.append(True, mine[1:] != mine[:-1])) if len(at) else at
+    return mine[first], _lists(spans.ravel(), 2 * first)
+
+
+def _settled(off: np.ndarray, keys: np.ndarray, text: np.ndarray, i: np.ndarray, place: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+    """A row for each text of a batch that a smaller key's strings cover in part."""
+    who, spans = joined(i, place - off[i], place - off[i] + size)
+    return pa.RecordBatch.from_arrays([pa.array(keys[who]), pa.nulls(len(who), pa.binary()), pa.array(keys[who]), pa.array(text[who]), pa.nulls(len(who), _MEET.field("at").type), spans], schema=_MEET)
+
+
 def neighbourhoods(rows: DataFrame, window: int) -> DataFrame:
     """Rows (route, s, k, text, at) for the strings around shared anchors, and rows with spans that are settled within their batch.
 
-    Of equal strings in a batch only those of the least key go on; the others are covered by it.
+    Of equal strings in a batch only those of the least key go on; the others are covered by it. Strings are told apart
+    by a hash of 64 bits, their length and their first eight bytes, so that a batch's need no object each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = _unpacked(b.column("z"))
             keys, text = b.column("k").to_numpy(zero_copy_only=False), b.column("x").to_numpy(zero_copy_only=False)
-            raw = data.base if isinstance(data.base, bytes) else data.tobytes()
             lists = [[np.sort(np.array(x or (), np.int64)) for x in b.column(c).to_pylist()] for c in ("anchors", "heavy")]
-            found: dict[bytes, tuple[int, list]] = {}
-            spans: dict[int, list[int]] = {}
-
-            def meet(s: bytes, h: int, i: int, lo: int) -> None:
-                least, own = found.get(s, (None, None))
-                if least is None or keys[i] < least:
-                    for j, p, _ in own or ():
-                        spans.setdefault(j, []).extend((p, p + len(s)))  # noqa: B023
-                    found[s] = keys[i], [(i, lo, h)]  # noqa: B023
-                elif keys[i] == least:  # noqa: B023
-                    own.append((i, lo, h))
-                else:
-                    spans.setdefault(i, []).extend((lo, lo + len(s)))  # noqa: B023
-
-            for i, start, _, runs in super_windows(data, off, window):
-                within = start - int(off[i])
-                for which, known in enumerate(lists):
+            parts = [np.zeros((0, 6), np.int64)]
+            for i, start, end, runs in super_windows(data, off, window):
+                lo, n, h = [], [], []
+                for known, one_by_one in zip(lists, (False, True), strict=True):
                     mine = known[i]
                     if not len(mine):
                         continue
                     at = np.minimum(np.searchsorted(mine, runs[:, 2]), len(mine) - 1)
-                    for lo, hi, h in runs[mine[at] == runs[:, 2]].tolist():
-                        if not which:
-                            meet(raw[start + lo : start + hi + window], h, i, within + lo)
-                        else:
-                            for p in range(lo, hi + 1):
-                                s = raw[start + p : start + p + window]
-                                meet(s, int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True), i, within + p)
-            out = []
-            for s, (k, own) in found.items():
-                by_text: dict[int, list[int]] = {}
-                for i, lo, h in own:
-                    by_text.setdefault(int(text[i]), []).append(lo)
-                out += [{"route": h, "s": s, "k": int(k), "text": x, "at": at} for x, at in by_text.items()]
-                if len(out) >= 20_000:
-                    yield _batch(out, _MEET)
-                    out = []
-            out += [{"route": int(keys[i]), "k": int(keys[i]), "text": int(text[i]), "spans": x} for i, x in spans.items()]
-            yield _batch(out, _MEET)
+                    hit = runs[mine[at] == runs[:, 2]]
+                    if one_by_one:
+                        size = hit[:, 1] - hit[:, 0] + 1
+                        first = np.repeat(hit[:, 0] - np.cumsum(size) + size, size) + np.arange(size.sum())
+                        lo, n, h = [*lo, first], [*n, np.full(len(first), window)], [*h, np.zeros(len(first), np.int64)]
+                    else:
+                        lo, n, h = [*lo, hit[:, 0]], [*n, hit[:, 1] - hit[:, 0] + window], [*h, hit[:, 2]]
+                if sum(map(len, lo)):
+                    a, size, anchor = np.concatenate(lo), np.concatenate(n), np.concatenate(h)
+                    mark = signed(_string_hash(data[start:end], a, size))
+                    # a window that is dealt out alone goes by its own hash
+                    route = np.where(anchor == 0, mark, anchor)
+                    parts.append(np.column_stack([np.full(len(a), i), a + start, size, mark, _leading(data, a + start), route]))
+            # neighbourhoods in a batch: text, place in the batch, length, hash, first bytes, route
+            found = np.concatenate(parts)
+            i, place, size, mark, lead, route = found.T
+            order = np.lexsort((place, keys[i], lead, size, mark))
+            i, place, size, mark, lead, route = (c[order] for c in (i, place, size, mark, lead, route))
+            new = np.ones(len(i), bool)
+            new[1:] = (mark[1:] != mark[:-1]) | (size[1:] != size[:-1]) | (lead[1:] != lead[:-1])
+            of = np.cumsum(new) - 1
+            least = keys[i] == keys[i][new][of] if len(i) else new
+            yield from _to_meet(data, off, keys, text, window, *(c[least] for c in (i, place, size, of, route)))
+            yield _settled(off, keys, text, *(c[~least] for c in (i, place, size)))
 
     return rows.mapInArrow(task(run), "route long, s binary, k long, text long, at array<int>, spans array<int>")
 
 
-def matched(strings: list[bytes], keys: np.ndarray, window: int) -> list[np.ndarray]:
-    """Starts, within each string, of the windows that also stand in a string of a smaller key; a string's own copies of larger keys are the caller's."""
-    size = np.array([len(s) for s in strings])
-    off = np.concatenate([[0], np.cumsum(size)])
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    n = size - window + 1
-    owner = np.repeat(np.arange(len(strings)), n)
+def matched(data: np.ndarray, off: np.ndarray, keys: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(string, start in it) of the windows of different strings that also stand in a string of a smaller key, in order; a string's own copies of larger keys are the caller's."""
+    n = np.diff(off) - window + 1
+    owner = np.repeat(np.arange(len(n)), n)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
     order, lcp = suffix_order(data, off[owner] + place, window)
     hit = np.zeros(len(owner), bool)
     hit[order] = longest_previous(keys[owner[order]], lcp) >= window
-    return np.split(place[hit], np.searchsorted(owner[hit], np.arange(1, len(strings))))
+    return owner[hit], place[hit]
+
+
+def settle(met: pa.Table, window: int) -> pa.RecordBatch:
+    """k, text, spans: what earlier keys' windows cover of the texts whose strings meet here."""
+    strings = met.column("s").combine_chunks()
+    strings = strings.combine_chunks() if isinstance(strings, pa.ChunkedArray) else strings
+    coded = strings.dictionary_encode()
+    of, words = coded.indices.to_numpy(), coded.dictionary.cast(pa.large_binary())
+    off = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data, off = np.frombuffer(words.buffers()[2], np.uint8)[off[0] : off[-1]], off - off[0]
+    k, x = met.column("k").to_numpy(), met.column("text").to_numpy()
+    least = np.full(len(words), np.iinfo(np.int64).max)
+    np.minimum.at(least, of, k)
+    owner, place = matched(data, off, least, window)
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:] - 1, len(owner) - 1) if len(first) else first
+    part_lo, part_to = place[first], place[last] + window
+    begin = np.searchsorted(owner[first], np.arange(len(words) + 1))
+    # a string of a larger key goes as a whole, one of the least key where it matches another string
+    late = k > least[of]
+    parts = np.where(late, 1, np.diff(begin)[of])
+    where = met.column("at").combine_chunks()
+    where = where.combine_chunks() if isinstance(where, pa.ChunkedArray) else where
+    row = np.repeat(np.arange(len(k)), where.value_lengths().to_numpy())
+    each = np.repeat(np.arange(len(row)), parts[row])
+    nth = np.arange(len(each)) - np.repeat(np.cumsum(parts[row]) - parts[row], parts[row])
+    row, at = row[each], where.flatten().to_numpy()[each].astype(np.int64)
+    which = np.where(late[row], 0, begin[of[row]] + nth)
+    some = len(part_lo) > 0
+    lo = np.where(late[row], 0, part_lo[which] if some else 0)
+    to = np.where(late[row], np.diff(off)[of[row]], part_to[which] if some else 0)
+    order = np.lexsort((x, k))
+    fresh = np.ones(len(k), bool)
+    fresh[1:] = (k[order][1:] != k[order][:-1]) | (x[order][1:] != x[order][:-1])
+    number = np.empty(len(k), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    who, spans = joined(number[row], at + lo, at + to)
+    mine = order[fresh][who]
+    return pa.RecordBatch.from_arrays([pa.array(k[mine]), pa.array(x[mine]), spans], schema=_SPANS)
 
 
 def covered(met: DataFrame, window: int) -> DataFrame:
     """k, text, spans: byte ranges (from, to, from, to, ...) that a window of an earlier key covers. Rows come sorted by route."""
 
-    def settle(rows: list[tuple]) -> pa.RecordBatch:
-        least: dict[bytes, int] = {}
-        for s, k, _, _ in rows:
-            least[s] = min(k, least.get(s, k))
-        strings = list(least)
-        hits = dict(zip(strings, matched(strings, np.array([least[s] for s in strings], np.int64), window), strict=True))
-        out: dict[tuple[int, int], list[int]] = {}
-        for s, k, x, at in rows:
-            if k > least[s]:
-                parts = [(0, len(s))]
-            elif len(h := hits[s]):
-                cut = np.flatnonzero(np.diff(h) > 1) + 1
-                parts = [(int(p[0]), int(p[-1]) + window) for p in np.split(h, cut)]
-            else:
-                continue
-            spans = out.setdefault((k, x), [])
-            for lo in at:
-                for a, b in parts:
-                    spans += (lo + a, lo + b)
-        return _batch([{"k": k, "text": x, "spans": v} for (k, x), v in out.items()], _SPANS)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size, route = [], 0, None
+        held, size, route = [], 0, None
         for b in batches:
             settled = b.filter(b.column("s").is_null())
             if settled.num_rows:
                 yield settled.select(["k", "text", "spans"])
             b = b.filter(b.column("s").is_valid())
-            for r, *row in zip(*[b.column(c).to_pylist() for c in ("route", "s", "k", "text", "at")], strict=True):
-                if r != route and size >= CHUNK:  # an anchor's strings stay together
-                    yield settle(rows)
-                    rows, size = [], 0
-                route = r
-                rows.append(tuple(row))
-                size += len(row[0]) - window + 1
-        if rows:
-            yield settle(rows)
+            if not b.num_rows:
+                continue
+            routes = b.column("route").to_numpy()
+            upto = np.concatenate([[0], np.cumsum(pc.binary_length(b.column("s")).to_numpy() - window + 1)])
+            # an anchor's strings stay together
+            cuts = np.flatnonzero(np.concatenate([[routes[0] != route], routes[1:] != routes[:-1]]))
+            start, before = 0, size
+            while (n := int(np.searchsorted(upto[cuts], CHUNK - before + upto[start]))) < len(cuts):
+                end = int(cuts[n])
+                yield settle(pa.Table.from_batches([*held, b.slice(start, end - start)]), window)
+                held, before, start, cuts = [], 0, end, cuts[n + 1 :]
+            held.append(b.slice(start))
+            size, route = before + int(upto[-1] - upto[start]), routes[-1]
+        if held:
+            yield settle(pa.Table.from_batches(held), window)
 
     return met.mapInArrow(task(run), "k long, text long, spans array<int>")
 
@@ -372,7 +450,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     met = neighbourhoods(around, window).repartition(slices, "route").sortWithinPartitions("route")
     whole = copied.select("k", F.col("x").alias("text"), F.array(F.lit(0), F.col("size").cast("int")).alias("spans"))
     spans = covered(met, window).union(whole).groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("text", "spans")).alias("found"))
-    joined = dealt.join(spans, F.col("q") == F.col("_k"), "left").select("k", "z", "x", "found", *[f"c{i}" for i in range(len(keep))])
+    both = dealt.join(spans, F.col("q") == F.col("_k"), "left").select("k", "z", "x", "found", *[f"c{i}" for i in range(len(keep))])
     names = ["k", *[f"c{i}" for i in range(len(keep))], "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text"] * with_text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,5 +474,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     made = "".join(f"c{i} {kinds[c].dataType.simpleString()}, " for i, c in enumerate(keep))
-    out = joined.mapInArrow(task(run), f"k long, {made}n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text)
+    out = both.mapInArrow(task(run), f"k long, {made}n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text)
     return out.withColumn("k", F.col("k").cast(kinds[key].dataType)).toDF(key, *keep, *names[1 + len(keep) :])
