@@ -27,8 +27,8 @@ SUB, WORDS, SAMPLE_ROWS, ROUNDS = 2, 256, 8192, 8
 GROUP_BYTES = 16 << 20
 #: Every so many-th id is an anchor; positives of an anchor, negatives of a pair; the window of scores in per cent of the positive's.
 EVERY, POSITIVES, NEGATIVES, LOW, HIGH = 100, 5, 10, 30, 90
-#: Scores are computed for so many queries at once.
-QUERY_BLOCK = 32
+#: Scores are computed for so many queries at once; rows of a query that are scored exactly before the rest is looked at.
+QUERY_BLOCK, PROBE = 32, 64
 
 
 def _integers(column: pa.Array, dim: int) -> np.ndarray:
@@ -150,6 +150,14 @@ def best_within(rows: Bounded, queries: np.ndarray, able: np.ndarray, low: list,
                 if (held := np.flatnonzero(sure)).size >= n:
                     ok &= most[k] >= np.partition(least[k][held], len(held) - n)[len(held) - n]
                 at = np.flatnonzero(ok)
+                if len(at) > PROBE:
+                    # exact scores of the likeliest ones raise the bar that the others' intervals must reach
+                    likely = near[k][at] if hi is None else np.where(near[k][at] <= hi, near[k][at], -np.inf)
+                    probe = rows.exact(queries[i + k], at[np.argpartition(-likely, PROBE)[:PROBE]])
+                    if hi is not None:
+                        probe = probe[(probe >= lo) & (probe <= hi)]
+                    if len(probe) >= n:
+                        at = at[most[k][at] >= np.partition(probe, len(probe) - n)[len(probe) - n]]
                 score = rows.exact(queries[i + k], at)
                 if hi is not None:
                     inside = (score >= lo) & (score <= hi)
