@@ -61,10 +61,11 @@ def test_deliverable_and_questions(spark, tmp_path):
     assert kept["j1"].dup_group == kept["j4"].dup_group != "" and kept["j1"].is_primary and not kept["j4"].is_primary
     assert (kept["j1"].salary_min, kept["j1"].salary_max, kept["j1"].salary_months) == (20000.0, 40000.0, 15)
     before = deliverable.build(listed.where("job_id <> 'j1'"), details)
-    without = deliverable.build(listed, details, exclude=spark.createDataFrame([(" j2 ",), ("j3",), ("",)], "job_id string"), before=d)
-    assert {r.job_id for r in without.kept.collect()} == {"j1", "j4"}
-    assert {r.job_id: r.reason for r in without.dropped.collect()} == {"j2": "sales", "j5": "mismatch"}  # j2 is remembered
-    assert {r.job_id for r in deliverable.build(listed, details, keep_junk=True, before=d).dropped.collect()} == set()  # all are kept by now
+    dropped = spark.createDataFrame([("j2", "x", "y", "sales"), ("j1", "x", "y", "sales"), ("j5", "x", "y", "first"), (" ", "x", "y", "blank")], "job_id string, title string, company_name string, reason string")
+    past = deliverable.Deliverable(d.kept, dropped, dropped.select("job_id", "title").where("job_id = 'j1'"))
+    without = deliverable.build(listed, details, exclude=spark.createDataFrame([(" j2 ",), ("j3",), ("",)], "job_id string"), before=past)
+    # j2 takes no part but is remembered, j5 keeps its first reason, and j1 is kept by now
+    assert {r.job_id: r.reason for r in without.dropped.collect()} == {"j2": "sales", "j5": "first"} and without.bodyless.count() == 0
     items, deliverables = deliverable.registered([("/out/old", "杭州|AI", "2024-01-01", before), ("/out/new", "杭州|AI", "2024-01-02", d)])
     diff = {r.job_id: (r.change, r.reason) for r in ask.ask("diff", items=items, deliverables=deliverables, scope="ai").collect()}
     assert diff == {"j1": ("added", "new")}
