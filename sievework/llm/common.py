@@ -35,6 +35,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0] : off[-1]], off - off[0]
 
 
+def offsets(column: pa.Array) -> np.ndarray:
+    """Offsets of a string column's texts, as ``utf8`` gives them, without a copy of the texts."""
+    return np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(), dtype=np.int64)])
+
+
 def groups(offsets: np.ndarray, size: int = KERNEL_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes; a longer row stands alone."""
     i, n = 0, len(offsets) - 1

@@ -12,17 +12,19 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups, task, utf8, written
+from .common import groups, offsets, task, utf8, written
+
+# Spark ML is for the driver alone: Python workers import this module for the features, and would keep what Spark ML imports.
+if TYPE_CHECKING:
+    from pyspark.ml.classification import GBTClassificationModel
+    from pyspark.ml.regression import IsotonicRegressionModel
 
 #: Labelled rows that training takes, the first by a hash of their key; rows that it needs of each class.
 TRAIN_ROWS, LEAST_OF_CLASS = 10_000, 3
@@ -92,9 +94,9 @@ def featured(docs: DataFrame, words: frozenset[str], stems: frozenset[str], text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = _Kind(words, stems)
         for whole in batches:
-            data, off = utf8(whole.column("t"))
-            for i, j in groups(off):
-                b, own_off, part = whole.slice(i, j - i), off[i : j + 1] - off[i], data[off[i] : off[j]]
+            for i, j in groups(offsets(whole.column("t"))):
+                b = whole.slice(i, j - i)
+                part, own_off = utf8(b.column("t"))
                 size = np.maximum(1, np.diff(own_off))
                 count = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])[own_off])  # noqa: B023, E731
                 own = np.array([features(t.as_py() or "", kinds) for t in b.column("t")], np.float64).reshape(-1, 10)
@@ -150,6 +152,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     null keys and null texts teach nothing. The rows of either class are dealt out to lexicon, trees and
     calibration in turn, so each part has both classes if there are ``LEAST_OF_CLASS`` rows of either.
     """
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.regression import IsotonicRegression
+
     spark = docs.sparkSession
     marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max((F.col(label).cast("double") > 0).cast("int")).alias("y"))
     # labels of documents that are not here take no room in the sample
@@ -180,6 +187,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     repeated rows, ties and extra columns are left as they are; an empty table gives an empty result; a model
     without trees gives its sample's rate of class 1. Map-only: no shuffle.
     """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
     if model.trees is None:
         out = docs.select(*keep, F.lit(float(model.rate)).alias("score"))
     else:

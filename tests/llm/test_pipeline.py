@@ -4,6 +4,7 @@ import random
 import re
 from fractions import Fraction
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +114,26 @@ def test_stages_take_empty_and_odd_tables(spark, tmp_path):
         done = cp.STAGES[-1][1](spark, docs.cache(), str(tmp_path)).collect()
         assert {r.doc_id for r in done} == {r[0] for r in rows} - {2}  # null and empty texts are copies
         assert all(r.parity and re.fullmatch(r"\d+", str(r.row)) for r in done)
+
+
+def test_texts_go_to_workers_in_batches_of_bounded_bytes(spark, monkeypatch):
+    import corpus_pipeline as cp
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    monkeypatch.setattr(cp, "BATCH_BYTES", 100_000)
+    docs = spark.range(300).selectExpr("id as doc_id", "repeat('some text ', 500) as text", "'en' as lang", "'s' as source", "5000L as n_chars").coalesce(1)
+    before = spark.conf.get(cp.BATCH_SETTING, None)
+    try:
+        spark.conf.unset(cp.BATCH_SETTING)
+        cp.STAGES[0][1](spark, docs, "/root/testdata/sf0.001")
+        assert max(r.n for r in docs.select("text").mapInArrow(sizes, "n long").collect()) < 110_000
+        spark.conf.set(cp.BATCH_SETTING, "7m")
+        cp.STAGES[0][1](spark, docs, "/root/testdata/sf0.001")
+        assert spark.conf.get(cp.BATCH_SETTING) == "7m"  # what a user has set stays
+    finally:
+        spark.conf.unset(cp.BATCH_SETTING)
+        if before is not None:
+            spark.conf.set(cp.BATCH_SETTING, before)

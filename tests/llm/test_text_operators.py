@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
 from fractions import Fraction
 
@@ -272,6 +274,11 @@ def test_toxic_texts_score_high(spark):
     assert toxicity.score(docs.limit(2), none).first().score == 0
 
 
+def test_workers_do_not_import_spark_ml():
+    code = "import sys, sievework.llm.toxicity; assert not {'pyspark.ml', 'pandas'} & set(sys.modules)"
+    subprocess.run([sys.executable, "-c", code], check=True)
+
+
 def plain_features(text, words, stems):
     """The features by loops over words and characters."""
     found = toxicity._WORD.findall(text)
