@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding through the tokenizers library.
 
 The model's protobuf is parsed here; its normaliser, metaspace marker, scores and byte fallback are rebuilt
-as a ``tokenizers.Tokenizer``, batches are encoded by the library's threads, and the identifiers are
-verified against the sentencepiece library. BPE models get their merges from the scores (the pair whose
+as a ``tokenizers.Tokenizer``, the library encodes each distinct word of some megabytes of texts once, and the
+identifiers of every whole text are verified against the sentencepiece library. BPE models get their merges from the scores (the pair whose
 piece has the best score merges first); unigram models get the scores themselves.
 """
 
@@ -11,7 +11,8 @@ from __future__ import annotations
 import os
 import struct
 from collections.abc import Iterator
-from itertools import chain
+from functools import cached_property
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import task
+from .common import groups, offsets, task, utf8
 
 # Fixed values of the model format: piece kinds, model kinds, field numbers.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -28,6 +29,8 @@ MARK = "▁"
 
 #: Threads a worker's library may use; texts encoded at once.
 THREADS, TEXTS_AT_ONCE = 2, 64
+#: Bytes of texts whose distinct words are encoded once; bytes of words that stand in one string for the library.
+WORDS_BYTES, STRING_BYTES = 4 << 20, 1 << 12
 
 
 def _varint(data: bytes, i: int) -> tuple[int, int]:
@@ -112,6 +115,23 @@ def build(data: bytes, bare: bool = False):
     return out
 
 
+def _markers(data: np.ndarray) -> np.ndarray:
+    """For each byte, whether a marker begins there."""
+    out = np.zeros(len(data), bool)
+    a, b, c = MARK.encode()
+    out[:-2] = (data[:-2] == a) & (data[1:-1] == b) & (data[2:] == c)
+    return out
+
+
+def _word_bounds(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Where words begin, and the end: at the texts' borders and at each marker that no marker stands before."""
+    at = np.flatnonzero(_markers(data))
+    edge = np.zeros(len(data) + 1, bool)
+    edge[at] = np.diff(at, prepend=-len(MARK.encode()) - 1) > len(MARK.encode())
+    edge[off] = True
+    return np.flatnonzero(edge)
+
+
 class Codec:
     """Encodes and decodes whole texts, and compares them with the sentencepiece library."""
 
@@ -119,16 +139,26 @@ class Codec:
         import sentencepiece
 
         self.model = parse_model(data)
-        self.whole, self.theirs = build(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+        self.data, self.theirs = data, sentencepiece.SentencePieceProcessor(model_proto=data)
         # where the normaliser only marks spaces, a text is marked before the library sees it, which then tracks no changes
         self.plain = not (self.model["charsmap"] or self.model["squeeze"] or any(kind == USER_DEFINED for _, _, kind in self.model["pieces"]))
         self.bare = build(data, bare=True)
         self.lead = MARK if self.model["dummy_prefix"] else ""
         #: identifiers of the bytes, where they stand for what a unigram model lacks
         self.of_byte = [i for i, (_, _, kind) in enumerate(self.model["pieces"]) if kind == BYTE] if self.model["byte_fallback"] and self.model["kind"] == UNIGRAM else []
+        # where no piece has a marker behind another character, no merge goes on from one word into the next
+        met = [p for p, _, kind in self.model["pieces"] if kind in (NORMAL, UNUSED)]
+        self.by_words = self.model["kind"] == BPE and MARK in met and not any(MARK in p.lstrip(MARK) for p in met) and not any(kind == USER_DEFINED for _, _, kind in self.model["pieces"])
+        #: identifiers that a word begins with
+        self.begins = np.array([p.startswith(MARK) for p, _, _ in self.model["pieces"]])
         #: what each identifier stands for in a text
         self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in self.model["pieces"]]
 
+    @cached_property
+    def whole(self):
+        """The tokenizer with its normaliser, built only where that is needed."""
+        return build(self.data)
+
     def marked(self, text: str) -> str:
         """The text as the model's normaliser gives it."""
         if self.plain:
@@ -137,7 +167,62 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Identifiers of each text by the rebuilt tokenizer."""
-        texts = [self.marked(t) for t in texts]
+        return self._encode([self.marked(t) for t in texts])
+
+    def encode_column(self, column: pa.Array) -> Iterator[list[list[int]]]:
+        """Identifiers of each text of a column, ``TEXTS_AT_ONCE`` texts at a time; as ``encode`` gives them, null counts as empty."""
+        if not self.by_words:
+            for at in range(0, len(column), TEXTS_AT_ONCE):
+                yield self.encode(pc.fill_null(column.slice(at, TEXTS_AT_ONCE), "").to_pylist())
+            return
+        for i, j in groups(offsets(column), WORDS_BYTES):
+            data, off = utf8(self._marked_column(pc.fill_null(column.slice(i, j - i), "")))
+            bounds = _word_bounds(data, off)
+            words = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(data)).dictionary_encode()
+            which, (flat, start, size) = words.indices.to_numpy(), self._encode_words(words.dictionary)
+            ends = np.concatenate([[0], np.cumsum(size[which])])
+            of_text = np.searchsorted(bounds, off)
+            for at in range(0, j - i, TEXTS_AT_ONCE):
+                own = of_text[at : at + TEXTS_AT_ONCE + 1]
+                w = which[own[0] : own[-1]]
+                shift = start[w] - (ends[own[0] : own[-1]] - ends[own[0]])
+                ids = flat[np.repeat(shift, size[w]) + np.arange(ends[own[-1]] - ends[own[0]])].tolist()
+                cut = (ends[own] - ends[own[0]]).tolist()
+                yield [ids[a:b] for a, b in pairwise(cut)]
+
+    def _marked_column(self, column: pa.Array) -> pa.Array:
+        if not self.plain:
+            return pa.array([self.marked(t) for t in column.to_pylist()], pa.large_string())
+        column = column.cast(pa.large_string())
+        marked = pc.replace_substring(column, " ", MARK)
+        lead, nothing = (pa.scalar(x, pa.large_string()) for x in (self.lead, ""))
+        return pc.if_else(pc.equal(pc.binary_length(column), 0), column, pc.binary_join_element_wise(lead, marked, nothing))
+
+    def _encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(identifiers, where each word's begin, how many it has) of distinct words."""
+        data, off = utf8(words)
+        marked = _markers(data)
+        marks = np.searchsorted(np.flatnonzero(marked), off)
+        # such words can be told apart again when they stand in one string: only their first piece has a marker
+        alone = (np.diff(marks) == 1) & marked[off[:-1]] & (np.diff(off) > len(MARK.encode()))
+        data, off = utf8(words.filter(pa.array(alone)))
+        strings = [data[off[i] : off[j]].tobytes().decode() for i, j in groups(off, STRING_BYTES)]
+        joined = [np.zeros(0, np.int32), *(np.array(ids, np.int32) for ids in self._in_parts(strings))]
+        other = [np.array(ids, np.int32) for ids in self._in_parts(words.filter(pa.array(~alone)).to_pylist())]
+        joined = np.concatenate(joined)
+        begin = np.flatnonzero(self.begins[joined])
+        start, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        start[alone], size[alone] = begin, np.diff(np.append(begin, len(joined)))
+        size[~alone] = [*map(len, other)]
+        start[~alone] = len(joined) + np.cumsum(size[~alone]) - size[~alone]
+        return np.concatenate([joined, *other]), start, size
+
+    def _in_parts(self, marked: list[str]) -> Iterator[list[int]]:
+        for at in range(0, len(marked), TEXTS_AT_ONCE):
+            yield from self._encode(marked[at : at + TEXTS_AT_ONCE])
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        """Identifiers of texts as the normaliser gives them."""
         out = [e.ids for e in self.bare.encode_batch_fast(texts, add_special_tokens=False)]
         if self.of_byte:
             unknown = self.model["unk_id"]
@@ -176,14 +261,14 @@ def encode(docs: DataFrame, model: str, text: str = "text", keep: tuple[str, ...
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         codec = None
         for whole in batches:
-            for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
-                b = whole.slice(at, TEXTS_AT_ONCE)
-                if codec is None:
-                    codec = Codec(sent.value)
-                    is_byte = np.array([kind == BYTE for _, _, kind in codec.model["pieces"]])
+            if codec is None:
+                codec = Codec(sent.value)
+                is_byte = np.array([kind == BYTE for _, _, kind in codec.model["pieces"]])
+            at = 0
+            for got in codec.encode_column(whole.column("t")):
+                b, at = whole.slice(at, len(got)), at + len(got)
                 column = pc.fill_null(b.column("t"), "")
                 texts = column.to_pylist()
-                got = codec.encode(texts)
                 back, same = codec.verified(texts, got)
                 size = np.array([0, *map(len, got)], np.int64)
                 flat = np.fromiter(chain.from_iterable(got), np.int32, int(size.sum()))

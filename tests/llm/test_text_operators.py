@@ -9,6 +9,7 @@ import sys
 from collections import Counter
 from fractions import Fraction
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,20 @@ def test_fast_decoding_equals_the_library():
     assert codec.encode([t or "" for t in some_texts()]) == [e.ids for e in codec.whole.encode_batch([t or "" for t in some_texts()], add_special_tokens=False)]
 
 
+def test_distinct_words_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(pieces, "WORDS_BYTES", 3000)
+    codec, rnd = pieces.Codec(open(P.path("piece_bpe_32k.model"), "rb").read()), random.Random(7)
+    odd = [None, "", " ", "▁", "a ", " a", "a  b", "▁▁ x▁y", "<s> </s>", "日本 語", "😀 😀", "\t\n"]
+    odd += ["".join(rnd.choice([" ", "  ", "▁", "a", "the", "é", "\n", "<s>", "😀", "x y"]) for _ in range(rnd.randrange(30))) for _ in range(300)]
+    got = [ids for part in codec.encode_column(pa.array(odd)) for ids in part]
+    assert got == codec.encode([t or "" for t in odd]) == codec.theirs.encode([t or "" for t in odd])
+    seen, plain = [], codec._encode
+    monkeypatch.setattr(codec, "_encode", lambda texts: seen.extend(texts) or plain(texts))
+    texts = ["every word of this text stands in all others"] * 50
+    assert [ids for part in codec.encode_column(pa.array(texts)) for ids in part] == codec.theirs.encode(texts)
+    assert sum(map(len, seen)) == len(texts[0]) + 1
+
+
 def base_counts(t):
     t = t or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
