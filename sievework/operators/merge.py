@@ -18,15 +18,15 @@ def filled(df: DataFrame, name: str) -> Column:
     return c
 
 
-def last_details(details: DataFrame, key: str, body: str, order: str) -> DataFrame:
-    """Of each key's details with a body, the last."""
+def last_details(details: DataFrame, key: str, body: str, order: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Of each key's details with a body, the last; of those that are last together, the first by ``ties``."""
     rows = details.where(F.trim(body) != "")
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc()))).where("_n = 1").drop("_n")
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc(), *ties))).where("_n = 1").drop("_n", *ties)
 
 
-def merge_details(listed: DataFrame, details: DataFrame, key: str, body: str, order: str, keep_without: bool = True) -> DataFrame:
-    """Lists with their details: a detail's filled value wins, column by column. has_detail tells which had one."""
-    d = last_details(details, key, body, order)
+def merge_details(listed: DataFrame, details: DataFrame, key: str, body: str, order: str, keep_without: bool = True, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Lists with their details: a detail's filled value wins, column by column. has_detail tells which had one. ties: columns that choose among details of one order, the least first; without them such details must not differ."""
+    d = last_details(details, key, body, order, ties)
     values = {c: filled(d, c) for c in d.columns if c not in (key, order)}
     d = d.select(d[key].alias("_key"), *[v.alias(f"_d_{c}") for c, v in values.items()])
     out = listed.join(d, listed[key] == d["_key"], "left" if keep_without else "inner")

@@ -10,7 +10,7 @@ from sievework.operators import dedupe, filters, merge, quality, rollups, store,
 from sievework.plans.registry import NOW, ORACLE_SQL, QUERIES, events, query
 from sievework.plans.registry import sql_any as _any
 from sievework.plans.registry import sql_list as _list
-from sievework.plans.tables import posting_sql, postings, table
+from sievework.plans.tables import PLACE, placed, posting_sql, postings, table
 from sievework.ruleset import DEFAULT as R
 
 _P = f"with p as ({posting_sql()})"
@@ -87,8 +87,9 @@ def pages_until_repeat(spark, sf_dir):
 select o_orderkey, o_orderpriority, coalesce(l_linestatus, o_orderstatus) as o_orderstatus, body, k is not null as has_detail from orders left join d on o_orderkey = k and n = 1""")
 def merge_details(spark, sf_dir):
     listed = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
-    details = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus"), F.when(F.col("l_quantity") > 25, F.col("l_returnflag")).otherwise("").alias("body"), "l_linenumber")
-    return merge.merge_details(listed, details, "o_orderkey", "body", "l_linenumber")
+    # line numbers repeat within an order; the SQL takes the first of these as the table has them
+    details = placed(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus"), F.when(F.col("l_quantity") > 25, F.col("l_returnflag")).otherwise("").alias("body"), "l_linenumber", *PLACE)
+    return merge.merge_details(listed, details, "o_orderkey", "body", "l_linenumber", ties=PLACE)
 
 
 @query("""with d as (select l_orderkey k, l_returnflag body, row_number() over (partition by l_orderkey order by l_linenumber desc) n from lineitem where l_quantity > 25)

@@ -10,6 +10,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A row's place in its table: what ``placed`` adds.
+PLACE = ("_file", "_row")
+
+
+def placed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with each row's file and place in the file, which order rows as they were written, however Spark reads them."""
+    return table(spark, sf_dir, name).select("*", *[F.col(f"_metadata.{m}").alias(c) for m, c in zip(("file_path", "row_index"), PLACE)])
+
+
 def _pick(words: str, by: str, n: int) -> str:
     return f"split_part('{words}', '|', cast({by} % {n} as int) + 1)"
 
