@@ -95,8 +95,8 @@ def merge_details(spark, sf_dir):
 @query("""with d as (select l_orderkey k, l_returnflag body, row_number() over (partition by l_orderkey order by l_linenumber desc) n from lineitem where l_quantity > 25)
 select o_orderkey, body from orders join d on o_orderkey = k and n = 1""")
 def only_with_details(spark, sf_dir):
-    details = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.when(F.col("l_quantity") > 25, F.col("l_returnflag")).otherwise("").alias("body"), "l_linenumber")
-    return merge.merge_details(table(spark, sf_dir, "orders").select("o_orderkey"), details, "o_orderkey", "body", "l_linenumber", keep_without=False).select("o_orderkey", "body")
+    details = placed(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.when(F.col("l_quantity") > 25, F.col("l_returnflag")).otherwise("").alias("body"), "l_linenumber", *PLACE)
+    return merge.merge_details(table(spark, sf_dir, "orders").select("o_orderkey"), details, "o_orderkey", "body", "l_linenumber", keep_without=False, ties=PLACE).select("o_orderkey", "body")
 
 
 @query("""select l_orderkey, count(*) as n from lineitem where exists (select 1 from orders where o_orderkey = l_orderkey and o_orderstatus = 'F') group by 1""")

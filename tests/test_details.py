@@ -22,7 +22,7 @@ def tables(tmp_path_factory):
     return con, str(top)
 
 
-@pytest.mark.parametrize("name", ["merge_details"])
+@pytest.mark.parametrize("name", ["merge_details", "only_with_details"])
 def test_details_of_one_number_go_by_place(spark, tables, name):
     con, top = tables
     want = con.execute(ORACLE_SQL[name]).fetchall()
