@@ -89,12 +89,16 @@ def resolved(df: DataFrame, value: str, names: DataFrame, coded: str = "^\\d{9}$
 
 
 def first_matches(profiles: DataFrame, deliverables: DataFrame) -> DataFrame:
-    """profile, path: the newest deliverable whose scope is the profile's or whose file has the name it states; null without one. profiles: profile, scope_key, target; deliverables: path, scope_key, created_at."""
-    d = deliverables.select("path", "created_at", F.col("scope_key").alias("_scope"), F.element_at(F.split("path", "/"), -1).alias("_name"))
-    by_scope = profiles.where(_text("scope_key") != "").join(d, F.col("scope_key") == F.col("_scope")).select("profile", "path", "created_at")
-    by_name = profiles.where(_text("target") != "").join(d, F.col("target") == F.col("_name")).select("profile", "path", "created_at")
-    best = by_scope.union(by_name).groupBy(F.col("profile").alias("_p")).agg(F.max_by("path", F.struct("created_at", "path")).alias("path"))
-    return profiles.select("profile").join(best, F.col("profile") == F.col("_p"), "left").select("profile", "path")
+    """profile, path: the newest deliverable whose scope is the profile's or whose file has the name it states; null without one. profiles: profile, scope_key, target; deliverables: path, scope_key, created_at.
+
+    Of each scope and each name only the newest deliverable meets profiles, so there are two matches a row of profiles at most.
+    """
+    at = F.struct("created_at", "path")
+    named = F.element_at(F.split("path", "/"), -1)
+    newest = lambda by: deliverables.where(by.isNotNull()).groupBy(by.alias("_by")).agg(F.max(at).alias("_at"))
+    matched = lambda c, by: profiles.where(_text(c) != "").join(newest(by), F.col(c) == F.col("_by")).select("profile", "_at")
+    best = matched("scope_key", F.col("scope_key")).union(matched("target", named)).groupBy(F.col("profile").alias("_p")).agg(F.max("_at").alias("_at"))
+    return profiles.select("profile").join(best, F.col("profile") == F.col("_p"), "left").select("profile", F.col("_at.path").alias("path"))
 
 
 def lineage(jobs: DataFrame, runs: DataFrame, details: DataFrame, key: str, ids: list | None = None) -> DataFrame:
