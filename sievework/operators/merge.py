@@ -34,6 +34,25 @@ def merge_details(listed: DataFrame, details: DataFrame, key: str, body: str, or
     return out.withColumns(merged | {"has_detail": F.col("_key").isNotNull()}).drop("_key", *[f"_d_{c}" for c in values])
 
 
+def _classes(df: DataFrame, name: str, entries: list[Column]) -> DataFrame:
+    """name, priority, value, once each, of rows' entries."""
+    return df.select(name, F.explode(F.array_compact(F.array(*entries))).alias("c")).select(name, "c.priority", "c.value").distinct()
+
+
+def _entry(priority: int, value: Column) -> Column:
+    return F.when(value.isNotNull(), F.struct(F.lit(priority).alias("priority"), value.cast("string").alias("value")))
+
+
+def _jobs_classes(jobs: DataFrame) -> DataFrame:
+    """Classes of jobs by id, link and title. Rows are dealt out by job before they become several, which what follows by job needs no second time."""
+    return _classes(jobs.repartition("job"), "job", [_entry(1, F.col("id")), _entry(2, F.col("link")), _entry(3, F.col("title_key"))])
+
+
+def _only_job(jobs: DataFrame) -> DataFrame:
+    """The only job without an id: one row at most, found by an aggregate."""
+    return jobs.where("id is null").agg(F.count("*").alias("n"), F.min("job").alias("job")).where("n = 1").select("job", F.lit(4).alias("priority"), F.lit("").alias("value"))
+
+
 def association_classes(jobs: DataFrame, details: DataFrame, detail_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Jobs and details as members of classes (priority, value), which stand for the pairs of their members.
 
@@ -42,15 +61,11 @@ def association_classes(jobs: DataFrame, details: DataFrame, detail_id: str) ->
     the details' membership (``detail_id``, priority, value), the jobs' (job, priority, value) and each class's number of
     jobs (priority, value, jobs). No row stands for a pair, so a title that thousands share costs its members alone.
     """
-    entry = lambda p, c: F.when(c.isNotNull(), F.struct(F.lit(p).alias("priority"), c.cast("string").alias("value")))
     id_, link, title = F.col("id"), F.col("link"), F.col("title_key")
-    members = lambda df, name, entries: df.select(name, F.explode(F.array_compact(F.array(*entries))).alias("c")).select(name, "c.priority", "c.value").distinct()
-    job_in = members(jobs, "job", [entry(1, id_), entry(2, link), entry(3, title)])
-    # the only job without an id: one row at most, found by an aggregate
-    alone = jobs.where("id is null").agg(F.count("*").alias("n"), F.min("job").alias("job")).where("n = 1").select("job", F.lit(4).alias("priority"), F.lit("").alias("value"))
-    job_in = job_in.union(alone)
+    alone = _only_job(jobs)
+    job_in = _jobs_classes(jobs).union(alone)
     sizes = job_in.groupBy("priority", "value").agg(F.count("*").alias("jobs"))
-    wanted = members(details, detail_id, [entry(1, id_), F.when(id_.isNull(), entry(2, link)), F.when(id_.isNull(), entry(3, title))])
+    wanted = _classes(details, detail_id, [_entry(1, id_), F.when(id_.isNull(), _entry(2, link)), F.when(id_.isNull(), _entry(3, title))])
     found = wanted.join(sizes.where("priority < 4"), ["priority", "value"], "left_semi").select(detail_id, "priority", "value")
     last = details.where("id is null").select(detail_id).distinct().join(F.broadcast(alone.select("priority", "value")))  # one row at most
     found = found.union(last)
@@ -59,9 +74,17 @@ def association_classes(jobs: DataFrame, details: DataFrame, detail_id: str) ->
 
 
 def associate(jobs: DataFrame, details: DataFrame, detail_id: str) -> DataFrame:
-    """Candidates of each detail as pairs (``detail_id``, job, priority), spelled out from ``association_classes``: as many rows as there are pairs."""
-    found, job_in, _ = association_classes(jobs, details, detail_id)
-    return found.join(job_in, ["priority", "value"]).select(detail_id, "job", "priority").distinct()
+    """Candidates of each detail as pairs (``detail_id``, job, priority), spelled out from ``association_classes``: as many rows as there are pairs.
+
+    Where both a detail and a job have several classes of one priority, a pair comes from the least class that they share.
+    So pairs come out once each as they are made, and none is moved or compared with others.
+    """
+    found, _, _ = association_classes(jobs, details, detail_id)
+    of = lambda df, by, name: df.groupBy(*by).agg(F.collect_list("value").alias("_v")).select(*by, F.explode("_v").alias("value"), F.when(F.size("_v") > 1, F.col("_v")).alias(name))
+    job_in = of(_jobs_classes(jobs), ("job", "priority"), "_of_job").union(_only_job(jobs).withColumn("_of_job", F.lit(None).cast("array<string>")))
+    pairs = of(found, (detail_id, "priority"), "_of_detail").join(job_in, ["priority", "value"])
+    least = F.col("value") == F.array_min(F.array_intersect("_of_detail", "_of_job"))
+    return pairs.where(F.col("_of_detail").isNull() | F.col("_of_job").isNull() | least).select(detail_id, "job", "priority")
 
 
 def keep_associated(jobs: DataFrame, details: DataFrame, bad_jobs: DataFrame, detail_id: str) -> DataFrame:
